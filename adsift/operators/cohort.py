@@ -28,27 +28,50 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _spread_key(value: Column, salt: Column) -> Column:
+    """Join key that equals ``value`` when set; a NULL is replaced by a salted
+    marker so NULL rows spread over all reducers instead of one. Callers only
+    count a hit when ``value`` itself is non-NULL, so the marker never matches."""
+    return F.coalesce(value, F.concat(F.lit("\u0000"), salt.cast("string")))
+
+
 def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
                  out: str = "matched_id") -> DataFrame:
     """Add ``out``: the first candidate id (in order) that is in ``cohort``.
 
     ``cohort`` has one column ``id``; it is de-duplicated here so the joins
-    cannot multiply rows. Empty or NULL candidates never match.
+    cannot multiply rows. Empty or NULL candidates never match, and their
+    join keys are salted with a hash of the row's non-map columns.
     """
     ids = cohort.select(F.col("id").cast("string").alias("id")).distinct()
     base = df.columns
-    cur = df
+    cands = [f"_cand{i}" for i in range(len(candidates))]
+    cur = df.select(*base, *[F.when(_c(c) != "", _c(c)).alias(n) for c, n in zip(candidates, cands)])
+    hashable = [f.name for f in cur.schema.fields if f.dataType.typeName() != "map"]
+    cur = cur.withColumn("_salt", F.xxhash64(*hashable))
     picks = []
-    for i, cand in enumerate(candidates):
-        k, hit = f"_cand{i}", f"_hit{i}"
-        cand = _c(cand)
-        cur = cur.withColumn(k, F.when(cand != "", cand))
+    for i, k in enumerate(cands):
+        key, hit = f"_key{i}", f"_hit{i}"
         member = ids.select(F.col("id").alias(f"_id{i}"), F.lit(True).alias(hit))
-        cur = cur.join(member, cur[k] == member[f"_id{i}"], "left")
-        picks.append(F.when(F.col(hit), F.col(k)))
+        cur = cur.withColumn(key, _spread_key(F.col(k), F.col("_salt")))
+        cur = cur.join(member, cur[key] == member[f"_id{i}"], "left")
+        picks.append(F.when(F.col(hit) & F.col(k).isNotNull(), F.col(k)))
     return cur.select(*base, F.coalesce(*picks).alias(out))
 
 
+def distinct_matches(df: DataFrame, keep: list[str], candidates: list, cohort: DataFrame,
+                     out: str = "id") -> DataFrame:
+    """Distinct ``(*keep, out)`` over rows whose first member candidate is ``out``.
+
+    Rows are first collapsed to distinct ``(*keep, candidates)`` tuples
+    (partial aggregation map-side), so a device seen a million times crosses
+    the joins once.
+    """
+    tuples = df.select(*keep, *[_c(c).alias(f"_c{i}") for i, c in enumerate(candidates)]).distinct()
+    m = match_cohort(tuples, [f"_c{i}" for i in range(len(candidates))], cohort, out=out)
+    return m.filter(F.col(out).isNotNull()).select(*keep, out).distinct()
+
+
 def pv_candidates(strip_udid: bool = False) -> list[Column]:
     """Page-view id priority: device id, udid, auid. ``strip_udid`` drops an
     ``ifa:`` scheme prefix from the udid first."""
@@ -64,8 +87,7 @@ def dsp_candidates() -> list[Column]:
 
 def cohort_ids(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
     """Distinct cohort ids reached by page views (``id``)."""
-    m = match_cohort(time_range(pv, start, end).select("device_id", "ext"), pv_candidates(), cohort)
-    return m.select(F.col("matched_id").alias("id")).filter(F.col("id").isNotNull()).distinct()
+    return distinct_matches(time_range(pv, start, end), [], pv_candidates(), cohort, out="id")
 
 
 def cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
@@ -76,10 +98,8 @@ def cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> Data
 def slot_device_pairs(pv: DataFrame, cohort: DataFrame, strip_udid: bool = False,
                       start=None, end=None) -> DataFrame:
     """Distinct ``(slot_id, device)`` pairs, ``device`` the matched cohort id."""
-    m = match_cohort(time_range(pv, start, end).select("slot_id", "device_id", "ext"),
-                     pv_candidates(strip_udid), cohort, out="device")
-    return (m.filter(F.col("device").isNotNull() & F.col("slot_id").isNotNull())
-            .select("slot_id", "device").distinct())
+    pv = time_range(pv, start, end).filter(F.col("slot_id").isNotNull())
+    return distinct_matches(pv, ["slot_id"], pv_candidates(strip_udid), cohort, out="device")
 
 
 def slot_cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
@@ -108,12 +128,14 @@ def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
     """Reach of two cohorts split by whether the page view is in one of
     ``app_ids``: ``(in_app, n_cohort1, n_cohort2)`` distinct ids (device id
     first, then udid)."""
-    p = time_range(pv, start, end).select("app_id", "device_id", "ext")
-    cands = pv_candidates()[:2]
-    m = match_cohort(p, cands, cohort1, out="id1")
-    m = match_cohort(m, cands, cohort2, out="id2")
     flag = F.coalesce(F.col("app_id").isin(list(app_ids)), F.lit(False))
-    return (m.select(flag.alias("in_app"), "id1", "id2").groupBy("in_app")
+    cands = pv_candidates()[:2]
+    tuples = (time_range(pv, start, end)
+              .select(flag.alias("in_app"), *[c.alias(f"_c{i}") for i, c in enumerate(cands)])
+              .distinct())
+    m = match_cohort(tuples, ["_c0", "_c1"], cohort1, out="id1")
+    m = match_cohort(m, ["_c0", "_c1"], cohort2, out="id2")
+    return (m.groupBy("in_app")
             .agg(F.count_distinct("id1").alias("n_cohort1"),
                  F.count_distinct("id2").alias("n_cohort2")))
 
@@ -129,10 +151,9 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
     """
     feed = time_range(pv_dsp, start, end).filter(F.col("hour") <= max_hour)
     days = feed.select("dt").distinct()
-    m = match_cohort(feed.filter(F.col("synd_id") == synd_id).select("dt", "hour", "ext"),
-                     dsp_candidates(), cohort, out="id")
-    first_seen = (m.filter(F.col("id").isNotNull())
-                  .groupBy("dt", "id").agg(F.min("hour").alias("hour")))
+    m = distinct_matches(feed.filter(F.col("synd_id") == synd_id), ["dt", "hour"],
+                         dsp_candidates(), cohort, out="id")
+    first_seen = m.groupBy("dt", "id").agg(F.min("hour").alias("hour"))
     new = first_seen.groupBy("dt", "hour").agg(F.count("*").alias("n_new"))
     spine = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(max_hour))).alias("hour"))
     w = Window.partitionBy("dt").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)

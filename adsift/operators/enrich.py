@@ -3,8 +3,8 @@
 The page-view side is first reduced to one row per ``bid_id`` (``min_by`` over
 ``(ts, row_id)``, partial-aggregated map-side), then left-joined. The right
 side therefore never multiplies left rows, a hot bid on the right collapses
-before the shuffle, and a hot bid on the left is split by AQE's skew-join
-handling. Spark picks broadcast vs sort-merge from the runtime size of the
+before the shuffle, a hot bid on the left is split by AQE's skew-join
+handling, and NULL bids (which never match) are salted across reducers. Spark picks broadcast vs sort-merge from the runtime size of the
 reduced side (``autoBroadcastJoinThreshold``), so nothing is broadcast blind.
 """
 
@@ -52,9 +52,13 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     if sponsor_id is not None:
         ev = ev.filter(F.col("sponsor_id") == sponsor_id)
     ev = ev.select("bid_id", "ts", "ip", "slot_id", "app_id")
-    first = first_pv_device(time_range(pv, start, end), app_ids)
-    j = ev.join(first, "bid_id", "left")
-    matched = F.coalesce(F.col("_matched"), F.lit(False))
+    # NULL bids can never match; salt their join key so they spread over all
+    # reducers instead of piling onto the one NULL hashes to.
+    salt = F.xxhash64("ts", "ip", "slot_id", "app_id").cast("string")
+    ev = ev.withColumn("_key", F.coalesce(F.col("bid_id"), F.concat(F.lit("\u0000"), salt)))
+    first = first_pv_device(time_range(pv, start, end), app_ids).withColumnRenamed("bid_id", "_pv_bid")
+    j = ev.join(first, F.col("_key") == F.col("_pv_bid"), "left")
+    matched = F.coalesce(F.col("_matched"), F.lit(False)) & F.col("bid_id").isNotNull()
     return j.select(
         iso_millis("ts").alias("ts_iso"),
         F.when(matched, strip_id_prefix("did", ":", 4)).otherwise(F.lit("")).alias("device_id"),

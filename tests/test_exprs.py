@@ -1,0 +1,70 @@
+from pyspark.sql import functions as F
+
+from adsift.functions import (
+    form_complete, iso_millis, java_split, map_get_or_else, map_value, strip_id_prefix, tag_value,
+)
+from adsift.operators.landing import fd_present, slot_matches
+
+
+def one(spark, data, schema, expr):
+    return [r[0] for r in spark.createDataFrame(data, schema).select(expr).collect()]
+
+
+def test_java_split_e7(spark):
+    got = one(spark, [("",), ("a:",), (":a",), ("::",), ("a::b",), (None,)], "s string",
+              java_split("s", ":"))
+    assert got == [[""], ["a"], ["", "a"], [], ["a", "", "b"], None]
+
+
+def test_java_split_multichar_and_regex_meta(spark):
+    got = one(spark, [("a.b..",), ("x=&school=y",)], "s string", java_split("s", "."))
+    assert got == [["a", "b"], ["x=&school=y"]]
+    got = one(spark, [("a=1&school=x",), ("school=",)], "s string", java_split("s", "school="))
+    assert got == [["a=1&", "x"], []]
+
+
+def test_tag_value_e6_last_two_part_match(spark):
+    tags = [(["vendor:a", "vendor:b", "vendor:", "vendor:x:y", "x"],), (None,), ([],)]
+    got = one(spark, tags, "tags array<string>", tag_value("tags", "vendor"))
+    assert got == ["b", "", ""]
+
+
+def test_map_value_defaults_e5(spark):
+    data = [({"mcc": "1"},), ({"mcc": None},), ({},), (None,)]
+    got = one(spark, data, "m map<string,string>", map_value("m", "mcc"))
+    assert got == ["1", "", "", ""]
+    got = one(spark, data, "m map<string,string>", map_get_or_else("m", "mcc", "null"))
+    assert got == ["1", None, "null", "null"]
+
+
+def test_strip_id_prefix_e8(spark):
+    got = one(spark, [("ifa:AB",), ("AB",), ("ab:",), (None,)], "s string", strip_id_prefix("s", ":", 4))
+    assert got == ["AB", "AB", "", None]
+    got = one(spark, [("ifa:AB",), ("x:AB",)], "s string", strip_id_prefix("s", "ifa:", 4))
+    assert got == ["AB", "x:AB"]
+
+
+def test_form_complete_e16(spark):
+    forms = [("a=1&school=x",), ("a=&school=x",), ("school=",), ("school=x",), ("zzz",), (None,)]
+    got = one(spark, forms, "s string", form_complete("s"))
+    assert got == [True, False, False, True, False, False]
+    assert sum(got) == 2
+
+
+def test_slot_suffix_match_e17(spark):
+    got = one(spark, [("780dc",), ("dc",), ("",), ("abc",), (None,)], "slot_id string",
+              F.coalesce(slot_matches("780dc"), F.lit(False)))
+    assert got == [True, True, True, False, False]
+
+
+def test_fd_present_default_and_strict_e14(spark):
+    data = [({},), ({"fd": ""},), ({"fd": "null"},), ({"fd": "x"},)]
+    df = spark.createDataFrame(data, "ext map<string,string>")
+    assert df.filter(fd_present()).count() == 3
+    assert df.filter(fd_present(strict=True)).count() == 1
+
+
+def test_iso_millis(spark):
+    import datetime as dt
+    got = one(spark, [(dt.datetime(2024, 1, 1, 0, 3, 52, 824999),)], "t timestamp", iso_millis("t"))
+    assert got == ["2024-01-01T00:03:52.824Z"]
