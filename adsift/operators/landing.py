@@ -94,3 +94,26 @@ def slot_form_values(land: DataFrame, slot: str = DEFAULT_SLOT, day=None, hour=N
     rows = time_range(land, day, day, None if hour is None else [hour])
     return (rows.filter(F.col("slot_id") == slot)
             .select("dt", "hour", map_get_or_else("ext", "fd", "null").alias("fd")).distinct())
+
+
+def _fmt_avg(c: str) -> Column:
+    # A day/group without counted rows prints NaN, like a float 0/0.
+    return F.when(F.col(c).isNull(), F.lit("NaN")).otherwise(F.format_string("%f", F.col(c)))
+
+
+def landing_daily_text(daily: DataFrame) -> DataFrame:
+    """``YYYY-MM-DD: ht_avg:%f,lt_avg:%f,pt_avg:%f,fd_count:%d`` lines."""
+    line = F.concat(F.date_format("dt", "yyyy-MM-dd"), F.lit(": ht_avg:"), _fmt_avg("ht_avg"),
+                    F.lit(",lt_avg:"), _fmt_avg("lt_avg"), F.lit(",pt_avg:"), _fmt_avg("pt_avg"),
+                    F.lit(",fd_count:"), F.col("fd_count").cast("string"))
+    return daily.select(line.alias("value"))
+
+
+def landing_group_text(groups: DataFrame) -> DataFrame:
+    """``yyyy/MM/dd,sponsor,slot,ht_sum:%d,...,count:%d,ht_avg:%f,...`` lines."""
+    sums = [F.concat(F.lit(f",{m}_sum:"), F.col(f"{m}_sum").cast("string")) for m in _METRICS]
+    avgs = [F.concat(F.lit(f",{m}_avg:"), _fmt_avg(f"{m}_avg")) for m in _METRICS]
+    line = F.concat(F.date_format("dt", "yyyy/MM/dd"), F.lit(","), F.col("sponsor_id").cast("string"),
+                    F.lit(","), F.coalesce(F.col("slot_id"), F.lit("null")), *sums,
+                    F.lit(",count:"), F.col("fd_count").cast("string"), *avgs)
+    return groups.select(line.alias("value"))

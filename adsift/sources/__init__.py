@@ -1,5 +1,6 @@
 """Sources: hourly log feeds, cohort lists, and adapters from the test tables."""
 
 from adsift.sources.feeds import (  # noqa: F401
-    default_run_date, read_cohort, read_feed, read_lines, time_range, with_partitions,
+    cohort_of, default_run_date, hourly_glob, read_cohort, read_feed, read_hourly_layout, read_lines,
+    time_range, with_partitions,
 )

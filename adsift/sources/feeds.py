@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StructType
+
 from adsift import schemas
 
 
@@ -59,6 +61,39 @@ def read_feed(spark: SparkSession, root: str, feed: str, start=None, end=None,
     return time_range(reader.load(f"{root.rstrip('/')}/{feed}"), start, end, hours)
 
 
+def hourly_glob(root: str, feed: str, start, end=None, hours=range(24)) -> str:
+    """One glob over ``<root>/<feed>/hourly/YYYY/MM/DD/HH`` for a day range and
+    a set of hours (a driver-side string of the day list, never data)."""
+    d0 = start if isinstance(start, _dt.date) else _dt.date.fromisoformat(str(start))
+    end = start if end is None else end
+    d1 = end if isinstance(end, _dt.date) else _dt.date.fromisoformat(str(end))
+    days = []
+    while d0 <= d1:
+        days.append(f"{d0:%Y/%m/%d}")
+        d0 += _dt.timedelta(days=1)
+    hh = ",".join(f"{h:02d}" for h in hours)
+    return f"{root.rstrip('/')}/{feed}/hourly/{{{','.join(days)}}}/{{{hh}}}"
+
+
+def read_hourly_layout(spark: SparkSession, root: str, feed: str, start, end=None,
+                       hours=range(24), fmt: str = "avro", schema=None) -> DataFrame:
+    """Scan the hourly directory layout (``.../hourly/YYYY/MM/DD/HH/*``) for a
+    day range and derive ``dt``/``hour`` from each file's path.
+
+    Only the matching hour directories are listed (hours without data are
+    simply absent from the glob's matches).
+    """
+    reader = spark.read.format(fmt)
+    schema = schema or schemas.FEEDS.get(feed)
+    if schema is not None:
+        reader = reader.schema(StructType([f for f in schema.fields if f.name not in ("dt", "hour")]))
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/(\d{4}/\d{2}/\d{2})/(\d{2})/", 1)
+    hour = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/\d{4}/\d{2}/\d{2}/(\d{2})/", 1)
+    df = reader.load(hourly_glob(root, feed, start, end, hours))
+    return (df.withColumn("dt", F.to_date(stamp, "yyyy/MM/dd"))
+            .withColumn("hour", hour.cast("int")))
+
+
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Text files as one ``value`` row per line (bag union of all files)."""
     return spark.read.text(list(paths))
