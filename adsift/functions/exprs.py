@@ -32,7 +32,11 @@ def java_split(s, delim: str) -> Column:
     """
     s = _col(s)
     pat = _lit_regex(delim)
-    stripped = F.regexp_replace(s, f"(?:{pat})+$", "")
+    if len(delim) == 1:
+        # A one-character delimiter: trailing runs are a plain right trim.
+        stripped = F.rtrim(s, F.lit(delim))
+    else:
+        stripped = F.regexp_replace(s, f"(?:{pat})+$", "")
     return (
         F.when(s == "", F.array(F.lit("")))
         .when(stripped == "", F.array().cast("array<string>"))

@@ -9,6 +9,7 @@ collected to the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing
 from adsift.sinks import write_table, write_text
@@ -28,11 +29,11 @@ def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_i
     """Funnel counters as ``(key,(pv,bid,impr,click,charge))`` text; with
     ``per_day`` one ``dt=`` directory per day."""
     pv, bid, impr, click = _feeds(spark, root, start, end or start, fmt, ("pv", "bid", "impr", "click"))
-    dim_cols = _DIMS[dims]()
-    result = funnel.funnel(pv, bid, impr, click, dims=dim_cols, grain=grain, per_day=per_day,
+    per_day = per_day or dims == "version"          # the day is part of the version key
+    result = funnel.funnel(pv, bid, impr, click, dims=_DIMS[dims](), grain=grain, per_day=per_day,
                            slot_id=slot_id)
     key = {"default": ["mcc", "vendor", "nsv", "av"], "abtest": ["abtest", "=", "=", "="],
-           "version": ["av"]}[dims]
+           "version": [F.date_format("dt", "yyyyMMdd"), "=", "=", "av"]}[dims]
     lines = funnel.funnel_text(result, key)
     write_text(lines, out, num_files=num_files, partition_by=["dt"] if per_day else None)
     return result
