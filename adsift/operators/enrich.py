@@ -48,6 +48,14 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     page view both device fields are ``''``; with one, the id loses a 4-char
     scheme prefix when it contains ``:`` and stays NULL if the view had none.
     """
+    first = first_pv_device(time_range(pv, start, end), app_ids)
+    return enrich_with_first(events, first, sponsor_id, start, end)
+
+
+def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
+                      start=None, end=None) -> DataFrame:
+    """``enrich_events`` against an already reduced page-view side
+    (``first_pv_device``), so one reduction can serve several event feeds."""
     ev = time_range(events, start, end)
     if sponsor_id is not None:
         ev = ev.filter(F.col("sponsor_id") == sponsor_id)
@@ -56,7 +64,7 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     # reducers instead of piling onto the one NULL hashes to.
     salt = F.xxhash64("ts", "ip", "slot_id", "app_id").cast("string")
     ev = ev.withColumn("_key", F.coalesce(F.col("bid_id"), F.concat(F.lit("\u0000"), salt)))
-    first = first_pv_device(time_range(pv, start, end), app_ids).withColumnRenamed("bid_id", "_pv_bid")
+    first = first.withColumnRenamed("bid_id", "_pv_bid")
     j = ev.join(first, F.col("_key") == F.col("_pv_bid"), "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False)) & F.col("bid_id").isNotNull()
     return j.select(
@@ -73,4 +81,4 @@ def enrich_text(enriched: DataFrame) -> DataFrame:
     return enriched.select(F.concat_ws(";", *[to_text(c) for c in cols], F.lit("")).alias("value"))
 
 
-__all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_text"]
+__all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_with_first", "enrich_text"]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing
+from adsift.session import cut_lineage
 from adsift.sinks import write_table, write_text
 from adsift.sources import default_run_date, read_cohort, read_feed
 from adsift.streaming import file_line_stream, socket_line_stream, word_count_stream
@@ -48,8 +49,11 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
     reduced once and joined to both feeds."""
     day = run_date or default_run_date()
     pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"))
+    # Reduce the page views once, checkpointed in the shared folder (also cuts
+    # lineage, so a lost executor does not re-scan the page views).
+    first = cut_lineage(enrich.first_pv_device(pv, app_ids))
     for name, events in (("impr", impr), ("click", click)):
-        rows = enrich.enrich_events(events, pv, sponsor_id=sponsor_id, app_ids=app_ids)
+        rows = enrich.enrich_with_first(events, first, sponsor_id=sponsor_id)
         write_text(enrich.enrich_text(rows), f"{out.rstrip('/')}/{day}_{name}", num_files=num_files)
 
 
