@@ -49,3 +49,20 @@ def test_null_bid_never_matches(spark):
 def test_empty_pv(spark):
     imp = feed(spark, "impr", [impr_row("b")])
     assert enrich_events(imp, empty(spark, "pv")).collect()[0].device_id == ""
+
+
+def test_enrich_partition_invariance_and_sort_merge(spark):
+    from adsift.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    imp, pv = td.impr(spark, sf), td.pv(spark, sf)
+    a = sorted(map(tuple, enrich_events(imp, pv, sponsor_id=None, app_ids=None).collect()))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = enrich_events(imp.repartition(5), pv.repartition(3), sponsor_id=None, app_ids=None)
+        b = sorted(map(tuple, df.collect()))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a == b
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan

@@ -100,3 +100,27 @@ def test_plan_two_shuffles_no_python(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BatchEvalPython" not in plan
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+
+
+def test_filters_reach_partitioned_scan(spark):
+    from adsift.session import scratch_path
+    from adsift.sinks import write_table
+    from adsift.sources import read_feed
+    from adsift.sources import testdata as td
+
+    root = scratch_path(spark, "plan-feeds")
+    for name, fn in (("pv", td.pv), ("bid", td.bid), ("impr", td.impr), ("click", td.click)):
+        write_table(fn(spark, SF), f"{root}/{name}", partition_by=["dt"])
+    feeds = [read_feed(spark, root, n) for n in ("pv", "bid", "impr", "click")]
+    out = funnel(*feeds, slot_id="1", start="2024-01-02", end="2024-01-04")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.split("\n") if "FileScan parquet" in ln]
+    assert len(scans) == 4
+    for ln in scans:
+        assert "PartitionFilters: [isnotnull(dt" in ln
+        assert "EqualTo(slot_id,1)" in ln
+    assert "tags" not in scans[1] and "dims" not in scans[1]     # non-pv scans are pruned
+    want = funnel(*[f.filter("dt between '2024-01-02' and '2024-01-04' and slot_id = '1'")
+                    for f in _feeds(spark, SF)])
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
