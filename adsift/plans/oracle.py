@@ -119,6 +119,11 @@ def _funnel_abtest_text() -> str:
     return f"SELECT {FUNNEL_LINE.format(key=key)} AS value, dt FROM ({_funnel(ABTEST_DIMS, per_day=True)})"
 
 
+def _funnel_version_text() -> str:
+    key = "CASE WHEN attributed THEN strftime(dt, '%Y%m%d') || ',,,' || av ELSE '' END"
+    return f"SELECT {FUNNEL_LINE.format(key=key)} AS value, dt FROM ({_funnel(VERSION_DIMS, per_day=True)})"
+
+
 # ---- enrichment ----------------------------------------------------------
 def _enrich(left: str) -> str:
     return f"""WITH {PV}, {IMPR}, {CLICK},
@@ -131,10 +136,10 @@ def _enrich(left: str) -> str:
     FROM {left} e LEFT JOIN firstpv f ON e.bid_id = f.bid_id"""
 
 
-def _enrich_text() -> str:
+def _enrich_text(left: str = "impr") -> str:
     cols = ["ts_iso", "device_id", "device_name", "ip", "slot_id", "app_id"]
     body = " || ';' || ".join(f"coalesce({c}, 'null')" for c in cols)
-    return f"SELECT {body} || ';' AS value FROM ({_enrich('impr')})"
+    return f"SELECT {body} || ';' AS value FROM ({_enrich(left)})"
 
 
 # ---- cohorts -------------------------------------------------------------
@@ -204,6 +209,25 @@ LANDING_GROUP_AVG = f"""WITH {LAND}
 SELECT dt, sponsor_id, slot_id, ht_sum, lt_sum, pt_sum, fd_count, {_AVGS}
 FROM (SELECT dt, sponsor_id, slot_id, {_SUMS} FROM land GROUP BY dt, sponsor_id, slot_id)"""
 
+LANDING_DAILY_STRICT = LANDING_DAILY_AVG.replace(
+    "l_returnflag <> 'N' AS has_fd",
+    "l_returnflag <> 'N' AND l_returnflag IS NOT NULL AND l_returnflag NOT IN ('', 'null', 'None') AS has_fd")
+
+
+def _f(c: str) -> str:
+    """Java ``%f``: six decimals rounded half-up (C ``printf`` rounds ties to even)."""
+    six = f"CAST(round(CAST({c} AS DECIMAL(38,10)), 6) AS DECIMAL(38,6))"
+    return f"CASE WHEN {c} IS NULL THEN 'NaN' ELSE CAST({six} AS VARCHAR) END"
+
+
+LANDING_DAILY_TEXT = f"""SELECT strftime(dt, '%Y-%m-%d') || ': ht_avg:' || {_f('ht_avg')} || ',lt_avg:' || {_f('lt_avg')}
+    || ',pt_avg:' || {_f('pt_avg')} || ',fd_count:' || fd_count AS value FROM ({LANDING_DAILY_AVG})"""
+
+LANDING_GROUP_TEXT = f"""SELECT strftime(dt, '%Y/%m/%d') || ',' || sponsor_id || ',' || coalesce(slot_id, 'null')
+    || ',ht_sum:' || ht_sum || ',lt_sum:' || lt_sum || ',pt_sum:' || pt_sum || ',count:' || fd_count
+    || ',ht_avg:' || {_f('ht_avg')} || ',lt_avg:' || {_f('lt_avg')} || ',pt_avg:' || {_f('pt_avg')} AS value
+    FROM ({LANDING_GROUP_AVG})"""
+
 LANDING_FORM_DUPS = f"""WITH {LAND}
 SELECT dt, CASE WHEN has_fd THEN fd ELSE 'null' END AS fd, count(*) AS n_rows
 FROM land WHERE suffix('F', slot_id) GROUP BY ALL HAVING count(*) > 1"""
@@ -238,9 +262,11 @@ ORACLE: dict[str, str] = {
     "funnel_version_daily": _funnel(VERSION_DIMS, per_day=True),
     "funnel_text": _funnel_text(),
     "funnel_abtest_daily_text": _funnel_abtest_text(),
+    "funnel_version_daily_text": _funnel_version_text(),
     "impression_enrich": _enrich("impr"),
     "click_enrich": _enrich("click"),
-    "impression_enrich_text": _enrich_text(),
+    "impression_enrich_text": _enrich_text("impr"),
+    "click_enrich_text": _enrich_text("click"),
     "slot_cohort_reach": SLOT_COHORT_REACH,
     "click_device_times": CLICK_DEVICE_TIMES,
     "sponsor_click_devices": SPONSOR_CLICK_DEVICES,
@@ -252,6 +278,9 @@ ORACLE: dict[str, str] = {
     "slot_device_counts": SLOT_DEVICE_COUNTS,
     "landing_daily_avg": LANDING_DAILY_AVG,
     "landing_group_avg": LANDING_GROUP_AVG,
+    "landing_daily_strict": LANDING_DAILY_STRICT,
+    "landing_daily_text": LANDING_DAILY_TEXT,
+    "landing_group_text": LANDING_GROUP_TEXT,
     "landing_form_dups": LANDING_FORM_DUPS,
     "landing_form_buckets": LANDING_FORM_BUCKETS,
     "landing_form_quality": LANDING_FORM_QUALITY,

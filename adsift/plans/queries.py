@@ -57,6 +57,13 @@ def funnel_abtest_daily_text(spark, sf):
     return spark.read.text(path)
 
 
+def funnel_version_daily_text(spark, sf):
+    key = [F.date_format("dt", "yyyyMMdd"), "=", "=", "av"]
+    lines = funnel.funnel_text(funnel_version_daily(spark, sf), key)
+    path = write_text(lines, scratch_path(spark, "version"), partition_by=["dt"])
+    return spark.read.text(path)
+
+
 def impression_enrich(spark, sf):
     return enrich.enrich_events(td.impr(spark, sf), td.pv(spark, sf), sponsor_id=None, app_ids=None)
 
@@ -70,6 +77,11 @@ def impression_enrich_text(spark, sf):
     return read_lines(spark, write_text(lines, scratch_path(spark, "impr")))
 
 
+def click_enrich_text(spark, sf):
+    lines = enrich.enrich_text(click_enrich(spark, sf))
+    return read_lines(spark, write_text(lines, scratch_path(spark, "click")))
+
+
 def _both_cohorts(spark, sf):
     c1, c2 = td.cohorts(spark, sf)
     return c1.unionByName(c2).distinct()
@@ -120,6 +132,19 @@ def landing_daily_avg(spark, sf):
     return landing.landing_daily_avg(td.land_page(spark, sf))
 
 
+def landing_daily_strict(spark, sf):
+    return landing.landing_daily_avg(td.land_page(spark, sf), strict=True)
+
+
+def landing_daily_text(spark, sf):
+    lines = landing.landing_daily_text(landing_daily_avg(spark, sf))
+    return read_lines(spark, write_text(lines, scratch_path(spark, "landing")))
+
+
+def landing_group_text(spark, sf):
+    return landing.landing_group_text(landing_group_avg(spark, sf))
+
+
 def landing_group_avg(spark, sf):
     return landing.landing_group_avg(td.land_page(spark, sf))
 
@@ -204,9 +229,11 @@ QUERIES: dict[str, Query] = {
     "funnel_version_daily": funnel_version_daily,
     "funnel_text": funnel_text,
     "funnel_abtest_daily_text": funnel_abtest_daily_text,
+    "funnel_version_daily_text": funnel_version_daily_text,
     "impression_enrich": impression_enrich,
     "click_enrich": click_enrich,
     "impression_enrich_text": impression_enrich_text,
+    "click_enrich_text": click_enrich_text,
     "slot_cohort_reach": slot_cohort_reach,
     "click_device_times": click_device_times,
     "sponsor_click_devices": sponsor_click_devices,
@@ -218,6 +245,9 @@ QUERIES: dict[str, Query] = {
     "slot_device_counts": slot_device_counts,
     "landing_daily_avg": landing_daily_avg,
     "landing_group_avg": landing_group_avg,
+    "landing_daily_strict": landing_daily_strict,
+    "landing_daily_text": landing_daily_text,
+    "landing_group_text": landing_group_text,
     "landing_form_dups": landing_form_dups,
     "landing_form_buckets": landing_form_buckets,
     "landing_form_quality": landing_form_quality,
