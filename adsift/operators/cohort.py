@@ -4,11 +4,14 @@ DEVICEID).
 
 Membership is one left join per candidate against the de-duplicated cohort,
 so a row is never multiplied and keeps its identity; the first candidate that
-is a member wins. Spark sizes the cohort at run time: a small list becomes a
-broadcast hash join, a large one a sort-merge join (a NULL or hot candidate
-on the feed side is split by AQE's skew-join handling). Every result is a
-DataFrame; there is no driver-side set, accumulator or per-partition state, so
-results do not depend on partitioning.
+is a member wins. Set-valued results first collapse rows to distinct candidate
+tuples (partial aggregation), so a device repeated a million times is joined
+once. Spark sizes the cohort at run time: a small list becomes a broadcast
+hash join, a large one a sort-merge join; NULL/empty candidates get a salted,
+never-matching key so they spread over all reducers, and a hot member id is
+split by AQE's skew-join handling. Every result is a DataFrame; there is no
+driver-side set, accumulator or per-partition state, so results do not depend
+on partitioning.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Each micro-batch is counted on its own (no running state): ``foreachBatch``
 groups the batch's words and writes ``<out>/batch_id=N`` in overwrite mode, so
 a batch replayed after a failure rewrites the same directory (idempotent).
-Progress is checkpointed in the shared folder.
+Progress is checkpointed at ``checkpoint_path`` (a path in the shared folder).
 """
 
 from __future__ import annotations
