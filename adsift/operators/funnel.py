@@ -82,7 +82,8 @@ def funnel(pv: DataFrame, bid: DataFrame, impr: DataFrame, click: DataFrame,
                    for kind, df in (("bid", bid), ("impr", impr), ("click", click))]
     stacked = reduce(DataFrame.unionByName, parts)
 
-    per_bid = stacked.groupBy(*grain_cols, "bid_id").agg(
+    # bid_id first: the sort aggregate then sorts on a discriminating prefix.
+    per_bid = stacked.groupBy("bid_id", *grain_cols).agg(
         F.max_by("k", "o").alias("k"),
         *[F.sum(c).alias(c) for c in COUNTERS],
     )
