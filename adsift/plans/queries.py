@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from adsift.operators import clicks, cohort, enrich, funnel, landing, relation
 from adsift.session import scratch_path
 from adsift.sinks import write_text
-from adsift.sources import read_cohort, read_lines
+from adsift.sources import read_cohort, read_lines, union_cohorts
 from adsift.sources import testdata as td
 from adsift.streaming import read_batches, word_count_stream
 
@@ -83,8 +83,7 @@ def click_enrich_text(spark, sf):
 
 
 def _both_cohorts(spark, sf):
-    c1, c2 = td.cohorts(spark, sf)
-    return c1.unionByName(c2).distinct()
+    return union_cohorts(*td.cohorts(spark, sf))
 
 
 def slot_cohort_reach(spark, sf):

@@ -108,6 +108,14 @@ def read_cohort(spark: SparkSession, *paths: str) -> DataFrame:
     return cohort_of(read_lines(spark, *paths).select(F.col("value").alias("id")))
 
 
+def union_cohorts(*cohorts: DataFrame) -> DataFrame:
+    """Set union of device lists (each a one-column ``id`` frame)."""
+    out = cohorts[0].select("id")
+    for c in cohorts[1:]:
+        out = out.unionByName(c.select("id"))
+    return cohort_of(out)
+
+
 def cohort_of(ids: DataFrame, col: str = "id") -> DataFrame:
     """Normalise any one-column id frame into a cohort (non-empty, distinct)."""
     return (ids.select(F.col(col).cast("string").alias("id"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adsift.sources.feeds import cohort_of, with_partitions
+from adsift.sources.feeds import with_partitions
 
 # Slot ids used by the landing-page jobs, and a suffix of the first.
 FORM_SLOTS = ("780dc5048214ef5f0c94f366d2554d40", "4d40", "b65143e622ec5936e38a47ed365e2384")
@@ -125,10 +125,10 @@ def form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cohorts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two device lists: customer keys of two market segments."""
+    """Two raw device lists (``id``): customer keys of two market segments."""
     cu = table(spark, sf_dir, "customer")
     seg = F.col("c_mktsegment")
-    ids = lambda s: cohort_of(cu.filter(seg == s).select(F.col("c_custkey").alias("id")))
+    ids = lambda s: cu.filter(seg == s).select(F.col("c_custkey").cast("string").alias("id"))
     return ids("BUILDING"), ids("MACHINERY")
 
 
