@@ -50,7 +50,7 @@ def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
     base = df.columns
     cands = [f"_cand{i}" for i in range(len(candidates))]
     cur = df.select(*base, *[F.when(_c(c) != "", _c(c)).alias(n) for c, n in zip(candidates, cands)])
-    hashable = [f.name for f in cur.schema.fields if f.dataType.typeName() != "map"]
+    hashable = [f.name for f in cur.schema.fields if "map<" not in f.dataType.simpleString()]
     cur = cur.withColumn("_salt", F.xxhash64(*hashable))
     picks = []
     for i, k in enumerate(cands):
