@@ -52,13 +52,16 @@ def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
     cur = df.select(*base, *[F.when(_c(c) != "", _c(c)).alias(n) for c, n in zip(candidates, cands)])
     hashable = [f.name for f in cur.schema.fields if "map<" not in f.dataType.simpleString()]
     cur = cur.withColumn("_salt", F.xxhash64(*hashable))
+    # The same member frame (same column names) is joined once per candidate,
+    # so Spark builds/broadcasts the cohort once and reuses that exchange.
+    member = ids.select(F.col("id").alias("_member_id"))
     picks = []
     for i, k in enumerate(cands):
-        key, hit = f"_key{i}", f"_hit{i}"
-        member = ids.select(F.col("id").alias(f"_id{i}"), F.lit(True).alias(hit))
-        cur = cur.withColumn(key, _spread_key(F.col(k), F.col("_salt")))
-        cur = cur.join(member, cur[key] == member[f"_id{i}"], "left")
-        picks.append(F.when(F.col(hit) & F.col(k).isNotNull(), F.col(k)))
+        cur = (cur.withColumn("_key", _spread_key(F.col(k), F.col("_salt")))
+               .join(member, F.col("_key") == F.col("_member_id"), "left")
+               .withColumn(f"_hit{i}", F.col("_member_id").isNotNull() & F.col(k).isNotNull())
+               .drop("_key", "_member_id"))
+        picks.append(F.when(F.col(f"_hit{i}"), F.col(k)))
     return cur.select(*base, F.coalesce(*picks).alias(out))
 
 
