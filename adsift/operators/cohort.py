@@ -54,12 +54,17 @@ def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
     cur = cur.withColumn("_salt", F.xxhash64(*hashable))
     # The same member frame (same column names) is joined once per candidate,
     # so Spark builds/broadcasts the cohort once and reuses that exchange.
+    # Rows already matched by an earlier candidate probe with the salted key
+    # too, so a hot id that matched first is not hot again in later joins.
     member = ids.select(F.col("id").alias("_member_id"))
+    cur = cur.withColumn("_done", F.lit(False))
     picks = []
     for i, k in enumerate(cands):
-        cur = (cur.withColumn("_key", _spread_key(F.col(k), F.col("_salt")))
+        probe = F.col(k).isNotNull() & ~F.col("_done")
+        cur = (cur.withColumn("_key", _spread_key(F.when(probe, F.col(k)), F.col("_salt")))
                .join(member, F.col("_key") == F.col("_member_id"), "left")
-               .withColumn(f"_hit{i}", F.col("_member_id").isNotNull() & F.col(k).isNotNull())
+               .withColumn(f"_hit{i}", F.col("_member_id").isNotNull() & probe)
+               .withColumn("_done", F.col("_done") | F.col(f"_hit{i}"))
                .drop("_key", "_member_id"))
         picks.append(F.when(F.col(f"_hit{i}"), F.col(k)))
     return cur.select(*base, F.coalesce(*picks).alias(out))

@@ -99,3 +99,17 @@ def test_running_total_equals_distinct(spark):
     direct = (co.distinct_matches(dsp.filter("synd_id = 112"), ["dt"], co.dsp_candidates(), c)
               .groupBy("dt").agg(F.count("*").alias("t")))
     assert sorted(map(tuple, last.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_null_candidates_spread_over_partitions(spark):
+    """A third of the rows have no candidate id: their salted join keys must not
+    pile onto one reducer (plain NULL keys would all hash to one partition)."""
+    rows = [(None if i % 3 == 0 else f"id{i % 50}", f"s{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "cand string, other string").distinct()
+    salted = df.withColumn("_key", co._spread_key(F.col("cand"), F.xxhash64("cand", "other")))
+    sizes = [r["n"] for r in salted.repartition(8, "_key")
+             .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / 8
+    plain = [r["n"] for r in df.repartition(8, "cand")
+             .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(plain) >= 2000          # what the salt avoids
