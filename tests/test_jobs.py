@@ -71,3 +71,8 @@ def test_hourly_layout(spark):
     want = pv.filter(F.struct("dt", "hour").isin([F.struct(F.lit(d).cast("date"), F.lit(h)) for d, h in hrs]))
     assert sorted(map(tuple, got.select("row_id", "dt", "hour").collect())) == \
         sorted(map(tuple, want.select("row_id", "dt", "hour").collect()))
+
+
+def test_hourly_layout_without_data_is_empty(spark):
+    df = read_hourly_layout(spark, scratch_path(spark, "nothing"), "pv", "2024-02-01", "2024-02-02", fmt="parquet")
+    assert df.count() == 0 and "dt" in df.columns and "hour" in df.columns
