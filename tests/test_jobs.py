@@ -76,3 +76,36 @@ def test_hourly_layout(spark):
 def test_hourly_layout_without_data_is_empty(spark):
     df = read_hourly_layout(spark, scratch_path(spark, "nothing"), "pv", "2024-02-01", "2024-02-02", fmt="parquet")
     assert df.count() == 0 and "dt" in df.columns and "hour" in df.columns
+
+
+def test_cli_cohort_and_click_jobs(spark, root):
+    from adsift.__main__ import main
+    from adsift.operators import clicks, cohort
+    from adsift.sinks import write_text
+
+    c_path = write_text(td.cohort_lines(spark, SF, "BUILDING"), scratch_path(spark, "cli-cohort"))
+    out = scratch_path(spark, "cli-reach")
+    main(["cohort-reach", "--root", root, "--out", out, "--start", "2024-01-01", "--end", "2024-01-31",
+          "--cohort", c_path])
+    want = cohort.cohort_ids(td.pv(spark, SF), td.cohorts(spark, SF)[0])
+    assert sorted(r.value for r in read_lines(spark, out).collect()) == sorted(r.id for r in want.collect())
+
+    out = scratch_path(spark, "cli-clicks")
+    main(["click-devices", "--root", root, "--out", out, "--start", "2024-01-01", "--end", "2024-01-31",
+          "--sponsor", "1", "--num-files", "1"])
+    want = clicks.sponsor_click_devices(td.click(spark, SF), 1)
+    assert sorted(r.value for r in read_lines(spark, out).collect()) == sorted(r.value for r in want.collect())
+
+
+def test_word_count_job_file_source(spark):
+    import os
+    inbox = scratch_path(spark, "wc-inbox").replace("file:", "")
+    os.makedirs(inbox)
+    with open(os.path.join(inbox, "a.txt"), "w") as f:
+        f.write("x y  x\nz\n")
+    out, ckpt = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
+    q = jobs.word_count_job(spark, out, ckpt, path=inbox, trigger={"availableNow": True})
+    q.awaitTermination(120)
+    from adsift.streaming import read_batches
+    got = sorted((r.word, r.n) for r in read_batches(spark, out).collect())
+    assert got == [("", 1), ("x", 2), ("y", 1), ("z", 1)]
