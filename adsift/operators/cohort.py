@@ -160,8 +160,9 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
     per-day hour spine generated with ``sequence`` (no join fan-out), and the
     running total is a window sum over at most ``max_hour + 1`` rows per day.
     """
-    feed = time_range(pv_dsp, start, end).filter(F.col("hour") <= max_hour)
-    days = feed.select("dt").distinct()
+    scoped = time_range(pv_dsp, start, end)
+    days = scoped.select("dt").distinct()          # every day read gets its 0..max_hour rows
+    feed = scoped.filter(F.col("hour") <= max_hour)
     m = distinct_matches(feed.filter(F.col("synd_id") == synd_id), ["dt", "hour"],
                          dsp_candidates(), cohort, out="id")
     first_seen = m.groupBy("dt", "id").agg(F.min("hour").alias("hour"))

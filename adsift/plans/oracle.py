@@ -183,7 +183,7 @@ feed AS (SELECT * FROM dsp WHERE hour <= 17),
 m AS (SELECT dt, hour, {_pick(["idfa", "deviceid"])} AS id FROM feed WHERE synd_id = 112),
 firstseen AS (SELECT dt, id, min(hour) AS hour FROM m WHERE id IS NOT NULL GROUP BY dt, id),
 new AS (SELECT dt, hour, count(*) AS n FROM firstseen GROUP BY dt, hour),
-spine AS (SELECT d.dt, CAST(h.range AS INTEGER) AS hour FROM (SELECT DISTINCT dt FROM feed) d, range(0, 18) h)
+spine AS (SELECT d.dt, CAST(h.range AS INTEGER) AS hour FROM (SELECT DISTINCT dt FROM dsp) d, range(0, 18) h)
 SELECT s.dt, s.hour, CAST(coalesce(n.n, 0) AS BIGINT) AS n_new,
        CAST(sum(coalesce(n.n, 0)) OVER (PARTITION BY s.dt ORDER BY s.hour) AS BIGINT) AS n_total
 FROM spine s LEFT JOIN new n ON s.dt = n.dt AND s.hour = n.hour"""

@@ -113,3 +113,9 @@ def test_null_candidates_spread_over_partitions(spark):
     plain = [r["n"] for r in df.repartition(8, "cand")
              .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
     assert max(plain) >= 2000          # what the salt avoids
+
+
+def test_new_by_hour_day_without_early_hours(spark):
+    rows = [{"ts": ts(60 * 20 - 600), "row_id": 1, "synd_id": 112, "ext": {"IDFA": "a"}}]   # 20:00 only
+    out = co.dsp_new_by_hour(feed(spark, "pv_dsp", rows), ids(spark, "a"), max_hour=2).collect()
+    assert sorted((r.hour, r.n_new, r.n_total) for r in out) == [(0, 0, 0), (1, 0, 0), (2, 0, 0)]
