@@ -61,6 +61,13 @@ def map_get_or_else(m, key: str, default: str) -> Column:
 def tag_value(tags, key: str, sep: str = ":") -> Column:
     """Value of the **last** ``key:value`` tag that splits into exactly two
     parts; ``''`` when none does (or the array is NULL)."""
+    if len(sep) == 1:
+        # Java's split gives exactly [key, v] iff the tag is key, sep, a
+        # non-empty run without sep, then only (dropped) trailing seps.
+        k, d = _lit_regex(key), _lit_regex(sep)
+        hits = F.filter(_col(tags), lambda t: t.rlike(f"^{k}{d}[^{d}]+{d}*\\z"))
+        last = F.try_element_at(hits, F.lit(-1))
+        return F.coalesce(F.regexp_extract(last, f"^{k}{d}([^{d}]+)", 1), F.lit(""))
     parts = F.transform(_col(tags), lambda t: java_split(t, sep))
     hits = F.filter(parts, lambda p: (F.size(p) == 2) & (F.try_element_at(p, F.lit(1)) == key))
     return F.coalesce(F.try_element_at(F.try_element_at(hits, F.lit(-1)), F.lit(2)), F.lit(""))

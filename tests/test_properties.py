@@ -54,7 +54,9 @@ def test_form_complete_model(spark):
 
 def test_tag_value_model(spark):
     rnd = random.Random(4)
-    atoms = ["vendor:a", "vendor:b", "vendor:", "vendor:x:y", ":vendor", "vendor", "abtest:1", "x", ""]
+    atoms = ["vendor:a", "vendor:b", "vendor:", "vendor:x:y", ":vendor", "vendor", "abtest:1", "x", "",
+             "vendor:c:", "vendor:d::", "vendor::e", "vendor:f\n", "vendor:g:\n", "vendorx:h", "vendor:i j",
+             "vendor:k\n:", ":", "::", None]
     arrays = [[rnd.choice(atoms) for _ in range(rnd.randint(0, 5))] for _ in range(800)] + [None]
     df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "i int, tags array<string>")
     got = [r[0] for r in df.orderBy("i").select(tag_value("tags", "vendor")).collect()]
@@ -62,7 +64,7 @@ def test_tag_value_model(spark):
     def model(tags):
         val = ""
         for t in tags or []:
-            p = java_split_model(t, ":")
+            p = java_split_model(t, ":") or []
             if len(p) == 2 and p[0] == "vendor":
                 val = p[1]
         return val
