@@ -35,7 +35,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written tables: ``spark.checkpoint.dir`` if set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return (configured or tempfile.mkdtemp(prefix="adsift-ckpt-")).rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if sc.getCheckpointDir() is None:
