@@ -228,9 +228,10 @@ LANDING_GROUP_TEXT = f"""SELECT strftime(dt, '%Y/%m/%d') || ',' || sponsor_id ||
     || ',ht_avg:' || {_f('ht_avg')} || ',lt_avg:' || {_f('lt_avg')} || ',pt_avg:' || {_f('pt_avg')} AS value
     FROM ({LANDING_GROUP_AVG})"""
 
-LANDING_FORM_DUPS = f"""WITH {LAND}
+LANDING_FORM_COUNTS = f"""WITH {LAND}
 SELECT dt, CASE WHEN has_fd THEN fd ELSE 'null' END AS fd, count(*) AS n_rows
-FROM land WHERE suffix('F', slot_id) GROUP BY ALL HAVING count(*) > 1"""
+FROM land WHERE suffix('F', slot_id) GROUP BY ALL"""
+LANDING_FORM_DUPS = f"SELECT * FROM ({LANDING_FORM_COUNTS}) WHERE n_rows > 1"
 
 _BUCKETS = f"""WITH {FORM}
 SELECT dt, CASE WHEN suffix('780dc5048214ef5f0c94f366d2554d40', slot_id) THEN fd ELSE 'else' END AS bucket,
@@ -281,6 +282,7 @@ ORACLE: dict[str, str] = {
     "landing_daily_strict": LANDING_DAILY_STRICT,
     "landing_daily_text": LANDING_DAILY_TEXT,
     "landing_group_text": LANDING_GROUP_TEXT,
+    "landing_form_counts": LANDING_FORM_COUNTS,
     "landing_form_dups": LANDING_FORM_DUPS,
     "landing_form_buckets": LANDING_FORM_BUCKETS,
     "landing_form_quality": LANDING_FORM_QUALITY,

@@ -148,6 +148,10 @@ def landing_group_avg(spark, sf):
     return landing.landing_group_avg(td.land_page(spark, sf))
 
 
+def landing_form_counts(spark, sf):
+    return landing.landing_form_counts(td.land_page(spark, sf), slot=FIXTURE_LAND_SLOT)
+
+
 def landing_form_dups(spark, sf):
     return landing.landing_form_dups(td.land_page(spark, sf), slot=FIXTURE_LAND_SLOT)
 
@@ -247,6 +251,7 @@ QUERIES: dict[str, Query] = {
     "landing_daily_strict": landing_daily_strict,
     "landing_daily_text": landing_daily_text,
     "landing_group_text": landing_group_text,
+    "landing_form_counts": landing_form_counts,
     "landing_form_dups": landing_form_dups,
     "landing_form_buckets": landing_form_buckets,
     "landing_form_quality": landing_form_quality,
