@@ -215,11 +215,8 @@ def episodes_take(spark, sf):
 
 def stream_word_count(spark, sf):
     """Documents arrive as a parquet stream; each batch's lines are counted."""
-    docs = (spark.readStream.schema("doc_id bigint, text string, lang string, source string, n_chars bigint")
-            .option("pathGlobFilter", "documents.parquet").parquet(sf))
-    lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
     out, ckpt = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
-    q = word_count_stream(lines, out, ckpt, trigger={"availableNow": True})
+    q = word_count_stream(td.line_stream(spark, sf), out, ckpt, trigger={"availableNow": True})
     q.awaitTermination(600)
     q.stop()
     return read_batches(spark, out)

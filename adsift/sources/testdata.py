@@ -145,6 +145,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
 
 
+def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a streaming source of text lines (``value``): the
+    parquet file is picked up by the file source, its texts split on ``\\n``."""
+    docs = (spark.readStream
+            .schema("doc_id bigint, text string, lang string, source string, n_chars bigint")
+            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
+    return docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(key int, value 'val_<key>')`` rows, one per part."""
     p = table(spark, sf_dir, "part")
