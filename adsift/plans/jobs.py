@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing
-from adsift.session import cut_lineage
+from adsift.session import cut_lineage, size_shuffle
 from adsift.sinks import write_table, write_text
 from adsift.sources import default_run_date, read_cohort, read_feed
 from adsift.streaming import file_line_stream, socket_line_stream, word_count_stream
@@ -21,9 +21,21 @@ _DIMS = {"default": funnel.default_dims, "abtest": funnel.abtest_dims, "version"
 
 
 def _feeds(spark, root, start, end, fmt, names):
+    size_shuffle(spark, [_feed_glob(root, n, start, end) for n in names])
     return [read_feed(spark, root, n, start, end, fmt=fmt) for n in names]
 
 
+def _feed_glob(root: str, feed: str, start, end) -> str:
+    """The ``dt=`` partition directories of a feed for a day range."""
+    import datetime as _dt
+    if start is None:
+        return f"{root.rstrip('/')}/{feed}"
+    d0 = _dt.date.fromisoformat(str(start))
+    d1 = _dt.date.fromisoformat(str(end or start))
+    days = [str(d0 + _dt.timedelta(days=i)) for i in range((d1 - d0).days + 1)]
+    return f"{root.rstrip('/')}/{feed}/dt={{{','.join(days)}}}"
+
+
 def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_id=None,
                dims: str = "default", grain: str = "hour", per_day: bool = False,
                fmt: str = "parquet", num_files: int | None = None) -> DataFrame:
@@ -61,7 +73,7 @@ def click_devices_job(spark: SparkSession, root: str, out: str, start, end=None,
                       sponsor_id=clicks.DEFAULT_SPONSOR_ID, fmt: str = "parquet",
                       num_files: int | None = None) -> DataFrame:
     """Distinct ``"<ms> <device>"`` lines of one sponsor's clicks."""
-    click = read_feed(spark, root, "click", start, end or start, fmt=fmt)
+    (click,) = _feeds(spark, root, start, end or start, fmt, ("click",))
     lines = clicks.sponsor_click_devices(click, sponsor_id)
     write_text(lines, out, num_files=num_files)
     return lines
@@ -70,7 +82,7 @@ def click_devices_job(spark: SparkSession, root: str, out: str, start, end=None,
 def cohort_reach_job(spark: SparkSession, root: str, cohort_paths: list[str], out: str, start,
                      end=None, fmt: str = "parquet", num_files: int | None = None) -> DataFrame:
     """Distinct cohort ids reached by page views, one per line."""
-    pv = read_feed(spark, root, "pv", start, end or start, fmt=fmt)
+    (pv,) = _feeds(spark, root, start, end or start, fmt, ("pv",))
     ids = cohort.cohort_ids(pv, read_cohort(spark, *cohort_paths))
     write_text(ids.withColumnRenamed("id", "value"), out, num_files=num_files)
     return ids
@@ -79,7 +91,7 @@ def cohort_reach_job(spark: SparkSession, root: str, cohort_paths: list[str], ou
 def landing_report_job(spark: SparkSession, root: str, out: str, start, end=None,
                        strict: bool = False, fmt: str = "parquet") -> None:
     """Daily and per-(day, sponsor, slot) landing metrics as text and parquet."""
-    land = read_feed(spark, root, "land_page", start, end or start, fmt=fmt)
+    (land,) = _feeds(spark, root, start, end or start, fmt, ("land_page",))
     daily = landing.landing_daily_avg(land, strict=strict)
     groups = landing.landing_group_avg(land, strict=strict)
     write_text(landing.landing_daily_text(daily), f"{out}/daily_text")

@@ -62,3 +62,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total bytes under ``paths`` (globs allowed), from file-system metadata."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        for st in fs.globStatus(hp) or []:
+            total += fs.getContentSummary(st.getPath()).getLength()
+    return total
+
+
+def size_shuffle(spark: SparkSession, paths: list[str],
+                 bytes_per_partition: int = 256 * 1024 * 1024) -> int:
+    """Raise the initial shuffle partition count to ~``bytes_per_partition``
+    of input per partition, so large inputs do not spill into a few huge
+    partitions. AQE then coalesces small ones down. Only applies where the
+    cluster has not set ``initialPartitionNum``; never lowers a setting.
+    Returns the initial partition count in effect."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        if spark.sparkContext.getConf().contains(key):
+            return int(spark.conf.get(key))
+        wanted = -(-input_bytes(spark, paths) // bytes_per_partition)
+    except Exception:  # noqa: BLE001 - no metadata access (e.g. Spark Connect): keep settings
+        return current
+    if wanted > current:
+        if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+            spark.conf.set(key, str(wanted))
+        else:
+            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        return wanted
+    return current

@@ -109,3 +109,17 @@ def test_word_count_job_file_source(spark):
     from adsift.streaming import read_batches
     got = sorted((r.word, r.n) for r in read_batches(spark, out).collect())
     assert got == [("", 1), ("x", 2), ("y", 1), ("z", 1)]
+
+
+def test_size_shuffle_raises_initial_partitions(spark):
+    from adsift.session import input_bytes, size_shuffle
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = write_table(td.pv(spark, SF), scratch_path(spark, "sized"))
+    n_bytes = input_bytes(spark, [path])
+    assert n_bytes > 0
+    try:
+        got = size_shuffle(spark, [path], bytes_per_partition=max(1, n_bytes // 40))
+        assert got >= 40 and int(spark.conf.get(key)) == got
+        assert size_shuffle(spark, [path]) == 8            # small input: nothing raised
+    finally:
+        spark.conf.unset(key)
