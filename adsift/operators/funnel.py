@@ -98,7 +98,7 @@ def funnel_text(result: DataFrame, key_fields: list[Column | str]) -> DataFrame:
     """Render funnel rows as ``(key,(pv,bid,impr,click,charge))`` text lines.
 
     ``key`` joins ``key_fields`` with commas for attributed rows and is empty
-    for rows without a page view. Other columns (e.g. ``dt``) are kept.
+    for rows without a page view. A ``dt`` column, when present, is kept.
     """
     fields = [F.lit(f[1:]) if isinstance(f, str) and f.startswith("=") else
               (F.col(f) if isinstance(f, str) else f) for f in key_fields]
