@@ -88,10 +88,16 @@ def form_complete(fd, marker: str = "school=") -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def iso_millis(ts) -> Column:
-    """ISO-8601 text with milliseconds and offset in the session time zone
-    (``Z`` for UTC), e.g. ``2024-01-01T00:03:52.824Z``."""
-    return F.date_format(_col(ts).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+def iso_millis(ts, tz: str | None = None) -> Column:
+    """ISO-8601 text with milliseconds and offset, e.g.
+    ``2024-01-01T00:03:52.824Z``: in the session time zone by default, or in
+    UTC when ``tz="UTC"``."""
+    if tz is None:
+        return F.date_format(_col(ts).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    if tz.upper() not in ("UTC", "Z", "GMT"):
+        raise ValueError("tz must be None (session zone) or 'UTC'")
+    from adsift.sources.feeds import wall_clock
+    return F.concat(F.date_format(wall_clock(_col(ts), "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
 
 
 def to_text(c) -> Column:

@@ -40,20 +40,21 @@ def first_pv_device(pv: DataFrame, app_ids=DEFAULT_APP_IDS) -> DataFrame:
 
 
 def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
-                  app_ids=DEFAULT_APP_IDS, start=None, end=None) -> DataFrame:
+                  app_ids=DEFAULT_APP_IDS, start=None, end=None, tz: str | None = None) -> DataFrame:
     """Events of one sponsor (all when ``None``) with the first page view's
     device id and name.
 
     Output: ``ts_iso, device_id, device_name, ip, slot_id, app_id``. Without a
     page view both device fields are ``''``; with one, the id loses a 4-char
     scheme prefix when it contains ``:`` and stays NULL if the view had none.
+    ``ts_iso`` is rendered in the session time zone, or UTC with ``tz="UTC"``.
     """
     first = first_pv_device(time_range(pv, start, end), app_ids)
-    return enrich_with_first(events, first, sponsor_id, start, end)
+    return enrich_with_first(events, first, sponsor_id, start, end, tz)
 
 
 def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
-                      start=None, end=None) -> DataFrame:
+                      start=None, end=None, tz: str | None = None) -> DataFrame:
     """``enrich_events`` against an already reduced page-view side
     (``first_pv_device``), so one reduction can serve several event feeds."""
     ev = time_range(events, start, end)
@@ -68,7 +69,7 @@ def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SP
     j = ev.join(first, F.col("_key") == F.col("_pv_bid"), "left")
     matched = F.coalesce(F.col("_matched"), F.lit(False)) & F.col("bid_id").isNotNull()
     return j.select(
-        iso_millis("ts").alias("ts_iso"),
+        iso_millis("ts", tz).alias("ts_iso"),
         F.when(matched, strip_id_prefix("did", ":", 4)).otherwise(F.lit("")).alias("device_id"),
         F.when(matched, F.col("dn")).otherwise(F.lit("")).alias("device_name"),
         "ip", "slot_id", "app_id",

@@ -54,7 +54,8 @@ def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_i
 
 def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None,
                          sponsor_id=enrich.DEFAULT_SPONSOR_ID, app_ids=enrich.DEFAULT_APP_IDS,
-                         fmt: str = "parquet", num_files: int | None = None) -> None:
+                         fmt: str = "parquet", num_files: int | None = None,
+                         tz: str | None = None) -> None:
     """Yesterday's (or ``run_date``'s) impressions and clicks of one sponsor,
     enriched from page views, as ``;``-separated text under
     ``<out>/<date>_impr`` and ``<out>/<date>_click``. The page-view side is
@@ -65,7 +66,7 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
     # lineage, so a lost executor does not re-scan the page views).
     first = cut_lineage(enrich.first_pv_device(pv, app_ids))
     for name, events in (("impr", impr), ("click", click)):
-        rows = enrich.enrich_with_first(events, first, sponsor_id=sponsor_id)
+        rows = enrich.enrich_with_first(events, first, sponsor_id=sponsor_id, tz=tz)
         write_text(enrich.enrich_text(rows), f"{out.rstrip('/')}/{day}_{name}", num_files=num_files)
 
 

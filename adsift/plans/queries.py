@@ -65,11 +65,13 @@ def funnel_version_daily_text(spark, sf):
 
 
 def impression_enrich(spark, sf):
-    return enrich.enrich_events(td.impr(spark, sf), td.pv(spark, sf), sponsor_id=None, app_ids=None)
+    return enrich.enrich_events(td.impr(spark, sf), td.pv(spark, sf), sponsor_id=None, app_ids=None,
+                                tz="UTC")
 
 
 def click_enrich(spark, sf):
-    return enrich.enrich_events(td.click(spark, sf), td.pv(spark, sf), sponsor_id=None, app_ids=None)
+    return enrich.enrich_events(td.click(spark, sf), td.pv(spark, sf), sponsor_id=None, app_ids=None,
+                                tz="UTC")
 
 
 def impression_enrich_text(spark, sf):

@@ -20,10 +20,25 @@ from pyspark.sql.types import StructType
 from adsift import schemas
 
 
-def with_partitions(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Add ``dt``/``hour`` partition columns derived from the event time."""
-    t = F.col(ts).cast("timestamp")
-    return df.withColumn("dt", F.to_date(t)).withColumn("hour", F.hour(t))
+def wall_clock(ts, tz: str | None = None) -> Column:
+    """Local date-time (``timestamp_ntz``) of an instant in zone ``tz``
+    (default: the session time zone)."""
+    t = (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp").cast("timestamp_ntz")
+    if tz is None:
+        return t
+    return F.convert_timezone(F.lit(_session_tz()), F.lit(tz), t)
+
+
+def _session_tz() -> str:
+    spark = SparkSession.getActiveSession()
+    return spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+
+
+def with_partitions(df: DataFrame, ts: str = "ts", tz: str | None = None) -> DataFrame:
+    """Add ``dt``/``hour`` partition columns: the event time's date and hour in
+    zone ``tz`` (default: the session time zone)."""
+    local = wall_clock(ts, tz)
+    return df.withColumn("dt", F.to_date(local)).withColumn("hour", F.hour(local))
 
 
 def default_run_date(days_back: int = 1) -> _dt.date:

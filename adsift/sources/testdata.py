@@ -6,7 +6,7 @@ they do none of the jobs' work. ``k`` below is the JSON field ``props.k``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.sources.feeds import with_partitions
@@ -15,6 +15,17 @@ from adsift.sources.feeds import with_partitions
 FORM_SLOTS = ("780dc5048214ef5f0c94f366d2554d40", "4d40", "b65143e622ec5936e38a47ed365e2384")
 
 
+def _utc(c) -> Column:
+    """The tables' naive timestamps are UTC wall-clock times: make instants."""
+    spark = SparkSession.getActiveSession()
+    tz = spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(c).cast("timestamp_ntz")).cast("timestamp")
+
+
+def _parts(df: DataFrame) -> DataFrame:
+    return with_partitions(df, tz="UTC")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -29,7 +40,7 @@ def _events(spark, sf_dir, event_type=None) -> DataFrame:
 def _ids(ev: DataFrame):
     uid = F.col("user_id")
     return [
-        F.col("ts").cast("timestamp").alias("ts"),
+        _utc("ts").alias("ts"),
         F.col("event_id").alias("row_id"),
         uid.cast("string").alias("bid_id"),
         (uid % 4).cast("string").alias("slot_id"),
@@ -53,18 +64,18 @@ def pv(spark: SparkSession, sf_dir: str) -> DataFrame:
         ext.alias("ext"),
         F.create_map(F.lit("av"), k, F.lit("mcc"), (uid % 5).cast("string")).alias("dims"),
     )
-    return with_partitions(df).select("ts", "row_id", "bid_id", "app_id", "slot_id", "device_id",
+    return _parts(df).select("ts", "row_id", "bid_id", "app_id", "slot_id", "device_id",
                                       "device_name", "tags", "ext", "dims", "dt", "hour")
 
 
 def bid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir, "signup")
-    return with_partitions(ev.select(*_ids(ev)))
+    return _parts(ev.select(*_ids(ev)))
 
 
 def impr(spark: SparkSession, sf_dir: str, event_type: str = "click") -> DataFrame:
     ev = _events(spark, sf_dir, event_type)
-    return with_partitions(ev.select(
+    return _parts(ev.select(
         *_ids(ev),
         (F.col("user_id") % 3).alias("sponsor_id"),
         F.col("k").alias("app_id"),
@@ -82,8 +93,8 @@ def click(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pv_dsp(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     uid = F.col("user_id")
-    return with_partitions(ev.select(
-        F.col("ts").cast("timestamp").alias("ts"),
+    return _parts(ev.select(
+        _utc("ts").alias("ts"),
         F.col("event_id").alias("row_id"),
         F.when(uid % 5 == 0, F.lit(0)).otherwise(F.lit(112)).cast("bigint").alias("synd_id"),
         F.create_map(F.lit("IDFA"), uid.cast("string"), F.lit("DEVICEID"), F.col("k")).alias("ext"),
@@ -95,8 +106,8 @@ def land_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
     ext = F.when(flag != "N", F.create_map(F.lit("fd"), flag)).otherwise(
         F.create_map().cast("map<string,string>"))
-    return with_partitions(li.select(
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
+    return _parts(li.select(
+        _utc("l_shipdate").alias("ts"),
         F.col("l_suppkey").alias("sponsor_id"),
         F.col("l_linestatus").alias("slot_id"),
         F.col("l_extendedprice").cast("bigint").alias("ht"),
@@ -116,7 +127,7 @@ def form(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = (F.when(pid % 3 == 0, F.lit(FORM_SLOTS[0]))
             .when(pid % 3 == 1, F.lit(FORM_SLOTS[1])).otherwise(F.lit(FORM_SLOTS[2])))
     ts = F.timestamp_seconds(F.lit(1704067200) + (pid % 48) * 3600)   # 2024-01-01 + 0..47 h
-    return with_partitions(pg.select(
+    return _parts(pg.select(
         ts.alias("ts"), pid.alias("sponsor_id"), slot.alias("slot_id"),
         F.length("url").cast("bigint").alias("ht"), F.lit(0).cast("bigint").alias("lt"),
         F.lit(0).cast("bigint").alias("pt"),

@@ -53,3 +53,20 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0
     assert df.columns[:4] == ["mcc", "vendor", "nsv", "av"]
+
+
+TZ_SENSITIVE = ["impression_enrich", "click_enrich_text", "sponsor_click_devices", "landing_form_quality",
+                "slot_form_values", "funnel_by_dims", "dsp_new_by_hour", "landing_daily_avg"]
+
+
+@pytest.mark.parametrize("name", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = queries()[name](spark, SF)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = con.execute(oracle_sql()[name])
+    assert bag(rows, df.columns) == bag(cur.fetchall(), [d[0] for d in cur.description])
