@@ -156,16 +156,24 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
     """Per day and hour ``0..max_hour``: cohort ids first seen in that hour
     (``n_new``) and the running distinct total (``n_total``).
 
-    First-seen is ``min(hour)`` per ``(dt, id)``; empty hours are filled from a
+    First-seen is ``min(hour)`` per ``(dt, id)`` (pre-aggregated per candidate
+    tuple before the joins); empty hours are filled from a
     per-day hour spine generated with ``sequence`` (no join fan-out), and the
     running total is a window sum over at most ``max_hour + 1`` rows per day.
     """
     scoped = time_range(pv_dsp, start, end)
     days = scoped.select("dt").distinct()          # every day read gets its 0..max_hour rows
     feed = scoped.filter(F.col("hour") <= max_hour)
-    m = distinct_matches(feed.filter(F.col("synd_id") == synd_id), ["dt", "hour"],
-                         dsp_candidates(), cohort, out="id")
-    first_seen = m.groupBy("dt", "id").agg(F.min("hour").alias("hour"))
+    # The matched id depends on the candidates only, so each candidate tuple's
+    # earliest hour is taken before the joins (one row per tuple and day).
+    cands = dsp_candidates()
+    tuples = (feed.filter(F.col("synd_id") == synd_id)
+              .select("dt", "hour", *[c.alias(f"_c{i}") for i, c in enumerate(cands)])
+              .groupBy("dt", *[f"_c{i}" for i in range(len(cands))])
+              .agg(F.min("hour").alias("hour")))
+    m = match_cohort(tuples, [f"_c{i}" for i in range(len(cands))], cohort, out="id")
+    first_seen = (m.filter(F.col("id").isNotNull())
+                  .groupBy("dt", "id").agg(F.min("hour").alias("hour")))
     new = first_seen.groupBy("dt", "hour").agg(F.count("*").alias("n_new"))
     spine = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(max_hour))).alias("hour"))
     w = Window.partitionBy("dt").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
