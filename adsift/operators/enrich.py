@@ -49,18 +49,33 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     scheme prefix when it contains ``:`` and stays NULL if the view had none.
     ``ts_iso`` is rendered in the session time zone, or UTC with ``tz="UTC"``.
     """
-    first = first_pv_device(time_range(pv, start, end), app_ids)
+    pv = time_range(pv, start, end)
+    if sponsor_id is not None:
+        pv = restrict_to_bids(pv, _sponsor_events(events, sponsor_id, start, end))
+    first = first_pv_device(pv, app_ids)
     return enrich_with_first(events, first, sponsor_id, start, end, tz)
 
 
+def _sponsor_events(events: DataFrame, sponsor_id, start=None, end=None) -> DataFrame:
+    ev = time_range(events, start, end)
+    return ev if sponsor_id is None else ev.filter(F.col("sponsor_id") == sponsor_id)
+
+
+def restrict_to_bids(pv: DataFrame, *events: DataFrame) -> DataFrame:
+    """Page views whose bid occurs in ``events`` (left-semi join on the
+    distinct non-NULL bids), so a one-sponsor run reduces only its own bids."""
+    bids = None
+    for ev in events:
+        b = ev.select("bid_id").filter(F.col("bid_id").isNotNull())
+        bids = b if bids is None else bids.unionByName(b)
+    return pv.join(bids.distinct(), "bid_id", "left_semi")
+
+
 def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
                       start=None, end=None, tz: str | None = None) -> DataFrame:
     """``enrich_events`` against an already reduced page-view side
     (``first_pv_device``), so one reduction can serve several event feeds."""
-    ev = time_range(events, start, end)
-    if sponsor_id is not None:
-        ev = ev.filter(F.col("sponsor_id") == sponsor_id)
-    ev = ev.select("bid_id", "ts", "ip", "slot_id", "app_id")
+    ev = _sponsor_events(events, sponsor_id, start, end).select("bid_id", "ts", "ip", "slot_id", "app_id")
     # NULL bids can never match; salt their join key so they spread over all
     # reducers instead of piling onto the one NULL hashes to.
     salt = F.xxhash64("ts", "ip", "slot_id", "app_id").cast("string")
@@ -82,4 +97,5 @@ def enrich_text(enriched: DataFrame) -> DataFrame:
     return enriched.select(F.concat_ws(";", *[to_text(c) for c in cols], F.lit("")).alias("value"))
 
 
-__all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_with_first", "enrich_text"]
+__all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_with_first", "enrich_text",
+           "restrict_to_bids"]

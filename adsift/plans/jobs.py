@@ -64,6 +64,8 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
     pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"))
     # Reduce the page views once, checkpointed in the shared folder (also cuts
     # lineage, so a lost executor does not re-scan the page views).
+    if sponsor_id is not None:
+        pv = enrich.restrict_to_bids(pv, *[e.filter(F.col("sponsor_id") == sponsor_id) for e in (impr, click)])
     first = cut_lineage(enrich.first_pv_device(pv, app_ids))
     for name, events in (("impr", impr), ("click", click)):
         rows = enrich.enrich_with_first(events, first, sponsor_id=sponsor_id, tz=tz)

@@ -66,3 +66,18 @@ def test_enrich_partition_invariance_and_sort_merge(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a == b
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_sponsor_restriction_changes_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from adsift.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    imp, pv = td.impr(spark, sf), td.pv(spark, sf)
+    for sponsor in (0, 1, 2):
+        got = enrich_events(imp, pv, sponsor_id=sponsor, app_ids=None)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" in plan
+        tagged = imp.withColumn("ip", F.when(F.col("sponsor_id") == sponsor, F.col("ip")))
+        want = enrich_events(tagged, pv, sponsor_id=None, app_ids=None).filter(F.col("ip").isNotNull())
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
