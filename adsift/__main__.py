@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--path", help="directory of arriving text files")
     w.add_argument("--host")
     w.add_argument("--port", type=int)
+    w.add_argument("--num-files", type=int, help="files per batch (default: one per shuffle partition)")
     return p
 
 
@@ -86,7 +87,7 @@ def main(argv=None) -> None:
         jobs.landing_report_job(spark, a.root, a.out, a.start, a.end, strict=a.strict, fmt=a.format)
     elif a.job == "word-count":
         jobs.word_count_job(spark, a.out, a.checkpoint, path=a.path, host=a.host,
-                            port=a.port).awaitTermination()
+                            port=a.port, num_files=a.num_files).awaitTermination()
 
 
 if __name__ == "__main__":

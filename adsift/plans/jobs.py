@@ -103,7 +103,8 @@ def landing_report_job(spark: SparkSession, root: str, out: str, start, end=None
 
 
 def word_count_job(spark: SparkSession, out: str, checkpoint: str, path: str | None = None,
-                   host: str | None = None, port: int | None = None, trigger: dict | None = None):
+                   host: str | None = None, port: int | None = None, trigger: dict | None = None,
+                   num_files: int | None = None):
     """Per-batch word counts from a text-file directory or a socket server."""
     lines = socket_line_stream(spark, host, port) if host else file_line_stream(spark, path)
-    return word_count_stream(lines, out, checkpoint, trigger)
+    return word_count_stream(lines, out, checkpoint, trigger, num_files)

@@ -34,13 +34,16 @@ def words(lines: DataFrame, sep: str = " ") -> DataFrame:
 
 
 def word_count_stream(lines: DataFrame, out_path: str, checkpoint_path: str,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, num_files: int | None = None) -> StreamingQuery:
     """Start the per-batch word count; ``trigger`` defaults to 1-second
-    micro-batches (pass ``{"availableNow": True}`` to drain and stop)."""
+    micro-batches (pass ``{"availableNow": True}`` to drain and stop).
+    ``num_files`` caps the files per batch (repartitioned after counting)."""
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy("word").agg(F.count("*").alias("n"))
-         .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
+        counts = batch.groupBy("word").agg(F.count("*").alias("n"))
+        if num_files:
+            counts = counts.repartition(num_files)
+        counts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     w = (words(lines).writeStream.foreachBatch(count_batch)
          .option("checkpointLocation", checkpoint_path))

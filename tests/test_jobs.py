@@ -104,11 +104,13 @@ def test_word_count_job_file_source(spark):
     with open(os.path.join(inbox, "a.txt"), "w") as f:
         f.write("x y  x\nz\n")
     out, ckpt = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
-    q = jobs.word_count_job(spark, out, ckpt, path=inbox, trigger={"availableNow": True})
+    q = jobs.word_count_job(spark, out, ckpt, path=inbox, trigger={"availableNow": True}, num_files=1)
     q.awaitTermination(120)
     from adsift.streaming import read_batches
     got = sorted((r.word, r.n) for r in read_batches(spark, out).collect())
     assert got == [("", 1), ("x", 2), ("y", 1), ("z", 1)]
+    files = [f for f in os.listdir(out.replace("file:", "") + "/batch_id=0") if f.endswith(".parquet")]
+    assert len(files) == 1
 
 
 def test_size_shuffle_raises_initial_partitions(spark):
