@@ -1,0 +1,29 @@
+"""The independent cross-check numbers of FIXTURES.md §2, at sf0.01."""
+
+from adsift.operators import cohort, enrich, landing
+from adsift.plans.queries import _both_cohorts, stream_word_count
+from adsift.sources import testdata as td
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_enrich_keeps_left_rows(spark):
+    e = enrich.enrich_events(td.impr(spark, SF), td.pv(spark, SF), sponsor_id=0,
+                             app_ids=[str(i) for i in range(50)])
+    assert e.count() == 675
+
+
+def test_landing_group_counts(spark):
+    g = landing.landing_group_avg(td.land_page(spark, SF))
+    assert g.filter("fd_count = 0").count() == 18070
+    assert g.select("sponsor_id", "slot_id").distinct().count() == 200
+
+
+def test_new_ids_hour_10(spark):
+    d = cohort.dsp_new_by_hour(td.pv_dsp(spark, SF), _both_cohorts(spark, SF))
+    r = d.filter("dt = '2024-01-01' AND hour = 10").collect()[0]
+    assert (r.n_new, r.n_total) == (0, 42)
+
+
+def test_word_count_distinct_words(spark):
+    assert stream_word_count(spark, SF).count() == 93796
