@@ -27,3 +27,31 @@ def test_new_ids_hour_10(spark):
 
 def test_word_count_distinct_words(spark):
     assert stream_word_count(spark, SF).count() == 93796
+
+
+def test_funnel_by_k_both_grains(spark):
+    from adsift.functions import map_value
+    from adsift.operators import funnel
+    from adsift.plans.queries import _feeds
+    feeds = _feeds(spark, SF)
+    for grain in ("hour", "day"):
+        r = funnel.funnel(*feeds, dims={"k": map_value("dims", "av")}, grain=grain)
+        assert r.count() == 101 and r.filter("NOT attributed").count() == 1
+
+
+def test_click_cohort_reach(spark):
+    from pyspark.sql import functions as F
+    ev = td.table(spark, SF, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    m = cohort.distinct_matches(ev.filter("event_type = 'click'"), [],
+                                [F.col("user_id").cast("string"), F.col("k")], _both_cohorts(spark, SF))
+    assert m.count() == 62
+
+
+def test_form_completeness_over_all_urls(spark):
+    from pyspark.sql import functions as F
+
+    from adsift.functions import form_complete
+    fd = F.col("ext")["fd"]
+    forms = td.form(spark, SF)
+    assert forms.filter(fd.contains("ref=")).count() == 45
+    assert forms.filter(form_complete(fd, "ref=")).select(fd).distinct().count() == 37
