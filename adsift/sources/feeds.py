@@ -69,7 +69,13 @@ def time_range(df: DataFrame, start=None, end=None, hours=None) -> DataFrame:
 
 def read_feed(spark: SparkSession, root: str, feed: str, start=None, end=None,
               hours=None, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Scan one feed over a time range; the schema is given, never inferred."""
+    """Scan one feed over a time range; the schema is given, never inferred.
+
+    The feed is laid out as ``<root>/<feed>/dt=YYYY-MM-DD[/hour=H]``, so the
+    range becomes partition pruning. For the ``hourly/YYYY/MM/DD/HH`` layout
+    use ``read_hourly_layout``; for unpartitioned files read them directly and
+    add the columns with ``with_partitions``.
+    """
     schema = schema or schemas.FEEDS.get(feed)
     reader = spark.read.format(fmt)
     if schema is not None:
