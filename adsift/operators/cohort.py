@@ -96,6 +96,13 @@ def dsp_candidates() -> list[Column]:
     return [map_value("ext", "IDFA"), map_value("ext", "DEVICEID")]
 
 
+def cohort_size(cohort: DataFrame) -> DataFrame:
+    """One row: ``n_ids`` = distinct non-empty ids of a device list."""
+    return (cohort.select(F.col("id").cast("string").alias("id"))
+            .filter(F.col("id").isNotNull() & (F.col("id") != "")).distinct()
+            .agg(F.count("*").alias("n_ids")))
+
+
 def cohort_ids(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
     """Distinct cohort ids reached by page views (``id``)."""
     return distinct_matches(time_range(pv, start, end), [], pv_candidates(), cohort, out="id")

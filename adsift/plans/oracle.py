@@ -161,6 +161,8 @@ def _pairs(cands) -> str:
 SLOT_COHORT_REACH = f"""SELECT slot_id, GROUPING(slot_id) = 1 AS is_total, count(DISTINCT device) AS n_devices
 FROM ({_pairs(PV_CANDS_STRIPPED)}) GROUP BY ROLLUP (slot_id)"""
 
+COHORT_SIZE = f"WITH {COHORT} SELECT count(*) AS n_ids FROM cohort"
+
 COHORT_IDS = f"""WITH {PV}, {COHORT}
 SELECT DISTINCT {_pick(PV_CANDS)} AS id FROM pv WHERE {_pick(PV_CANDS)} IS NOT NULL"""
 
@@ -269,6 +271,7 @@ ORACLE: dict[str, str] = {
     "impression_enrich_text": _enrich_text("impr"),
     "click_enrich_text": _enrich_text("click"),
     "slot_cohort_reach": SLOT_COHORT_REACH,
+    "cohort_size": COHORT_SIZE,
     "click_device_times": CLICK_DEVICE_TIMES,
     "sponsor_click_devices": SPONSOR_CLICK_DEVICES,
     "cohort_reach": COHORT_REACH,

@@ -88,10 +88,17 @@ def _both_cohorts(spark, sf):
     return union_cohorts(*td.cohorts(spark, sf))
 
 
+def _cohort_files(spark, sf):
+    return [write_text(td.cohort_lines(spark, sf, seg), scratch_path(spark, "cohort"))
+            for seg in ("BUILDING", "MACHINERY")]
+
+
 def slot_cohort_reach(spark, sf):
-    paths = [write_text(td.cohort_lines(spark, sf, seg), scratch_path(spark, "cohort"))
-             for seg in ("BUILDING", "MACHINERY")]
-    return cohort.slot_cohort_reach(td.pv(spark, sf), read_cohort(spark, *paths))
+    return cohort.slot_cohort_reach(td.pv(spark, sf), read_cohort(spark, *_cohort_files(spark, sf)))
+
+
+def cohort_size(spark, sf):
+    return cohort.cohort_size(read_cohort(spark, *_cohort_files(spark, sf)))
 
 
 def click_device_times(spark, sf):
@@ -237,6 +244,7 @@ QUERIES: dict[str, Query] = {
     "impression_enrich_text": impression_enrich_text,
     "click_enrich_text": click_enrich_text,
     "slot_cohort_reach": slot_cohort_reach,
+    "cohort_size": cohort_size,
     "click_device_times": click_device_times,
     "sponsor_click_devices": sponsor_click_devices,
     "cohort_reach": cohort_reach,
