@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from adsift import fixed
+
 _REGEX_META = set("\\^$.|?*+()[]{}")
 
 
@@ -80,11 +82,11 @@ def strip_id_prefix(c, marker: str, n: int = 4) -> Column:
     return F.when(c.contains(marker), c.substr(n + 1, 2147483647)).otherwise(c)
 
 
-def form_complete(fd, marker: str = "school=") -> Column:
+def form_complete(fd, marker: str = fixed.FORM_MARKER) -> Column:
     """A form text is complete when something non-empty follows ``marker`` and
     the part before it has no empty field (``=&``)."""
     parts = java_split(fd, marker)
-    ok = (F.size(parts) > 1) & ~F.try_element_at(parts, F.lit(1)).contains("=&")
+    ok = (F.size(parts) > 1) & ~F.try_element_at(parts, F.lit(1)).contains(fixed.FORM_EMPTY_FIELD)
     return F.coalesce(ok, F.lit(False))
 
 

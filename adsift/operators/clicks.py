@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.functions import to_text
 from adsift.sources.feeds import time_range
 
-# Fixed value: the sponsor of the click-device export.
-DEFAULT_SPONSOR_ID = 286304
+DEFAULT_SPONSOR_ID = fixed.CLICK_SPONSOR_ID
 
 
 def click_key(ts="ts", device="device_id") -> Column:

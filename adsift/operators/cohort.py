@@ -19,12 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.functions import map_value, strip_id_prefix
 from adsift.sources.feeds import time_range
 
-# Own-app ids and the syndicate of the DSP job.
-OWN_APP_IDS = ("252", "462")
-DSP_SYND_ID = 112
+OWN_APP_IDS = fixed.OWN_APP_IDS
+DSP_SYND_ID = fixed.DSP_SYND_ID
 
 
 def _c(c) -> Column:
@@ -86,14 +86,14 @@ def distinct_matches(df: DataFrame, keep: list[str], candidates: list, cohort: D
 def pv_candidates(strip_udid: bool = False) -> list[Column]:
     """Page-view id priority: device id, udid, auid. ``strip_udid`` drops an
     ``ifa:`` scheme prefix from the udid first."""
-    udid = map_value("ext", "udid")
+    udid = map_value("ext", fixed.EXT_UDID)
     if strip_udid:
-        udid = strip_id_prefix(udid, "ifa:", 4)
-    return [F.col("device_id"), udid, map_value("ext", "auid")]
+        udid = strip_id_prefix(udid, fixed.IFA_MARKER, fixed.ID_PREFIX_LEN)
+    return [F.col("device_id"), udid, map_value("ext", fixed.EXT_AUID)]
 
 
 def dsp_candidates() -> list[Column]:
-    return [map_value("ext", "IDFA"), map_value("ext", "DEVICEID")]
+    return [map_value("ext", fixed.DSP_IDFA), map_value("ext", fixed.DSP_DEVICEID)]
 
 
 def cohort_size(cohort: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def slot_cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) ->
             .select("slot_id", "is_total", "n_devices"))
 
 
-def slot_device_counts(pv: DataFrame, cohort: DataFrame, min_devices: int | None = 100,
+def slot_device_counts(pv: DataFrame, cohort: DataFrame, min_devices: int | None = fixed.SLOT_MIN_DEVICES,
                        start=None, end=None) -> DataFrame:
     """Per slot: number of distinct cohort devices, kept when ``> min_devices``."""
     counts = (slot_device_pairs(pv, cohort, start=start, end=end)
@@ -159,7 +159,7 @@ def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
 
 
 def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYND_ID,
-                    max_hour: int = 17, start=None, end=None) -> DataFrame:
+                    max_hour: int = fixed.MAX_REPORT_HOUR, start=None, end=None) -> DataFrame:
     """Per day and hour ``0..max_hour``: cohort ids first seen in that hour
     (``n_new``) and the running distinct total (``n_total``).
 

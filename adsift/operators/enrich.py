@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.functions import iso_millis, strip_id_prefix, to_text
 from adsift.sources.feeds import time_range
 
-# The ten app ids and the sponsor of the daily enrichment job.
-DEFAULT_APP_IDS = ("1042", "1070", "252", "380", "438", "462", "542", "554", "794", "974")
-DEFAULT_SPONSOR_ID = 262090
+DEFAULT_APP_IDS = fixed.ENRICH_APP_IDS
+DEFAULT_SPONSOR_ID = fixed.ENRICH_SPONSOR_ID
 
 
 def first_match(right: DataFrame, key: str, values: dict[str, Column],
@@ -35,7 +35,8 @@ def first_pv_device(pv: DataFrame, app_ids=DEFAULT_APP_IDS) -> DataFrame:
     """Per bid: device id (``auid`` else ``udid``) and name of the first page
     view among ``app_ids`` (all apps when ``None``)."""
     p = pv if app_ids is None else pv.filter(F.col("app_id").isin(list(app_ids)))
-    did = F.coalesce(F.try_element_at("ext", F.lit("auid")), F.try_element_at("ext", F.lit("udid")))
+    did = F.coalesce(F.try_element_at("ext", F.lit(fixed.EXT_AUID)),
+                     F.try_element_at("ext", F.lit(fixed.EXT_UDID)))
     return first_match(p, "bid_id", {"did": did, "dn": F.col("device_name")}, ["ts", "row_id"])
 
 
@@ -85,7 +86,7 @@ def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SP
     matched = F.coalesce(F.col("_matched"), F.lit(False)) & F.col("bid_id").isNotNull()
     return j.select(
         iso_millis("ts", tz).alias("ts_iso"),
-        F.when(matched, strip_id_prefix("did", ":", 4)).otherwise(F.lit("")).alias("device_id"),
+        F.when(matched, strip_id_prefix("did", fixed.ID_SCHEME_MARKER, fixed.ID_PREFIX_LEN)).otherwise(F.lit("")).alias("device_id"),
         F.when(matched, F.col("dn")).otherwise(F.lit("")).alias("device_name"),
         "ip", "slot_id", "app_id",
     )
@@ -94,7 +95,7 @@ def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SP
 def enrich_text(enriched: DataFrame) -> DataFrame:
     """``ts;device;name;ip;slot;app;`` lines (trailing ``;``), NULL as ``null``."""
     cols = ["ts_iso", "device_id", "device_name", "ip", "slot_id", "app_id"]
-    return enriched.select(F.concat_ws(";", *[to_text(c) for c in cols], F.lit("")).alias("value"))
+    return enriched.select(F.concat_ws(fixed.ENRICH_SEP, *[to_text(c) for c in cols], F.lit("")).alias("value"))
 
 
 __all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_with_first", "enrich_text",

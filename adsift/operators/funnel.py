@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.functions import map_value, tag_value
 from adsift.sources.feeds import time_range
 
@@ -25,19 +26,19 @@ COUNTERS = ("pv", "bid", "impr", "click", "charge")
 def default_dims() -> dict[str, Column]:
     """Dimensions of the daily funnel: mcc, vendor tag, nsv, app version."""
     return {
-        "mcc": map_value("dims", "mcc"),
-        "vendor": tag_value("tags", "vendor"),
-        "nsv": map_value("dims", "nsv"),
-        "av": map_value("dims", "av"),
+        "mcc": map_value("dims", fixed.DIM_MCC),
+        "vendor": tag_value("tags", fixed.TAG_VENDOR, fixed.TAG_SEP),
+        "nsv": map_value("dims", fixed.DIM_NSV),
+        "av": map_value("dims", fixed.DIM_AV),
     }
 
 
 def abtest_dims() -> dict[str, Column]:
-    return {"abtest": tag_value("tags", "abtest")}
+    return {"abtest": tag_value("tags", fixed.TAG_ABTEST, fixed.TAG_SEP)}
 
 
 def version_dims() -> dict[str, Column]:
-    return {"av": map_value("dims", "av")}
+    return {"av": map_value("dims", fixed.DIM_AV)}
 
 
 def _stage(df: DataFrame, kind: str, grain_cols, key_type=None, dims=None) -> DataFrame:

@@ -11,21 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.functions import form_complete, map_get_or_else
 from adsift.sources.feeds import time_range
 
-# Fixed value: the landing-page slot of the form jobs.
-DEFAULT_SLOT = "780dc5048214ef5f0c94f366d2554d40"
+DEFAULT_SLOT = fixed.LANDING_SLOT
 
 _METRICS = ("ht", "lt", "pt")
 
 
 def fd_present(strict: bool = False) -> Column:
-    has = F.coalesce(F.map_contains_key(F.col("ext"), F.lit("fd")), F.lit(False))
+    has = F.coalesce(F.map_contains_key(F.col("ext"), F.lit(fixed.FD_KEY)), F.lit(False))
     if not strict:
         return has
-    v = F.try_element_at("ext", F.lit("fd"))
-    return has & v.isNotNull() & ~v.isin("", "null", "None")
+    v = F.try_element_at("ext", F.lit(fixed.FD_KEY))
+    return has & v.isNotNull() & ~v.isin(*fixed.FD_REJECTED)
 
 
 def _sums(ok: Column) -> list[Column]:
@@ -62,7 +62,7 @@ def landing_form_counts(land: DataFrame, slot: str = DEFAULT_SLOT, start=None, e
     """Per day, rows per ``fd`` value among rows of ``slot`` (``fd`` absent
     counts as ``'null'``): ``(dt, fd, n_rows)``."""
     rows = time_range(land, start, end).filter(F.coalesce(slot_matches(slot), F.lit(False)))
-    return (rows.select("dt", map_get_or_else("ext", "fd", "null").alias("fd"))
+    return (rows.select("dt", map_get_or_else("ext", fixed.FD_KEY, fixed.FD_ABSENT).alias("fd"))
             .groupBy("dt", "fd").agg(F.count("*").alias("n_rows")))
 
 
@@ -76,12 +76,12 @@ def landing_form_buckets(land: DataFrame, slot: str = DEFAULT_SLOT, start=None,
     """Per day, rows per bucket: the ``fd`` text for rows of ``slot``
     (``'null_fd'`` when absent), ``'else'`` for every other row."""
     bucket = F.when(F.coalesce(slot_matches(slot), F.lit(False)),
-                    map_get_or_else("ext", "fd", "null_fd")).otherwise(F.lit("else"))
+                    map_get_or_else("ext", fixed.FD_KEY, fixed.FD_ABSENT_BUCKET)).otherwise(F.lit(fixed.OTHER_BUCKET))
     return (time_range(land, start, end).select("dt", bucket.alias("bucket"))
             .groupBy("dt", "bucket").agg(F.count("*").alias("n_rows")))
 
 
-def landing_form_quality(land: DataFrame, slot: str = DEFAULT_SLOT, marker: str = "school=",
+def landing_form_quality(land: DataFrame, slot: str = DEFAULT_SLOT, marker: str = fixed.FORM_MARKER,
                          start=None, end=None) -> DataFrame:
     """Per day: number of distinct buckets whose form text is complete."""
     b = landing_form_buckets(land, slot, start, end)
@@ -93,7 +93,7 @@ def slot_form_values(land: DataFrame, slot: str = DEFAULT_SLOT, day=None, hour=N
     ``day``/``hour`` narrow it to one partition."""
     rows = time_range(land, day, day, None if hour is None else [hour])
     return (rows.filter(F.col("slot_id") == slot)
-            .select("dt", "hour", map_get_or_else("ext", "fd", "null").alias("fd")).distinct())
+            .select("dt", "hour", map_get_or_else("ext", fixed.FD_KEY, fixed.FD_ABSENT).alias("fd")).distinct())
 
 
 def _fmt_avg(c: str) -> Column:

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adsift import fixed
 from adsift.sources.feeds import with_partitions
 
-# Slot ids used by the landing-page jobs, and a suffix of the first.
-FORM_SLOTS = ("780dc5048214ef5f0c94f366d2554d40", "4d40", "b65143e622ec5936e38a47ed365e2384")
+# The form feed cycles over the two landing slot ids and a suffix of the first.
+FORM_SLOTS = (fixed.LANDING_SLOT, fixed.LANDING_SLOT[-4:], fixed.OTHER_LANDING_SLOT)
 
 
 def _utc(c) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from adsift import fixed
 from adsift.functions import java_split
 
 
@@ -28,7 +29,7 @@ def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return r.load(path)
 
 
-def words(lines: DataFrame, sep: str = " ") -> DataFrame:
+def words(lines: DataFrame, sep: str = fixed.WORD_SEP) -> DataFrame:
     """One row per word (``word``), split with Java ``split`` rules."""
     return lines.select(F.explode(java_split("value", sep)).alias("word"))
 
