@@ -1,6 +1,6 @@
 """Command line for the end-to-end jobs (use with spark-submit).
 
-    spark-submit --py-files adsift.zip -m adsift funnel --root R --out O --start 2016-06-29
+    spark-submit --py-files adsift.zip adsift/__main__.py funnel --root R --out O --start 2016-06-29
     python -m adsift enrich --root R --out O            # yesterday by default
 
 Cluster settings (master, shuffle partitions, checkpoint dir) come from the
