@@ -125,3 +125,23 @@ def test_size_shuffle_raises_initial_partitions(spark):
         assert size_shuffle(spark, [path]) == 8            # small input: nothing raised
     finally:
         spark.conf.unset(key)
+
+
+def test_cli_funnel_enrich_landing(spark, root):
+    from adsift.__main__ import main
+
+    out = scratch_path(spark, "cli-funnel")
+    main(["funnel", "--root", root, "--out", out, "--start", "2024-01-03", "--end", "2024-01-04",
+          "--dims", "version", "--grain", "day"])
+    lines = spark.read.text(out).collect()
+    assert lines and all(r.value.startswith("(") for r in lines) and {str(r.dt) for r in lines} <= {
+        "2024-01-03", "2024-01-04"}
+
+    out = scratch_path(spark, "cli-enrich")
+    main(["enrich", "--root", root, "--out", out, "--date", DAY, "--sponsor", "0", "--all-apps"])
+    assert read_lines(spark, f"{out}/{DAY}_impr").count() == \
+        td.impr(spark, SF).filter(f"dt = '{DAY}' AND sponsor_id = 0").count()
+
+    out = scratch_path(spark, "cli-landing")
+    main(["landing", "--root", root, "--out", out, "--start", "1995-03-01", "--end", "1995-03-02", "--strict"])
+    assert read_lines(spark, f"{out}/daily_text").count() >= 1
