@@ -23,7 +23,8 @@ SCALE_NOTE = """Reading this at 100 TB: every aggregation has map-side partial a
 device, one word) collapse before they are shuffled; the only joins are membership/enrichment joins against
 a side that is de-duplicated first (cohort ids, one page view per bid), so no join multiplies rows; NULL and
 already-matched join keys are salted so they cannot pile onto one reducer; no plan has a Python node, a cross
-join, a driver collect or a single-partition stage other than final one-row counts. The funnel needs exactly
+join, a driver collect or a single-partition stage other than final one-row counts and the bounded merge of
+per-partition top-10s in `episodes_take`. The funnel needs exactly
 two shuffles whatever the input size; the cohort queries shuffle distinct candidate tuples, not raw rows.
 """
 
