@@ -8,6 +8,8 @@ collected to the driver.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,6 @@ def _feeds(spark, root, start, end, fmt, names):
 
 def _feed_glob(root: str, feed: str, start, end) -> str:
     """The ``dt=`` partition directories of a feed for a day range."""
-    import datetime as _dt
     if start is None:
         return f"{root.rstrip('/')}/{feed}"
     d0 = _dt.date.fromisoformat(str(start))
@@ -62,10 +63,10 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
     reduced once and joined to both feeds."""
     day = run_date or default_run_date()
     pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"))
+    if sponsor_id is not None:          # only the sponsor's bids need a page view
+        pv = enrich.restrict_to_bids(pv, *[e.filter(F.col("sponsor_id") == sponsor_id) for e in (impr, click)])
     # Reduce the page views once, checkpointed in the shared folder (also cuts
     # lineage, so a lost executor does not re-scan the page views).
-    if sponsor_id is not None:
-        pv = enrich.restrict_to_bids(pv, *[e.filter(F.col("sponsor_id") == sponsor_id) for e in (impr, click)])
     first = cut_lineage(enrich.first_pv_device(pv, app_ids))
     for name, events in (("impr", impr), ("click", click)):
         rows = enrich.enrich_with_first(events, first, sponsor_id=sponsor_id, tz=tz)
