@@ -97,8 +97,12 @@ def slot_form_values(land: DataFrame, slot: str = DEFAULT_SLOT, day=None, hour=N
 
 
 def _fmt_avg(c: str) -> Column:
-    # A day/group without counted rows prints NaN, like a float 0/0.
-    return F.when(F.col(c).isNull(), F.lit("NaN")).otherwise(F.format_string("%f", F.col(c)))
+    """``%f`` text: six decimals rounded half-up from the shortest decimal form
+    (a decimal cast, code-generated; ``format_string`` only for values beyond
+    decimal(38,6)). A group without counted rows prints NaN, like a float 0/0."""
+    x = F.col(c)
+    fast = x.try_cast("decimal(38,6)").cast("string")
+    return F.when(x.isNull(), F.lit("NaN")).otherwise(F.coalesce(fast, F.format_string("%f", x)))
 
 
 def landing_daily_text(daily: DataFrame) -> DataFrame:

@@ -55,3 +55,13 @@ def test_form_quality_e16(spark):
     assert [(r.dt, r.n_complete) for r in got] == [(D1.date(), 2)]
     buckets = {r.bucket: r.n_rows for r in la.landing_form_buckets(df, slot="s").collect()}
     assert buckets["else"] == 1 and buckets["school=x"] == 2
+
+
+def test_report_text_rounds_like_java_and_handles_huge_values(spark):
+    groups = spark.createDataFrame(
+        [(D1.date(), 1, "s", 1, 2, 3, 128, 1 / 128, 4.2265625, 1e35)],
+        "dt date, sponsor_id bigint, slot_id string, ht_sum bigint, lt_sum bigint, pt_sum bigint, "
+        "fd_count bigint, ht_avg double, lt_avg double, pt_avg double")
+    line = la.landing_group_text(groups).collect()[0].value
+    assert ",ht_avg:0.007813," in line and ",lt_avg:4.226563," in line      # half-up, like Java %f
+    assert line.endswith(",pt_avg:1" + "0" * 35 + ".000000")                  # beyond decimal(38,6): Java %f
