@@ -1,0 +1,30 @@
+"""Design rules checked on the library source: Spark-side work only."""
+
+import pathlib
+import re
+
+PKG = pathlib.Path(__file__).resolve().parents[1] / "adsift"
+FORBIDDEN = {
+    "Python UDF": r"\budf\b|pandas_udf",
+    "driver collect": r"\.collect\(|toPandas\(",
+    "localCheckpoint": r"localCheckpoint",
+    "cross join": r"crossJoin|how=\"cross\"|, \"cross\"\)",
+    "forced broadcast": r"F\.broadcast\(|\.hint\(\"broadcast",
+    "coalesce to a fixed count": r"\.coalesce\(\d",
+}
+
+
+def sources():
+    return {p: p.read_text() for p in PKG.rglob("*.py")}
+
+
+def test_no_forbidden_constructs():
+    hits = [(str(p.relative_to(PKG)), name) for p, text in sources().items()
+            for name, pat in FORBIDDEN.items() if re.search(pat, text)]
+    assert hits == []
+
+
+def test_local_temp_folders_only_when_no_shared_folder_is_set():
+    for p, text in sources().items():
+        if "mkdtemp" in text or "/tmp" in text:
+            assert p.name == "session.py", p       # the test-only fallback of shared_dir
