@@ -1,5 +1,6 @@
 """Cohort matching against a brute-force Python model on random rows."""
 
+import collections
 import datetime as dt
 import random
 
@@ -57,3 +58,33 @@ def test_cohort_matching_matches_model(spark):
         got = {r.in_app: r.n_cohort1 for r in
                co.cohort_by_app_flag(pv, cohort_df, cohort_df.filter(F.lit(False)), app_ids=["252"]).collect()}
         assert got == {k: len(v[0]) for k, v in flags.items()}, f"case {case}"
+
+
+def test_slot_reach_with_total_matches_model(spark):
+    rnd = random.Random(13)
+    members = {"d1", "u1", "U2", "a1"}
+    rows = []
+    for i in range(150):
+        ext = {}
+        if rnd.random() < 0.7:
+            ext["udid"] = rnd.choice(["ifa:u1", "ifa:xU2", "U2", "u1", "ifa:", "ab"])
+        if rnd.random() < 0.5:
+            ext["auid"] = rnd.choice(["a1", "a2", ""])
+        rows.append({"ts": T0, "row_id": i, "bid_id": "b", "slot_id": rnd.choice(["s1", "s2", "s3"]),
+                     "app_id": "1", "device_id": rnd.choice(["d1", "d9", None, ""]), "ext": ext})
+    pv = feed(spark, "pv", rows).repartition(3)
+    cohort_df = spark.createDataFrame([(m,) for m in members], "id string")
+
+    def strip(u):
+        return u[4:] if u is not None and "ifa:" in u else u
+
+    pairs = set()
+    for r in rows:
+        m = first_member([r["device_id"], strip(r["ext"].get("udid") or ""), r["ext"].get("auid") or ""], members)
+        if m:
+            pairs.add((r["slot_id"], m))
+    want = collections.Counter(s for s, _ in pairs)
+    want = {(s, False): n for s, n in want.items()}
+    want[(None, True)] = len({m for _, m in pairs})
+    got = {(r.slot_id, r.is_total): r.n_devices for r in co.slot_cohort_reach(pv, cohort_df).collect()}
+    assert got == want
