@@ -24,6 +24,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--root", required=True, help="feed root (<root>/<feed>/dt=.../hour=...)")
         sp.add_argument("--out", required=True)
         sp.add_argument("--format", default="parquet", help="feed format: parquet, avro, orc, ...")
+        sp.add_argument("--layout", choices=["partitioned", "hourly"], default="partitioned",
+                        help="feed directories: dt=YYYY-MM-DD/hour=H or hourly/YYYY/MM/DD/HH")
         if dated:
             sp.add_argument("--start", required=True)
             sp.add_argument("--end")
@@ -69,22 +71,24 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"adsift-{a.job}").getOrCreate()
     if a.job == "funnel":
         jobs.funnel_job(spark, a.root, a.out, a.start, a.end, slot_id=a.slot, dims=a.dims,
-                        grain=a.grain, per_day=a.per_day, fmt=a.format, num_files=a.num_files)
+                        grain=a.grain, per_day=a.per_day, fmt=a.format, num_files=a.num_files,
+                        layout=a.layout)
     elif a.job == "enrich":
         kw = {} if a.sponsor is None else {"sponsor_id": a.sponsor}
         if a.all_apps:
             kw["app_ids"] = None
         jobs.daily_enrichment_job(spark, a.root, a.out, run_date=a.date, fmt=a.format,
-                                  num_files=a.num_files, **kw)
+                                  num_files=a.num_files, layout=a.layout, **kw)
     elif a.job == "click-devices":
         kw = {} if a.sponsor is None else {"sponsor_id": a.sponsor}
         jobs.click_devices_job(spark, a.root, a.out, a.start, a.end, fmt=a.format,
-                               num_files=a.num_files, **kw)
+                               num_files=a.num_files, layout=a.layout, **kw)
     elif a.job == "cohort-reach":
         jobs.cohort_reach_job(spark, a.root, a.cohort, a.out, a.start, a.end, fmt=a.format,
-                              num_files=a.num_files)
+                              num_files=a.num_files, layout=a.layout)
     elif a.job == "landing":
-        jobs.landing_report_job(spark, a.root, a.out, a.start, a.end, strict=a.strict, fmt=a.format)
+        jobs.landing_report_job(spark, a.root, a.out, a.start, a.end, strict=a.strict, fmt=a.format,
+                                layout=a.layout)
     elif a.job == "word-count":
         jobs.word_count_job(spark, a.out, a.checkpoint, path=a.path, host=a.host,
                             port=a.port, num_files=a.num_files).awaitTermination()

@@ -16,13 +16,22 @@ from pyspark.sql import functions as F
 from adsift.operators import clicks, cohort, enrich, funnel, landing
 from adsift.session import cut_lineage, size_shuffle
 from adsift.sinks import write_table, write_text
-from adsift.sources import default_run_date, read_cohort, read_feed
+from adsift.sources import default_run_date, hourly_glob, read_cohort, read_feed, read_hourly_layout
 from adsift.streaming import file_line_stream, socket_line_stream, word_count_stream
 
 _DIMS = {"default": funnel.default_dims, "abtest": funnel.abtest_dims, "version": funnel.version_dims}
 
 
-def _feeds(spark, root, start, end, fmt, names):
+def _feeds(spark, root, start, end, fmt, names, layout="partitioned"):
+    """Feeds for a day range from ``<root>/<feed>/dt=...`` (``partitioned``) or
+    from the ``<root>/<feed>/hourly/YYYY/MM/DD/HH`` directories (``hourly``)."""
+    if layout == "hourly":
+        if start is None:
+            raise ValueError("the hourly layout needs a start date")
+        size_shuffle(spark, [hourly_glob(root, n, start, end) for n in names])
+        return [read_hourly_layout(spark, root, n, start, end, fmt=fmt) for n in names]
+    if layout != "partitioned":
+        raise ValueError("layout must be 'partitioned' or 'hourly'")
     size_shuffle(spark, [_feed_glob(root, n, start, end) for n in names])
     return [read_feed(spark, root, n, start, end, fmt=fmt) for n in names]
 
@@ -39,10 +48,11 @@ def _feed_glob(root: str, feed: str, start, end) -> str:
 
 def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_id=None,
                dims: str = "default", grain: str = "hour", per_day: bool = False,
-               fmt: str = "parquet", num_files: int | None = None) -> DataFrame:
+               fmt: str = "parquet", num_files: int | None = None,
+               layout: str = "partitioned") -> DataFrame:
     """Funnel counters as ``(key,(pv,bid,impr,click,charge))`` text; with
     ``per_day`` one ``dt=`` directory per day."""
-    pv, bid, impr, click = _feeds(spark, root, start, end or start, fmt, ("pv", "bid", "impr", "click"))
+    pv, bid, impr, click = _feeds(spark, root, start, end or start, fmt, ("pv", "bid", "impr", "click"), layout)
     per_day = per_day or dims == "version"          # the day is part of the version key
     result = funnel.funnel(pv, bid, impr, click, dims=_DIMS[dims](), grain=grain, per_day=per_day,
                            slot_id=slot_id)
@@ -56,13 +66,13 @@ def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_i
 def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None,
                          sponsor_id=enrich.DEFAULT_SPONSOR_ID, app_ids=enrich.DEFAULT_APP_IDS,
                          fmt: str = "parquet", num_files: int | None = None,
-                         tz: str | None = None) -> None:
+                         tz: str | None = None, layout: str = "partitioned") -> None:
     """Yesterday's (or ``run_date``'s) impressions and clicks of one sponsor,
     enriched from page views, as ``;``-separated text under
     ``<out>/<date>_impr`` and ``<out>/<date>_click``. The page-view side is
     reduced once and joined to both feeds."""
     day = run_date or default_run_date()
-    pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"))
+    pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"), layout)
     if sponsor_id is not None:          # only the sponsor's bids need a page view
         pv = enrich.restrict_to_bids(pv, *[e.filter(F.col("sponsor_id") == sponsor_id) for e in (impr, click)])
     # Reduce the page views once, checkpointed in the shared folder (also cuts
@@ -75,27 +85,28 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
 
 def click_devices_job(spark: SparkSession, root: str, out: str, start, end=None,
                       sponsor_id=clicks.DEFAULT_SPONSOR_ID, fmt: str = "parquet",
-                      num_files: int | None = None) -> DataFrame:
+                      num_files: int | None = None, layout: str = "partitioned") -> DataFrame:
     """Distinct ``"<ms> <device>"`` lines of one sponsor's clicks."""
-    (click,) = _feeds(spark, root, start, end or start, fmt, ("click",))
+    (click,) = _feeds(spark, root, start, end or start, fmt, ("click",), layout)
     lines = clicks.sponsor_click_devices(click, sponsor_id)
     write_text(lines, out, num_files=num_files)
     return lines
 
 
 def cohort_reach_job(spark: SparkSession, root: str, cohort_paths: list[str], out: str, start,
-                     end=None, fmt: str = "parquet", num_files: int | None = None) -> DataFrame:
+                     end=None, fmt: str = "parquet", num_files: int | None = None,
+                     layout: str = "partitioned") -> DataFrame:
     """Distinct cohort ids reached by page views, one per line."""
-    (pv,) = _feeds(spark, root, start, end or start, fmt, ("pv",))
+    (pv,) = _feeds(spark, root, start, end or start, fmt, ("pv",), layout)
     ids = cohort.cohort_ids(pv, read_cohort(spark, *cohort_paths))
     write_text(ids.withColumnRenamed("id", "value"), out, num_files=num_files)
     return ids
 
 
 def landing_report_job(spark: SparkSession, root: str, out: str, start, end=None,
-                       strict: bool = False, fmt: str = "parquet") -> None:
+                       strict: bool = False, fmt: str = "parquet", layout: str = "partitioned") -> None:
     """Daily and per-(day, sponsor, slot) landing metrics as text and parquet."""
-    (land,) = _feeds(spark, root, start, end or start, fmt, ("land_page",))
+    (land,) = _feeds(spark, root, start, end or start, fmt, ("land_page",), layout)
     daily = landing.landing_daily_avg(land, strict=strict)
     groups = landing.landing_group_avg(land, strict=strict)
     write_text(landing.landing_daily_text(daily), f"{out}/daily_text")

@@ -145,3 +145,19 @@ def test_cli_funnel_enrich_landing(spark, root):
     out = scratch_path(spark, "cli-landing")
     main(["landing", "--root", root, "--out", out, "--start", "1995-03-01", "--end", "1995-03-02", "--strict"])
     assert read_lines(spark, f"{out}/daily_text").count() >= 1
+
+
+def test_jobs_read_the_hourly_layout(spark, root):
+    from adsift.__main__ import main
+
+    hourly = scratch_path(spark, "hourly-feeds")
+    for name, fn in (("pv", td.pv), ("bid", td.bid), ("impr", td.impr), ("click", td.click)):
+        day = fn(spark, SF).filter(F.col("dt") == DAY)
+        for (h,) in day.select("hour").distinct().collect():
+            (day.filter(F.col("hour") == h).drop("dt", "hour")
+             .write.parquet(f"{hourly}/{name}/hourly/{DAY.replace('-', '/')}/{h:02d}"))
+    a, b = scratch_path(spark, "fh"), scratch_path(spark, "fp")
+    main(["funnel", "--root", hourly, "--layout", "hourly", "--out", a, "--start", DAY])
+    main(["funnel", "--root", root, "--out", b, "--start", DAY])
+    got, want = read_lines(spark, a).collect(), read_lines(spark, b).collect()
+    assert got and sorted(r.value for r in got) == sorted(r.value for r in want)
