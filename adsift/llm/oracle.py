@@ -5,6 +5,29 @@ from __future__ import annotations
 _WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 
 ORACLE = {
+    "op7_span_dedup": rf"""
+WITH p AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS piece,
+         generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+'), 1) AS i
+  FROM documents),
+k AS (SELECT *, translate(trim(piece, {_WS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM p),
+s AS (SELECT doc_id, i, key, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM k WHERE key <> ''),
+r AS (
+  SELECT doc_id, n, key || chr(0) || lead(key, 1) OVER w || chr(0) || lead(key, 2) OVER w AS run
+  FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
+later AS (
+  SELECT doc_id, n FROM (
+    SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS o FROM r WHERE run IS NOT NULL)
+  WHERE o > 1),
+gone AS (SELECT DISTINCT doc_id, n + x AS n FROM later, range(3) t(x)),
+m AS (
+  SELECT k.doc_id, k.i, k.piece, s.n IS NOT NULL AS sentence, gone.n IS NOT NULL AS dropped
+  FROM k LEFT JOIN s ON k.doc_id = s.doc_id AND k.i = s.i LEFT JOIN gone ON s.doc_id = gone.doc_id AND s.n = gone.n)
+SELECT d.doc_id, (count(*) FILTER (WHERE sentence))::BIGINT AS n_sentences,
+       (count(*) FILTER (WHERE dropped))::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(piece, '' ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM documents d LEFT JOIN m USING (doc_id) GROUP BY d.doc_id
+""",
     "op9_quality_rules": rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adsift.llm import license_scan, line_dedup, quality
+from adsift.llm import license_scan, line_dedup, packing, quality, span_dedup, toxicity
 from adsift.llm.common import read_table
 
 
@@ -20,12 +20,35 @@ def _sha256(text):
     return F.sha2(F.encode(text, "utf-8"), 256)
 
 
+def _tokenizer(name):
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_toxicity(spark, sf):
+    found = toxicity.score_toxicity(_documents(spark, sf), read_table(spark, sf, "labels"))
+    return found.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences",
+                        F.size("offending").cast("long").alias("n_offending"))
+
+
 def op4_license_scan(spark, sf):
     found = license_scan.scan_licenses(_documents(spark, sf))
     return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
                         "score", "spans")
 
 
+def op6_packing(spark, sf):
+    pieces = packing.pack_documents(_documents(spark, sf), _tokenizer("word_bpe_49k.json"))
+    return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
+def op7_span_dedup(spark, sf):
+    found = span_dedup.dedup_spans(_documents(spark, sf))
+    return found.select("row.doc_id", "n_sentences", "n_removed", _sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op9_quality_rules(spark, sf):
     found = quality.apply_quality_rules(_documents(spark, sf))
     return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -38,7 +61,10 @@ def op10_line_dedup(spark, sf):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_license_scan": op4_license_scan,
+    "op6_packing": op6_packing,
+    "op7_span_dedup": op7_span_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
