@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adsift.llm import license_scan, line_dedup, packing, quality, span_dedup, toxicity
+from adsift.llm import decontam, jaccard_forest, license_scan, line_dedup, packing, quality, span_dedup, toxicity
 from adsift.llm.common import read_table
 
 
@@ -38,6 +38,11 @@ def op4_license_scan(spark, sf):
                         "score", "spans")
 
 
+def op5_decontamination(spark, sf):
+    found = decontam.find_contamination(_documents(spark, sf), read_table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "start_word", "n_words", "similarity", "distance")
+
+
 def op6_packing(spark, sf):
     pieces = packing.pack_documents(_documents(spark, sf), _tokenizer("word_bpe_49k.json"))
     return pieces.select(F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -49,6 +54,11 @@ def op7_span_dedup(spark, sf):
     return found.select("row.doc_id", "n_sentences", "n_removed", _sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op8_jaccard_forest(spark, sf):
+    found = jaccard_forest.near_duplicates(_documents(spark, sf))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies")
+
+
 def op9_quality_rules(spark, sf):
     found = quality.apply_quality_rules(_documents(spark, sf))
     return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -63,8 +73,10 @@ def op10_line_dedup(spark, sf):
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_license_scan": op4_license_scan,
+    "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_span_dedup": op7_span_dedup,
+    "op8_jaccard_forest": op8_jaccard_forest,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
