@@ -1,0 +1,58 @@
+"""Small inputs for the corpus operators: edge rows and random texts."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
+          "id bigint, row string, row_hash string, text_hash int, h1 string, component int")
+
+LONG = " ".join(f"word{i % 977} fills the line number {i}." for i in range(6000))
+
+
+def rows(texts, first_id=0):
+    """``texts``: strings or (doc_id, text) pairs; the other columns clash with internal names."""
+    out = []
+    for i, t in enumerate(texts):
+        doc_id, text = t if isinstance(t, tuple) else (first_id + i, t)
+        out.append((doc_id, text, "en", None, None, -1, "clash", "x", 3, None, 9))
+    return out
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(rows(texts), SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+EDGES = [
+    None, "", " ", "\n", "\n\n\n", "a", "A\r\nB\tc", "é ü ñ ß 中文 words here", "🙂 emoji 🙂 text 🙂",
+    "same line here\nsame line here\nother text line", (5000, "same line here\nsame line here\nother text line"),
+    (5000, "same line here\nsame line here\nother text line"), (5000, "another text of the same id"),
+    (None, "same line here"), (None, None), "trailing space   \n   Same Line Here \nend", LONG,
+    "1 2 3 4 5 6 7 8 9 10", "Dots... many!!! Marks??? \x00 nul and \x7f del",
+]
+
+
+def random_texts(n, seed=1, vocabulary=40, words=(0, 90)):
+    """Texts of few distinct words with repeated lines and sentences, some of them near copies."""
+    rnd = random.Random(seed)
+    vocab = [f"w{rnd.choice('aeiou')}{i}" for i in range(vocabulary)]
+    shared = [" ".join(rnd.choices(vocab, k=rnd.randint(3, 12))).capitalize() + "." for _ in range(6)]
+    out = []
+    for _ in range(n):
+        if out and rnd.random() < 0.25:
+            w = rnd.choice(out).split(" ")
+            for _ in range(rnd.randint(0, 2)):
+                w[rnd.randrange(len(w))] = rnd.choice(vocab)
+            out.append(" ".join(w))
+            continue
+        parts = []
+        for _ in range(rnd.randint(*words) // 8):
+            parts.append(rnd.choice(shared) if rnd.random() < 0.4
+                         else " ".join(rnd.choices(vocab, k=rnd.randint(1, 12))).capitalize() + rnd.choice(".!?"))
+            parts.append(rnd.choice([" ", "\n", " \n", "\t"]))
+        out.append("".join(parts))
+    return out
