@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adsift.llm import decontam, jaccard_forest, license_scan, line_dedup, packing, quality, span_dedup, toxicity
+from adsift.llm import decontam, jaccard_forest, license_scan, line_dedup, packing, pii, quality, span_dedup, suffix_dedup, toxicity
 from adsift.llm.common import read_table
 
 
@@ -32,6 +32,23 @@ def op1_toxicity(spark, sf):
                         F.size("offending").cast("long").alias("n_offending"))
 
 
+def op2_suffix_dedup(spark, sf):
+    found = suffix_dedup.repeated_substrings(_documents(spark, sf))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed",
+                        F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def _span_text(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op3_pii(spark, sf):
+    found = pii.find_personal_data(_documents(spark, sf))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(F.col("id").alias("doc_id"), *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+                        _sha256(_span_text(F.col("base"))).alias("base_sha256"), _span_text(F.col("spans")).alias("spans"))
+
+
 def op4_license_scan(spark, sf):
     found = license_scan.scan_licenses(_documents(spark, sf))
     return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
@@ -72,6 +89,8 @@ def op10_line_dedup(spark, sf):
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_pii": op3_pii,
     "op4_license_scan": op4_license_scan,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
