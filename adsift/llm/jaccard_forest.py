@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Classes of documents linked by a shingle Jaccard similarity of at least ``threshold``.
 
     Returns per row of ``docs``: ``id``, ``row_hash``, ``class_id`` (the smallest id
-    of its class), ``n_links`` (other distinct shingle sets that its own is linked
+    of its class), ``is_first`` (the row of the smallest id, then hash, of its class), ``n_links`` (other distinct shingle sets that its own is linked
     to) and ``n_copies`` (distinct documents with the same set, itself included). A document of
     under 5 words has one shingle of all its words; one without words is alone.
     Rows with a null id are left out; repeated rows (same id and text) each get the
@@ -266,14 +266,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     joined = components(links.filter("sid != root").select(F.col("sid").alias("u"), F.col("root").alias("v")))
     counted = links.groupBy("sid").agg(F.sum("n_links").alias("n_links"))
-    named = (sets.select("sid", "a", "b", "n_copies", F.col("first.id").alias("first_id"))
+    named = (sets.select("sid", "a", "b", "n_copies", "first")
              .join(joined.withColumnRenamed("node", "sid"), "sid", "left").join(counted, "sid", "left")
-             .select("a", "b", "n_copies", "first_id", F.coalesce("component", "sid").alias("component"),
+             .select("a", "b", "n_copies", "first", F.coalesce("component", "sid").alias("component"),
                      F.coalesce("n_links", F.lit(0)).alias("n_links")))
     named = written(named, "forest-named")
-    smallest = named.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    classes = written(named.join(smallest, "component").select("a", "b", "class_id", "n_links", "n_copies"), "forest-classes")
+    smallest = named.groupBy("component").agg(F.min("first").alias("class_first"))
+    classes = written(named.join(smallest, "component").select("a", "b", "class_first", "n_links", "n_copies"), "forest-classes")
     return (signed.select("id", "row_hash", "a", "b").join(classes.hint("merge"), ["a", "b"], "left")
-            .select("id", "row_hash", F.coalesce("class_id", "id").alias("class_id"),
+            .select("id", "row_hash", F.coalesce("class_first.id", "id").alias("class_id"),
+                    F.coalesce(F.col("class_first") == F.struct("id", "row_hash"), F.lit(True)).alias("is_first"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies")))
