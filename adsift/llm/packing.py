@@ -56,6 +56,7 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.encode_many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = cache_entries
         self._clear()

@@ -1,0 +1,89 @@
+"""Decontamination against brute force over all windows."""
+
+import random
+
+import numpy as np
+
+from adsift.llm import decontam
+from tests.llm import cases
+from tests.llm.test_license_scan import words
+
+
+def items_of(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+
+
+def brute(docs, items, threshold=0.8):
+    out = {}
+    for doc_id, text, *_ in docs:
+        w = [x.encode() for x in words(text)]
+        for n, item in enumerate(items):
+            v = [x.encode() for x in words(item)]
+            best = max(((decontam.similarity(w[s:s + len(v)], v), -s) for s in range(len(w) - len(v) + 1)), default=(0, 0)) if v else (0, 0)
+            if best[0] >= threshold:
+                out.setdefault((doc_id, n), []).append((-best[1], len(v), round(best[0], 9)))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def planted(seed=3):
+    rnd = random.Random(seed)
+    vocab = [f"v{i}" for i in range(60)]
+    draw = lambda n: rnd.choices(vocab, k=n)
+    items = [draw(rnd.randint(15, 57)) for _ in range(25)] + [draw(3), draw(1), [], draw(5), draw(400), ["ab"] * 30]
+    items.append(list(items[0]))
+    texts = []
+    for _ in range(60):
+        it = list(rnd.choice(items))
+        edits = rnd.choice([0, 0, 1, 2])
+        for _ in range(edits if len(it) > 30 else 0):
+            it[rnd.choice([0, 1, len(it) - 1, rnd.randrange(len(it))])] = "edited"
+        glue = rnd.choice([" ", "\n", ", "])
+        texts.append(glue.join(draw(rnd.randint(0, 80)) + [x.upper() for x in it] + draw(rnd.randint(0, 80))))
+    return texts, [" ".join(i) for i in items]
+
+
+def test_against_brute_force(spark):
+    texts, items = planted()
+    texts = cases.EDGES + texts
+    got = {}
+    for r in decontam.find_contamination(cases.frame(spark, texts), items_of(spark, items)).collect():
+        got.setdefault((r.id, r.item_id), []).append((r.start_word, r.n_words, round(r.similarity, 9)))
+    assert {k: sorted(v) for k, v in got.items()} == brute(cases.rows(texts), items)
+
+
+def test_blocks_of_items_change_nothing(spark):
+    texts, items = planted(4)
+    df, bench = cases.frame(spark, texts), items_of(spark, items)
+    whole = sorted(map(tuple, decontam.find_contamination(df, bench).collect()))
+    assert whole == sorted(map(tuple, decontam.find_contamination(df, bench, block_items=7).collect()))
+    clean = decontam.drop_contaminated(df, bench, block_items=7)
+    assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {r[0] for r in whole}
+    assert clean.columns == df.columns
+
+
+def test_block_index_finds_all_within_the_radius():
+    rng = np.random.default_rng(1)
+    index = decontam.ItemIndex(20, [(i, [b"w"] * 20, rng.integers(0, 2**63, 20, dtype=np.uint64)) for i in range(12)])
+    windows = []
+    for p in index.prints:
+        for flips in (0, 5, 20, 30, 31, 32, 40):
+            bits = np.unpackbits(p.view(np.uint8))
+            bits[rng.choice(128, flips, replace=False)] ^= 1
+            windows.append(np.packbits(bits).view(np.uint16))
+    windows = np.array(windows)
+    got = set(zip(*(x.tolist() for x in index.within(windows)), strict=True))
+    want = set()
+    for w, x in enumerate(windows):
+        for i, p in enumerate(index.prints):
+            d = int(np.bitwise_count(x ^ p).sum())
+            if d <= decontam.RADIUS:
+                want.add((w, i, d))
+    assert got == want
+
+
+def test_no_items_or_no_documents(spark):
+    assert decontam.find_contamination(cases.empty(spark), items_of(spark, ["a b c d e f"])).collect() == []
+    none = spark.createDataFrame([], "item_id long, text string")
+    df = cases.frame(spark, ["a b c d e f"])
+    assert decontam.find_contamination(df, none).collect() == []
+    assert decontam.drop_contaminated(df, none).count() == 1
