@@ -1,7 +1,7 @@
 """Command line for the end-to-end jobs (use with spark-submit).
 
     spark-submit --py-files adsift.zip adsift/__main__.py funnel --root R --out O --start 2016-06-29
-    python -m adsift enrich --root R --out O            # yesterday by default
+    python -m adsift enrich --root R --out O --sponsor 7   # yesterday by default
 
 Cluster settings (master, shuffle partitions, checkpoint dir) come from the
 submitting environment; nothing here overrides them.
@@ -31,6 +31,11 @@ def _parser() -> argparse.ArgumentParser:
             sp.add_argument("--end")
         sp.add_argument("--num-files", type=int, help="output file count (default: parallel)")
 
+    def sponsors(sp):
+        one = sp.add_mutually_exclusive_group(required=True)
+        one.add_argument("--sponsor", type=int)
+        one.add_argument("--all-sponsors", action="store_true")
+
     f = sub.add_parser("funnel", help="funnel counters by page-view dimensions")
     common(f)
     f.add_argument("--slot")
@@ -41,12 +46,12 @@ def _parser() -> argparse.ArgumentParser:
     e = sub.add_parser("enrich", help="daily impression/click enrichment")
     common(e, dated=False)
     e.add_argument("--date", help="run date (default: yesterday)")
-    e.add_argument("--sponsor", type=int)
+    sponsors(e)
     e.add_argument("--all-apps", action="store_true")
 
     c = sub.add_parser("click-devices", help="distinct click time/device lines of a sponsor")
     common(c)
-    c.add_argument("--sponsor", type=int)
+    sponsors(c)
 
     r = sub.add_parser("cohort-reach", help="cohort ids reached by page views")
     common(r)
@@ -74,15 +79,12 @@ def main(argv=None) -> None:
                         grain=a.grain, per_day=a.per_day, fmt=a.format, num_files=a.num_files,
                         layout=a.layout)
     elif a.job == "enrich":
-        kw = {} if a.sponsor is None else {"sponsor_id": a.sponsor}
-        if a.all_apps:
-            kw["app_ids"] = None
+        kw = {"app_ids": None} if a.all_apps else {}
         jobs.daily_enrichment_job(spark, a.root, a.out, run_date=a.date, fmt=a.format,
-                                  num_files=a.num_files, layout=a.layout, **kw)
+                                  num_files=a.num_files, layout=a.layout, sponsor_id=a.sponsor, **kw)
     elif a.job == "click-devices":
-        kw = {} if a.sponsor is None else {"sponsor_id": a.sponsor}
         jobs.click_devices_job(spark, a.root, a.out, a.start, a.end, fmt=a.format,
-                               num_files=a.num_files, layout=a.layout, **kw)
+                               num_files=a.num_files, layout=a.layout, sponsor_id=a.sponsor)
     elif a.job == "cohort-reach":
         jobs.cohort_reach_job(spark, a.root, a.cohort, a.out, a.start, a.end, fmt=a.format,
                               num_files=a.num_files, layout=a.layout)

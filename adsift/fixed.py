@@ -29,7 +29,6 @@ FD_REJECTED = ("", "null", "None")   # strict rule
 FORM_MARKER = "school="
 FORM_EMPTY_FIELD = "=&"
 LANDING_SLOT = "780dc5048214ef5f0c94f366d2554d40"
-OTHER_LANDING_SLOT = "b65143e622ec5936e38a47ed365e2384"
 
 # Job parameters.
 ENRICH_APP_IDS = ("1042", "1070", "252", "380", "438", "462", "542", "554", "794", "974")
@@ -39,5 +38,9 @@ OWN_APP_IDS = ("252", "462")
 SLOT_MIN_DEVICES = 100
 
 # Text formats.
+DAILY_AVG_LABELS = {"ht_avg": ": ht_avg:", "lt_avg": ",lt_avg:", "pt_avg": ",pt_avg:"}
+DAILY_COUNT_LABELS = {"fd_count": ",fd_count:"}
+GROUP_SUM_LABELS = {"ht_sum": ",ht_sum:", "lt_sum": ",lt_sum:", "pt_sum": ",pt_sum:", "fd_count": ",count:"}
+GROUP_AVG_LABELS = {"ht_avg": ",ht_avg:", "lt_avg": ",lt_avg:", "pt_avg": ",pt_avg:"}
 ENRICH_SEP = ";"
 WORD_SEP = " "

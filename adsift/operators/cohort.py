@@ -2,16 +2,15 @@
 list of candidate ids per row (device id, then udid, then auid; or IDFA, then
 DEVICEID).
 
-Membership is one left join per candidate against the de-duplicated cohort,
-so a row is never multiplied and keeps its identity; the first candidate that
-is a member wins. Set-valued results first collapse rows to distinct candidate
-tuples (partial aggregation), so a device repeated a million times is joined
-once. Spark sizes the cohort at run time: a small list becomes a broadcast
-hash join, a large one a sort-merge join; NULL/empty candidates get a salted,
-never-matching key so they spread over all reducers, and a hot member id is
-split by AQE's skew-join handling. Every result is a DataFrame; there is no
-driver-side set, accumulator or per-partition state, so results do not depend
-on partitioning.
+Rows first collapse to distinct candidate tuples (partial aggregation), so a
+device seen a million times is joined once. Every tuple's candidates are then stacked as
+``(priority, id)`` rows and meet the cohort in ONE join on the id; the tuple's
+first member is read off one flag per priority. NULL and empty candidates
+never enter the join. A semi join drops non-members at once and cannot multiply rows, so
+the id list needs no ``distinct``, both sides come straight from an exchange, and AQE
+can split an id that very many tuples share. Spark sizes the cohort at run time: a small
+list becomes a broadcast hash join, a large one a sort-merge join. Every result is a DataFrame;
+there is no driver-side set, accumulator or per-partition state.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adsift import fixed
-from adsift.functions import map_value, strip_id_prefix
+from adsift.functions import map_value, strip_id_prefix, to_text
 from adsift.sources.feeds import time_range
 
 OWN_APP_IDS = fixed.OWN_APP_IDS
@@ -31,56 +30,62 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _spread_key(value: Column, salt: Column) -> Column:
-    """Join key that equals ``value`` when set; a NULL is replaced by a salted
-    marker so NULL rows spread over all reducers instead of one. Callers only
-    count a hit when ``value`` itself is non-NULL, so the marker never matches."""
-    return F.coalesce(value, F.concat(F.lit("\u0000"), salt.cast("string")))
+def _ids(cohort: DataFrame) -> DataFrame:
+    return cohort.select(F.col("id").cast("string").alias("_id")).filter(F.col("_id") != "")
+
+
+def _stacked(tuples: DataFrame, cands: list[str], outer: bool = False) -> DataFrame:
+    """Each tuple's non-empty candidates as rows with ``_rank`` and ``_id``;
+    with ``outer`` a tuple without any keeps one row (NULL ``_id``)."""
+    listed = F.filter(F.array(*[F.struct(F.lit(i).alias("_rank"), F.col(c).alias("_id"))
+                                for i, c in enumerate(cands)]), lambda x: x["_id"] != "")
+    explode = F.inline_outer if outer else F.inline
+    return tuples.select("*", explode(listed))
+
+
+def _first_hit(cands: list[str], flags: list[str]) -> Column:
+    """The first candidate whose flag is set."""
+    return F.coalesce(*[F.when(F.col(f), F.col(c)) for c, f in zip(cands, flags, strict=True)])
+
+
+def _hits(cands: list[str], name: str = "_hit", cond: Column | None = None) -> list[Column]:
+    cond = F.lit(True) if cond is None else cond
+    return [F.coalesce(F.bool_or(cond & (F.col("_rank") == i)), F.lit(False)).alias(f"{name}{i}")
+            for i in range(len(cands))]
+
+
+def first_members(tuples: DataFrame, cands: list[str], cohort: DataFrame, out: str = "id") -> DataFrame:
+    """The distinct ``tuples`` that have a member among their candidate columns,
+    with ``out``: the first candidate (in order) that is in ``cohort``.
+
+    ``cohort`` has one column ``id`` and may repeat ids. Empty or NULL
+    candidates never match."""
+    members = _stacked(tuples, cands).join(_ids(cohort), "_id", "left_semi")
+    flags = [f"_hit{i}" for i in range(len(cands))]
+    return (members.groupBy(*tuples.columns).agg(*_hits(cands))
+            .select(*tuples.columns, _first_hit(cands, flags).alias(out)))
 
 
 def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
                  out: str = "matched_id") -> DataFrame:
-    """Add ``out``: the first candidate id (in order) that is in ``cohort``.
-
-    ``cohort`` has one column ``id``; it is de-duplicated here so the joins
-    cannot multiply rows. Empty or NULL candidates never match, and their
-    join keys are salted with a hash of the row's non-map columns.
-    """
-    ids = cohort.select(F.col("id").cast("string").alias("id")).distinct()
-    base = df.columns
-    cands = [f"_cand{i}" for i in range(len(candidates))]
-    cur = df.select(*base, *[F.when(_c(c) != "", _c(c)).alias(n) for c, n in zip(candidates, cands)])
-    hashable = [f.name for f in cur.schema.fields if "map<" not in f.dataType.simpleString()]
-    cur = cur.withColumn("_salt", F.xxhash64(*hashable))
-    # The same member frame (same column names) is joined once per candidate,
-    # so Spark builds/broadcasts the cohort once and reuses that exchange.
-    # Rows already matched by an earlier candidate probe with the salted key
-    # too, so a hot id that matched first is not hot again in later joins.
-    member = ids.select(F.col("id").alias("_member_id"))
-    cur = cur.withColumn("_done", F.lit(False))
-    picks = []
-    for i, k in enumerate(cands):
-        probe = F.col(k).isNotNull() & ~F.col("_done")
-        cur = (cur.withColumn("_key", _spread_key(F.when(probe, F.col(k)), F.col("_salt")))
-               .join(member, F.col("_key") == F.col("_member_id"), "left")
-               .withColumn(f"_hit{i}", F.col("_member_id").isNotNull() & probe)
-               .withColumn("_done", F.col("_done") | F.col(f"_hit{i}"))
-               .drop("_key", "_member_id"))
-        picks.append(F.when(F.col(f"_hit{i}"), F.col(k)))
-    return cur.select(*base, F.coalesce(*picks).alias(out))
+    """Add ``out`` to every row: the first candidate id (in order) that is in
+    ``cohort``, NULL without one. Rows keep their identity and are never multiplied."""
+    cands = [f"_c{i}" for i in range(len(candidates))]
+    rows = df.select(*df.columns, *[_c(c).cast("string").alias(n) for c, n in zip(candidates, cands, strict=True)])
+    found = first_members(rows.select(*cands).distinct(), cands, cohort, out="_found")
+    found = found.select(*[F.col(c).alias(f"_m{c}") for c in cands], "_found")
+    same = F.lit(True)
+    for c in cands:
+        same = same & F.col(c).eqNullSafe(F.col(f"_m{c}"))
+    return rows.join(found, same, "left").select(*df.columns, F.col("_found").alias(out))
 
 
 def distinct_matches(df: DataFrame, keep: list[str], candidates: list, cohort: DataFrame,
                      out: str = "id") -> DataFrame:
-    """Distinct ``(*keep, out)`` over rows whose first member candidate is ``out``.
-
-    Rows are first collapsed to distinct ``(*keep, candidates)`` tuples
-    (partial aggregation map-side), so a device seen a million times crosses
-    the joins once.
-    """
-    tuples = df.select(*keep, *[_c(c).alias(f"_c{i}") for i, c in enumerate(candidates)]).distinct()
-    m = match_cohort(tuples, [f"_c{i}" for i in range(len(candidates))], cohort, out=out)
-    return m.filter(F.col(out).isNotNull()).select(*keep, out).distinct()
+    """Distinct ``(*keep, out)`` over rows whose first member candidate is ``out``."""
+    cands = [f"_c{i}" for i in range(len(candidates))]
+    tuples = df.select(*keep, *[_c(c).cast("string").alias(n) for c, n in zip(candidates, cands, strict=True)]).distinct()
+    return first_members(tuples, cands, cohort, out=out).select(*keep, out).distinct()
 
 
 def pv_candidates(strip_udid: bool = False) -> list[Column]:
@@ -115,8 +120,9 @@ def cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> Data
 
 def slot_device_pairs(pv: DataFrame, cohort: DataFrame, strip_udid: bool = False,
                       start=None, end=None) -> DataFrame:
-    """Distinct ``(slot_id, device)`` pairs, ``device`` the matched cohort id."""
-    pv = time_range(pv, start, end).filter(F.col("slot_id").isNotNull())
+    """Distinct ``(slot_id, device)`` pairs, ``device`` the matched cohort id;
+    a NULL slot is the text ``null``."""
+    pv = time_range(pv, start, end).withColumn("slot_id", to_text("slot_id"))
     return distinct_matches(pv, ["slot_id"], pv_candidates(strip_udid), cohort, out="device")
 
 
@@ -147,15 +153,19 @@ def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
     ``app_ids``: ``(in_app, n_cohort1, n_cohort2)`` distinct ids (device id
     first, then udid)."""
     flag = F.coalesce(F.col("app_id").isin(list(app_ids)), F.lit(False))
-    cands = pv_candidates()[:2]
+    cands = ["_c0", "_c1"]
     tuples = (time_range(pv, start, end)
-              .select(flag.alias("in_app"), *[c.alias(f"_c{i}") for i, c in enumerate(cands)])
+              .select(flag.alias("in_app"), *[c.alias(n) for c, n in zip(pv_candidates()[:2], cands, strict=True)])
               .distinct())
-    m = match_cohort(tuples, ["_c0", "_c1"], cohort1, out="id1")
-    m = match_cohort(m, ["_c0", "_c1"], cohort2, out="id2")
-    return (m.groupBy("in_app")
-            .agg(F.count_distinct("id1").alias("n_cohort1"),
-                 F.count_distinct("id2").alias("n_cohort2")))
+    both = (_ids(cohort1).withColumn("_label", F.lit(1))
+            .unionByName(_ids(cohort2).withColumn("_label", F.lit(2))))
+    # An outer join: a flag without any member still has its row.
+    joined = _stacked(tuples, cands, outer=True).join(both, "_id", "left")
+    hits = joined.groupBy("in_app", *cands).agg(
+        *_hits(cands, "_one", F.col("_label") == 1), *_hits(cands, "_two", F.col("_label") == 2))
+    return (hits.groupBy("in_app")
+            .agg(F.count_distinct(_first_hit(cands, ["_one0", "_one1"])).alias("n_cohort1"),
+                 F.count_distinct(_first_hit(cands, ["_two0", "_two1"])).alias("n_cohort2")))
 
 
 def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYND_ID,
@@ -163,27 +173,27 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
     """Per day and hour ``0..max_hour``: cohort ids first seen in that hour
     (``n_new``) and the running distinct total (``n_total``).
 
-    First-seen is ``min(hour)`` per ``(dt, id)`` (pre-aggregated per candidate
-    tuple before the joins); empty hours are filled from a
-    per-day hour spine generated with ``sequence`` (no join fan-out), and the
-    running total is a window sum over at most ``max_hour + 1`` rows per day.
+    First-seen is ``min(hour)`` per ``(dt, id)``, pre-aggregated per candidate
+    tuple before the join. Rows of other partners or later hours only mark their day (no
+    candidates), so the feed is read once and every day read has its rows. A day's new ids are
+    counted in ``max_hour + 1`` columns, which become its rows; the running
+    total is a window over at most that many rows per day.
     """
-    scoped = time_range(pv_dsp, start, end)
-    days = scoped.select("dt").distinct()          # every day read gets its 0..max_hour rows
-    feed = scoped.filter(F.col("hour") <= max_hour)
-    # The matched id depends on the candidates only, so each candidate tuple's
-    # earliest hour is taken before the joins (one row per tuple and day).
-    cands = dsp_candidates()
-    tuples = (feed.filter(F.col("synd_id") == synd_id)
-              .select("dt", "hour", *[c.alias(f"_c{i}") for i, c in enumerate(cands)])
-              .groupBy("dt", *[f"_c{i}" for i in range(len(cands))])
-              .agg(F.min("hour").alias("hour")))
-    m = match_cohort(tuples, [f"_c{i}" for i in range(len(cands))], cohort, out="id")
-    first_seen = (m.filter(F.col("id").isNotNull())
+    cands = ["_c0", "_c1"]
+    counts = F.coalesce((F.col("hour") <= max_hour) & (F.col("synd_id") == synd_id), F.lit(False))
+    tuples = (time_range(pv_dsp, start, end)
+              .select("dt", F.when(counts, F.col("hour")).alias("hour"),
+                      *[F.when(counts, c).alias(n) for c, n in zip(dsp_candidates(), cands, strict=True)])
+              .groupBy("dt", *cands).agg(F.min("hour").alias("hour")))
+    joined = _stacked(tuples, cands, outer=True).join(
+        _ids(cohort).withColumn("_member", F.lit(True)), "_id", "left")
+    hits = joined.groupBy("dt", *cands).agg(F.min("hour").alias("hour"), *_hits(cands, cond=F.col("_member")))
+    first_seen = (hits.select("dt", "hour", _first_hit(cands, ["_hit0", "_hit1"]).alias("id"))
                   .groupBy("dt", "id").agg(F.min("hour").alias("hour")))
-    new = first_seen.groupBy("dt", "hour").agg(F.count("*").alias("n_new"))
-    spine = days.select("dt", F.explode(F.sequence(F.lit(0), F.lit(max_hour))).alias("hour"))
+    hours = range(max_hour + 1)
+    per_day = first_seen.groupBy("dt").agg(
+        *[F.count_if(F.col("id").isNotNull() & (F.col("hour") == h)).alias(f"_h{h}") for h in hours])
+    rows = per_day.select("dt", F.inline(F.array(*[F.struct(F.lit(h).alias("hour"), F.col(f"_h{h}").alias("n_new"))
+                                                   for h in hours])))
     w = Window.partitionBy("dt").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)
-    return (spine.join(new, ["dt", "hour"], "left")
-            .select("dt", "hour", F.coalesce("n_new", F.lit(0)).cast("bigint").alias("n_new"))
-            .withColumn("n_total", F.sum("n_new").over(w).cast("bigint")))
+    return rows.select("dt", "hour", "n_new", F.sum("n_new").over(w).cast("bigint").alias("n_total"))

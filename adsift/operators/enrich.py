@@ -1,10 +1,12 @@
 """Enrich impressions/clicks with device fields of the bid's first page view.
 
 The page-view side is first reduced to one row per ``bid_id`` (``min_by`` over
-``(ts, row_id)``, partial-aggregated map-side), then left-joined. The right
-side therefore never multiplies left rows, a hot bid on the right collapses
-before the shuffle, a hot bid on the left is split by AQE's skew-join
-handling, and NULL bids (which never match) are salted across reducers. Spark picks broadcast vs sort-merge from the runtime size of the
+``(ts, row_id)``, partial-aggregated map-side) and checkpointed in the shared
+folder, then left-joined: it never multiplies left rows, one reduction can
+serve both event feeds, and with exchanges directly below both sides of the
+join AQE can split a hot bid on the left (it does not where an aggregate stands
+between). NULL bids (which never match) are salted across reducers. Spark
+picks broadcast vs sort-merge from the runtime size of the
 reduced side (``autoBroadcastJoinThreshold``), so nothing is broadcast blind.
 """
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adsift import fixed
 from adsift.functions import iso_millis, strip_id_prefix, to_text
+from adsift.session import cut_lineage
 from adsift.sources.feeds import time_range
 
 DEFAULT_APP_IDS = fixed.ENRICH_APP_IDS
@@ -49,11 +52,12 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     page view both device fields are ``''``; with one, the id loses a 4-char
     scheme prefix when it contains ``:`` and stays NULL if the view had none.
     ``ts_iso`` is rendered in the session time zone, or UTC with ``tz="UTC"``.
+    Runs the reduction of the page views at once.
     """
     pv = time_range(pv, start, end)
     if sponsor_id is not None:
         pv = restrict_to_bids(pv, _sponsor_events(events, sponsor_id, start, end))
-    first = first_pv_device(pv, app_ids)
+    first = cut_lineage(first_pv_device(pv, app_ids))
     return enrich_with_first(events, first, sponsor_id, start, end, tz)
 
 
@@ -75,7 +79,8 @@ def restrict_to_bids(pv: DataFrame, *events: DataFrame) -> DataFrame:
 def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
                       start=None, end=None, tz: str | None = None) -> DataFrame:
     """``enrich_events`` against an already reduced page-view side
-    (``first_pv_device``), so one reduction can serve several event feeds."""
+    (``first_pv_device``, checkpointed or written), so one reduction can serve
+    several event feeds."""
     ev = _sponsor_events(events, sponsor_id, start, end).select("bid_id", "ts", "ip", "slot_id", "app_id")
     # NULL bids can never match; salt their join key so they spread over all
     # reducers instead of piling onto the one NULL hashes to.

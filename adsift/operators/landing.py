@@ -3,7 +3,8 @@
 ``fd`` is the form text in ``ext``. By default a row counts when the ``fd``
 key is present; ``strict=True`` also rejects NULL, ``''``, ``'null'`` and
 ``'None'``. Failing rows still form their groups (count 0, averages NULL);
-averages divide bigint sums once, in double, with ``try_divide``.
+averages divide bigint sums once, in double, with ``try_divide``. A NULL metric
+counts as 0.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adsift import fixed
-from adsift.functions import form_complete, map_get_or_else
+from adsift.functions import form_complete, map_get_or_else, to_text
 from adsift.sources.feeds import time_range
 
 DEFAULT_SLOT = fixed.LANDING_SLOT
@@ -29,7 +30,7 @@ def fd_present(strict: bool = False) -> Column:
 
 
 def _sums(ok: Column) -> list[Column]:
-    aggs = [F.sum(F.when(ok, F.col(m)).otherwise(F.lit(0))).cast("bigint").alias(f"{m}_sum")
+    aggs = [F.sum(F.when(ok, F.coalesce(m, F.lit(0))).otherwise(F.lit(0))).cast("bigint").alias(f"{m}_sum")
             for m in _METRICS]
     return aggs + [F.count_if(ok).alias("fd_count")]
 
@@ -45,6 +46,14 @@ def landing_daily_avg(land: DataFrame, strict: bool = False, start=None, end=Non
     return t.select("dt", *_avgs(), "fd_count")
 
 
+def landing_daily_of_groups(groups: DataFrame) -> DataFrame:
+    """``landing_daily_avg`` from the rows of ``landing_group_avg``: sums and
+    counts add up, so the feed need not be read again."""
+    t = groups.groupBy("dt").agg(*[F.sum(c).cast("bigint").alias(c)
+                                   for c in (*[f"{m}_sum" for m in _METRICS], "fd_count")])
+    return t.select("dt", *_avgs(), "fd_count")
+
+
 def landing_group_avg(land: DataFrame, strict: bool = False, start=None, end=None) -> DataFrame:
     """Per ``(dt, sponsor_id, slot_id)``: sums, count and averages."""
     t = (time_range(land, start, end).groupBy("dt", "sponsor_id", "slot_id")
@@ -100,24 +109,25 @@ def _fmt_avg(c: str) -> Column:
     """``%f`` text: six decimals rounded half-up from the shortest decimal form
     (a decimal cast, code-generated; ``format_string`` only for values beyond
     decimal(38,6)). A group without counted rows prints NaN, like a float 0/0."""
-    x = F.col(c)
-    fast = x.try_cast("decimal(38,6)").cast("string")
-    return F.when(x.isNull(), F.lit("NaN")).otherwise(F.coalesce(fast, F.format_string("%f", x)))
+    x = F.coalesce(F.col(c), F.lit(0.0))
+    text = F.coalesce(x.try_cast("decimal(38,6)").cast("string"), F.format_string("%f", x))
+    return F.when(F.col("fd_count") == 0, F.lit("NaN")).otherwise(text)
+
+
+def _labelled(labels: dict[str, str], render) -> list[Column]:
+    return [F.concat(F.lit(label), render(c)) for c, label in labels.items()]
 
 
 def landing_daily_text(daily: DataFrame) -> DataFrame:
     """``YYYY-MM-DD: ht_avg:%f,lt_avg:%f,pt_avg:%f,fd_count:%d`` lines."""
-    line = F.concat(F.date_format("dt", "yyyy-MM-dd"), F.lit(": ht_avg:"), _fmt_avg("ht_avg"),
-                    F.lit(",lt_avg:"), _fmt_avg("lt_avg"), F.lit(",pt_avg:"), _fmt_avg("pt_avg"),
-                    F.lit(",fd_count:"), F.col("fd_count").cast("string"))
+    line = F.concat(to_text(F.date_format("dt", "yyyy-MM-dd")), *_labelled(fixed.DAILY_AVG_LABELS, _fmt_avg),
+                    *_labelled(fixed.DAILY_COUNT_LABELS, to_text))
     return daily.select(line.alias("value"))
 
 
 def landing_group_text(groups: DataFrame) -> DataFrame:
     """``yyyy/MM/dd,sponsor,slot,ht_sum:%d,...,count:%d,ht_avg:%f,...`` lines."""
-    sums = [F.concat(F.lit(f",{m}_sum:"), F.col(f"{m}_sum").cast("string")) for m in _METRICS]
-    avgs = [F.concat(F.lit(f",{m}_avg:"), _fmt_avg(f"{m}_avg")) for m in _METRICS]
-    line = F.concat(F.date_format("dt", "yyyy/MM/dd"), F.lit(","), F.col("sponsor_id").cast("string"),
-                    F.lit(","), F.coalesce(F.col("slot_id"), F.lit("null")), *sums,
-                    F.lit(",count:"), F.col("fd_count").cast("string"), *avgs)
+    line = F.concat(to_text(F.date_format("dt", "yyyy/MM/dd")), F.lit(","), to_text("sponsor_id"),
+                    F.lit(","), to_text("slot_id"), *_labelled(fixed.GROUP_SUM_LABELS, to_text),
+                    *_labelled(fixed.GROUP_AVG_LABELS, _fmt_avg))
     return groups.select(line.alias("value"))

@@ -8,15 +8,13 @@ collected to the driver.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing
-from adsift.session import cut_lineage, size_shuffle
-from adsift.sinks import write_table, write_text
-from adsift.sources import default_run_date, hourly_glob, read_cohort, read_feed, read_hourly_layout
+from adsift.session import cut_lineage
+from adsift.sinks import read_table, write_table, write_text
+from adsift.sources import default_run_date, read_cohort, read_feed, read_hourly_layout, time_range
 from adsift.streaming import file_line_stream, socket_line_stream, word_count_stream
 
 _DIMS = {"default": funnel.default_dims, "abtest": funnel.abtest_dims, "version": funnel.version_dims}
@@ -28,24 +26,12 @@ def _feeds(spark, root, start, end, fmt, names, layout="partitioned"):
     if layout == "hourly":
         if start is None:
             raise ValueError("the hourly layout needs a start date")
-        size_shuffle(spark, [hourly_glob(root, n, start, end) for n in names])
         return [read_hourly_layout(spark, root, n, start, end, fmt=fmt) for n in names]
     if layout != "partitioned":
         raise ValueError("layout must be 'partitioned' or 'hourly'")
-    size_shuffle(spark, [_feed_glob(root, n, start, end) for n in names])
     return [read_feed(spark, root, n, start, end, fmt=fmt) for n in names]
 
 
-def _feed_glob(root: str, feed: str, start, end) -> str:
-    """The ``dt=`` partition directories of a feed for a day range."""
-    if start is None:
-        return f"{root.rstrip('/')}/{feed}"
-    d0 = _dt.date.fromisoformat(str(start))
-    d1 = _dt.date.fromisoformat(str(end or start))
-    days = [str(d0 + _dt.timedelta(days=i)) for i in range((d1 - d0).days + 1)]
-    return f"{root.rstrip('/')}/{feed}/dt={{{','.join(days)}}}"
-
-
 def funnel_job(spark: SparkSession, root: str, out: str, start, end=None, slot_id=None,
                dims: str = "default", grain: str = "hour", per_day: bool = False,
                fmt: str = "parquet", num_files: int | None = None,
@@ -71,7 +57,7 @@ def daily_enrichment_job(spark: SparkSession, root: str, out: str, run_date=None
     enriched from page views, as ``;``-separated text under
     ``<out>/<date>_impr`` and ``<out>/<date>_click``. The page-view side is
     reduced once and joined to both feeds."""
-    day = run_date or default_run_date()
+    day = run_date or default_run_date(spark)
     pv, impr, click = _feeds(spark, root, day, day, fmt, ("pv", "impr", "click"), layout)
     if sponsor_id is not None:          # only the sponsor's bids need a page view
         pv = enrich.restrict_to_bids(pv, *[e.filter(F.col("sponsor_id") == sponsor_id) for e in (impr, click)])
@@ -107,16 +93,16 @@ def landing_report_job(spark: SparkSession, root: str, out: str, start, end=None
                        strict: bool = False, fmt: str = "parquet", layout: str = "partitioned") -> None:
     """Daily and per-(day, sponsor, slot) landing metrics as text and parquet."""
     (land,) = _feeds(spark, root, start, end or start, fmt, ("land_page",), layout)
-    daily = landing.landing_daily_avg(land, strict=strict)
-    groups = landing.landing_group_avg(land, strict=strict)
-    write_text(landing.landing_daily_text(daily), f"{out}/daily_text")
+    write_table(landing.landing_group_avg(land, strict=strict), f"{out}/groups", partition_by=["dt"])
+    # The feed is read once: both texts derive from the groups.
+    groups = time_range(read_table(spark, f"{out}/groups").withColumn("dt", F.col("dt").cast("date")), start, end or start)
     write_text(landing.landing_group_text(groups), f"{out}/group_text")
-    write_table(groups, f"{out}/groups", partition_by=["dt"])
+    write_text(landing.landing_daily_text(landing.landing_daily_of_groups(groups)), f"{out}/daily_text")
 
 
 def word_count_job(spark: SparkSession, out: str, checkpoint: str, path: str | None = None,
                    host: str | None = None, port: int | None = None, trigger: dict | None = None,
-                   num_files: int | None = None):
+                   num_files: int | None = None, max_files_per_trigger: int | None = None):
     """Per-batch word counts from a text-file directory or a socket server."""
-    lines = socket_line_stream(spark, host, port) if host else file_line_stream(spark, path)
+    lines = socket_line_stream(spark, host, port) if host else file_line_stream(spark, path, max_files_per_trigger)
     return word_count_stream(lines, out, checkpoint, trigger, num_files)

@@ -8,14 +8,24 @@ Spark results.
 
 from __future__ import annotations
 
+from adsift import fixed
+
 K = "json_extract_string(props, '$.k')"
 
+
+def _but(n: int, value: str, key: str = "event_id") -> str:
+    """The adapters' NULL in every n-th row."""
+    return f"CASE WHEN {key} % {n} <> 0 THEN {value} END"
+
+
 # ---- feed adapters -------------------------------------------------------
 PV = f"""pv AS (
-  SELECT CAST(ts AS TIMESTAMP) AS ts, event_id AS row_id, CAST(user_id AS VARCHAR) AS bid_id,
-         {K} AS app_id, CAST(user_id % 4 AS VARCHAR) AS slot_id, CAST(user_id AS VARCHAR) AS device_id,
+  SELECT CAST(ts AS TIMESTAMP) AS ts, event_id AS row_id, {_but(101, "CAST(user_id AS VARCHAR)")} AS bid_id,
+         {K} AS app_id, {_but(103, "CAST(user_id % 4 AS VARCHAR)")} AS slot_id,
+         {_but(107, "CAST(user_id AS VARCHAR)")} AS device_id,
          'device-' || CAST(event_id % 7 AS VARCHAR) AS device_name,
-         ['vendor:' || CAST(user_id % 3 AS VARCHAR), 'abtest:' || CAST(user_id % 2 AS VARCHAR)] AS tags,
+         CASE WHEN event_id % 11 = 0 THEN '8' ELSE CAST(user_id % 3 AS VARCHAR) END AS vendor_tag,
+         CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(user_id % 2 AS VARCHAR) END AS abtest_tag,
          'ifa:' || {K} AS udid, CASE WHEN event_id % 2 = 0 THEN {K} END AS auid,
          CAST(user_id % 5 AS VARCHAR) AS mcc, CAST(NULL AS VARCHAR) AS nsv, {K} AS av,
          CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INTEGER) AS hour
@@ -24,9 +34,9 @@ PV = f"""pv AS (
 
 def _simple_feed(name: str, event_type: str, extra: str = "") -> str:
     return f"""{name} AS (
-  SELECT CAST(ts AS TIMESTAMP) AS ts, event_id AS row_id, CAST(user_id AS VARCHAR) AS bid_id,
-         CAST(user_id % 4 AS VARCHAR) AS slot_id, user_id % 3 AS sponsor_id, {K} AS app_id,
-         CAST(event_id AS VARCHAR) AS ip, CAST(user_id AS VARCHAR) AS device_id,
+  SELECT CAST(ts AS TIMESTAMP) AS ts, event_id AS row_id, {_but(101, "CAST(user_id AS VARCHAR)")} AS bid_id,
+         {_but(103, "CAST(user_id % 4 AS VARCHAR)")} AS slot_id, {_but(109, "user_id % 3")} AS sponsor_id, {K} AS app_id,
+         CAST(event_id AS VARCHAR) AS ip, {_but(107, "CAST(user_id AS VARCHAR)")} AS device_id,
          CAST(round(value * 100) AS INTEGER) AS charge,
          CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INTEGER) AS hour
   FROM events WHERE event_type = '{event_type}')"""
@@ -40,18 +50,22 @@ COHORT1 = "cohort1 AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS id FROM cus
 COHORT2 = "cohort2 AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS id FROM customer WHERE c_mktsegment = 'MACHINERY')"
 COHORT = f"{COHORT1}, {COHORT2}, cohort AS (SELECT id FROM cohort1 UNION SELECT id FROM cohort2)"
 
-LAND = """land AS (
-  SELECT CAST(l_shipdate AS DATE) AS dt, l_suppkey AS sponsor_id, l_linestatus AS slot_id,
-         CAST(trunc(l_extendedprice) AS BIGINT) AS ht, CAST(l_linenumber AS BIGINT) AS lt,
+LAND = f"""land AS (
+  SELECT CAST(l_shipdate AS DATE) AS dt, {_but(17, "l_suppkey", "l_orderkey")} AS sponsor_id,
+         {_but(19, "l_linestatus", "l_orderkey")} AS slot_id,
+         CAST(trunc(l_extendedprice) AS BIGINT) AS ht,
+         {_but(23, "CAST(l_linenumber AS BIGINT)", "l_orderkey")} AS lt,
          l_partkey AS pt, l_returnflag <> 'N' AS has_fd,
-         CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS fd
+         CASE WHEN l_returnflag <> 'N' THEN CASE l_orderkey % 13 WHEN 0 THEN '' WHEN 1 THEN 'null'
+              WHEN 2 THEN 'None' WHEN 3 THEN NULL ELSE l_returnflag END END AS fd
   FROM lineitem)"""
 
-FORM = """form AS (
+FORM = f"""form AS (
   SELECT CAST(TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id % 48) AS DATE) AS dt,
          CAST(page_id % 48 % 24 AS INTEGER) AS hour,
-         CASE page_id % 3 WHEN 0 THEN '780dc5048214ef5f0c94f366d2554d40' WHEN 1 THEN '4d40'
-              ELSE 'b65143e622ec5936e38a47ed365e2384' END AS slot_id,
+         CASE page_id % 3 WHEN 0 THEN '{fixed.LANDING_SLOT}' WHEN 1 THEN '{fixed.LANDING_SLOT[-4:]}'
+              ELSE 'another-landing-slot' END AS slot_id,
+         page_id % 7 <> 0 AS has_fd,
          CASE WHEN page_id % 4 = 0 THEN replace(url, 'page=2', 'page=') ELSE url END AS fd
   FROM pages)"""
 
@@ -66,26 +80,21 @@ def java_split(s: str, delim: str) -> str:
             f"ELSE string_split({stripped}, '{delim}') END)")
 
 
-def tag_value(key: str) -> str:
-    return (f"coalesce(list_filter(list_transform(tags, lambda t: {java_split('t', ':')}), "
-            f"lambda p: len(p) = 2 AND p[1] = '{key}')[-1][2], '')")
-
-
 # ---- funnel --------------------------------------------------------------
-def _funnel(dims: dict[str, str], grain: str = "hour", per_day: bool = False) -> str:
+def _funnel(dims: dict[str, str], grain: str = "hour", per_day: bool = False, where: str = "true") -> str:
     g = "dt, hour" if grain == "hour" else "dt"
     dnames = ", ".join(dims)
     dsel = ", ".join(f"{e} AS {n}" for n, e in dims.items())
     dnull = ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in dims)
     rest = "\n      ".join(
         f"UNION ALL SELECT {g}, bid_id, ts, row_id, 0, {int(k == 'bid')}, {int(k == 'impr')}, "
-        f"{int(k == 'click')}, {'charge' if k == 'click' else 0}, {dnull} FROM {k}"
+        f"{int(k == 'click')}, {'charge' if k == 'click' else 0}, {dnull} FROM {k} WHERE {where}"
         for k in ("bid", "impr", "click"))
     day = "l.dt, " if per_day else ""
     day_src = "c.dt AS dt, " if per_day else ""
     return f"""WITH {PV}, {BID}, {IMPR}, {CLICK},
     u AS (
-      SELECT {g}, bid_id, ts, row_id, 1 AS pv, 0 AS bid, 0 AS impr, 0 AS click, 0 AS charge, {dsel} FROM pv
+      SELECT {g}, bid_id, ts, row_id, 1 AS pv, 0 AS bid, 0 AS impr, 0 AS click, 0 AS charge, {dsel} FROM pv WHERE {where}
       {rest}),
     per_bid AS (SELECT {g}, bid_id, sum(pv) AS pv, sum(bid) AS bid, sum(impr) AS impr,
                        sum(click) AS click, sum(charge) AS charge FROM u GROUP BY {g}, bid_id),
@@ -94,16 +103,16 @@ def _funnel(dims: dict[str, str], grain: str = "hour", per_day: bool = False) ->
     j AS (SELECT {day_src}{", ".join("l." + n + " AS " + n for n in dims)},
                  coalesce(l.has_pv, false) AS attributed, c.pv, c.bid, c.impr, c.click, c.charge
           FROM per_bid c LEFT JOIN latest l
-            ON c.bid_id = l.bid_id AND {" AND ".join("c." + x + " = l." + x for x in g.split(", "))})
+            ON c.bid_id IS NOT DISTINCT FROM l.bid_id AND {" AND ".join("c." + x + " = l." + x for x in g.split(", "))})
     SELECT {day.replace("l.", "")}{dnames}, attributed,
            CAST(sum(pv) AS BIGINT) AS pv, CAST(sum(bid) AS BIGINT) AS bid, CAST(sum(impr) AS BIGINT) AS impr,
            CAST(sum(click) AS BIGINT) AS click, CAST(sum(charge) AS BIGINT) AS charge
     FROM j GROUP BY ALL"""
 
 
-DEFAULT_DIMS = {"mcc": "coalesce(mcc, '')", "vendor": tag_value("vendor"),
+DEFAULT_DIMS = {"mcc": "coalesce(mcc, '')", "vendor": "vendor_tag",
                 "nsv": "coalesce(nsv, '')", "av": "coalesce(av, '')"}
-ABTEST_DIMS = {"abtest": tag_value("abtest")}
+ABTEST_DIMS = {"abtest": "abtest_tag"}
 VERSION_DIMS = {"av": "coalesce(av, '')"}
 
 FUNNEL_LINE = ("'(' || {key} || ',(' || pv || ',' || bid || ',' || impr || ',' || click || ',' || charge || '))'")
@@ -125,15 +134,23 @@ def _funnel_version_text() -> str:
 
 
 # ---- enrichment ----------------------------------------------------------
-def _enrich(left: str) -> str:
+def _enrich(left: str, pv_where: str = "true", where: str = "true") -> str:
     return f"""WITH {PV}, {IMPR}, {CLICK},
-    firstpv AS (SELECT bid_id, coalesce(auid, udid) AS did, device_name AS dn FROM pv
+    firstpv AS (SELECT bid_id, coalesce(auid, udid) AS did, device_name AS dn FROM pv WHERE {pv_where}
                 QUALIFY row_number() OVER (PARTITION BY bid_id ORDER BY ts, row_id) = 1)
     SELECT strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts_iso,
            CASE WHEN f.bid_id IS NULL THEN '' WHEN f.did LIKE '%:%' THEN substr(f.did, 5) ELSE f.did END AS device_id,
            CASE WHEN f.bid_id IS NULL THEN '' ELSE f.dn END AS device_name,
            e.ip, e.slot_id, e.app_id
-    FROM {left} e LEFT JOIN firstpv f ON e.bid_id = f.bid_id"""
+    FROM (SELECT * FROM {left} WHERE {where}) e LEFT JOIN firstpv f ON e.bid_id = f.bid_id"""
+
+
+DAYS = "dt BETWEEN DATE '2024-01-03' AND DATE '2024-01-20'"
+APPS = ", ".join(f"'{i}'" for i in range(50))
+
+
+def _enrich_sponsor(left: str) -> str:
+    return _enrich(left, f"{DAYS} AND app_id IN ({APPS})", f"{DAYS} AND sponsor_id = 1")
 
 
 def _enrich_text(left: str = "impr") -> str:
@@ -154,8 +171,8 @@ PV_CANDS_STRIPPED = ["device_id", "CASE WHEN udid LIKE '%ifa:%' THEN substr(udid
 
 def _pairs(cands) -> str:
     return f"""WITH {PV}, {COHORT},
-    m AS (SELECT slot_id, {_pick(cands)} AS device FROM pv)
-    SELECT DISTINCT slot_id, device FROM m WHERE device IS NOT NULL AND slot_id IS NOT NULL"""
+    m AS (SELECT coalesce(slot_id, 'null') AS slot_id, {_pick(cands)} AS device FROM pv)
+    SELECT DISTINCT slot_id, device FROM m WHERE device IS NOT NULL"""
 
 
 SLOT_COHORT_REACH = f"""SELECT slot_id, GROUPING(slot_id) = 1 AS is_total, count(DISTINCT device) AS n_devices
@@ -181,24 +198,25 @@ DSP_NEW_BY_HOUR = f"""WITH {COHORT},
 dsp AS (SELECT CAST(ts AS DATE) AS dt, CAST(hour(ts) AS INTEGER) AS hour,
                CASE WHEN user_id % 5 = 0 THEN 0 ELSE 112 END AS synd_id,
                CAST(user_id AS VARCHAR) AS idfa, {K} AS deviceid FROM events),
-feed AS (SELECT * FROM dsp WHERE hour <= 17),
+feed AS (SELECT * FROM dsp),
 m AS (SELECT dt, hour, {_pick(["idfa", "deviceid"])} AS id FROM feed WHERE synd_id = 112),
 firstseen AS (SELECT dt, id, min(hour) AS hour FROM m WHERE id IS NOT NULL GROUP BY dt, id),
 new AS (SELECT dt, hour, count(*) AS n FROM firstseen GROUP BY dt, hour),
-spine AS (SELECT d.dt, CAST(h.range AS INTEGER) AS hour FROM (SELECT DISTINCT dt FROM dsp) d, range(0, 18) h)
+spine AS (SELECT d.dt, CAST(h.range AS INTEGER) AS hour FROM (SELECT DISTINCT dt FROM dsp) d, range(0, 24) h)
 SELECT s.dt, s.hour, CAST(coalesce(n.n, 0) AS BIGINT) AS n_new,
        CAST(sum(coalesce(n.n, 0)) OVER (PARTITION BY s.dt ORDER BY s.hour) AS BIGINT) AS n_total
 FROM spine s LEFT JOIN new n ON s.dt = n.dt AND s.hour = n.hour"""
 
 # ---- clicks --------------------------------------------------------------
-CLICK_KEY = "CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || coalesce(device_id, 'null')"
+CLICK_KEY = "coalesce(CAST(epoch_us(ts) // 1000 AS VARCHAR), 'null') || ' ' || coalesce(device_id, 'null')"
 CLICK_DEVICE_TIMES = f"""WITH {CLICK}
 SELECT dt, count(*) AS n_clicks, count(DISTINCT {CLICK_KEY}) AS n_device_times FROM click GROUP BY dt"""
 SPONSOR_CLICK_DEVICES = f"WITH {CLICK} SELECT DISTINCT {CLICK_KEY} AS value FROM click"
+ONE_SPONSOR_CLICK_DEVICES = f"{SPONSOR_CLICK_DEVICES} WHERE sponsor_id = 1 AND {DAYS}"
 
 # ---- landing -------------------------------------------------------------
 _SUMS = """CAST(sum(CASE WHEN has_fd THEN ht ELSE 0 END) AS BIGINT) AS ht_sum,
-           CAST(sum(CASE WHEN has_fd THEN lt ELSE 0 END) AS BIGINT) AS lt_sum,
+           CAST(sum(CASE WHEN has_fd THEN coalesce(lt, 0) ELSE 0 END) AS BIGINT) AS lt_sum,
            CAST(sum(CASE WHEN has_fd THEN pt ELSE 0 END) AS BIGINT) AS pt_sum,
            count(*) FILTER (WHERE has_fd) AS fd_count"""
 _AVGS = ", ".join(f"CASE WHEN fd_count = 0 THEN NULL ELSE CAST({m}_sum AS DOUBLE) / fd_count END AS {m}_avg"
@@ -212,8 +230,7 @@ SELECT dt, sponsor_id, slot_id, ht_sum, lt_sum, pt_sum, fd_count, {_AVGS}
 FROM (SELECT dt, sponsor_id, slot_id, {_SUMS} FROM land GROUP BY dt, sponsor_id, slot_id)"""
 
 LANDING_DAILY_STRICT = LANDING_DAILY_AVG.replace(
-    "l_returnflag <> 'N' AS has_fd",
-    "l_returnflag <> 'N' AND l_returnflag IS NOT NULL AND l_returnflag NOT IN ('', 'null', 'None') AS has_fd")
+    "l_returnflag <> 'N' AS has_fd", "l_returnflag <> 'N' AND l_orderkey % 13 > 3 AS has_fd")
 
 
 def _f(c: str) -> str:
@@ -225,25 +242,26 @@ def _f(c: str) -> str:
 LANDING_DAILY_TEXT = f"""SELECT strftime(dt, '%Y-%m-%d') || ': ht_avg:' || {_f('ht_avg')} || ',lt_avg:' || {_f('lt_avg')}
     || ',pt_avg:' || {_f('pt_avg')} || ',fd_count:' || fd_count AS value FROM ({LANDING_DAILY_AVG})"""
 
-LANDING_GROUP_TEXT = f"""SELECT strftime(dt, '%Y/%m/%d') || ',' || sponsor_id || ',' || coalesce(slot_id, 'null')
+LANDING_GROUP_TEXT = f"""SELECT strftime(dt, '%Y/%m/%d') || ',' || coalesce(CAST(sponsor_id AS VARCHAR), 'null') || ',' || coalesce(slot_id, 'null')
     || ',ht_sum:' || ht_sum || ',lt_sum:' || lt_sum || ',pt_sum:' || pt_sum || ',count:' || fd_count
     || ',ht_avg:' || {_f('ht_avg')} || ',lt_avg:' || {_f('lt_avg')} || ',pt_avg:' || {_f('pt_avg')} AS value
     FROM ({LANDING_GROUP_AVG})"""
 
 LANDING_FORM_COUNTS = f"""WITH {LAND}
 SELECT dt, CASE WHEN has_fd THEN fd ELSE 'null' END AS fd, count(*) AS n_rows
-FROM land WHERE suffix('F', slot_id) GROUP BY ALL"""
+FROM land WHERE slot_id IN ('F', '') GROUP BY ALL"""
 LANDING_FORM_DUPS = f"SELECT * FROM ({LANDING_FORM_COUNTS}) WHERE n_rows > 1"
 
 _BUCKETS = f"""WITH {FORM}
-SELECT dt, CASE WHEN suffix('780dc5048214ef5f0c94f366d2554d40', slot_id) THEN fd ELSE 'else' END AS bucket,
+SELECT dt, CASE WHEN slot_id = 'another-landing-slot' THEN 'else' WHEN has_fd THEN fd ELSE 'null_fd' END AS bucket,
        count(*) AS n_rows FROM form GROUP BY ALL"""
 LANDING_FORM_BUCKETS = _BUCKETS
 _PARTS = java_split("bucket", "ref=")
 LANDING_FORM_QUALITY = f"""SELECT dt, count(*) FILTER (WHERE len({_PARTS}) > 1 AND NOT contains({_PARTS}[1], '=&')) AS n_complete
 FROM ({_BUCKETS}) GROUP BY dt"""
 SLOT_FORM_VALUES = f"""WITH {FORM}
-SELECT DISTINCT dt, hour, fd FROM form WHERE slot_id = '780dc5048214ef5f0c94f366d2554d40'"""
+SELECT DISTINCT dt, hour, CASE WHEN has_fd THEN fd ELSE 'null' END AS fd
+FROM form WHERE slot_id = '{fixed.LANDING_SLOT}'"""
 
 # ---- relation / copies ---------------------------------------------------
 RELATION_SELECT_ALL = f"WITH {RECORDS} SELECT key, value FROM records"
@@ -254,28 +272,34 @@ PARQUET_VALUE_ALIAS = f"WITH {RECORDS} SELECT value AS a FROM records WHERE key
 EPISODES = "SELECT p_partkey, p_name, p_brand, p_size AS doctor FROM part"
 
 # ---- stream --------------------------------------------------------------
-STREAM_WORD_COUNT = f"""SELECT CAST(0 AS BIGINT) AS batch_id, word, count(*) AS n FROM (
-  SELECT unnest({java_split("line", " ")}) AS word
-  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""
+STREAM_WORD_COUNT = f"""SELECT part, CAST(1 AS BIGINT) AS parts_in_batch, word, count(*) AS n FROM (
+  SELECT part, unnest({java_split("line", " ")}) AS word
+  FROM (SELECT CAST(doc_id % 6 AS INTEGER) AS part, unnest(string_split(text, chr(10))) AS line FROM documents))
+GROUP BY part, word"""
 
 ORACLE: dict[str, str] = {
     "funnel_by_dims": _funnel(DEFAULT_DIMS),
     "funnel_day_grain": _funnel(DEFAULT_DIMS, grain="day"),
     "funnel_abtest_daily": _funnel(ABTEST_DIMS, per_day=True),
     "funnel_version_daily": _funnel(VERSION_DIMS, per_day=True),
+    "funnel_slot_range": _funnel(DEFAULT_DIMS, where=f"slot_id = '1' AND {DAYS}"),
     "funnel_text": _funnel_text(),
     "funnel_abtest_daily_text": _funnel_abtest_text(),
     "funnel_version_daily_text": _funnel_version_text(),
     "impression_enrich": _enrich("impr"),
     "click_enrich": _enrich("click"),
+    "impression_enrich_sponsor": _enrich_sponsor("impr"),
+    "click_enrich_sponsor": _enrich_sponsor("click"),
     "impression_enrich_text": _enrich_text("impr"),
     "click_enrich_text": _enrich_text("click"),
     "slot_cohort_reach": SLOT_COHORT_REACH,
     "cohort_size": COHORT_SIZE,
     "click_device_times": CLICK_DEVICE_TIMES,
     "sponsor_click_devices": SPONSOR_CLICK_DEVICES,
+    "one_sponsor_click_devices": ONE_SPONSOR_CLICK_DEVICES,
     "cohort_reach": COHORT_REACH,
     "cohort_reach_ids": COHORT_IDS,
+    "cohort_reach_ids_text": f"SELECT id AS value FROM ({COHORT_IDS})",
     "dsp_new_by_hour": DSP_NEW_BY_HOUR,
     "cohort_by_app_flag": COHORT_BY_APP_FLAG,
     "slot_device_pairs": _pairs(PV_CANDS),

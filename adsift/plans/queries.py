@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing, relation
 from adsift.session import scratch_path
-from adsift.sinks import write_text
-from adsift.sources import read_cohort, read_lines, union_cohorts
+from adsift.sinks import write_table, write_text
+from adsift.sources import read_cohort, read_feed, read_lines, union_cohorts
 from adsift.sources import testdata as td
-from adsift.streaming import read_batches, word_count_stream
+from adsift.streaming import file_line_stream, read_batches, run_to_end, word_count_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ FIXTURE_OWN_APPS = ("25", "46")
 FIXTURE_MIN_DEVICES = 10
 FIXTURE_LAND_SLOT = "F"
 FIXTURE_FORM_MARKER = "ref="
+FIXTURE_SLOT = "1"
+FIXTURE_SPONSOR = 1
+FIXTURE_APPS = tuple(str(i) for i in range(50))
+FIXTURE_DAYS = ("2024-01-03", "2024-01-20")
+FILES_PER_DAY = 20
 
 
 def _feeds(spark, sf):
@@ -53,10 +58,26 @@ def funnel_text(spark, sf):
 
 def funnel_abtest_daily_text(spark, sf):
     lines = funnel.funnel_text(funnel_abtest_daily(spark, sf), ["abtest", "=", "=", "="])
-    path = write_text(lines, scratch_path(spark, "abtest"), partition_by=["dt"])
+    path = write_text(lines, scratch_path(spark, "abtest"), num_files=FILES_PER_DAY, partition_by=["dt"])
     return spark.read.text(path)
 
 
+def _feed_layout(spark, sf, *names):
+    """The feeds as ``dt=`` directories; returns their root."""
+    root = scratch_path(spark, "feeds")
+    for name in names:
+        write_table(getattr(td, name)(spark, sf), f"{root}/{name}", partition_by=["dt"])
+    return root
+
+
+def funnel_slot_range(spark, sf):
+    """One slot over a day range, read from partitioned feeds."""
+    names = ("pv", "bid", "impr", "click")
+    root = _feed_layout(spark, sf, *names)
+    feeds = [read_feed(spark, root, n, *FIXTURE_DAYS) for n in names]
+    return funnel.funnel(*feeds, slot_id=FIXTURE_SLOT)
+
+
 def funnel_version_daily_text(spark, sf):
     key = [F.date_format("dt", "yyyyMMdd"), "=", "=", "av"]
     lines = funnel.funnel_text(funnel_version_daily(spark, sf), key)
@@ -74,6 +95,17 @@ def click_enrich(spark, sf):
                                 tz="UTC")
 
 
+def impression_enrich_sponsor(spark, sf):
+    """One sponsor, an app list and a day range."""
+    return enrich.enrich_events(td.impr(spark, sf), td.pv(spark, sf), sponsor_id=FIXTURE_SPONSOR,
+                                app_ids=FIXTURE_APPS, start=FIXTURE_DAYS[0], end=FIXTURE_DAYS[1], tz="UTC")
+
+
+def click_enrich_sponsor(spark, sf):
+    return enrich.enrich_events(td.click(spark, sf), td.pv(spark, sf), sponsor_id=FIXTURE_SPONSOR,
+                                app_ids=FIXTURE_APPS, start=FIXTURE_DAYS[0], end=FIXTURE_DAYS[1], tz="UTC")
+
+
 def impression_enrich_text(spark, sf):
     lines = enrich.enrich_text(impression_enrich(spark, sf))
     return read_lines(spark, write_text(lines, scratch_path(spark, "impr")))
@@ -110,6 +142,12 @@ def sponsor_click_devices(spark, sf):
     return read_lines(spark, write_text(out, scratch_path(spark, "clicks")))
 
 
+def one_sponsor_click_devices(spark, sf):
+    out = clicks.sponsor_click_devices(td.click(spark, sf), sponsor_id=FIXTURE_SPONSOR,
+                                       start=FIXTURE_DAYS[0], end=FIXTURE_DAYS[1])
+    return read_lines(spark, write_text(out, scratch_path(spark, "clicks"), num_files=2))
+
+
 def cohort_reach(spark, sf):
     return cohort.cohort_reach(td.pv(spark, sf), _both_cohorts(spark, sf))
 
@@ -118,8 +156,13 @@ def cohort_reach_ids(spark, sf):
     return cohort.cohort_ids(td.pv(spark, sf), _both_cohorts(spark, sf))
 
 
+def cohort_reach_ids_text(spark, sf):
+    ids = cohort_reach_ids(spark, sf).select(F.col("id").alias("value"))
+    return read_lines(spark, write_text(ids, scratch_path(spark, "reach")))
+
+
 def dsp_new_by_hour(spark, sf):
-    return cohort.dsp_new_by_hour(td.pv_dsp(spark, sf), _both_cohorts(spark, sf))
+    return cohort.dsp_new_by_hour(td.pv_dsp(spark, sf), _both_cohorts(spark, sf), max_hour=23)
 
 
 def cohort_by_app_flag(spark, sf):
@@ -223,12 +266,16 @@ def episodes_take(spark, sf):
 
 
 def stream_word_count(spark, sf):
-    """Documents arrive as a parquet stream; each batch's lines are counted."""
-    out, ckpt = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
-    q = word_count_stream(td.line_stream(spark, sf), out, ckpt, trigger={"availableNow": True})
-    q.awaitTermination(600)
-    q.stop()
-    return read_batches(spark, out)
+    """The documents' lines arrive as text files, one for each micro-batch;
+    every batch is counted on its own. ``parts_in_batch`` is the number of files that the
+    word's batch held."""
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("wc-in", "wc-out", "wc-ckpt"))
+    write_text(td.document_lines(spark, sf), inbox, num_files=1, partition_by=["part"])
+    lines = file_line_stream(spark, inbox, max_files_per_trigger=1, line_sep="\n")
+    run_to_end(word_count_stream(lines, out, ckpt, trigger={"availableNow": True}))
+    counts = read_batches(spark, out)
+    files = counts.groupBy("batch_id").agg(F.count_distinct("part").alias("parts_in_batch"))
+    return counts.join(files, "batch_id").select("part", "parts_in_batch", "word", "n")
 
 
 QUERIES: dict[str, Query] = {
@@ -236,19 +283,24 @@ QUERIES: dict[str, Query] = {
     "funnel_day_grain": funnel_day_grain,
     "funnel_abtest_daily": funnel_abtest_daily,
     "funnel_version_daily": funnel_version_daily,
+    "funnel_slot_range": funnel_slot_range,
     "funnel_text": funnel_text,
     "funnel_abtest_daily_text": funnel_abtest_daily_text,
     "funnel_version_daily_text": funnel_version_daily_text,
     "impression_enrich": impression_enrich,
     "click_enrich": click_enrich,
+    "impression_enrich_sponsor": impression_enrich_sponsor,
+    "click_enrich_sponsor": click_enrich_sponsor,
     "impression_enrich_text": impression_enrich_text,
     "click_enrich_text": click_enrich_text,
     "slot_cohort_reach": slot_cohort_reach,
     "cohort_size": cohort_size,
     "click_device_times": click_device_times,
     "sponsor_click_devices": sponsor_click_devices,
+    "one_sponsor_click_devices": one_sponsor_click_devices,
     "cohort_reach": cohort_reach,
     "cohort_reach_ids": cohort_reach_ids,
+    "cohort_reach_ids_text": cohort_reach_ids_text,
     "dsp_new_by_hour": dsp_new_by_hour,
     "cohort_by_app_flag": cohort_by_app_flag,
     "slot_device_pairs": slot_device_pairs,

@@ -1,8 +1,8 @@
 """Session helpers: build a session for tests/bench, and locate the shared folder.
 
 Written tables and checkpoints go under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local tests) is a
-private folder created and registered as the checkpoint directory.
+``spark.checkpoint.dir``. Only when that setting is absent and the master is
+local (tests) is a private folder created and registered as the checkpoint directory.
 """
 
 from __future__ import annotations
@@ -33,28 +33,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """One JVM on this machine (``local-cluster`` starts separate executors)."""
+    return master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for written tables: ``spark.checkpoint.dir`` if set."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return (configured or tempfile.mkdtemp(prefix="adsift-ckpt-")).rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    # Unset (tests only): register a private folder as the checkpoint dir.
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="adsift-ckpt-"))
-    return sc.getCheckpointDir().rstrip("/")
+    """The shared folder for written tables: ``spark.checkpoint.dir``.
+
+    Without that setting, a ``local`` session gets a private folder; any other
+    master is an error, since executors would write to their own disks.
+    """
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not _is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="adsift-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(folder)
+        folder = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared folder."""
+    """A fresh, never reused path under the shared folder.
+
+    What is written there outlives the query, since results may be read from it
+    lazily; whoever owns the shared folder clears ``<folder>/adsift`` once the
+    application has ended."""
     return f"{shared_dir(spark)}/adsift/{name}-{uuid.uuid4().hex}"
 
 
@@ -62,40 +69,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total bytes under ``paths`` (globs allowed), from file-system metadata."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        for st in fs.globStatus(hp) or []:
-            total += fs.getContentSummary(st.getPath()).getLength()
-    return total
-
-
-def size_shuffle(spark: SparkSession, paths: list[str],
-                 bytes_per_partition: int = 256 * 1024 * 1024) -> int:
-    """Raise the initial shuffle partition count to ~``bytes_per_partition``
-    of input per partition, so large inputs do not spill into a few huge
-    partitions. AQE then coalesces small ones down. Only applies where the
-    cluster has not set ``initialPartitionNum``; never lowers a setting.
-    Returns the initial partition count in effect."""
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        if spark.sparkContext.getConf().contains(key):
-            return int(spark.conf.get(key))
-        wanted = -(-input_bytes(spark, paths) // bytes_per_partition)
-    except Exception:  # noqa: BLE001 - no metadata access (e.g. Spark Connect): keep settings
-        return current
-    if wanted > current:
-        if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-            spark.conf.set(key, str(wanted))
-        else:
-            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-        return wanted
-    return current

@@ -7,14 +7,21 @@ sink only, so it never narrows an upstream aggregation to one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _shape(df: DataFrame, num_files: int | None, partition_by) -> DataFrame:
+    """``num_files`` files in all, or in every ``partition_by`` directory (a
+    directory of few rows may get fewer). Without it, directories are
+    rebalanced: adaptive execution joins small ones and splits a large one."""
+    if not partition_by:
+        return df if num_files is None else df.repartition(num_files)
     if num_files is None:
-        return df
-    if partition_by:
-        return df.repartition(num_files, *partition_by)
-    return df.repartition(num_files)
+        return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    rest = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    # An explicit count: adaptive execution would join a day's parts again.
+    n = max(num_files, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *partition_by, F.pmod(F.xxhash64(*rest), F.lit(num_files)))
 
 
 def write_text(df: DataFrame, path: str, num_files: int | None = None,

@@ -41,9 +41,10 @@ def with_partitions(df: DataFrame, ts: str = "ts", tz: str | None = None) -> Dat
     return df.withColumn("dt", F.to_date(local)).withColumn("hour", F.hour(local))
 
 
-def default_run_date(days_back: int = 1) -> _dt.date:
-    """"Yesterday" (or ``days_back`` days ago): the default daily partition."""
-    return _dt.date.today() - _dt.timedelta(days=days_back)
+def default_run_date(spark: SparkSession, days_back: int = 1) -> _dt.date:
+    """"Yesterday" (or ``days_back`` days ago) in the session time zone: the
+    default daily partition."""
+    return spark.range(1).select(F.date_sub(F.current_date(), days_back)).first()[0]
 
 
 def _as_date(d):
@@ -98,28 +99,30 @@ def hourly_glob(root: str, feed: str, start, end=None, hours=range(24)) -> str:
 
 
 def read_hourly_layout(spark: SparkSession, root: str, feed: str, start, end=None,
-                       hours=range(24), fmt: str = "avro", schema=None) -> DataFrame:
+                       hours=range(24), fmt: str = "avro", schema=None,
+                       allow_empty: bool = False) -> DataFrame:
     """Scan the hourly directory layout (``.../hourly/YYYY/MM/DD/HH/*``) for a
     day range and derive ``dt``/``hour`` from each file's path.
 
     Only the matching hour directories are listed (hours without data are
-    simply absent from the glob's matches).
+    simply absent from the glob's matches). A range without any directory (or
+    a wrong root) is an error, unless ``allow_empty`` asks for an empty feed.
     """
     reader = spark.read.format(fmt)
     schema = schema or schemas.FEEDS.get(feed)
     if schema is not None:
         reader = reader.schema(StructType([f for f in schema.fields if f.name not in ("dt", "hour")]))
-    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/(\d{4}/\d{2}/\d{2})/(\d{2})/", 1)
-    hour = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/\d{4}/\d{2}/\d{2}/(\d{2})/", 1)
     try:
         df = reader.load(hourly_glob(root, feed, start, end, hours))
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) or schema is None:
+        if not allow_empty or "PATH_NOT_FOUND" not in str(e) or schema is None:
             raise
-        # No hour of the range has data: an empty feed, not a failed job.
         return spark.createDataFrame([], schema)
-    return (df.withColumn("dt", F.to_date(stamp, "yyyy/MM/dd"))
-            .withColumn("hour", hour.cast("int")))
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/(\d{4}/\d{2}/\d{2}/\d{2})/", 1)
+    return (df.withColumn("_stamp", stamp)
+            .withColumns({"dt": F.to_date(F.left("_stamp", F.lit(10)), "yyyy/MM/dd"),
+                          "hour": F.right("_stamp", F.lit(2)).cast("int")})
+            .drop("_stamp"))
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:

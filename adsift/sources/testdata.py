@@ -13,7 +13,11 @@ from adsift import fixed
 from adsift.sources.feeds import with_partitions
 
 # The form feed cycles over the two landing slot ids and a suffix of the first.
-FORM_SLOTS = (fixed.LANDING_SLOT, fixed.LANDING_SLOT[-4:], fixed.OTHER_LANDING_SLOT)
+FORM_SLOTS = (fixed.LANDING_SLOT, fixed.LANDING_SLOT[-4:], "another-landing-slot")
+
+
+#: A repeated vendor (the last that splits into two parts is '8'), and an abtest tag of three parts.
+BAD_TAGS = ("vendor", "vendor:", "vendor:9", "abtest:1:2", ":abtest", "vendor:8:")
 
 
 def _utc(c) -> Column:
@@ -38,13 +42,18 @@ def _events(spark, sf_dir, event_type=None) -> DataFrame:
     return ev.withColumn("k", F.get_json_object("props", "$.k"))
 
 
+def _unless(n: int, value, key: str = "event_id") -> Column:
+    """``value``, but NULL in every ``n``-th row (by ``key``)."""
+    return F.when(F.col(key) % n != 0, value)
+
+
 def _ids(ev: DataFrame):
     uid = F.col("user_id")
     return [
         _utc("ts").alias("ts"),
         F.col("event_id").alias("row_id"),
-        uid.cast("string").alias("bid_id"),
-        (uid % 4).cast("string").alias("slot_id"),
+        _unless(101, uid.cast("string")).alias("bid_id"),
+        _unless(103, (uid % 4).cast("string")).alias("slot_id"),
     ]
 
 
@@ -58,10 +67,11 @@ def pv(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = ev.select(
         *_ids(ev),
         k.alias("app_id"),
-        uid.cast("string").alias("device_id"),
+        _unless(107, uid.cast("string")).alias("device_id"),
         F.concat(F.lit("device-"), (F.col("event_id") % 7).cast("string")).alias("device_name"),
-        F.array(F.concat(F.lit("vendor:"), (uid % 3).cast("string")),
-                F.concat(F.lit("abtest:"), (uid % 2).cast("string"))).alias("tags"),
+        F.when(F.col("event_id") % 11 == 0, F.array(*[F.lit(t) for t in BAD_TAGS])).otherwise(
+            F.array(F.concat(F.lit("vendor:"), (uid % 3).cast("string")),
+                    F.concat(F.lit("abtest:"), (uid % 2).cast("string")))).alias("tags"),
         ext.alias("ext"),
         F.create_map(F.lit("av"), k, F.lit("mcc"), (uid % 5).cast("string")).alias("dims"),
     )
@@ -78,10 +88,10 @@ def impr(spark: SparkSession, sf_dir: str, event_type: str = "click") -> DataFra
     ev = _events(spark, sf_dir, event_type)
     return _parts(ev.select(
         *_ids(ev),
-        (F.col("user_id") % 3).alias("sponsor_id"),
+        _unless(109, F.col("user_id") % 3).alias("sponsor_id"),
         F.col("k").alias("app_id"),
         F.col("event_id").cast("string").alias("ip"),
-        *([F.col("user_id").cast("string").alias("device_id"),
+        *([_unless(107, F.col("user_id").cast("string")).alias("device_id"),
            F.round(F.col("value") * 100).cast("int").alias("charge")]
           if event_type == "purchase" else []),
     ))
@@ -104,15 +114,18 @@ def pv_dsp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    flag = F.col("l_returnflag")
-    ext = F.when(flag != "N", F.create_map(F.lit("fd"), flag)).otherwise(
+    flag, order = F.col("l_returnflag"), F.col("l_orderkey") % 13
+    # Values that the strict rule rejects: '', 'null', 'None' and a present key without a value.
+    fd = (F.when(order == 0, F.lit("")).when(order == 1, F.lit("null")).when(order == 2, F.lit("None"))
+          .when(order == 3, F.lit(None).cast("string")).otherwise(flag))
+    ext = F.when(flag != "N", F.create_map(F.lit("fd"), fd)).otherwise(
         F.create_map().cast("map<string,string>"))
     return _parts(li.select(
         _utc("l_shipdate").alias("ts"),
-        F.col("l_suppkey").alias("sponsor_id"),
-        F.col("l_linestatus").alias("slot_id"),
+        _unless(17, F.col("l_suppkey"), "l_orderkey").alias("sponsor_id"),
+        _unless(19, F.col("l_linestatus"), "l_orderkey").alias("slot_id"),
         F.col("l_extendedprice").cast("bigint").alias("ht"),
-        F.col("l_linenumber").cast("bigint").alias("lt"),
+        _unless(23, F.col("l_linenumber").cast("bigint"), "l_orderkey").alias("lt"),
         F.col("l_partkey").alias("pt"),
         ext.alias("ext"),
     ))
@@ -120,7 +133,7 @@ def land_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def form(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing-page feed whose ``fd`` is a form text (page urls; ``ref=`` plays
-    the marker). ``page=2`` loses its value on every fourth page."""
+    the marker). ``page=2`` loses its value on every fourth page; every seventh has no ``fd``."""
     pg = table(spark, sf_dir, "pages")
     pid = F.col("page_id")
     fd = F.when(pid % 4 == 0, F.replace(F.col("url"), F.lit("page=2"), F.lit("page="))
@@ -132,7 +145,8 @@ def form(spark: SparkSession, sf_dir: str) -> DataFrame:
         ts.alias("ts"), pid.alias("sponsor_id"), slot.alias("slot_id"),
         F.length("url").cast("bigint").alias("ht"), F.lit(0).cast("bigint").alias("lt"),
         F.lit(0).cast("bigint").alias("pt"),
-        F.create_map(F.lit("fd"), fd).alias("ext"),
+        F.when(pid % 7 == 0, F.create_map().cast("map<string,string>"))
+        .otherwise(F.create_map(F.lit("fd"), fd)).alias("ext"),
     ))
 
 
@@ -151,19 +165,16 @@ def cohort_lines(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("value"))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text lines of the documents (``value``)."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
+#: Files that the documents arrive in as a stream.
+STREAM_FILES = 6
 
 
-def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as a streaming source of text lines (``value``): the
-    parquet file is picked up by the file source, its texts split on ``\\n``."""
-    docs = (spark.readStream
-            .schema("doc_id bigint, text string, lang string, source string, n_chars bigint")
-            .option("pathGlobFilter", "documents.parquet").parquet(sf_dir))
-    return docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text lines of the documents (``value``) and the number of the file
+    (``part``) that each document arrives in."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select((F.col("doc_id") % STREAM_FILES).cast("int").alias("part"),
+                       F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:

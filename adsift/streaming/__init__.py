@@ -1,5 +1,5 @@
 """Structured Streaming jobs."""
 
 from adsift.streaming.wordcount import (  # noqa: F401
-    file_line_stream, read_batches, socket_line_stream, word_count_stream, words,
+    file_line_stream, read_batches, run_to_end, socket_line_stream, word_count_stream, words,
 )

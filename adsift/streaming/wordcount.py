@@ -21,17 +21,22 @@ def socket_line_stream(spark: SparkSession, host: str, port: int) -> DataFrame:
     return spark.readStream.format("socket").option("host", host).option("port", port).load()
 
 
-def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of text files arriving in ``path`` (column ``value``)."""
+def file_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     line_sep: str | None = None) -> DataFrame:
+    """Lines of text files arriving in ``path`` (column ``value``, and those of
+    ``name=value`` directories)."""
     r = spark.readStream.format("text")
+    if line_sep:
+        r = r.option("lineSep", line_sep)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(path)
 
 
 def words(lines: DataFrame, sep: str = fixed.WORD_SEP) -> DataFrame:
-    """One row per word (``word``), split with Java ``split`` rules."""
-    return lines.select(F.explode(java_split("value", sep)).alias("word"))
+    """One row per word (``word``, and the lines' other columns), split with
+    Java ``split`` rules."""
+    return lines.select(*[c for c in lines.columns if c != "value"], F.explode(java_split("value", sep)).alias("word"))
 
 
 def word_count_stream(lines: DataFrame, out_path: str, checkpoint_path: str,
@@ -41,7 +46,7 @@ def word_count_stream(lines: DataFrame, out_path: str, checkpoint_path: str,
     ``num_files`` caps the files per batch (repartitioned after counting)."""
 
     def count_batch(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("word").agg(F.count("*").alias("n"))
+        counts = batch.groupBy(*batch.columns).agg(F.count("*").alias("n"))
         if num_files:
             counts = counts.repartition(num_files)
         counts.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
@@ -52,7 +57,15 @@ def word_count_stream(lines: DataFrame, out_path: str, checkpoint_path: str,
     return w.start()
 
 
+def run_to_end(query: StreamingQuery) -> None:
+    """Wait, without a limit, for a query that ends by itself (``availableNow``);
+    a failed query raises."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def read_batches(spark: SparkSession, out_path: str) -> DataFrame:
-    """All batch results: ``(batch_id, word, n)``."""
+    """All batch results: ``(batch_id, ..., word, n)``."""
     df = spark.read.parquet(out_path)
-    return df.select(F.col("batch_id").cast("bigint").alias("batch_id"), "word", "n")
+    return df.select(F.col("batch_id").cast("bigint").alias("batch_id"), *[c for c in df.columns if c != "batch_id"])

@@ -101,18 +101,79 @@ def test_running_total_equals_distinct(spark):
     assert sorted(map(tuple, last.collect())) == sorted(map(tuple, direct.collect()))
 
 
-def test_null_candidates_spread_over_partitions(spark):
-    """A third of the rows have no candidate id: their salted join keys must not
-    pile onto one reducer (plain NULL keys would all hash to one partition)."""
-    rows = [(None if i % 3 == 0 else f"id{i % 50}", f"s{i}") for i in range(6000)]
-    df = spark.createDataFrame(rows, "cand string, other string").distinct()
-    salted = df.withColumn("_key", co._spread_key(F.col("cand"), F.xxhash64("cand", "other")))
-    sizes = [r["n"] for r in salted.repartition(8, "_key")
-             .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / 8
-    plain = [r["n"] for r in df.repartition(8, "cand")
-             .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    assert max(plain) >= 2000          # what the salt avoids
+def test_null_and_empty_candidates_never_reach_the_join(spark):
+    pv = feed(spark, "pv", [pv_row(None, row_id=1), pv_row("", udid="", auid="A", row_id=2), pv_row("D", row_id=3)])
+    tuples = pv.select(*[c.alias(f"_c{i}") for i, c in enumerate(co.pv_candidates())]).distinct()
+    assert sorted(r._id for r in co._stacked(tuples, ["_c0", "_c1", "_c2"]).collect()) == ["A", "D"]
+    assert co._stacked(tuples, ["_c0", "_c1", "_c2"], outer=True).count() == 3
+
+
+def test_null_slot_counts_in_its_group_and_in_the_total(spark):
+    pv = feed(spark, "pv", [pv_row("D1", slot="a"), pv_row("D2", slot=None, row_id=2)])
+    c = ids(spark, "D1", "D2")
+    got = {(r.slot_id, r.is_total): r.n_devices for r in co.slot_cohort_reach(pv, c).collect()}
+    assert got == {("a", False): 1, ("null", False): 1, (None, True): 2}
+    assert co.cohort_reach(pv, c).first().n_ids == 2
+
+
+def test_flag_without_members_keeps_its_row(spark):
+    pv = feed(spark, "pv", [pv_row("A", app="252"), pv_row(None, app="7", row_id=2)])
+    out = {r.in_app: (r.n_cohort1, r.n_cohort2) for r in co.cohort_by_app_flag(pv, ids(spark, "A"), ids(spark)).collect()}
+    assert out == {True: (1, 0), False: (0, 0)}
+
+
+def test_late_hours_count_with_max_hour_23(spark):
+    rows = [{"ts": ts(60 * 20 - 600), "row_id": 1, "synd_id": 112, "ext": {"IDFA": "a"}}]
+    out = co.dsp_new_by_hour(feed(spark, "pv_dsp", rows), ids(spark, "a"), max_hour=23).collect()
+    assert {r.hour: r.n_total for r in out}[20] == 1 and {r.hour: r.n_total for r in out}[19] == 0
+
+
+def final_plan(spark, df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+@pytest.fixture
+def skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_pv(spark, n=60_000):
+    """Many slots share one advertising id."""
+    return spark.range(n).select(
+        F.col("id").alias("row_id"), F.current_timestamp().alias("ts"), F.current_date().alias("dt"), F.lit(1).alias("hour"),
+        F.concat(F.lit("slot"), F.col("id")).alias("slot_id"), F.lit("b").alias("bid_id"), F.lit("7").alias("app_id"),
+        F.when(F.col("id") % 4 != 0, F.lit("00000000-0000")).otherwise(F.col("id").cast("string")).alias("device_id"),
+        F.create_map().cast("map<string,string>").alias("ext")).repartition(8)
+
+
+def test_one_splittable_join_on_the_cohort(spark, skew_conf):
+    cohort = spark.range(40_000).select(F.col("id").cast("string").alias("id")).unionByName(
+        spark.createDataFrame([("00000000-0000",)], "id string"))
+    df = co.slot_device_pairs(hot_pv(spark), cohort)
+    plan = final_plan(spark, df)
+    assert plan.count("SortMergeJoin") == 1 and "skew=true" in plan and "LeftSemi" in plan
+    assert df.count() == 45_000 + 10_000
+
+
+def test_feed_is_scanned_once(spark, skew_conf):
+    pv, dsp, c = td.pv(spark, SF), td.pv_dsp(spark, SF), _both_cohorts(spark, SF)
+    c1, c2 = td.cohorts(spark, SF)
+    plan = final_plan(spark, co.dsp_new_by_hour(dsp, c, max_hour=23))
+    assert plan.count("SortMergeJoin") == 1 and sum("event_id" in x or "props" in x for x in plan.split("\n") if "FileScan" in x) == 1
+    plan = final_plan(spark, co.cohort_by_app_flag(pv, c1, c2))
+    assert plan.count("SortMergeJoin") == 1 and sum("props" in x for x in plan.split("\n") if "FileScan" in x) == 1
 
 
 def test_new_by_hour_day_without_early_hours(spark):

@@ -1,4 +1,4 @@
-from adsift.operators.enrich import enrich_events, enrich_text
+from adsift.operators.enrich import enrich_events, enrich_text, restrict_to_bids
 from tests.helpers import empty, feed, ts
 
 
@@ -76,8 +76,33 @@ def test_sponsor_restriction_changes_nothing(spark):
     imp, pv = td.impr(spark, sf), td.pv(spark, sf)
     for sponsor in (0, 1, 2):
         got = enrich_events(imp, pv, sponsor_id=sponsor, app_ids=None)
-        plan = got._jdf.queryExecution().optimizedPlan().toString()
-        assert "LeftSemi" in plan
+        own = restrict_to_bids(pv, imp.filter(F.col("sponsor_id") == sponsor))
+        assert "LeftSemi" in own._jdf.queryExecution().optimizedPlan().toString()
         tagged = imp.withColumn("ip", F.when(F.col("sponsor_id") == sponsor, F.col("ip")))
         want = enrich_events(tagged, pv, sponsor_id=None, app_ids=None).filter(F.col("ip").isNotNull())
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hot_bid_is_split_by_the_join(spark):
+    """A bid with most of the events: AQE splits its partition, since the reduced
+    page views are a checkpoint and not an aggregate below the join."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        bid = F.when(F.col("id") % 4 != 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        base = [F.col("id").alias("row_id"), F.timestamp_seconds("id").alias("ts"), bid.alias("bid_id"), F.lit("a").alias("app_id"),
+                F.lit("s").alias("slot_id")]
+        ev = spark.range(80_000).select(*base, F.col("id").cast("string").alias("ip"), F.lit(1).alias("sponsor_id")).repartition(8)
+        pv = spark.range(20_000).select(*base, F.lit("n").alias("device_name"),
+                                        F.create_map(F.lit("auid"), F.lit("x")).alias("ext")).repartition(8)
+        df = enrich_events(ev, pv, sponsor_id=None, app_ids=None)
+        assert len(df.collect()) == 80_000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

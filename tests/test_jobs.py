@@ -1,14 +1,19 @@
 import datetime as dt
+import os
+from zoneinfo import ZoneInfo
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from adsift.operators import enrich, funnel, landing
+from adsift.operators import clicks, enrich, funnel, landing
 from adsift.plans import jobs
 from adsift.session import scratch_path
-from adsift.sinks import write_table
-from adsift.sources import read_hourly_layout, read_lines
+from adsift.sinks import write_table, write_text
+from adsift.sources import default_run_date, read_feed, read_hourly_layout, read_lines
 from adsift.sources import testdata as td
+from adsift.streaming import file_line_stream, read_batches, run_to_end, word_count_stream
+from tests.helpers import feed, ts
 
 SF = "/root/testdata/sf0.001"
 DAY = "2024-01-05"
@@ -53,10 +58,18 @@ def test_landing_report_text(spark, root):
 
 
 def test_report_formats(spark):
-    daily = spark.createDataFrame([(dt.date(2016, 4, 1), 1.5, None, 2.0, 3)],
+    daily = spark.createDataFrame([(dt.date(2016, 4, 1), 1.5, None, 2.0, 3), (dt.date(2016, 4, 2), None, None, None, 0)],
                                   "dt date, ht_avg double, lt_avg double, pt_avg double, fd_count bigint")
-    assert landing.landing_daily_text(daily).collect()[0].value == \
-        "2016-04-01: ht_avg:1.500000,lt_avg:NaN,pt_avg:2.000000,fd_count:3"
+    assert sorted(r.value for r in landing.landing_daily_text(daily).collect()) == [
+        "2016-04-01: ht_avg:1.500000,lt_avg:0.000000,pt_avg:2.000000,fd_count:3",
+        "2016-04-02: ht_avg:NaN,lt_avg:NaN,pt_avg:NaN,fd_count:0"]
+
+
+def test_group_text_keeps_null_rows(spark):
+    rows = [{"ts": ts(1), "sponsor_id": None, "slot_id": None, "ht": None, "lt": 4, "pt": None, "ext": {"fd": "x"}}]
+    text = landing.landing_group_text(landing.landing_group_avg(feed(spark, "land_page", rows))).collect()
+    assert [r.value for r in text] == [
+        "2024/01/01,null,null,ht_sum:0,lt_sum:4,pt_sum:0,count:1,ht_avg:0.000000,lt_avg:4.000000,pt_avg:0.000000"]
 
 
 def test_hourly_layout(spark):
@@ -73,8 +86,13 @@ def test_hourly_layout(spark):
         sorted(map(tuple, want.select("row_id", "dt", "hour").collect()))
 
 
-def test_hourly_layout_without_data_is_empty(spark):
-    df = read_hourly_layout(spark, scratch_path(spark, "nothing"), "pv", "2024-02-01", "2024-02-02", fmt="parquet")
+def test_missing_feed_is_an_error(spark):
+    nothing = scratch_path(spark, "nothing")
+    with pytest.raises(AnalysisException):
+        read_hourly_layout(spark, nothing, "pv", "2024-02-01", "2024-02-02", fmt="parquet").count()
+    with pytest.raises(AnalysisException):
+        read_feed(spark, nothing, "pv", "2024-02-01").count()
+    df = read_hourly_layout(spark, nothing, "pv", "2024-02-01", "2024-02-02", fmt="parquet", allow_empty=True)
     assert df.count() == 0 and "dt" in df.columns and "hour" in df.columns
 
 
@@ -98,7 +116,6 @@ def test_cli_cohort_and_click_jobs(spark, root):
 
 
 def test_word_count_job_file_source(spark):
-    import os
     inbox = scratch_path(spark, "wc-inbox").replace("file:", "")
     os.makedirs(inbox)
     with open(os.path.join(inbox, "a.txt"), "w") as f:
@@ -113,18 +130,79 @@ def test_word_count_job_file_source(spark):
     assert len(files) == 1
 
 
-def test_size_shuffle_raises_initial_partitions(spark):
-    from adsift.session import input_bytes, size_shuffle
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    path = write_table(td.pv(spark, SF), scratch_path(spark, "sized"))
-    n_bytes = input_bytes(spark, [path])
-    assert n_bytes > 0
+def test_num_files_in_every_day(spark):
+    days = spark.range(3000).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("dt"),
+                                    F.col("id").cast("string").alias("value"))
+    out = write_text(days, scratch_path(spark, "per-day"), num_files=5, partition_by=["dt"]).replace("file:", "")
+    folders = [d for d in os.listdir(out) if d.startswith("dt=")]
+    assert len(folders) == 3
+    for d in folders:
+        files = [f for f in os.listdir(f"{out}/{d}") if f.endswith(".txt")]
+        assert 2 <= len(files) <= 5
+    assert spark.read.text(out).count() == 3000
+    write_text(days, out, partition_by=["dt"])
+    assert spark.read.text(out).count() == 3000
+
+
+def test_yesterday_is_in_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
     try:
-        got = size_shuffle(spark, [path], bytes_per_partition=max(1, n_bytes // 40))
-        assert got >= 40 and int(spark.conf.get(key)) == got
-        assert size_shuffle(spark, [path]) == 8            # small input: nothing raised
+        for zone in ("Pacific/Kiritimati", "Pacific/Niue"):   # UTC+14 and UTC-11
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            before = dt.datetime.now(ZoneInfo(zone)).date()
+            got = default_run_date(spark)
+            assert got in (before - dt.timedelta(days=1), dt.datetime.now(ZoneInfo(zone)).date() - dt.timedelta(days=1))
     finally:
-        spark.conf.unset(key)
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_default_run_date_reads_yesterday(spark, tmp_path):
+    day = default_run_date(spark)
+    root, out = scratch_path(spark, "daily"), scratch_path(spark, "daily-out")
+    for name, fn in (("pv", td.pv), ("impr", td.impr), ("click", td.click)):
+        one = fn(spark, SF).filter(F.col("dt") == DAY).withColumn("dt", F.lit(day))
+        write_table(one, f"{root}/{name}", partition_by=["dt"])
+    jobs.daily_enrichment_job(spark, root, out, sponsor_id=None, app_ids=None)
+    assert read_lines(spark, f"{out}/{day}_impr").count() == td.impr(spark, SF).filter(F.col("dt") == DAY).count() > 0
+
+
+def test_cli_needs_a_sponsor_or_all(spark, root):
+    from adsift.__main__ import main
+
+    out = scratch_path(spark, "cli-all")
+    with pytest.raises(SystemExit):
+        main(["click-devices", "--root", root, "--out", out, "--start", DAY])
+    main(["click-devices", "--root", root, "--out", out, "--start", DAY, "--all-sponsors"])
+    want = clicks.sponsor_click_devices(td.click(spark, SF).filter(F.col("dt") == DAY), None)
+    assert sorted(r.value for r in read_lines(spark, out).collect()) == sorted(r.value for r in want.collect())
+
+
+def test_landing_report_reads_the_feed_once(spark, root, monkeypatch):
+    reads = []
+    monkeypatch.setattr(jobs, "read_feed", lambda *a, **k: reads.append(a) or read_feed(*a, **k))
+    out = scratch_path(spark, "lj2")
+    jobs.landing_report_job(spark, root, out, "1995-01-01", "1995-01-31")
+    land = td.land_page(spark, SF).filter("dt between '1995-01-01' and '1995-01-31'")
+    want = landing.landing_daily_text(landing.landing_daily_avg(land))
+    got = read_lines(spark, f"{out}/daily_text")
+    assert sorted(r.value for r in got.collect()) == sorted(r.value for r in want.collect())
+    assert len(reads) == 1
+
+
+def test_stream_failure_and_many_batches(spark):
+    inbox = scratch_path(spark, "wc-many").replace("file:", "")
+    os.makedirs(inbox)
+    for i in range(8):
+        with open(os.path.join(inbox, f"{i}.txt"), "w") as f:
+            f.write(f"w{i} x\n")
+    out, ckpt = scratch_path(spark, "wc-out"), scratch_path(spark, "wc-ckpt")
+    run_to_end(jobs.word_count_job(spark, out, ckpt, path=inbox, trigger={"availableNow": True}, max_files_per_trigger=1))
+    got = read_batches(spark, out)
+    assert got.select("batch_id").distinct().count() == 8
+    assert sorted((r.word, r.n) for r in got.collect()) == sorted([(f"w{i}", 1) for i in range(8)] + [("x", 1)] * 8)
+    broken = file_line_stream(spark, inbox).selectExpr("raise_error('broken') AS value")
+    with pytest.raises(Exception, match="broken"):
+        run_to_end(word_count_stream(broken, scratch_path(spark, "b"), scratch_path(spark, "c"), {"availableNow": True}))
 
 
 def test_cli_funnel_enrich_landing(spark, root):
