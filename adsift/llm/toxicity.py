@@ -24,6 +24,7 @@ from adsift.llm.common import text_of
 
 PREFIX_BYTES = (4, 5, 6)
 FILTER_BITS = 20
+COUNT_BITS = 21
 SENTENCE_END = np.zeros(256, dtype=bool)
 SENTENCE_END[[ord(c) for c in ".!?\n"]] = True
 
@@ -60,17 +61,19 @@ class Model:
         self.near = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.near[hashes >> np.uint64(64 - FILTER_BITS)] = True
 
-    def word_weights(self, found: np.ndarray) -> np.ndarray:
-        """The summed weight of each word; most features fail a small table first."""
-        out = np.zeros(len(found))
+    def sentence_weights(self, found: np.ndarray, sent: np.ndarray, n_sent: int) -> np.ndarray:
+        """The summed weight of each sentence's distinct features, given each word's
+        features and sentence; most features fail a small table first."""
         if not len(self.hashes):
-            return out
+            return np.zeros(n_sent)
+        pairs = []
         for col in found.T:
             at = np.flatnonzero(self.near[col >> np.uint64(64 - FILTER_BITS)])
             i = np.minimum(np.searchsorted(self.hashes, col[at]), len(self.hashes) - 1)
             hit = self.hashes[i] == col[at]
-            np.add.at(out, at[hit], self.weights[i[hit]])
-        return out
+            pairs.append(sent[at[hit]] * len(self.hashes) + i[hit])
+        pairs = np.unique(np.concatenate(pairs))
+        return np.bincount(pairs // len(self.hashes), weights=self.weights[pairs % len(self.hashes)], minlength=n_sent)
 
 
 def train(texts: pa.Array, labels: np.ndarray, sentence_prior: float = 1e-5, min_z: float = 5.0,
@@ -83,28 +86,35 @@ def train(texts: pa.Array, labels: np.ndarray, sentence_prior: float = 1e-5, min
     With labels of one class only, the model has no features.
     """
     bias = float(np.log(sentence_prior / (1 - sentence_prior)))
-    feats, sents, docs = [], [], []
-    n_sent = n_doc = 0
+    empty = Model(np.zeros(0, np.uint64), np.zeros(0), bias)
+    n_doc, chance = len(labels), labels.mean() if len(labels) else 0
+    if not 0 < chance < 1:
+        return empty
     body, offsets = textscan.utf8(texts)
+    bucket = np.uint64(64 - COUNT_BITS)
+    counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+    for i, j in textscan.chunks(offsets):
+        counts += np.bincount(features(textscan.scan(body, offsets[i:j + 1])).ravel() >> bucket, minlength=len(counts))
+    # A feature of so few documents cannot be min_z standard errors over chance, even if all are positive.
+    frequent = counts > min_z**2 * chance / (1 - chance)
+    feats, sents, docs, n_sent = [], [], [], 0
     for i, j in textscan.chunks(offsets):
         s = textscan.scan(body, offsets[i:j + 1])
         sent, doc = sentences(s)
         f = features(s)
-        keep = f.ravel() != 0
-        feats.append(f.ravel()[keep])
-        sents.append((np.repeat(sent, f.shape[1]) + n_sent)[keep])
-        docs.append(doc + n_doc)
+        keep = (f != 0) & frequent[f >> bucket]
+        feats.append(f[keep])
+        sents.append((np.repeat(sent, f.shape[1]).reshape(f.shape)[keep] + n_sent).astype(np.int32))
+        docs.append((doc + i).astype(np.int32))
         n_sent += len(doc)
-        n_doc += j - i
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), bias)
-    if not n_sent or not 0 < labels.sum() < len(labels):
-        return empty
     feat, sent, doc = np.concatenate(feats), np.concatenate(sents), np.concatenate(docs)
+    del feats, sents, docs
+    if not len(feat):
+        return empty
     known, index = np.unique(feat, return_inverse=True)
     by_doc = np.unique(index * n_doc + doc[sent])
     in_docs = np.bincount(by_doc // n_doc, minlength=len(known))
     in_toxic = np.bincount(by_doc // n_doc, weights=labels[by_doc % n_doc], minlength=len(known))
-    chance = labels.mean()
     useful = in_toxic - in_docs * chance > min_z * np.sqrt(in_docs * chance * (1 - chance))
     if not useful.any():
         return empty
@@ -161,7 +171,7 @@ def score_texts(texts: pa.Array, model: Model, sentence_threshold: float) -> pa.
     for i, j in textscan.chunks(offsets):
         s = textscan.scan(body, offsets[i:j + 1])
         sent, doc = sentences(s)
-        z = model.bias + np.bincount(sent, weights=model.word_weights(features(s)), minlength=len(doc))
+        z = model.bias + model.sentence_weights(features(s), sent, len(doc))
         total = np.bincount(doc, weights=np.logaddexp(0, z), minlength=s.n_docs)
         p = np.exp(-np.logaddexp(0, -z))
         bad = np.flatnonzero(p >= sentence_threshold)
@@ -182,7 +192,7 @@ def score_texts(texts: pa.Array, model: Model, sentence_threshold: float) -> pa.
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   label_col: str = "toxic", sample_rows: int = 8000, sample_max_chars: int = 20_000,
+                   label_col: str = "toxic", sample_rows: int = 4000, sample_max_chars: int = 20_000,
                    sentence_threshold: float = 0.5) -> DataFrame:
     """Train on ``labels`` (by ``id_col``) and score every whole text.
 
