@@ -17,9 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adsift.llm.common import SPACE_CHARS, UPPER, text_of, written
+from adsift.llm.common import text_of, written
 
 SYMBOLS = "#*$%&|<>"
+SPACE = r"\x20\x09-\x0D"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WINDOW = 5
 
@@ -32,15 +33,16 @@ class Rule:
 
 
 def _count_chars(text: Column, chars: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, chars, ""))
+    """How many characters of a regex class a text has."""
+    return F.regexp_count(text, F.lit(f"[{chars}]"))
 
 
 RULES = [
     Rule("symbols", lambda t, n: _count_chars(t, SYMBOLS) * 10 > n),
-    Rule("shouting", lambda t, n: _count_chars(t, UPPER) * 2 > F.char_length(t)),
+    Rule("shouting", lambda t, n: _count_chars(t, "A-Z") * 2 > F.char_length(t)),
     Rule("exclamations", lambda t, n: _count_chars(t, "!?") * 2 > n),
-    Rule("digits", lambda t, n: _count_chars(t, "0123456789") * 2 > F.char_length(t)),
-    Rule("word_length", lambda t, n: ~F.char_length(F.translate(t, SPACE_CHARS, "")).between(2 * n, 20 * n)),
+    Rule("digits", lambda t, n: _count_chars(t, "0-9") * 2 > F.char_length(t)),
+    Rule("word_length", lambda t, n: ~(F.char_length(t) - _count_chars(t, SPACE)).between(2 * n, 20 * n)),
     Rule("undecodable", lambda t, n: _count_chars(t, "�") * 100 > F.char_length(t)),
     Rule("ellipsis", lambda t, n: F.regexp_count(t, F.lit(r"(\.\.\.|…)[\x20\x09-\x0D]*(\n|$)")) * 10
          > 3 * (_count_chars(t, "\n") + 1)),
@@ -64,7 +66,7 @@ def base_metrics(rows: DataFrame) -> DataFrame:
                           lambda i: F.xxhash64(*[words[i + k] for k in range(WINDOW)]))
     base = base.select(
         *rows.columns, F.size(words).cast("long").alias("n_words"),
-        F.char_length(F.translate("full_text", SPACE_CHARS, "")).cast("long").alias("word_chars"),
+        (F.char_length("full_text") - _count_chars(F.col("full_text"), SPACE)).cast("long").alias("word_chars"),
         _count_chars(F.col("full_text"), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("filled_lines") - F.size(F.array_distinct("filled_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.size(words) > WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias("windows"))
@@ -85,6 +87,17 @@ def base_metrics(rows: DataFrame) -> DataFrame:
     return base.select(*own, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
+def quality_sample(docs: DataFrame, id_col: str, text_col: str, rows: int, max_chars: int) -> DataFrame:
+    """At most ``rows`` texts: those with the smallest hashes of the id. The
+    ids alone are ranked; texts are read only up to the last chosen hash."""
+    at = F.xxhash64(F.col(id_col))
+    last = docs.select(at.alias("at")).orderBy("at").limit(rows).agg(F.max("at")).first()[0]
+    chosen = docs.filter(at <= last) if last is not None else docs
+    return (chosen.select(text_of(text_col).alias("full_text")).filter(F.char_length("full_text") <= max_chars)
+            .limit(rows)
+            .select("full_text", F.size(F.filter(F.split("full_text", WORD_GAP), lambda w: w != "")).alias("n_words")))
+
+
 def measure(sample: DataFrame, rules: list[Rule]) -> dict[str, tuple[float, float]]:
     """For each rule its (cost in seconds a row, share of rows rejected) on the
     sample; one aggregate row a rule reaches the driver."""
@@ -109,8 +122,8 @@ def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         sample_max_chars: int = 100_000) -> DataFrame:
     """Base metrics, the base rule and the cascade's verdict for every row.
 
-    ``sample_rows`` bounds the sample (rows with the smallest hash of id and
-    text, of at most ``sample_max_chars``) that only sets the rules' order.
+    ``sample_rows`` bounds the sample (rows with the smallest hash of the id, of
+    texts up to ``sample_max_chars``) that only sets the rules' order.
 
     Returns per row: ``row`` (struct of all input columns), ``n_words``,
     ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``,
@@ -121,11 +134,7 @@ def apply_quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rules = RULES if rules is None else rules
     rows = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("full_text"))
-    sample = (docs.select(F.xxhash64(F.col(id_col), text_of(text_col)).alias("at"),
-                          text_of(text_col).alias("full_text"))
-              .filter(F.char_length("full_text") <= sample_max_chars)
-              .orderBy("at", "full_text").limit(sample_rows)
-              .select("full_text", F.size(F.filter(F.split("full_text", WORD_GAP), lambda w: w != "")).alias("n_words")))
+    sample = quality_sample(docs, id_col, text_col, sample_rows, sample_max_chars) if rules else None
     ordered = order_rules(rules, measure(written(sample, "quality-sample"), rules)) if rules else []
 
     found = base_metrics(rows)
