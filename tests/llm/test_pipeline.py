@@ -1,0 +1,82 @@
+"""The whole pipeline, stage by stage, against brute-force versions."""
+
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from adsift.llm import textscan, toxicity
+from adsift.llm.common import read_table, written
+from tests.llm import cases, test_decontam, test_jaccard_forest, test_line_dedup, test_packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_score(text, model):
+    """Noisy-or over the sentences of one text, word by word."""
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    body, offsets = textscan.utf8(pa.array([text or ""]))
+    s = textscan.scan(body, offsets)
+    found = toxicity.features(s)
+    sent, _ = toxicity.sentences(s)
+    by_sentence = defaultdict(set)
+    for w, n in enumerate(sent.tolist()):
+        by_sentence[n] |= set(found[w].tolist())
+    miss = 1.0
+    for features in by_sentence.values():
+        z = model.bias + sum(weight.get(f, 0.0) for f in features)
+        miss *= 1 / (1 + np.exp(min(z, 500)))
+    return 1 - miss
+
+
+def brute(spark, docs, labels, items):
+    sample = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 4000, 20_000).orderBy("id").toArrow()
+    model = toxicity.train(sample["text"], sample["y"].to_numpy().astype(np.int64))
+    rows = [(r.doc_id, r.text) for r in docs.collect() if plain_score(r.text, model) < 0.5]
+    rows = [(i, t) for i, _, _, t in test_line_dedup.brute(rows)]
+    classes = test_jaccard_forest.brute(rows)
+    rows = [(i, t) for i, t in sorted(rows) if classes[(i, t)][0] == i]
+    bad = {i for i, _ in test_decontam.brute(rows, items)}
+    return [(i, t) for i, t in rows if i not in bad]
+
+
+def check(spark, docs, sf):
+    labels, items = read_table(spark, sf, "labels"), read_table(spark, sf, "benchmark")
+    want = brute(spark, docs, labels, [r.text for r in items.orderBy("item_id").collect()])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = written(stage(spark, docs, sf), "test-stage")
+        assert docs.columns == columns, name
+    assert sorted((r.doc_id, r.text) for r in docs.collect()) == want
+    assert docs.filter(F.col("n_chars") != F.char_length("text")).isEmpty()
+    ids = defaultdict(int)
+    for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect():
+        ids[r.doc_id] += r.length
+    assert dict(ids) == {i: len(x) + 1 for (i, _), x in zip(want, test_packing.direct([t for _, t in want]), strict=True)}
+
+
+def test_stages_against_brute_force(spark):
+    check(spark, read_table(spark, SF, "documents"), SF)
+
+
+def test_stage_order_and_operators():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+
+
+def test_run_is_the_stages_in_order(spark):
+    pieces = corpus_pipeline.run(spark, SF)
+    assert pieces.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert 0 < pieces.select("doc_id").distinct().count() < 200
+
+
+@pytest.mark.parametrize("texts", [cases.EDGES, []])
+def test_edge_rows_and_empty_table(spark, texts):
+    docs = cases.frame(spark, texts) if texts else cases.empty(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), "test-stage")
+    kept = {r.doc_id for r in docs.collect()}
+    assert (None in kept and 0 in kept) if texts else kept == set()
