@@ -13,14 +13,15 @@ positions of a string. An anchor stands for an interval of string starts, about
 2. Sorted runs: each task sorts the suffixes of its texts, joins those of equal
    context, cuts the sorted list at common splitters (from a bounded
    sample) and front-codes every part: the length of the prefix shared with the string
-   before, and the rest.
+   before, and the rest. Splitters are shared-byte prefixes, so they never cut a stretch of
+   suffixes that have these bytes in common.
 3. Merge: the task of a range merges its runs with a loser tree that carries
    common-prefix lengths, so a comparison starts where the known common
    prefix ends, and yields the merged order with its prefix lengths.
-4. Within a stretch of equal shared bytes, the prefix lengths and the bytes left of the anchors tell
-   which strings are equal. A stretch that a splitter cuts or that exceeds
-   ``local_records`` is settled by Spark instead: one row per string, grouped by
-   a 128-bit hash, so no task ever holds an unbounded stretch.
+4. Within a stretch, the prefix lengths and the bytes left of the anchors tell
+   which strings are equal. A prefix met at more than ``local_records`` places (known
+   from step 1) is not sorted but settled by Spark: one row per string, grouped by
+   a 128-bit hash, so that no task ever holds an unbounded stretch.
 """
 
 from __future__ import annotations
@@ -136,13 +137,11 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Suffix:
     """An anchor's context: the bytes from it on that its strings cover, those
     before it, and its place."""
-    __slots__ = ("key", "right", "left", "x1", "x2", "at", "fewest", "settled")
+    __slots__ = ("right", "left", "x1", "x2", "at", "fewest", "settled")
 
-    def __init__(self, right, left, x1, x2, at, fewest, length, settled=False):
+    def __init__(self, right, left, x1, x2, at, fewest, settled=False):
         self.right, self.left, self.x1, self.x2, self.at = right, left, x1, x2, at
         self.fewest, self.settled = fewest, settled   # the strings start fewest..len(left) bytes before the anchor
-        # Full-length suffixes are ordered by what precedes them, too, so that splitters can cut between equal ones.
-        self.key = right + left[::-1] if len(right) == length else right
 
 
 def shared_prefix(a: bytes, b: bytes, known: int) -> int:
@@ -160,11 +159,12 @@ def suffixes_of(text: bytes, x1: int, x2: int, wanted: np.ndarray, length: int,
     at, first, last = anchors(raw, np.array([0, len(raw)]), length, spread, prefix_hashes(raw))
     keep = np.isin(at, wanted)
     for a, lo, hi in zip(at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), strict=True):
-        yield Suffix(text[a:hi + length], text[lo:a], x1, x2, a, a - hi, length)
+        yield Suffix(text[a:hi + length], text[lo:a], x1, x2, a, a - hi)
 
 
 RUN = StructType([StructField("target", IntegerType()), StructField("x1", LongType()), StructField("x2", LongType()),
                   StructField("start", LongType()), StructField("stop", LongType()),
+                  StructField("w1", LongType()), StructField("w2", LongType()),
                   *[StructField(c, BinaryType()) for c in ("numbers", "shared", "rest", "rests", "left")]])
 
 
@@ -179,7 +179,7 @@ def front_coded(target: int, run: list[Suffix]) -> dict:
             "left": pack(b"".join(s.left for s in run))}
 
 
-def decoded(row: dict, length: int) -> Iterator[tuple[Suffix, int]]:
+def decoded(row: dict) -> Iterator[tuple[Suffix, int]]:
     """The suffixes of a front-coded part, each with its shared prefix length."""
     unpack = zstandard.ZstdDecompressor().decompress
     numbers = np.frombuffer(unpack(row["numbers"]), dtype=np.int64).reshape(-1, 6).tolist()
@@ -189,7 +189,7 @@ def decoded(row: dict, length: int) -> Iterator[tuple[Suffix, int]]:
     before, r, n = b"", 0, 0
     for (x1, x2, at, fewest, settled, n_left), k, size in zip(numbers, shared, sizes, strict=True):
         before = before[:k] + rests[r:r + size]
-        yield Suffix(before, lefts[n:n + n_left], x1, x2, at, fewest, length, bool(settled)), k
+        yield Suffix(before, lefts[n:n + n_left], x1, x2, at, fewest, bool(settled)), k
         r, n = r + size, n + n_left
 
 
@@ -200,11 +200,22 @@ def span_row(s: Suffix, length: int, most: int | None = None, fewest: int | None
     return {"target": -1, "x1": s.x1, "x2": s.x2, "start": s.at - most, "stop": s.at - fewest + length}
 
 
-def make_runs(texts: DataFrame, splitters: list[bytes], length: int, spread: int, run_records: int) -> DataFrame:
-    """Front-coded runs by target, and (target -1) spans already settled:
-    suffixes of equal context at different places of one run."""
+def string_rows(s: Suffix, length: int) -> Iterator[dict]:
+    """One row per string of a suffix that is settled by hash."""
+    for a in range(s.fewest, len(s.left) + 1):
+        whole = xxhash.xxh3_128_digest(s.left[len(s.left) - a:] + s.right[:length - a])
+        w1, w2 = np.frombuffer(whole, dtype=np.int64).tolist()
+        yield {"target": -2, "x1": s.x1, "x2": s.x2, "start": s.at - a, "stop": s.at - a + length, "w1": w1, "w2": w2}
+
+
+def make_runs(texts: DataFrame, splitters: list[bytes], subs: int, length: int, spread: int, run_records: int) -> DataFrame:
+    """Front-coded runs by target; with target -1 spans already settled (suffixes of equal
+    context at different places of one run); with target -2 the strings of heavy prefixes.
+    A range of the splitters is ``subs`` targets, by a hash of the shared prefix."""
+    prefix = length - spread + 1
+
     def sorted_run(found: list[Suffix]) -> Iterator[dict]:
-        found.sort(key=lambda s: (s.key, s.left, s.fewest))
+        found.sort(key=lambda s: (s.right, s.left, s.fewest))
         kept: list[Suffix] = []
         for s in found:
             if kept and kept[-1].right == s.right and kept[-1].left == s.left and kept[-1].fewest == s.fewest:
@@ -214,49 +225,57 @@ def make_runs(texts: DataFrame, splitters: list[bytes], length: int, spread: int
                 yield span_row(s, length)
             else:
                 kept.append(s)
-        keys = [s.key for s in kept]
+        keys = [s.right for s in kept]
         cuts = [0, *[bisect.bisect_left(keys, x) for x in splitters], len(kept)]
-        for target, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            if hi > lo:
-                yield front_coded(target, kept[lo:hi])
+        for range_no, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            parts: dict[int, list[Suffix]] = {}
+            for s in kept[lo:hi]:
+                parts.setdefault(xxhash.xxh3_64_intdigest(s.right[:prefix]) % subs if subs > 1 else 0, []).append(s)
+            for sub, part in parts.items():
+                yield front_coded(range_no * subs + sub, part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, found = None, []
-
-        def emit(rows: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist(rows, schema=schema)
-        schema = pa.schema([("target", pa.int32()), *[(c, pa.int64()) for c in ("x1", "x2", "start", "stop")],
+        schema = pa.schema([("target", pa.int32()), *[(c, pa.int64()) for c in ("x1", "x2", "start", "stop", "w1", "w2")],
                             *[(c, pa.binary()) for c in ("numbers", "shared", "rest", "rests", "left")]])
+        found: list[Suffix] = []
         for batch in batches:
-            for x1, x2, text, wanted in zip(*[batch.column(c) for c in ("x1", "x2", "text", "wanted")], strict=True):
-                found.extend(suffixes_of(text.as_py(), x1.as_py(), x2.as_py(), wanted.values.to_numpy(), length, spread))
+            for x1, x2, text, wanted, heavy in zip(
+                    *[batch.column(c) for c in ("x1", "x2", "text", "wanted", "heavy")], strict=True):
+                place = (text.as_py(), x1.as_py(), x2.as_py())
+                found.extend(suffixes_of(*place, wanted.values.to_numpy(), length, spread))
+                if len(heavy):
+                    for s in suffixes_of(*place, heavy.values.to_numpy(), length, spread):
+                        yield pa.RecordBatch.from_pylist(list(string_rows(s, length)), schema=schema)
                 if len(found) >= run_records:
-                    yield emit(list(sorted_run(found)))
+                    yield pa.RecordBatch.from_pylist(list(sorted_run(found)), schema=schema)
                     found = []
         if found:
-            yield emit(list(sorted_run(found)))
-    return texts.select(*TEXT, "text", "wanted").mapInArrow(run, RUN)
+            yield pa.RecordBatch.from_pylist(list(sorted_run(found)), schema=schema)
+    return texts.select(*TEXT, "text", "wanted", "heavy").mapInArrow(run, RUN)
 
 
-def pick_splitters(texts: DataFrame, total: int, targets: int, length: int, spread: int, per_target: int = 30) -> list[bytes]:
-    """Keys that cut the sorted suffixes into ``targets`` parts, from a sample of about
-    ``per_target`` keys for each; the sample does not grow with the corpus."""
-    share = min(1.0, targets * per_target / max(1, total))
-    limit = int(share * 2**32)
+def pick_splitters(texts: DataFrame, total: int, ranges: int, length: int, spread: int, per_range: int = 20) -> list[bytes]:
+    """Shared-byte prefixes that cut the sorted suffixes into at most ``ranges`` parts, from a
+    sample of about ``per_range`` prefixes for each: bounded by these two, however large the corpus."""
+    share = min(1.0, ranges * per_range / max(1, total))
+    limit, prefix = int(share * 2**32), length - spread + 1
+    if ranges == 1:
+        return []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = []
-            for x1, x2, text, wanted in zip(*[batch.column(c) for c in ("x1", "x2", "text", "wanted")], strict=True):
+            for x1, text, wanted in zip(*[batch.column(c) for c in ("x1", "text", "wanted")], strict=True):
                 at = wanted.values.to_numpy()
                 mixed = textscan.mix(at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(x1.as_py() & 2**64 - 1))
                 at = at[(mixed >> np.uint64(32)) < limit]
                 if len(at):
-                    keys += [s.key for s in suffixes_of(text.as_py(), 0, 0, at, length, spread)]
+                    body = text.as_py()
+                    keys += [body[a:a + prefix] for a in at.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
-    sample = texts.select(*TEXT, "text", "wanted").mapInArrow(run, "key binary").toArrow()
+    sample = texts.select("x1", "text", "wanted").mapInArrow(run, "key binary").toArrow()
     keys = sorted(sample["key"].to_pylist())
-    return sorted({keys[i * len(keys) // targets] for i in range(1, targets)}) if keys else []
+    return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
 
 
 # --- merge -------------------------------------------------------------------
@@ -340,56 +359,33 @@ def settle(group: list[Suffix], shared: list[int], length: int, spread: int) ->
             yield span_row(group[i], length, int(top[i]), int(low[i]))
 
 
-FOUND = StructType([StructField(c, LongType()) for c in ("x1", "x2", "start", "stop", "w1", "w2")])
+FOUND = StructType([StructField(c, LongType()) for c in ("x1", "x2", "start", "stop")])
 
 
-def merge_runs(runs: DataFrame, splitters: list[bytes], length: int, spread: int, local_records: int) -> DataFrame:
-    """Spans found by merging; rows with ``w1, w2`` are strings left to be grouped by that hash."""
+def merge_runs(runs: DataFrame, length: int, spread: int, local_records: int) -> DataFrame:
+    """Spans found by merging the runs of each target (rows sorted by it)."""
     prefix = length - spread + 1
-    cut = {s[:prefix] for s in splitters}
     schema = pa.schema([(c, pa.int64()) for c in FOUND.names])
 
-    def strings(s: Suffix) -> Iterator[dict]:
-        for a in range(s.fewest, len(s.left) + 1):
-            whole = xxhash.xxh3_128_digest(s.left[len(s.left) - a:] + s.right[:length - a])
-            w1, w2 = np.frombuffer(whole, dtype=np.int64).tolist()
-            yield {"x1": s.x1, "x2": s.x2, "start": s.at - a, "stop": s.at - a + length, "w1": w1, "w2": w2}
-
     def merged(parts: list[dict]) -> Iterator[dict]:
-        group, shared, whole = [], [], []   # one stretch; whole: several small ones
-        spill = False
-
-        def close() -> Iterator[dict]:
-            nonlocal whole
-            if spill:
-                return
-            if len(group) > 1:
-                if whole and sum(len(g) for g, _ in whole) + len(group) > local_records:
-                    yield from flush()
-                whole.append((group, shared))
+        ready: list[tuple[Suffix, int]] = []     # whole stretches of two suffixes or more
+        stretch: list[tuple[Suffix, int]] = []
 
         def flush() -> Iterator[dict]:
-            nonlocal whole
-            if whole:
-                yield from settle([s for g, _ in whole for s in g], [k for _, c in whole for k in c], length, spread)
-            whole = []
-
-        for s, k in loser_tree([decoded(p, length) for p in parts]):
-            if not group and not spill or k < prefix:
-                yield from close()
-                group, shared = [], []
-                k, spill = 0, s.right[:prefix] in cut
-            if not spill and len(group) == local_records:
-                spill = True
-                for g in group:
-                    yield from strings(g)
-                group, shared = [], []
-            if spill:
-                yield from strings(s)
-            else:
-                group.append(s)
-                shared.append(k)
-        yield from close()
+            if ready:
+                yield from settle([s for s, _ in ready], [k for _, k in ready], length, spread)
+            ready.clear()
+
+        for s, k in loser_tree([decoded(p) for p in parts]):
+            if stretch and k < prefix:
+                if len(stretch) > 1:
+                    ready.extend(stretch)
+                stretch = []
+                if len(ready) >= local_records:
+                    yield from flush()
+            stretch.append((s, k if stretch else 0))
+        if len(stretch) > 1:
+            ready.extend(stretch)
         yield from flush()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +447,7 @@ def cut_texts(texts: DataFrame) -> DataFrame:
 
 def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
                         spread: int = 200, run_records: int = 20_000, target_records: int = 60_000,
-                        local_records: int = 16_384) -> DataFrame:
+                        local_records: int = 16_384, max_ranges: int = 2000) -> DataFrame:
     """All bytes covered by strings of ``length`` bytes that occur twice.
 
     Texts are judged as UTF-8 bytes, each on its own (no string crosses
@@ -461,7 +457,8 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``n_removed`` and ``kept_sha256`` (lowercase hex of the bytes outside the spans, joined).
     Ids may be null or repeat: equal rows are copies of each other. Texts
     shorter than ``length`` have no spans. ``run_records``, ``target_records`` and
-    ``local_records`` bound what a task holds at once; none changes the result.
+    ``local_records`` bound what a task holds at once, ``max_ranges`` the
+    splitters and their sample on the driver; none changes the result.
     Needs ``length >= spread + 16``.
     """
     signed = written(anchor_table(docs, id_col, text_col, length, spread), "suffix-rows")
@@ -472,10 +469,11 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     places = texts.select(*TEXT, F.explode(F.arrays_zip("anchors.at", "anchors.prefix")).alias("p")) \
         .select(*TEXT, "p.at", "p.prefix")
     place = F.xxhash64("x1", "x2", "at")
-    twice = written(places.groupBy("prefix").agg(F.min(place).alias("a"), F.max(place).alias("b"))
-                    .filter("a != b").select("prefix"), "suffix-prefixes")
+    twice = written(places.groupBy("prefix").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n"))
+                    .filter("a != b").select("prefix", (F.col("n") > local_records).alias("heavy")), "suffix-prefixes")
+    at = lambda cond: F.collect_list(F.when(cond, F.col("at")))
     wanted = (places.join(twice.hint("merge"), "prefix").groupBy(*TEXT)
-              .agg(F.collect_list("at").alias("wanted"))
+              .agg(at(~F.col("heavy")).alias("wanted"), at(F.col("heavy")).alias("heavy"))
               .join(texts.select(*TEXT, "id"), TEXT))
     raw = F.encode(text_of(text_col), "utf-8")
     rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(raw).alias("y1"),
@@ -484,22 +482,24 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     affected = written(
         rows.join(wanted, (F.col("y1") == F.col("x1")) & (F.col("y2") == F.col("x2"))
                   & F.col("row_id").eqNullSafe(F.col("id")))
-        .select(*TEXT, "text", "wanted").dropDuplicates(TEXT), "suffix-affected")
+        .select(*TEXT, "text", "wanted", "heavy").dropDuplicates(TEXT), "suffix-affected")
 
     total = affected.agg(F.sum(F.size("wanted"))).first()[0] or 0
     targets = max(1, -(-total // target_records), min(200, total // 2000))
-    splitters = pick_splitters(affected, total, targets, length, spread)
-    runs = written(make_runs(affected, splitters, length, spread, run_records), "suffix-runs")
-    ordered = runs.filter("target >= 0").repartition(len(splitters) + 1, "target").sortWithinPartitions("target")
-    merged = written(merge_runs(ordered, splitters, length, spread, local_records), "suffix-merged")
-
-    strings = merged.filter("w1 is not null")
-    at = F.xxhash64("x1", "x2", "start")
-    equal = written(strings.groupBy("w1", "w2").agg(F.min(at).alias("a"), F.max(at).alias("b"))
+    ranges = min(targets, max_ranges)
+    subs = -(-targets // ranges)
+    splitters = pick_splitters(affected, total, ranges, length, spread)
+    runs = written(make_runs(affected, splitters, subs, length, spread, run_records), "suffix-runs")
+    ordered = (runs.filter("target >= 0").repartition((len(splitters) + 1) * subs, "target")
+               .sortWithinPartitions("target"))
+    merged = merge_runs(ordered, length, spread, local_records)
+
+    strings = runs.filter("target = -2")
+    place = F.xxhash64("x1", "x2", "start")
+    equal = written(strings.groupBy("w1", "w2").agg(F.min(place).alias("a"), F.max(place).alias("b"))
                     .filter("a != b").select("w1", "w2"), "suffix-strings")
     columns = [*TEXT, "start", "stop"]
-    spans = (runs.filter("target < 0").select(*columns)
-             .unionByName(merged.filter("w1 is null").select(*columns))
+    spans = (runs.filter("target = -1").select(*columns).unionByName(merged.select(*columns))
              .unionByName(strings.join(equal.hint("merge"), ["w1", "w2"]).select(*columns)))
     found = spans.groupBy(*TEXT).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("found"))
     cut = written(cut_texts(affected.select(*TEXT, "text").join(found, TEXT)), "suffix-cut")

@@ -50,7 +50,8 @@ def passages(n, seed):
 
 
 @pytest.mark.parametrize("kw", [
-    {}, {"run_records": 7, "target_records": 5}, {"run_records": 50, "target_records": 20, "local_records": 4}])
+    {}, {"run_records": 7, "target_records": 5}, {"run_records": 50, "target_records": 20, "local_records": 4},
+    {"run_records": 30, "target_records": 9, "max_ranges": 3, "local_records": 8}])
 def test_against_brute_force(spark, kw):
     texts = [t for t in cases.EDGES if t is None or len(t) < 10_000] + passages(40, 3)
     texts += [texts[-1], (7000, texts[-2]), (7000, texts[-2])]
@@ -73,7 +74,7 @@ def test_loser_tree_keeps_order_and_prefixes():
         strings = sorted(bytes(rnd.choices(b"ab", k=rnd.randint(1, 12))) for _ in range(rnd.randint(0, 30)))
         everything += strings
         shared = [0] + [sd.shared_prefix(a, b, 0) for a, b in zip(strings, strings[1:], strict=False)]
-        runs.append(iter([(sd.Suffix(s, b"", 0, 0, 0, 0, 99), k) for s, k in zip(strings, shared, strict=True)]))
+        runs.append(iter([(sd.Suffix(s, b"", 0, 0, 0, 0), k) for s, k in zip(strings, shared, strict=True)]))
     got = [(s.right, k) for s, k in sd.loser_tree(runs)]
     assert [s for s, _ in got] == sorted(everything)
     assert [k for _, k in got][1:] == [sd.shared_prefix(a[0], b[0], 0) for a, b in zip(got, got[1:], strict=False)]
