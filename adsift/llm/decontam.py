@@ -199,25 +199,32 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_items: int,
         yield block
 
 
+def _without(sent, threshold: float):
+    """A function of a text column: no window of the text matches an item of the broadcast block."""
+    @F.arrow_udf("boolean")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bench = _benchmark(sent.value)
+        for batch in texts:
+            keep = np.ones(len(batch), dtype=bool)
+            body, offsets = textscan.utf8(batch)
+            for i, j in textscan.chunks(offsets):
+                for found in bench.search(textscan.scan(body, offsets[i:j + 1]), threshold):
+                    keep[i + found[0]] = False
+            yield pa.array(keep)
+    return clean
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
                       item_text_col: str = "text", threshold: float = 0.8,
                       block_items: int = 2000, block_chars: int = 4_000_000) -> DataFrame:
     """The rows of ``docs`` without a window as ``find_contamination`` reports
     it; null and empty texts stay. Each block of items filters what the blocks before left."""
     rows = docs.select(F.struct("*").alias("row"))
+    text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
     for block in item_blocks(items, item_id_col, item_text_col, block_items, block_chars):
         sent = docs.sparkSession.sparkContext.broadcast(tuple(t for _, t in block))
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            bench = _benchmark(sent.value)
-            for batch in batches:
-                keep = np.ones(batch.num_rows, dtype=bool)
-                body, offsets = textscan.utf8(batch.column(0).field(text_col).cast(pa.string()))
-                for i, j in textscan.chunks(offsets):
-                    for found in bench.search(textscan.scan(body, offsets[i:j + 1]), threshold):
-                        keep[i + found[0]] = False
-                yield batch.filter(pa.array(keep))
-        rows = rows.mapInArrow(run, rows.schema)
+        rows = rows.filter(_without(sent, threshold)(text))
     return rows.select("row.*")
 
 

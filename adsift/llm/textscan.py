@@ -27,7 +27,7 @@ IS_WORD[ord("a"):ord("z") + 1] = True
 IS_WORD[0x80:] = True
 
 #: Documents are scanned together up to about so many bytes; a longer one is scanned alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _powers = {True: np.ones(1, dtype=np.uint64), False: np.ones(1, dtype=np.uint64)}
 
@@ -38,7 +38,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         steps = np.full(n, BASE_INVERSE if inverse else BASE, dtype=np.uint64)
         steps[0] = 1
         out = np.multiply.accumulate(steps)
-        if n > 4 * CHUNK_BYTES:
+        if n > 8 * CHUNK_BYTES:
             return out
         _powers[inverse] = out
     return _powers[inverse][:n]

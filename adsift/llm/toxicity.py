@@ -211,18 +211,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def score_with(docs: DataFrame, model: Model, text_col: str = "text", sentence_threshold: float = 0.5) -> DataFrame:
-    """Score every text with a trained model."""
-    from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+    """Score every text with a trained model. Only texts go to Python, and only scores come back."""
+    @F.arrow_udf("score double, n_sentences bigint, "
+                 "offending array<struct<start:bigint,end:bigint,score:double>>")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield score_texts(batch, model, sentence_threshold).to_struct_array().combine_chunks()
+
     rows = docs.select(F.struct("*").alias("row"))
-    out = StructType([*rows.schema.fields, StructField("score", DoubleType()), StructField("n_sentences", LongType()),
-                      StructField("offending", ArrayType(StructType([
-                          StructField("start", LongType()), StructField("end", LongType()),
-                          StructField("score", DoubleType())])))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row = batch.column(0)
-            got = score_texts(row.field(text_col).cast(pa.string()), model, sentence_threshold)
-            table = pa.table([row, *got.columns], names=["row", *SCORED.names])
-            yield from table.combine_chunks().to_batches()
-    return rows.mapInArrow(run, out)
+    text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
+    return rows.select("row", scored(text).alias("found")).select("row", "found.score", "found.n_sentences", "found.offending")
