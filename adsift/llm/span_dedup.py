@@ -29,35 +29,40 @@ def pieces(text):
         p.alias("piece"), ascii_lower(F.btrim(p, F.lit(SPACE_CHARS))).alias("key")))
 
 
-def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
-    """One row per run of ``span`` sentences: ``id, row_hash, at, h1, h2``.
-    Pieces of white space alone are no sentences."""
+def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, min_chars: int) -> DataFrame:
+    """One row per run of ``span`` sentences whose keys have ``min_chars``
+    code points together: ``id, row_hash, at, h1, h2``. Pieces of white space alone are no sentences."""
     text = text_of(text_col)
     keys = F.filter(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)),
                                 lambda p: ascii_lower(F.btrim(p, F.lit(SPACE_CHARS)))), lambda k: k != "")
     rows = (docs.filter(F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("id"), row_key(text).alias("row_hash"), keys.alias("keys"))
             .filter(F.size("keys") >= span)
-            .select("id", "row_hash", F.transform("keys", lambda k: F.xxhash64(k)).alias("a"),
+            .select("id", "row_hash", F.transform("keys", F.char_length).alias("n"),
+                    F.transform("keys", lambda k: F.xxhash64(k)).alias("a"),
                     F.transform("keys", lambda k: F.xxhash64(F.lit("second"), k)).alias("b")))
-    a, b = F.col("a"), F.col("b")
-    runs = F.transform(F.sequence(F.lit(0), F.size(a) - span), lambda i: F.struct(
+    n, a, b = F.col("n"), F.col("a"), F.col("b")
+    enough = F.filter(F.sequence(F.lit(0), F.size(n) - span),
+                      lambda i: sum((n[i + k] for k in range(1, span)), n[i]) >= min_chars)
+    runs = F.transform(enough, lambda i: F.struct(
         i.alias("at"), F.xxhash64(*[a[i + k] for k in range(span)]).alias("h1"),
         F.xxhash64(F.lit("second"), *[b[i + k] for k in range(span)]).alias("h2")))
     return rows.select("id", "row_hash", F.explode(runs).alias("run")).select("id", "row_hash", "run.*")
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3) -> DataFrame:
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
+                min_chars: int = 60) -> DataFrame:
     """Remove the sentences that a later occurrence of a repeated run covers.
 
     Returns one row per input row: ``row`` (struct of all its columns),
     ``n_sentences``, ``n_removed`` and ``kept_text`` (the other pieces, as they
-    were, in order). Overlapping occurrences within a document count; documents of under ``span``
+    were, in order). A run whose sentences have under ``min_chars`` code points together is none (short
+    phrases meet by chance). Overlapping occurrences within a document count; documents of under ``span``
     sentences have no run and stay whole. Null text is empty. Rows with a null
     id stay whole and hide none of others; repeated rows (same id and text) are one document
     and get equal results. An empty table gives an empty result.
     """
-    runs = span_hashes(docs, id_col, text_col, span)
+    runs = span_hashes(docs, id_col, text_col, span, min_chars)
     repeated = written(
         runs.groupBy(*KEY).agg(F.min(F.struct("id", "at", "row_hash")).alias("first"),
                                F.max(F.struct("id", "at", "row_hash")).alias("last"))

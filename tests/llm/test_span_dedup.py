@@ -9,7 +9,7 @@ from tests.llm import cases
 from tests.llm.test_line_dedup import key
 
 
-def brute(docs, span):
+def brute(docs, span, min_chars):
     split = []
     for doc_id, text, *_ in docs:
         pieces = re.findall(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+", text or "")
@@ -20,25 +20,27 @@ def brute(docs, span):
             continue
         for n in range(len(at) - span + 1):
             run = tuple(key(pieces[i]) for i in at[n:n + span])
+            if sum(map(len, run)) < min_chars:
+                continue
             first.setdefault(run, set()).add((doc_id, n, text or ""))
     out = []
     for doc_id, text, pieces, at in split:
         gone = set()
         for n in range(len(at) - span + 1 if doc_id is not None else 0):
-            places = first[tuple(key(pieces[i]) for i in at[n:n + span])]
-            if min(p[:2] for p in places) != (doc_id, n):
+            places = first.get(tuple(key(pieces[i]) for i in at[n:n + span]))
+            if places and min(p[:2] for p in places) != (doc_id, n):
                 gone |= {n + k for k in range(span)}
         kept = [p for i, p in enumerate(pieces) if i not in {at[n] for n in gone}]
         out.append((doc_id, len(at), len(gone), "".join(kept)))
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("span", [2, 3])
-def test_against_brute_force(spark, span):
+@pytest.mark.parametrize("span,min_chars", [(2, 0), (3, 0), (3, 60), (1, 30)])
+def test_against_brute_force(spark, span, min_chars):
     texts = cases.EDGES + cases.random_texts(60, seed=5, vocabulary=12)
-    got = dedup_spans(cases.frame(spark, texts), span=span)
+    got = dedup_spans(cases.frame(spark, texts), span=span, min_chars=min_chars)
     got = sorted((tuple(r) for r in got.select("row.doc_id", "n_sentences", "n_removed", "kept_text").collect()), key=repr)
-    assert got == brute(cases.rows(texts), span)
+    assert got == brute(cases.rows(texts), span, min_chars)
 
 
 def test_empty_table(spark):
