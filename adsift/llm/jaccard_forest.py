@@ -229,7 +229,7 @@ def verify(members: DataFrame, threshold: float) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
                     trees: int = 20, max_depth: int = 8, target_recall: float = 0.9995,
-                    block: int = 1024) -> DataFrame:
+                    block: int = 256) -> DataFrame:
     """Classes of documents linked by a shingle Jaccard similarity of at least ``threshold``.
 
     Returns per row of ``docs``: ``id``, ``row_hash``, ``class_id`` (the smallest id
