@@ -17,6 +17,7 @@ are made from the partition number and a counter.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,6 +30,9 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from adsift.llm import textscan
 
+#: Texts are encoded together up to about so many bytes: the more, the fewer pieces are looked up again.
+ENCODE_BYTES = 4_000_000
+
 GAP = np.zeros(256, dtype=bool)
 GAP[[0x20, *range(0x09, 0x0E)]] = True
 #: 1: ASCII letter; 2: ASCII punctuation other than the apostrophe; 0: all else.
@@ -52,7 +56,7 @@ class WordEncoder:
     follows, so no cut is made at one). Each distinct piece is encoded once
     and its ids are looked up afterwards."""
 
-    def __init__(self, path: str, cache_entries: int = 300_000):
+    def __init__(self, path: str, cache_entries: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -69,10 +73,10 @@ class WordEncoder:
     def _numbers(self, runs: list[bytes]) -> np.ndarray:
         if len(self.number) > self.limit:
             self._clear()
-        get = self.number.get
-        out = [get(r) for r in runs]
-        new = [r for r, n in zip(runs, out, strict=True) if n is None]
-        if new:
+        out = list(map(self.number.get, runs))
+        missing = [i for i, n in enumerate(out) if n is None]
+        if missing:
+            new = [runs[i] for i in missing]
             found: list = [None] * len(new)
             tokenize, rest = self.tokenizer.model.tokenize, []
             for i, r in enumerate(new):
@@ -86,18 +90,19 @@ class WordEncoder:
             ends = self.at[-1] + np.cumsum(lengths)
             if ends[-1] > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), ends[-1]), dtype=np.uint32)])
-            self.ids[self.at[-1]:ends[-1]] = np.fromiter((t for f in found for t in f), np.uint32, int(lengths.sum()))
+            self.ids[self.at[-1]:ends[-1]] = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(lengths.sum()))
             first = len(self.at) - 1
             self.at = np.concatenate([self.at, ends])
-            for i, r in enumerate(new):
-                self.number[r] = first + i
-            out = [get(r) for r in runs]
+            for i, n in enumerate(missing, first):
+                out[n] = i
+                # Pieces that differ in the gap after them come up twice in a chunk; the later entry stays.
+                self.number[runs[n]] = i
         return np.array(out, dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
         body, offsets = textscan.utf8(texts)
-        for i, j in textscan.chunks(offsets):
+        for i, j in textscan.chunks(offsets, ENCODE_BYTES):
             yield from self._encode_chunk(body[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
 
     def _encode_chunk(self, raw: np.ndarray, doc_at: np.ndarray) -> Iterator[np.ndarray]:
