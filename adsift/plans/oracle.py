@@ -282,7 +282,7 @@ ORACLE: dict[str, str] = {
     "funnel_day_grain": _funnel(DEFAULT_DIMS, grain="day"),
     "funnel_abtest_daily": _funnel(ABTEST_DIMS, per_day=True),
     "funnel_version_daily": _funnel(VERSION_DIMS, per_day=True),
-    "funnel_slot_range": _funnel(DEFAULT_DIMS, where=f"slot_id = '1' AND {DAYS}"),
+    "funnel_slot_range": _funnel(DEFAULT_DIMS, where=f"slot_id = '1' AND {DAYS} AND hour BETWEEN 6 AND 17"),
     "funnel_text": _funnel_text(),
     "funnel_abtest_daily_text": _funnel_abtest_text(),
     "funnel_version_daily_text": _funnel_version_text(),

@@ -28,6 +28,7 @@ FIXTURE_SLOT = "1"
 FIXTURE_SPONSOR = 1
 FIXTURE_APPS = tuple(str(i) for i in range(50))
 FIXTURE_DAYS = ("2024-01-03", "2024-01-20")
+FIXTURE_HOURS = range(6, 18)
 FILES_PER_DAY = 20
 
 
@@ -71,10 +72,10 @@ def _feed_layout(spark, sf, *names):
 
 
 def funnel_slot_range(spark, sf):
-    """One slot over a day range, read from partitioned feeds."""
+    """One slot over a range of days and hours, read from partitioned feeds."""
     names = ("pv", "bid", "impr", "click")
     root = _feed_layout(spark, sf, *names)
-    feeds = [read_feed(spark, root, n, *FIXTURE_DAYS) for n in names]
+    feeds = [read_feed(spark, root, n, *FIXTURE_DAYS, hours=FIXTURE_HOURS) for n in names]
     return funnel.funnel(*feeds, slot_id=FIXTURE_SLOT)
 
 

@@ -205,6 +205,24 @@ def test_stream_failure_and_many_batches(spark):
         run_to_end(word_count_stream(broken, scratch_path(spark, "b"), scratch_path(spark, "c"), {"availableNow": True}))
 
 
+def test_one_second_batches(spark):
+    inbox = scratch_path(spark, "wc-second").replace("file:", "")
+    os.makedirs(inbox)
+    out = scratch_path(spark, "wc-out")
+    q = jobs.word_count_job(spark, out, scratch_path(spark, "wc-ckpt"), path=inbox)
+    try:
+        for i in range(2):
+            with open(os.path.join(inbox, f".{i}"), "w") as f:
+                f.write(f"w{i}\n")
+            os.rename(os.path.join(inbox, f".{i}"), os.path.join(inbox, f"{i}.txt"))
+            q.processAllAvailable()
+        starts = [dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")) for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        q.stop()
+    assert len(starts) == 2 and (starts[1] - starts[0]).total_seconds() >= 0.9
+    assert sorted((r.batch_id, r.word) for r in read_batches(spark, out).collect()) == [(0, "w0"), (1, "w1")]
+
+
 def test_cli_funnel_enrich_landing(spark, root):
     from adsift.__main__ import main
 

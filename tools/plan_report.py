@@ -11,18 +11,19 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-from __spark_entry__ import queries  # noqa: E402
+from adsift.plans.queries import QUERIES  # noqa: E402
 from adsift.session import build_session  # noqa: E402
 
 SINKS = {"funnel_text", "funnel_abtest_daily_text", "funnel_version_daily_text", "impression_enrich_text",
-         "click_enrich_text", "sponsor_click_devices", "landing_daily_text", "parquet_roundtrip",
+         "click_enrich_text", "sponsor_click_devices", "one_sponsor_click_devices", "cohort_reach_ids_text", "landing_daily_text", "parquet_roundtrip",
          "parquet_value_alias", "episodes_filter_copy", "stream_word_count"}
 
 
 SCALE_NOTE = """Reading this at 100 TB: every aggregation has map-side partial aggregation, so hot keys (a NULL bid, one
 device, one word) collapse before they are shuffled; the only joins are membership/enrichment joins against
-a side that is de-duplicated first (cohort ids, one page view per bid), so no join multiplies rows; NULL and
-already-matched join keys are salted so they cannot pile onto one reducer; no plan has a Python node, a cross
+an id list (a semi join, or an outer join that only sets flags) or one page view per bid, so no join multiplies
+rows; NULL candidates never reach a join, NULL bids are salted, and both sides of every large join come straight from
+an exchange, so that adaptive execution can split a hot id or bid (tested); no plan has a Python node, a cross
 join, a driver collect or a single-partition stage other than final one-row counts and the bounded merge of
 per-partition top-10s in `episodes_take`. The funnel needs exactly
 two shuffles whatever the input size; the cohort queries shuffle distinct candidate tuples, not raw rows.
@@ -65,7 +66,7 @@ def main():
     print(SCALE_NOTE)
     print("| query | " + " | ".join(cols) + " |")
     print("| --- |" + " --- |" * len(cols))
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
@@ -77,7 +78,7 @@ def main():
     print("| --- |" + " --- |" * len(cols))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     for name in JOINS:
-        df = queries()[name](spark, sf)
+        df = QUERIES[name](spark, sf)
         df.collect()
         s = summarise(df._jdf.queryExecution().executedPlan().toString())
         print(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
