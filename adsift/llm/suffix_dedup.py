@@ -490,7 +490,8 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     subs = -(-targets // ranges)
     splitters = pick_splitters(affected, total, ranges, length, spread)
     runs = written(make_runs(affected, splitters, subs, length, spread, run_records), "suffix-runs")
-    ordered = (runs.filter("target >= 0").repartition((len(splitters) + 1) * subs, "target")
+    # By range, so that no two targets meet in one task while another task has none.
+    ordered = (runs.filter("target >= 0").repartitionByRange((len(splitters) + 1) * subs, "target")
                .sortWithinPartitions("target"))
     merged = merge_runs(ordered, length, spread, local_records)
 
