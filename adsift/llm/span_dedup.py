@@ -42,22 +42,23 @@ def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, min_char
                     F.transform("keys", lambda k: F.xxhash64(k)).alias("a"),
                     F.transform("keys", lambda k: F.xxhash64(F.lit("second"), k)).alias("b")))
     n, a, b = F.col("n"), F.col("a"), F.col("b")
-    enough = F.filter(F.sequence(F.lit(0), F.size(n) - span),
-                      lambda i: sum((n[i + k] for k in range(1, span)), n[i]) >= min_chars)
-    runs = F.transform(enough, lambda i: F.struct(
+    starts = F.sequence(F.lit(0), F.size(a) - span)
+    if min_chars > 0:
+        starts = F.filter(starts, lambda i: sum((n[i + k] for k in range(1, span)), n[i]) >= min_chars)
+    runs = F.transform(starts, lambda i: F.struct(
         i.alias("at"), F.xxhash64(*[a[i + k] for k in range(span)]).alias("h1"),
         F.xxhash64(F.lit("second"), *[b[i + k] for k in range(span)]).alias("h2")))
     return rows.select("id", "row_hash", F.explode(runs).alias("run")).select("id", "row_hash", "run.*")
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-                min_chars: int = 60) -> DataFrame:
+                min_chars: int = 0) -> DataFrame:
     """Remove the sentences that a later occurrence of a repeated run covers.
 
     Returns one row per input row: ``row`` (struct of all its columns),
     ``n_sentences``, ``n_removed`` and ``kept_text`` (the other pieces, as they
-    were, in order). A run whose sentences have under ``min_chars`` code points together is none (short
-    phrases meet by chance). Overlapping occurrences within a document count; documents of under ``span``
+    were, in order). Every run counts, however short its sentences, unless ``min_chars`` is set: then a run
+    whose sentences have under so many code points together is none. Overlapping occurrences within a document count; documents of under ``span``
     sentences have no run and stay whole. Null text is empty. Rows with a null
     id stay whole and hide none of others; repeated rows (same id and text) are one document
     and get equal results. An empty table gives an empty result.

@@ -43,5 +43,14 @@ def test_against_brute_force(spark, span, min_chars):
     assert got == brute(cases.rows(texts), span, min_chars)
 
 
+def test_runs_of_short_sentences_count(spark):
+    listing = "\n".join(f"w{i}" for i in range(155))
+    texts = [listing, "Before it. " + listing + "\nAfter it.", "Yes. No. So. More of it here.", "Yes. No. So. Other words."]
+    got = dedup_spans(cases.frame(spark, texts)).select("row.doc_id", "n_sentences", "n_removed", "kept_text")
+    got = sorted(tuple(r) for r in got.collect())
+    assert got == brute(cases.rows(texts), 3, 0)
+    assert [r[2] for r in got] == [0, 155, 0, 3]
+
+
 def test_empty_table(spark):
     assert dedup_spans(cases.empty(spark)).collect() == []
