@@ -2,7 +2,8 @@
 
 A sentence's probability is a logistic function of the weights of its
 features (words and word beginnings); a document's score joins them by noisy-or,
-``1 - prod(1 - p)``, so one bad sentence is enough. Only document labels
+``1 - prod(1 - p)``, so one bad sentence is enough. In scores, a sentence counts only by
+what it has over one without known features, so that length alone is no evidence. Only document labels
 train it: the gradient of the document loss reaches the sentences through the
 noisy-or, and the trained sentence scores then locate the offending ones.
 
@@ -172,7 +173,9 @@ def score_texts(texts: pa.Array, model: Model, sentence_threshold: float) -> pa.
         s = textscan.scan(body, offsets[i:j + 1])
         sent, doc = sentences(s)
         z = model.bias + model.sentence_weights(features(s), sent, len(doc))
-        total = np.bincount(doc, weights=np.logaddexp(0, z), minlength=s.n_docs)
+        # Over the prior alone: what holds no evidence adds nothing, or length would.
+        over = np.maximum(0, np.logaddexp(0, z) - np.logaddexp(0, model.bias))
+        total = np.bincount(doc, weights=over, minlength=s.n_docs)
         p = np.exp(-np.logaddexp(0, -z))
         bad = np.flatnonzero(p >= sentence_threshold)
         first = np.searchsorted(sent, bad, "left")

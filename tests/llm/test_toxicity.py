@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from adsift.llm import toxicity
@@ -70,3 +72,13 @@ def test_long_clean_text_stays_low(spark):
     model_rows = d.unionByName(spark.createDataFrame([(10**6, clean)], "doc_id long, text string"))
     scores = {r.row.doc_id: r.score for r in toxicity.score_toxicity(model_rows, y).collect()}
     assert scores[10**6] < 0.5
+
+
+def test_length_alone_is_no_evidence():
+    bad = toxicity.features(toxicity.textscan.scan(*toxicity.textscan.utf8(pa.array(["gruntle"]))))[0, :1]
+    model = toxicity.Model(bad, np.array([20.0]), float(np.log(1e-5)))
+    clean = "a line of the log\n" * 120_000
+    scores = toxicity.score_texts(pa.array([clean, clean + "gruntle here\n", "gruntle", "", None]), model, 0.5)
+    assert scores["n_sentences"].to_pylist() == [120_000, 120_001, 1, 0, 0]
+    got = scores["score"].to_pylist()
+    assert got[0] == got[3] == got[4] == 0 and got[1] == got[2] > 0.99
