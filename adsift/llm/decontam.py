@@ -1,6 +1,7 @@
 """Benchmark decontamination with SimHash windows and multi-index Hamming blocks.
 
-Every document is read through windows of the benchmark items' own sizes (in words). A
+Every document is read through windows of the benchmark items' own sizes (in words); for
+an item longer than the document, the whole document is the one window. A
 window and an item are fingerprinted alike: 128 bits, each the sign of the sum
 over their shingles of a random +1 or -1. Fingerprints are cut into 8 blocks
 of 16 bits; two that differ in at most 31 bits agree in some block up to 3
@@ -139,6 +140,7 @@ class Benchmark:
         best window of each document and item at or over the threshold."""
         hashes, best = s.word_hashes(), {}
         doc_end = s.first[1:][s.doc_of_word()]
+        doc_words = np.diff(s.first)
         for k in self.known:
             shingles = textscan.shingle_hashes(hashes, k)
             if not len(shingles):
@@ -147,17 +149,25 @@ class Benchmark:
             if not hits[-1]:
                 continue
             for size, index in self.indexes.items():
+                if min(SHINGLE, size) != k:
+                    continue
                 span = size - k + 1
-                if min(SHINGLE, size) != k or span > len(shingles):
+                # Shorter documents are one window each; of other shingle lengths, or with too few shingles
+                # for the threshold even if all are the item's, they cannot match.
+                own = doc_words - k + 1
+                short = np.flatnonzero((own > 0) & (own < span) & (own / span >= threshold))
+                short = short[hits[s.first[short] + own[short]] > hits[s.first[short]]]
+                self._verify(s, shingles, s.first[short], own[short], doc_words[short], index, threshold, best)
+                if span > len(shingles):
                     continue
                 first = np.arange(len(shingles) - span + 1)
                 first = first[(hits[span:] > hits[:-span]) & (first + size <= doc_end[:len(first)])]
                 for part in np.array_split(first, 1 + len(first) // 20_000):
-                    self._verify(s, shingles, part, span, index, threshold, best)
+                    self._verify(s, shingles, part, np.full(len(part), span), np.full(len(part), size), index, threshold, best)
         return [(d, i, *found) for (d, i), found in sorted(best.items())]
 
     @staticmethod
-    def _verify(s, shingles, first, span, index, threshold, best) -> None:
+    def _verify(s, shingles, first, span, n_words, index, threshold, best) -> None:
         if not len(first):
             return
         # Windows lie close together: fingerprint only the stretch that they cover.
@@ -175,9 +185,9 @@ class Benchmark:
             key = (doc, index.numbers[i])
             if key in best and best[key][2] == 1.0:
                 continue
-            same = similarity([s.word(j) for j in range(start, start + index.size)], index.words[i])
+            same = similarity([s.word(j) for j in range(start, start + int(n_words[w]))], index.words[i])
             if same >= threshold and (key not in best or same > best[key][2]):
-                best[key] = (start - int(s.first[doc]), index.size, same, int(distance))
+                best[key] = (start - int(s.first[doc]), int(n_words[w]), same, int(distance))
 
 
 @functools.lru_cache(maxsize=2)
@@ -233,8 +243,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                        block_items: int = 2000, block_chars: int = 4_000_000) -> DataFrame:
     """Windows of documents that equal or nearly equal a benchmark item.
 
-    Returns one row per (row of ``docs``, item) with a window of the item's size
-    whose weighted 5-word shingle similarity is at least ``threshold``: ``id``, ``item_id``,
+    Returns one row per (row of ``docs``, item) with a window of the item's size (or the whole
+    document, if that is shorter) whose weighted 5-word shingle similarity is at least ``threshold``: ``id``, ``item_id``,
     ``row_hash``, ``start_word`` and ``n_words`` (the most similar window, the first
     of ties), ``similarity``, ``distance`` (Hamming). Items of under 5 words are one shingle; items
     without words match nothing. Null text is empty; ids may be null or repeat (each row is

@@ -51,6 +51,33 @@ def test_against_brute_force(spark):
     assert {k: sorted(v) for k, v in got.items()} == brute(cases.rows(texts), items)
 
 
+def brute_with_short(docs, items, threshold=0.8):
+    """As ``brute``; a document shorter than an item is one window."""
+    out = brute(docs, items, threshold)
+    for doc_id, text, *_ in docs:
+        w = [x.encode() for x in words(text)]
+        for n, item in enumerate(items):
+            v = [x.encode() for x in words(item)]
+            if 0 < len(w) < len(v) and (same := decontam.similarity(w, v)) >= threshold:
+                out.setdefault((doc_id, n), []).append((0, len(w), round(same, 9)))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_documents_shorter_than_the_item(spark):
+    items = [[f"u{i}" for i in range(57)], [f"v{i}" for i in range(30)], [f"x{i}" for i in range(6)], list("abcde")]
+    texts = [" ".join(w) for w in (items[0][:-1], items[0][1:], items[0][:30] + items[0][31:], items[0][4:], items[0][:40],
+                                   ["other"] + items[1][2:], items[2][:5], items[3][:4], items[0], items[1][:-3] + ["more"] * 40)]
+    df, bench = cases.frame(spark, [None, "", "a"] + texts), items_of(spark, [" ".join(i) for i in items])
+    got = {}
+    for r in decontam.find_contamination(df, bench).collect():
+        got.setdefault((r.id, r.item_id), []).append((r.start_word, r.n_words, round(r.similarity, 9)))
+    assert got == brute_with_short(cases.rows([None, "", "a"] + texts), [" ".join(i) for i in items])
+    base = 3
+    assert got[(base, 0)] == [(0, 56, round(52 / 53, 9))] and (base + 4, 0) not in got
+    kept = {r.doc_id for r in decontam.drop_contaminated(df, bench).collect()}
+    assert not kept & {d for d, _ in got} and base + 4 in kept
+
+
 def test_blocks_of_items_change_nothing(spark):
     texts, items = planted(4)
     df, bench = cases.frame(spark, texts), items_of(spark, items)
