@@ -26,11 +26,15 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The base phrases of the contract and their labels.
 BASE_PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-#: Every rule's matches contain one of these.
+GRANT_WORDS = ["licensed", "released", "distributed", "published", "available", "provided", "offered", "covered"]
+GRANT_LINKS = ["under", "by", "according to"]
+
+#: Every rule's matches contain one of these ("licensed" has the first).
 ANCHORS = ["licen", "copyright", "public domain", "rights reserved", "copyleft", "redistribution and use",
-           "permission is hereby granted", "permission to use"]
+           "permission is hereby granted", "permission to use",
+           *[f"{g} {link} " for g in GRANT_WORDS[1:] for link in GRANT_LINKS]]
 
-# (label, keyword gate, name as a regex over words, SPDX identifier as words)
+# (label, keyword gate that every match of the name contains (a label has a row for each gate), name as a regex over words, SPDX identifier as words)
 FAMILIES = [
     ("mit", "mit", r"mit( x11| expat)?", "mit"),
     ("mit-0", "mit", r"mit no attribution", "mit 0"),
@@ -74,7 +78,8 @@ FAMILIES = [
     ("ms-rl", "microsoft", r"microsoft reciprocal", "ms rl"),
     ("ncsa", "ncsa", r"(university of illinois )?(illinois )?ncsa( open source)?", "ncsa"),
     ("postgresql", "postgresql", r"postgresql", "postgresql"),
-    ("python-2.0", "python", r"(python software foundation|psf|python)( license)?( version 2)?", "(python|psf) 2 0"),
+    ("python-2.0", "python", r"(python software foundation|python)( license)?( version 2)?", "(python|psf) 2 0"),
+    ("python-2.0", "psf", r"psf( license)?( version 2)?", "(python|psf) 2 0"),
     ("php-3.01", "php", r"php( license)?( version)?( 3 01)?", "php 3 01"),
     ("ruby", "ruby", r"ruby", "ruby"),
     ("vim", "vim", r"vim", "vim"),
@@ -90,11 +95,16 @@ FAMILIES = [
     ("odc-by-1.0", "open data commons", r"open data commons attribution( license)?( v?1 0)?", "odc by 1 0"),
     ("pddl-1.0", "open data commons", r"open data commons public domain dedication( and license)?", "pddl 1 0"),
     ("cc0-1.0", "cc0", r"(creative commons )?cc0( 1 0)?( universal)?", "cc0 1 0"),
-    ("cc-by-2.0", "by", r"(cc by|creative commons attribution)( version)? 2 0", "cc by 2 0"),
-    ("cc-by-3.0", "by", r"(cc by|creative commons attribution)( version)? 3 0", "cc by 3 0"),
-    ("cc-by-4.0", "by", r"(cc by|creative commons attribution)( version)? 4 0", "cc by 4 0"),
-    ("cc-by-sa-3.0", "by", r"(cc by sa|creative commons attribution share ?alike)( version)? 3 0", "cc by sa 3 0"),
-    ("cc-by-sa-4.0", "by", r"(cc by sa|creative commons attribution share ?alike)( version)? 4 0", "cc by sa 4 0"),
+    ("cc-by-2.0", "cc by", r"cc by( version)? 2 0", "cc by 2 0"),
+    ("cc-by-2.0", "creative commons", r"creative commons attribution( version)? 2 0", "cc by 2 0"),
+    ("cc-by-3.0", "cc by", r"cc by( version)? 3 0", "cc by 3 0"),
+    ("cc-by-3.0", "creative commons", r"creative commons attribution( version)? 3 0", "cc by 3 0"),
+    ("cc-by-4.0", "cc by", r"cc by( version)? 4 0", "cc by 4 0"),
+    ("cc-by-4.0", "creative commons", r"creative commons attribution( version)? 4 0", "cc by 4 0"),
+    ("cc-by-sa-3.0", "cc by sa", r"cc by sa( version)? 3 0", "cc by sa 3 0"),
+    ("cc-by-sa-3.0", "creative commons", r"creative commons attribution share ?alike( version)? 3 0", "cc by sa 3 0"),
+    ("cc-by-sa-4.0", "cc by sa", r"cc by sa( version)? 4 0", "cc by sa 4 0"),
+    ("cc-by-sa-4.0", "creative commons", r"creative commons attribution share ?alike( version)? 4 0", "cc by sa 4 0"),
     ("cc-by-nc-3.0", "by nc", r"cc by nc 3 0", "cc by nc 3 0"),
     ("cc-by-nc-4.0", "by nc", r"cc by nc 4 0", "cc by nc 4 0"),
     ("cc-by-nd-4.0", "by nd", r"cc by nd 4 0", "cc by nd 4 0"),
@@ -103,12 +113,12 @@ FAMILIES = [
     ("openrail", "rail", r"(creativeml |bigscience |bigcode )?open ?rail( m)?", "openrail"),
 ]
 
-GRANT = "(licensed|released|distributed|published|available|provided|offered|covered)"
+GRANT = f"({'|'.join(GRANT_WORDS)}) ({'|'.join(GRANT_LINKS)})"
 
 # (template over a family's name and identifier, priority, confidence); a smaller priority is stronger
 TEMPLATES = [
     (r"spdx license identifier {spdx}", 1, 1.0),
-    (GRANT + r" (under|by|according to) (the |a )?(terms of |conditions of |terms and conditions of )?(the |a )?{name}"
+    (GRANT + r" (the |a )?(terms of |conditions of |terms and conditions of )?(the |a )?{name}"
              r"( software| public)?( licen[cs]e)?", 2, 0.95),
     (r"{name}( software| public| style)? licen[cs]e( agreement| text)?", 3, 0.8),
     (r"licen[cs]e( is| name| type)? {spdx}", 3, 0.75),
@@ -138,10 +148,13 @@ SIGNATURES = [
 def build_rules() -> list[tuple[int, str, str, str, int, float]]:
     """(rule number, label, keyword, regex, priority, confidence); matches are
     whole words: the word string has a space on either side of every word."""
-    rules = []
+    rules, by_label = [], set()
     for template, priority, confidence in TEMPLATES:
         for label, keyword, name, spdx in FAMILIES:
             by_id = "{spdx}" in template
+            if by_id and (template, label) in by_label:
+                continue
+            by_label.add((template, label))
             gate = "spdx license identifier" if template.startswith("spdx") else ("licen" if by_id else keyword)
             rules.append((label, gate, template.replace("{name}", name).replace("{spdx}", spdx), priority, confidence))
     rules += SIGNATURES
@@ -167,6 +180,13 @@ def _any(c: Column, parts: list[str]) -> Column:
     return out
 
 
+def raw_anchors() -> str:
+    """A regex that finds every anchor in a lower-cased text whose words are not yet separated by single spaces."""
+    links = "|".join(link.split()[0] for link in GRANT_LINKS)
+    first = [a.split()[0] for a in ANCHORS if a.split()[0] not in GRANT_WORDS]
+    return "|".join([*dict.fromkeys(first), f"({'|'.join(GRANT_WORDS[1:])}){NOT_WORD}({links})"])
+
+
 def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All surviving detections: ``id, row_hash, label, rule, priority,
     confidence, start_word, end_word`` (end exclusive), one per document and span.
@@ -174,7 +194,7 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     text = text_of(text_col)
     gated = (docs.select(F.col(id_col).alias("id"), row_key(text).alias("row_hash"), text.alias("full_text"))
-             .filter(F.lower("full_text").rlike("|".join(a.split()[0] for a in ANCHORS)))
+             .filter(F.lower("full_text").rlike(raw_anchors()))
              .select("id", "row_hash", F.concat(F.lit(" "), word_string(F.col("full_text")), F.lit(" ")).alias("words"))
              .filter(_any(F.col("words"), ANCHORS)))
     rules = rules_table(spark)

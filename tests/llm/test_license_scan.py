@@ -70,5 +70,33 @@ def test_base_places_and_detections(spark):
         assert 0 <= r.score <= 1 and (r.score > 0) == bool(labels)
 
 
+def ungated(text):
+    """The plain scan without anchors and keywords."""
+    s = " " + " ".join(words(text)) + " "
+    spans = [(s[:m.start()].count(" ") - 1, s[:m.end()].count(" "), priority, rule, label)
+             for rule, label, _, regex, priority, _ in ls.build_rules() for m in re.finditer(regex, s)]
+    return sorted((x[0], x[1], x[4]) for x in spans if not any(
+        y[2] <= x[2] and y[0] <= x[0] and y[1] >= x[1] and y != x and
+        ((y[0], y[1]) != (x[0], x[1]) or (y[2], y[3]) < (x[2], x[3])) for y in spans))
+
+
+def test_gates_lose_nothing(spark):
+    names = sorted({re.sub(r"[()?]|\\[cs\\]", " ", re.sub(r"\([^()]*\)\?", "", alternative)).strip()
+                    for _, _, name, _ in ls.FAMILIES
+                    for alternative in (name, *re.findall(r"[a-z0-9][a-z0-9 ]+", name))})
+    texts = [f"{grant} {link}\n{the}{name}." for i, name in enumerate(names)
+             for grant, link, the in [(ls.GRANT_WORDS[i % 8], ls.GRANT_LINKS[i % 3], ["", "the terms of the "][i % 2]),
+                                      ("Available", "under", "")]]
+    texts += [f"{name} license" for name in names]
+    grants = ["Released under the MIT.", "It is available under CC BY 4.0", "distributed, under: Apache 2.0 (or so)",
+              "Offered by Creative Commons Attribution 4.0", "PSF license", "covered according to the PSF",
+              "published under Creative Commons Attribution-ShareAlike 3.0"]
+    want = {t: ",".join(f"{label}:{a}:{b}" for a, b, label in ungated(t)) for t in texts + grants}
+    assert all(want[t] for t in grants)
+    assert len({label for w in want.values() for label in re.findall(r"[^,:]+(?=:\d+:)", w)}) > 60
+    for r in ls.scan_licenses(cases.frame(spark, texts + grants)).collect():
+        assert r.spans == want[r.row.text], r.row.text
+
+
 def test_empty_table(spark):
     assert ls.scan_licenses(cases.empty(spark)).collect() == []
