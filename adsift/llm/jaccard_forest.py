@@ -1,11 +1,11 @@
-"""Near-duplicate documents: MinHash LSH forest, then exact verification.
+"""Near-duplicate documents: banded MinHash LSH, then exact verification.
 
 A document is its set of 5-word shingles. Equal sets are joined into one first.
 Each of ``trees`` prefix tries holds every set under a label of MinHash values; sets
 that share a prefix of ``depth`` values in some trie are candidates. A pair of
-similarity s shares one with probability ``1 - (1 - s**depth) ** trees``; the
-prefix is shortened from ``max_depth``, a value at a time, until a pair
-just at the threshold is found with the target recall.
+similarity s shares one with probability ``1 - (1 - s**depth) ** trees``. There is one
+``depth`` for all, fixed by the parameters before any data is read: the largest up to
+``max_depth`` at which a pair just at the threshold is found with the target recall.
 
 A trie node may hold any number of sets, so no pairs are listed. Its sets are
 tied to its smallest set (a star), the stars' connected components are the
