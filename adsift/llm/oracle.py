@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from adsift.llm.oracle_models import CONVERSATION_REPAIR, VECTOR_CODES
+
 _WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 
 ORACLE = {
@@ -13,12 +15,11 @@ WITH p AS (
 k AS (SELECT *, translate(trim(piece, {_WS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM p),
 s AS (SELECT doc_id, i, key, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM k WHERE key <> ''),
 r AS (
-  SELECT doc_id, n, key || chr(0) || lead(key, 1) OVER w || chr(0) || lead(key, 2) OVER w AS run,
-         length(key) + length(lead(key, 1) OVER w) + length(lead(key, 2) OVER w) AS chars
+  SELECT doc_id, n, key || chr(0) || lead(key, 1) OVER w || chr(0) || lead(key, 2) OVER w AS run
   FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
 later AS (
   SELECT doc_id, n FROM (
-    SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS o FROM r WHERE chars >= 60)
+    SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS o FROM r WHERE run IS NOT NULL)
   WHERE o > 1),
 gone AS (SELECT DISTINCT doc_id, n + x AS n FROM later, range(3) t(x)),
 m AS (
@@ -73,4 +74,6 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (WHERE gone))::BIGI
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM f GROUP BY doc_id
 """,
+    "op11_conversation_repair": CONVERSATION_REPAIR,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adsift.llm import decontam, jaccard_forest, license_scan, line_dedup, packing, pii, quality, span_dedup, suffix_dedup, toxicity
+from adsift.llm import (conversation_repair, decontam, jaccard_forest, license_scan, line_dedup, packing, pii, quality, span_dedup,
+                        suffix_dedup, toxicity, vector_codes)
 from adsift.llm.common import read_table
 
 
@@ -87,6 +88,23 @@ def op10_line_dedup(spark, sf):
     return found.select("row.doc_id", "n_lines", "n_dropped", _sha256(F.col("kept_text")).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark, sf):
+    rows = read_table(spark, sf, "conversations")
+    found = conversation_repair.repair_conversations(conversation_repair.damage_conversations(rows))
+    every = rows.select("conv_id").distinct().join(
+        found.withColumnRenamed("conv_id", "f_conv"), F.col("conv_id").eqNullSafe(F.col("f_conv")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", _sha256(F.lit(""))).alias("repaired_sha256"))
+
+
+def op13_vector_codes(spark, sf):
+    coded, books = vector_codes.compress_vectors(read_table(spark, sf, "embeddings"))
+    return coded.select("row.vec_id", "code", "error", "label_error",
+                        F.lit(books.sha256() if books else "").alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -98,4 +116,6 @@ QUERIES = {
     "op8_jaccard_forest": op8_jaccard_forest,
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_vector_codes": op13_vector_codes,
 }
