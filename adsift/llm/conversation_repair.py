@@ -109,6 +109,22 @@ class Parse:
             at = self._step(top, fork, role[0])
             if self._offer(self.nodes, at, fork, self.costs.insert, "I", role):
                 todo.append(at[0])
+        self._drop_dominated()
+
+    def _drop_dominated(self) -> None:
+        """Forks that cannot win any more: after whole pairs the rest may be whatever may follow a fork that is still at its
+        beginning, but for a kept ``s``, which can be deleted. What stays then soon shares most of its audit."""
+        whole = [t for t in (TURNS, SYSTEM_TURNS) if t in self.nodes]
+        if not whole:
+            return
+        best = min(whole, key=lambda t: (self.nodes[t].cost, self.nodes[t].audit))
+        cost = self.nodes[best].cost
+        for top, over in ((START, self.costs.delete), (SYSTEM, 0)):
+            if top in self.nodes and self.nodes[top].cost > cost + over:
+                del self.nodes[top]
+        for top in whole:
+            if top != best:
+                del self.nodes[top]
 
     def row(self, role: str, text: str, must_go: bool, truncated: bool) -> None:
         self._insert()
@@ -213,7 +229,7 @@ def repair_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     faults, ``illegal`` (adjacent roles out of order), ``cost``, ``audit`` (the edits in order: Keep, Rerole, Delete, Insert;
     of equal costs the ASCII-least) and ``repaired_sha256`` (of the repaired ``role:text`` lines).
 
-    A null role or text is one space; null ids are one conversation; equal rows are repeats of one
+    A null role or text is one space; an empty role cannot be kept; null ids are one conversation; equal rows are repeats of one
     turn; long texts pass through as a stream. Other columns are not read. An empty table gives an empty result.
     """
     lines = _lines(rows, conv_col, turn_col, role_col, text_col)

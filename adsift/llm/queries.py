@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from adsift.llm import (conversation_repair, decontam, jaccard_forest, license_scan, line_dedup, packing, pii, quality, span_dedup,
-                        suffix_dedup, toxicity, vector_codes)
+from adsift.llm import (conversation_repair, decontam, jaccard_forest, license_scan, line_dedup, packing, pii, quality,
+                        quality_embedding, span_dedup, suffix_dedup, toxicity, vector_codes)
 from adsift.llm.common import read_table
 
 
@@ -99,6 +99,12 @@ def op11_conversation_repair(spark, sf):
                         F.coalesce("repaired_sha256", _sha256(F.lit(""))).alias("repaired_sha256"))
 
 
+def op12_quality_embedding(spark, sf):
+    found = quality_embedding.score_quality(_documents(spark, sf), read_table(spark, sf, "labels"))
+    return found.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op13_vector_codes(spark, sf):
     coded, books = vector_codes.compress_vectors(read_table(spark, sf, "embeddings"))
     return coded.select("row.vec_id", "code", "error", "label_error",
@@ -117,5 +123,6 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_embedding": op12_quality_embedding,
     "op13_vector_codes": op13_vector_codes,
 }

@@ -1,0 +1,148 @@
+"""Conversation repair: exhaustive search on short conversations, DuckDB on random tables, edge rows."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from adsift.llm import conversation_repair as cr
+from adsift.llm.oracle_models import CONVERSATION_REPAIR
+from adsift.llm.queries import op11_conversation_repair
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, conv string, first int, h1 string"
+
+
+def cheapest(rows):
+    """All edit scripts of (role, must_go, truncated) rows with up to two inserts in every gap."""
+    found = []
+    gaps = itertools.product(range(3), repeat=len(rows) + 1)
+    choices = [["D"] if must_go else ["D", "K", "Ru", "Ra"] for _, must_go, _ in rows]
+    for inserts in gaps:
+        for edits in itertools.product(*choices):
+            out, audit, cost, free = "", "", 0, []
+            for i in range(len(rows) + 1):
+                for _ in range(inserts[i]):
+                    free.append(len(out))
+                    out, audit, cost = out + "?", audit + "I", cost + 3
+                if i == len(rows):
+                    break
+                role, _, truncated = rows[i]
+                audit += edits[i][0]
+                cost += {"D": 4, "K": 0, "R": 3}[edits[i][0]]
+                if edits[i] != "D":
+                    out += (role[:1] or "-") if edits[i] == "K" else edits[i][1]
+                    cost += 3 * truncated
+            want = ("s" if len(out) % 2 else "") + "ua" * (len(out) // 2)
+            if len(out) != 1 and all(a in ("?", b) for a, b in zip(out, want, strict=True)) and all(want[k] != "s" for k in free):
+                found.append((cost, audit))
+    return min(found)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_parse_against_exhaustive_search(seed):
+    rnd = random.Random(seed)
+    for _ in range(12):
+        rows = [(rnd.choice(["user", "assistant", "system", "tool", "", "User"]), rnd.random() < 0.2, rnd.random() < 0.3)
+                for _ in range(rnd.randint(0, 4))]
+        parse = cr.Parse(cr.Costs())
+        for i, (role, must_go, truncated) in enumerate(rows):
+            parse.row(role, f"t{i}", must_go, truncated and not must_go)
+        rows = [(r, m, t and not m) for r, m, t in rows]
+        assert parse.end()[:2] == cheapest(rows), rows
+
+
+def random_rows(n, seed):
+    rnd = random.Random(seed)
+    texts = ["Hello there.", "Yes?", "no end", "Stop!", " ", "", "  spaced.  ", "é ü.", "line\nline.", None, "a" * 500 + "."]
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", None, "unknown"]
+    out = []
+    for conv in range(n):
+        for turn in range(rnd.randint(1, 9)):
+            t = rnd.choice([turn, turn, turn, turn + rnd.randint(0, 4), None])
+            out.append((conv if rnd.random() < 0.97 else None, t, rnd.choice(roles), rnd.choice(texts), "clash", 1, "x"))
+    return out
+
+
+def duck(tmp_path, rows):
+    t = pa.table({c: pa.array([r[i] for r in rows], pa.int64() if i < 2 else pa.string())
+                  for i, c in enumerate(("conv_id", "turn", "role", "text"))})
+    pq.write_table(t, tmp_path / "conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet'")
+    cur = con.execute(CONVERSATION_REPAIR)
+    names = [d[0] for d in cur.description]
+    return sorted(map(repr, (tuple(dict(zip(names, r, strict=True)).items()) for r in cur.fetchall())))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_query_against_duckdb_on_nulls_ties_and_odd_roles(spark, tmp_path, seed):
+    rows = random_rows(150, seed)
+    want = duck(tmp_path, rows)
+    got = op11_conversation_repair(spark, str(tmp_path))
+    assert sorted(repr(tuple(r.asDict().items())) for r in got.collect()) == want
+
+
+def test_damage_follows_the_crc(spark):
+    rows = [(c, t, "assistant", "One. Two!", "", 0, "") for c in range(40) for t in (0, 1, None)]
+    got = {}
+    for r in cr.damage_conversations(spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault((r.conv_id, r.turn), []).append((r.role, r.text))
+    for c, t, role, text, *_ in rows:
+        kind = zlib.crc32(f"{c}:{' ' if t is None else t}".encode()) % 20
+        want = {0: [], 1: [(role, "")], 2: [(role, "One Two")], 3: [(role, text)] * 2, 4: [("user", text)]}.get(kind, [(role, text)])
+        assert got.get((c, t), []) == want
+
+
+def test_repaired_rows_give_the_digest_and_the_grammar(spark):
+    frame = spark.createDataFrame(random_rows(120, 5), SCHEMA)
+    repairs = cr.repair_conversations(frame)
+    rows = {}
+    for r in sorted(cr.repaired_rows(frame, repairs).collect(), key=lambda r: r.position):
+        rows.setdefault(r.conv_id, []).append(r)
+    for r in repairs.collect():
+        own = rows.get(r.conv_id, [])
+        assert [x.position for x in own] == list(range(1, len(own) + 1))
+        assert re.fullmatch("(s?(ua)+)?", "".join(x.role[:1] for x in own))
+        assert hashlib.sha256("\n".join(f"{x.role}:{x.text}" for x in own).encode()).hexdigest() == r.repaired_sha256
+        assert "".join(x.edit for x in own) == r.audit.replace("D", "")
+
+
+def test_long_conversation_flushes_what_audits_share():
+    parse, plain = cr.Parse(cr.Costs()), cr.Parse(cr.Costs())
+    plain_rows = cr.FLUSH_ROWS
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["user", "assistant", "system"]), rnd.random() < 0.1, rnd.random() < 0.1) for _ in range(5000)]
+    for role, must_go, truncated in rows:
+        parse.row(role, "t.", must_go, truncated and not must_go)
+    assert all(len(f.audit) < 4 * cr.FLUSH_ROWS for f in parse.nodes.values())
+    cr.FLUSH_ROWS = 10**9
+    try:
+        for role, must_go, truncated in rows:
+            plain.row(role, "t.", must_go, truncated and not must_go)
+    finally:
+        cr.FLUSH_ROWS = plain_rows
+    assert parse.end() == plain.end()
+
+
+def test_one_conversation_holds_nearly_all_rows(spark):
+    rows = spark.range(20_000).select(
+        F.lit(7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("text "), F.when(F.col("id") % 10 < 9, F.col("id")).otherwise(-1), F.lit(".")).alias("text"))
+    r = cr.repair_conversations(rows).collect()
+    assert len(r) == 1 and r[0].duplicate == 1999 and r[0].gaps == 0 and len(r[0].audit.replace("I", "")) == 20_000
+
+
+def test_edges(spark):
+    assert cr.repair_conversations(spark.createDataFrame([], SCHEMA)).collect() == []
+    rows = [(1, None, None, None, None, None, None), (2, 0, "user", "x" * 3_000_000 + ".", None, None, None)]
+    got = {r.conv_id: r for r in cr.repair_conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[1].blank, got[1].cost, got[1].audit, got[1].gaps) == (1, 4, "D", 0)
+    assert (got[2].cost, got[2].audit) == (3, "KI")

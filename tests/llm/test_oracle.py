@@ -15,12 +15,15 @@ COLUMNS = {
     "op6_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op9_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op10_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op11_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_quality_embedding": ["doc_id", "held_out", "score", "predicted"],
+    "op13_vector_codes": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
 }
 
 
 def test_all_are_registered():
     assert set(QUERIES) < set(queries()) and "pipeline" in queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -28,9 +31,10 @@ def test_contract_columns(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns[:len(COLUMNS[name])] == COLUMNS[name]
     types = dict(df.dtypes)
-    assert types["doc_id"] == "bigint"
+    assert types[COLUMNS[name][0]] == "bigint"
     for c in COLUMNS[name]:
-        if c.startswith("n_") or c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "first_word", "last_word"):
+        if c.startswith("n_") or c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "first_word", "last_word", "gaps", "blank",
+                                         "duplicate", "truncated", "illegal", "cost", "error", "label_error"):
             assert types[c] == "bigint", c
 
 
