@@ -207,6 +207,17 @@ SELECT s.dt, s.hour, CAST(coalesce(n.n, 0) AS BIGINT) AS n_new,
        CAST(sum(coalesce(n.n, 0)) OVER (PARTITION BY s.dt ORDER BY s.hour) AS BIGINT) AS n_total
 FROM spine s LEFT JOIN new n ON s.dt = n.dt AND s.hour = n.hour"""
 
+#: Cohort ids reached by the partner's page views, and the hours of the feed.
+_DSP_MEMBERS = DSP_NEW_BY_HOUR[:DSP_NEW_BY_HOUR.index("firstseen AS")]
+FIRST_SEEN = f"""{_DSP_MEMBERS}firstseen AS (SELECT id, min({{'dt': dt, 'hour': hour}}) AS first FROM m WHERE id IS NOT NULL GROUP BY id)
+SELECT id, first.dt AS dt, first.hour AS hour FROM firstseen"""
+REACH_CUMULATIVE = f"""{_DSP_MEMBERS}hrs AS (SELECT DISTINCT dt, hour FROM dsp),
+ids AS (SELECT dt, hour, count(DISTINCT id) AS n FROM m WHERE id IS NOT NULL GROUP BY dt, hour),
+new AS (SELECT dt, hour, count(*) AS n FROM ({FIRST_SEEN}) GROUP BY dt, hour)
+SELECT h.dt, h.hour, coalesce(i.n, 0)::BIGINT AS n_ids, coalesce(w.n, 0)::BIGINT AS n_new,
+       CAST(sum(coalesce(w.n, 0)) OVER (ORDER BY h.dt, h.hour) AS BIGINT) AS n_total
+FROM hrs h LEFT JOIN ids i ON i.dt = h.dt AND i.hour = h.hour LEFT JOIN new w ON w.dt = h.dt AND w.hour = h.hour"""
+
 # ---- clicks --------------------------------------------------------------
 CLICK_KEY = "coalesce(CAST(epoch_us(ts) // 1000 AS VARCHAR), 'null') || ' ' || coalesce(device_id, 'null')"
 CLICK_DEVICE_TIMES = f"""WITH {CLICK}
@@ -277,6 +288,17 @@ STREAM_WORD_COUNT = f"""SELECT part, CAST(1 AS BIGINT) AS parts_in_batch, word,
   FROM (SELECT CAST(doc_id % 6 AS INTEGER) AS part, unnest(string_split(text, chr(10))) AS line FROM documents))
 GROUP BY part, word"""
 
+STREAM_WORDS = f"""SELECT word, count(*) AS n FROM (SELECT unnest({java_split("line", " ")}) AS word
+  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""
+
+# ---- hourly directories --------------------------------------------------
+HOURLY_INGEST = f"""WITH {BID}
+SELECT CASE WHEN dt > DATE '2024-01-20' OR row_id % 10 = 0 THEN 2 ELSE 1 END AS run, dt, hour,
+       count(*) AS n_rows, count(DISTINCT row_id) AS n_ids FROM bid GROUP BY ALL"""
+HOURLY_RANGE = f"""WITH {BID} SELECT dt, hour, slot_id, count(*) AS n_rows FROM bid WHERE {DAYS} AND hour BETWEEN 6 AND 17 GROUP BY ALL"""
+YESTERDAY_CLICKS = f"""WITH {CLICK} SELECT 0 AS days_back, slot_id, count(*) AS n_rows FROM click
+WHERE dt = (SELECT max(dt) FROM click) GROUP BY slot_id"""
+
 ORACLE: dict[str, str] = {
     "funnel_by_dims": _funnel(DEFAULT_DIMS),
     "funnel_day_grain": _funnel(DEFAULT_DIMS, grain="day"),
@@ -301,6 +323,8 @@ ORACLE: dict[str, str] = {
     "cohort_reach_ids": COHORT_IDS,
     "cohort_reach_ids_text": f"SELECT id AS value FROM ({COHORT_IDS})",
     "dsp_new_by_hour": DSP_NEW_BY_HOUR,
+    "reach_cumulative_hours": REACH_CUMULATIVE,
+    "reach_cumulative_late": f"SELECT * FROM ({REACH_CUMULATIVE}) WHERE dt >= DATE '2024-01-20'",
     "cohort_by_app_flag": COHORT_BY_APP_FLAG,
     "slot_device_pairs": _pairs(PV_CANDS),
     "slot_device_counts": SLOT_DEVICE_COUNTS,
@@ -324,4 +348,10 @@ ORACLE: dict[str, str] = {
     "episodes_filter_copy": f"{EPISODES} WHERE p_size > 5",
     "episodes_take": f"{EPISODES} WHERE p_size > 5 ORDER BY p_partkey LIMIT 10",
     "stream_word_count": STREAM_WORD_COUNT,
+    "stream_word_count_timed": f"SELECT part, word, n FROM ({STREAM_WORD_COUNT})",
+    "stream_running_totals": STREAM_WORDS,
+    "stream_first_seen": FIRST_SEEN,
+    "hourly_ingest": HOURLY_INGEST,
+    "hourly_layout_range": HOURLY_RANGE,
+    "yesterday_clicks": YESTERDAY_CLICKS,
 }

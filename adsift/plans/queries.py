@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing, relation
-from adsift.session import scratch_path
+from adsift.operators.reach_store import ReachStore, dsp_hits
+from adsift.session import cut_lineage, scratch_path
 from adsift.sinks import write_table, write_text
-from adsift.sources import read_cohort, read_feed, read_lines, union_cohorts
+from adsift.sources import default_run_date, read_cohort, read_feed, read_hourly_layout, read_lines, union_cohorts
 from adsift.sources import testdata as td
-from adsift.streaming import file_line_stream, read_batches, run_to_end, word_count_stream
+from adsift.streaming import (
+    file_line_stream, first_seen_stream, hourly_stream, ingest_hours, read_batches, read_first_seen, read_running_totals,
+    run_to_end, running_totals_stream, word_count_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +33,7 @@ FIXTURE_SPONSOR = 1
 FIXTURE_APPS = tuple(str(i) for i in range(50))
 FIXTURE_DAYS = ("2024-01-03", "2024-01-20")
 FIXTURE_HOURS = range(6, 18)
+FIXTURE_LATE_HOURS = (5, 6, 21)
 FILES_PER_DAY = 20
 
 
@@ -166,6 +171,25 @@ def dsp_new_by_hour(spark, sf):
     return cohort.dsp_new_by_hour(td.pv_dsp(spark, sf), _both_cohorts(spark, sf), max_hour=23)
 
 
+def reach_cumulative_hours(spark, sf):
+    """Cumulative distinct cohort ids over all hours of all days, from a bitmap store."""
+    store = ReachStore(spark, scratch_path(spark, "reach-store"))
+    store.add_hours(dsp_hits(td.pv_dsp(spark, sf), _both_cohorts(spark, sf)))
+    return store.totals()
+
+
+def reach_cumulative_late(spark, sf):
+    """The same store filled in three steps (early days, later days, then hours that came late for some of either);
+    the report starts at a day within the second step."""
+    hits = cut_lineage(dsp_hits(td.pv_dsp(spark, sf), _both_cohorts(spark, sf)))
+    late = F.col("hour").isin(*FIXTURE_LATE_HOURS)
+    early = F.col("dt") <= F.lit(FIXTURE_DAYS[0]).cast("date")
+    store = ReachStore(spark, scratch_path(spark, "reach-store"))
+    for part in (early & ~late, ~early & ~late, late):
+        store.add_hours(hits.filter(part))
+    return store.totals(start=FIXTURE_DAYS[1])
+
+
 def cohort_by_app_flag(spark, sf):
     c1, c2 = td.cohorts(spark, sf)
     return cohort.cohort_by_app_flag(td.pv(spark, sf), c1, c2, app_ids=FIXTURE_OWN_APPS)
@@ -279,6 +303,77 @@ def stream_word_count(spark, sf):
     return counts.join(files, "batch_id").select("part", "parts_in_batch", "word", "n")
 
 
+def stream_word_count_timed(spark, sf):
+    """The same under the one-second trigger, stopped once all files are counted. Batches hold what has arrived."""
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("wc-in", "wc-out", "wc-ckpt"))
+    write_text(td.document_lines(spark, sf), inbox, num_files=1, partition_by=["part"])
+    query = word_count_stream(file_line_stream(spark, inbox, line_sep="\n"), out, ckpt, trigger={"processingTime": "1 second"})
+    query.processAllAvailable()
+    query.stop()
+    return read_batches(spark, out).groupBy("part", "word").agg(F.sum("n").alias("n"))
+
+
+def stream_running_totals(spark, sf):
+    """Word totals over all batches, in a stream that stops halfway and goes on from its checkpoint."""
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("rt-in", "rt-out", "rt-ckpt"))
+    lines = td.document_lines(spark, sf)
+    schema = "value string"
+    for own in (F.col("part") < 3, F.col("part") >= 3):
+        write_table(lines.filter(own).select("value"), inbox, num_files=3, mode="append")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        run_to_end(running_totals_stream(stream, out, ckpt, trigger={"availableNow": True}))
+    return read_running_totals(spark, out)
+
+
+def stream_first_seen(spark, sf):
+    """The hour in which each cohort id was first seen, kept as the hours arrive: even hours first, then odd ones, in a stream that
+    ends between the two and goes on from its checkpoint."""
+    inbox, out, ckpt = (scratch_path(spark, n) for n in ("fs-in", "fs-out", "fs-ckpt"))
+    feed, cohort = td.pv_dsp(spark, sf), cut_lineage(_both_cohorts(spark, sf).distinct())
+    for odd in (0, 1):
+        write_table(feed.filter(F.col("hour") % 2 == odd), inbox, num_files=3, mode="append")
+        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        run_to_end(first_seen_stream(stream, cohort, out, ckpt, trigger={"availableNow": True}))
+    return read_first_seen(spark, out)
+
+
+def hourly_ingest(spark, sf):
+    """Hourly directories taken in by two runs of one stream: the second run reads only the days that came after the first,
+    and the files that came late for earlier ones. ``run`` is 1 or 2."""
+    root, out, ckpt = (scratch_path(spark, n) for n in ("hr-in", "hr-out", "hr-ckpt"))
+    bids = td.bid(spark, sf)
+    late = (F.col("dt") > F.lit(FIXTURE_DAYS[1]).cast("date")) | (F.col("row_id") % 10 == 0)
+    first = 0
+    for run, own in enumerate((~late, late)):
+        td.hourly_layout(bids.filter(own), root, "bid")
+        run_to_end(ingest_hours(hourly_stream(spark, root, "bid", fmt="parquet"), out, ckpt))
+        if run == 0:
+            first = read_batches(spark, out).agg(F.max("batch_id")).first()[0]
+    return (read_batches(spark, out).groupBy(F.when(F.col("batch_id") <= first, 1).otherwise(2).alias("run"), "dt", "hour")
+            .agg(F.count("*").alias("n_rows"), F.count_distinct("row_id").alias("n_ids")))
+
+
+def hourly_layout_range(spark, sf):
+    """A range of days and hours read through the directory glob."""
+    root = scratch_path(spark, "hourly")
+    td.hourly_layout(td.bid(spark, sf), root, "bid")
+    rows = read_hourly_layout(spark, root, "bid", *FIXTURE_DAYS, hours=FIXTURE_HOURS, fmt="parquet")
+    return rows.groupBy("dt", "hour", "slot_id").agg(F.count("*").alias("n_rows"))
+
+
+def yesterday_clicks(spark, sf):
+    """The default daily partition: the clicks' last day becomes yesterday (of the session time zone), and the run without a
+    date takes exactly that day. Days are counted back from the default date."""
+    clicks_ = td.click(spark, sf)
+    yesterday = default_run_date(spark)
+    shift = F.date_diff(F.lit(yesterday), F.lit(clicks_.agg(F.max("dt")).first()[0]))
+    root = scratch_path(spark, "yesterday")
+    write_table(clicks_.withColumn("dt", F.date_add("dt", shift)), f"{root}/click", partition_by=["dt"])
+    day = default_run_date(spark)
+    rows = read_feed(spark, root, "click", start=day, end=day)
+    return rows.groupBy(F.date_diff(F.lit(day), F.col("dt")).alias("days_back"), "slot_id").agg(F.count("*").alias("n_rows"))
+
+
 QUERIES: dict[str, Query] = {
     "funnel_by_dims": funnel_by_dims,
     "funnel_day_grain": funnel_day_grain,
@@ -303,6 +398,8 @@ QUERIES: dict[str, Query] = {
     "cohort_reach_ids": cohort_reach_ids,
     "cohort_reach_ids_text": cohort_reach_ids_text,
     "dsp_new_by_hour": dsp_new_by_hour,
+    "reach_cumulative_hours": reach_cumulative_hours,
+    "reach_cumulative_late": reach_cumulative_late,
     "cohort_by_app_flag": cohort_by_app_flag,
     "slot_device_pairs": slot_device_pairs,
     "slot_device_counts": slot_device_counts,
@@ -326,4 +423,10 @@ QUERIES: dict[str, Query] = {
     "episodes_filter_copy": episodes_filter_copy,
     "episodes_take": episodes_take,
     "stream_word_count": stream_word_count,
+    "stream_word_count_timed": stream_word_count_timed,
+    "stream_running_totals": stream_running_totals,
+    "stream_first_seen": stream_first_seen,
+    "hourly_ingest": hourly_ingest,
+    "hourly_layout_range": hourly_layout_range,
+    "yesterday_clicks": yesterday_clicks,
 }

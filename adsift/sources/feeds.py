@@ -118,6 +118,11 @@ def read_hourly_layout(spark: SparkSession, root: str, feed: str, start, end=Non
         if not allow_empty or "PATH_NOT_FOUND" not in str(e) or schema is None:
             raise
         return spark.createDataFrame([], schema)
+    return with_path_hour(df)
+
+
+def with_path_hour(df: DataFrame) -> DataFrame:
+    """Add ``dt``/``hour`` from the ``hourly/YYYY/MM/DD/HH`` directory of each row's file."""
     stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/hourly/(\d{4}/\d{2}/\d{2}/\d{2})/", 1)
     return (df.withColumn("_stamp", stamp)
             .withColumns({"dt": F.to_date(F.left("_stamp", F.lit(10)), "yyyy/MM/dd"),

@@ -6,6 +6,9 @@ they do none of the jobs' work. ``k`` below is the JSON field ``props.k``.
 
 from __future__ import annotations
 
+import urllib.parse
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,3 +191,21 @@ def episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts with the numeric ``doctor`` column the filter/copy jobs read."""
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", "p_name", "p_brand", F.col("p_size").alias("doctor"))
+
+
+def hourly_layout(df: DataFrame, root: str, feed: str) -> None:
+    """Write a feed as ``<root>/<feed>/hourly/YYYY/MM/DD/HH`` directories, one file each: partition
+    directories first, then each is given its place (a directory that is already there gets one more file)."""
+    spark = df.sparkSession
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    at = lambda *parts: fs_path("/".join(parts))
+    staged = f"{root}/{feed}-staged-{uuid.uuid4().hex}"
+    stamped = df.withColumn("_dir", F.concat(F.date_format("dt", "yyyy/MM/dd"), F.lit("/"), F.lpad(F.col("hour").cast("string"), 2, "0")))
+    stamped.drop("dt", "hour").hint("rebalance", F.col("_dir")).write.partitionBy("_dir").parquet(staged)
+    fs = at(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in fs.globStatus(at(staged, "_dir=*")):
+        name = urllib.parse.unquote(d.getPath().getName().removeprefix("_dir="))
+        target = at(root, feed, "hourly", name)
+        fs.mkdirs(target)
+        for f in fs.globStatus(fs_path(d.getPath(), "part-*")):
+            fs.rename(f.getPath(), fs_path(target, f.getPath().getName()))
