@@ -102,6 +102,11 @@ def iso_millis(ts, tz: str | None = None) -> Column:
     return F.concat(F.date_format(wall_clock(_col(ts), "UTC"), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z"))
 
 
+def is_one_of(c, values: list) -> Column:
+    """Whether ``c`` is one of ``values``; NULL is not, and nothing is in an empty list."""
+    return F.coalesce(_col(c).isin(list(values)), F.lit(False)) if values else F.lit(False)
+
+
 def to_text(c) -> Column:
     """``String.valueOf``: NULL renders as the text ``null``; for sinks only."""
     return F.coalesce(_col(c).cast("string"), F.lit("null"))

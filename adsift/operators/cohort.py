@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from adsift import fixed
 from adsift.functions import map_value, strip_id_prefix, to_text
+from adsift.operators import membership, skew
+from adsift.session import cut_lineage
 from adsift.sources.feeds import time_range
 
 OWN_APP_IDS = fixed.OWN_APP_IDS
@@ -54,13 +56,27 @@ def _hits(cands: list[str], name: str = "_hit", cond: Column | None = None) -> l
             for i in range(len(cands))]
 
 
-def first_members(tuples: DataFrame, cands: list[str], cohort: DataFrame, out: str = "id") -> DataFrame:
+def _joined(stacked: DataFrame, cohort: DataFrame, hot_share: float | None) -> DataFrame:
+    """``stacked`` left-joined to ``cohort`` (with ``_id`` and what marks a member). With ``hot_share``, ids that
+    more than that share of the stacked rows have are salted, and the list's rows repeated for those alone."""
+    cohort = cohort.withColumnRenamed("_id", "_member_id")
+    if hot_share is None:
+        return stacked.join(cohort, F.col("_id") == F.col("_member_id"), "left")
+    stacked = cut_lineage(stacked)   # read twice: by the sketch and by the join
+    return skew.join_salted(stacked, cohort, "_id", "_member_id", "left", skew.heavy_hitters(stacked, "_id", hot_share))
+
+
+def first_members(tuples: DataFrame, cands: list[str], cohort: DataFrame, out: str = "id", bloom: bool = False) -> DataFrame:
     """The distinct ``tuples`` that have a member among their candidate columns,
     with ``out``: the first candidate (in order) that is in ``cohort``.
 
     ``cohort`` has one column ``id`` and may repeat ids. Empty or NULL
-    candidates never match."""
-    members = _stacked(tuples, cands).join(_ids(cohort), "_id", "left_semi")
+    candidates never match. ``bloom`` drops most non-members before the shuffle, by a Bloom filter of the
+    list: for long lists that few rows are in."""
+    stacked = _stacked(tuples, cands)
+    if bloom:
+        stacked = membership.prefilter(stacked, "_id", _ids(cohort), "_id")
+    members = stacked.join(_ids(cohort), "_id", "left_semi")
     flags = [f"_hit{i}" for i in range(len(cands))]
     return (members.groupBy(*tuples.columns).agg(*_hits(cands))
             .select(*tuples.columns, _first_hit(cands, flags).alias(out)))
@@ -81,11 +97,11 @@ def match_cohort(df: DataFrame, candidates: list, cohort: DataFrame,
 
 
 def distinct_matches(df: DataFrame, keep: list[str], candidates: list, cohort: DataFrame,
-                     out: str = "id") -> DataFrame:
+                     out: str = "id", bloom: bool = False) -> DataFrame:
     """Distinct ``(*keep, out)`` over rows whose first member candidate is ``out``."""
     cands = [f"_c{i}" for i in range(len(candidates))]
     tuples = df.select(*keep, *[_c(c).cast("string").alias(n) for c, n in zip(candidates, cands, strict=True)]).distinct()
-    return first_members(tuples, cands, cohort, out=out).select(*keep, out).distinct()
+    return first_members(tuples, cands, cohort, out=out, bloom=bloom).select(*keep, out).distinct()
 
 
 def pv_candidates(strip_udid: bool = False) -> list[Column]:
@@ -108,9 +124,9 @@ def cohort_size(cohort: DataFrame) -> DataFrame:
             .agg(F.count("*").alias("n_ids")))
 
 
-def cohort_ids(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
-    """Distinct cohort ids reached by page views (``id``)."""
-    return distinct_matches(time_range(pv, start, end), [], pv_candidates(), cohort, out="id")
+def cohort_ids(pv: DataFrame, cohort: DataFrame, start=None, end=None, bloom: bool = False) -> DataFrame:
+    """Distinct cohort ids reached by page views (``id``); ``bloom`` as in ``first_members``."""
+    return distinct_matches(time_range(pv, start, end), [], pv_candidates(), cohort, out="id", bloom=bloom)
 
 
 def cohort_reach(pv: DataFrame, cohort: DataFrame, start=None, end=None) -> DataFrame:
@@ -148,10 +164,10 @@ def slot_device_counts(pv: DataFrame, cohort: DataFrame, min_devices: int | None
 
 
 def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
-                       app_ids=OWN_APP_IDS, start=None, end=None) -> DataFrame:
+                       app_ids=OWN_APP_IDS, start=None, end=None, hot_share: float | None = None) -> DataFrame:
     """Reach of two cohorts split by whether the page view is in one of
     ``app_ids``: ``(in_app, n_cohort1, n_cohort2)`` distinct ids (device id
-    first, then udid)."""
+    first, then udid). ``hot_share`` salts ids that so large a share of the rows have."""
     flag = F.coalesce(F.col("app_id").isin(list(app_ids)), F.lit(False))
     cands = ["_c0", "_c1"]
     tuples = (time_range(pv, start, end)
@@ -160,7 +176,7 @@ def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
     both = (_ids(cohort1).withColumn("_label", F.lit(1))
             .unionByName(_ids(cohort2).withColumn("_label", F.lit(2))))
     # An outer join: a flag without any member still has its row.
-    joined = _stacked(tuples, cands, outer=True).join(both, "_id", "left")
+    joined = _joined(_stacked(tuples, cands, outer=True), both, hot_share)
     hits = joined.groupBy("in_app", *cands).agg(
         *_hits(cands, "_one", F.col("_label") == 1), *_hits(cands, "_two", F.col("_label") == 2))
     return (hits.groupBy("in_app")
@@ -169,7 +185,7 @@ def cohort_by_app_flag(pv: DataFrame, cohort1: DataFrame, cohort2: DataFrame,
 
 
 def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYND_ID,
-                    max_hour: int = fixed.MAX_REPORT_HOUR, start=None, end=None) -> DataFrame:
+                    max_hour: int = fixed.MAX_REPORT_HOUR, start=None, end=None, hot_share: float | None = None) -> DataFrame:
     """Per day and hour ``0..max_hour``: cohort ids first seen in that hour
     (``n_new``) and the running distinct total (``n_total``).
 
@@ -177,7 +193,8 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
     tuple before the join. Rows of other partners or later hours only mark their day (no
     candidates), so the feed is read once and every day read has its rows. A day's new ids are
     counted in ``max_hour + 1`` columns, which become its rows; the running
-    total is a window over at most that many rows per day.
+    total is a window over at most that many rows per day. ``hot_share`` salts ids that so large a share of the
+    tuples have, for joins that adaptive execution cannot split. The list may repeat ids.
     """
     cands = ["_c0", "_c1"]
     counts = F.coalesce((F.col("hour") <= max_hour) & (F.col("synd_id") == synd_id), F.lit(False))
@@ -185,8 +202,7 @@ def dsp_new_by_hour(pv_dsp: DataFrame, cohort: DataFrame, synd_id: int = DSP_SYN
               .select("dt", F.when(counts, F.col("hour")).alias("hour"),
                       *[F.when(counts, c).alias(n) for c, n in zip(dsp_candidates(), cands, strict=True)])
               .groupBy("dt", *cands).agg(F.min("hour").alias("hour")))
-    joined = _stacked(tuples, cands, outer=True).join(
-        _ids(cohort).withColumn("_member", F.lit(True)), "_id", "left")
+    joined = _joined(_stacked(tuples, cands, outer=True), _ids(cohort).withColumn("_member", F.lit(True)), hot_share)
     hits = joined.groupBy("dt", *cands).agg(F.min("hour").alias("hour"), *_hits(cands, cond=F.col("_member")))
     first_seen = (hits.select("dt", "hour", _first_hit(cands, ["_hit0", "_hit1"]).alias("id"))
                   .groupBy("dt", "id").agg(F.min("hour").alias("hour")))

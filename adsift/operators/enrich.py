@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from adsift import fixed
 from adsift.functions import iso_millis, strip_id_prefix, to_text
 from adsift.session import cut_lineage
+from adsift.sinks import write_bucketed
 from adsift.sources.feeds import time_range
 
 DEFAULT_APP_IDS = fixed.ENRICH_APP_IDS
@@ -61,6 +62,14 @@ def enrich_events(events: DataFrame, pv: DataFrame, sponsor_id=DEFAULT_SPONSOR_I
     return enrich_with_first(events, first, sponsor_id, start, end, tz)
 
 
+def write_first_pv(pv: DataFrame, table: str, path: str, buckets: int, app_ids=DEFAULT_APP_IDS,
+                   start=None, end=None) -> DataFrame:
+    """The reduced page-view side as a table bucketed and sorted by bid. Every event feed that is joined to it
+    (``enrich_with_first``) brings its rows to the table's buckets, and the page views are not exchanged again. Take at least as
+    many ``buckets`` as there are shuffle partitions, or Spark prefers to exchange both sides."""
+    return write_bucketed(first_pv_device(time_range(pv, start, end), app_ids), table, path, "bid_id", buckets)
+
+
 def _sponsor_events(events: DataFrame, sponsor_id, start=None, end=None) -> DataFrame:
     ev = time_range(events, start, end)
     return ev if sponsor_id is None else ev.filter(F.col("sponsor_id") == sponsor_id)
@@ -68,12 +77,13 @@ def _sponsor_events(events: DataFrame, sponsor_id, start=None, end=None) -> Data
 
 def restrict_to_bids(pv: DataFrame, *events: DataFrame) -> DataFrame:
     """Page views whose bid occurs in ``events`` (left-semi join on the
-    distinct non-NULL bids), so a one-sponsor run reduces only its own bids."""
+    non-NULL bids), so a one-sponsor run reduces only its own bids. A semi join cannot multiply, so the bids
+    are not made distinct first: with an exchange directly below both sides AQE can split a hot bid."""
     bids = None
     for ev in events:
         b = ev.select("bid_id").filter(F.col("bid_id").isNotNull())
         bids = b if bids is None else bids.unionByName(b)
-    return pv.join(bids.distinct(), "bid_id", "left_semi")
+    return pv.join(bids, "bid_id", "left_semi")
 
 
 def enrich_with_first(events: DataFrame, first: DataFrame, sponsor_id=DEFAULT_SPONSOR_ID,
@@ -104,4 +114,4 @@ def enrich_text(enriched: DataFrame) -> DataFrame:
 
 
 __all__ = ["first_match", "first_pv_device", "enrich_events", "enrich_with_first", "enrich_text",
-           "restrict_to_bids"]
+           "restrict_to_bids", "write_first_pv"]

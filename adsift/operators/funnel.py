@@ -57,7 +57,7 @@ def _stage(df: DataFrame, kind: str, grain_cols, key_type=None, dims=None) -> Da
 def funnel(pv: DataFrame, bid: DataFrame, impr: DataFrame, click: DataFrame,
            dims: dict[str, Column] | None = None, grain: str = "hour",
            per_day: bool = False, slot_id: str | None = None,
-           start=None, end=None) -> DataFrame:
+           start=None, end=None, per_hour: bool = False) -> DataFrame:
     """Funnel counters by page-view dimensions.
 
     ``grain`` is the attribution window: ``hour`` (an event only meets page
@@ -65,11 +65,13 @@ def funnel(pv: DataFrame, bid: DataFrame, impr: DataFrame, click: DataFrame,
     ``(grain, bid_id)`` takes its dimensions from its latest page view by
     ``(ts, row_id)``; groups with no page view are reported with NULL
     dimensions and ``attributed = false``. ``per_day`` keeps ``dt`` in the
-    output key. ``slot_id``/``start``/``end`` filter every feed (pushed to the
+    output key, ``per_hour`` (with the hour grain) ``dt`` and ``hour``. ``slot_id``/``start``/``end`` filter every feed (pushed to the
     scans). Counters are bigint (``charge`` cannot wrap).
     """
     if grain not in ("hour", "day"):
         raise ValueError("grain must be 'hour' or 'day'")
+    if per_hour and grain != "hour":
+        raise ValueError("counters per hour need the hour grain")
     dims = dims or default_dims()
     grain_cols = ["dt", "hour"] if grain == "hour" else ["dt"]
 
@@ -88,10 +90,10 @@ def funnel(pv: DataFrame, bid: DataFrame, impr: DataFrame, click: DataFrame,
         F.max_by("k", "o").alias("k"),
         *[F.sum(c).alias(c) for c in COUNTERS],
     )
-    out_keys = (["dt"] if per_day else []) + [F.col("k")[n].alias(n) for n in dims]
+    kept = ["dt", "hour"] if per_hour else ["dt"] if per_day else []
     return (per_bid
-            .select(*out_keys, F.col("k").isNotNull().alias("attributed"), *COUNTERS)
-            .groupBy(*(["dt"] if per_day else []), *dims.keys(), "attributed")
+            .select(*kept, *[F.col("k")[n].alias(n) for n in dims], F.col("k").isNotNull().alias("attributed"), *COUNTERS)
+            .groupBy(*kept, *dims.keys(), "attributed")
             .agg(*[F.sum(c).cast("bigint").alias(c) for c in COUNTERS]))
 
 

@@ -48,10 +48,13 @@ def _merged(sets: DataFrame, *keys: str) -> DataFrame:
 
 
 class ReachStore:
-    """A store of hourly reach under ``root`` (a folder that all executors share)."""
+    """A store of hourly reach under ``root`` (a folder that all executors share), ``files`` files for each set."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, files: int = 1):
+        self.spark, self.root, self.files = spark, root.rstrip("/"), files
+
+    def _write(self, sets: DataFrame, name: str) -> None:
+        write_table(sets, f"{self.root}/{name}", num_files=self.files, partition_by=_PARTS[name])
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -82,12 +85,12 @@ class ReachStore:
         coded = hits.join(self.table("ids"), "id", "left")
         sets = coded.groupBy("dt", "hour", F.bitmap_bucket_number("num").alias("bucket")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("num")).alias("bitmap"))
-        write_table(sets, f"{self.root}/hours", partition_by=["dt", "hour"])
+        self._write(sets, "hours")
         days = hits.select("dt").distinct()
-        write_table(_merged(self.table("hours").join(days, "dt", "left_semi"), "dt"), f"{self.root}/days", partition_by=["dt"])
+        self._write(_merged(self.table("hours").join(days, "dt", "left_semi"), "dt"), "days")
         months = days.select(_first_of_month("dt").alias("month")).distinct()
         in_months = self.table("days").withColumn("month", _first_of_month("dt")).join(months, "month", "left_semi")
-        write_table(_merged(in_months, "month"), f"{self.root}/months", partition_by=["month"])
+        self._write(_merged(in_months, "month"), "months")
 
     def seen_before(self, start) -> DataFrame:
         """``(bucket, bitmap)``: all ids of the days before ``start``, from whole months and the days after them."""

@@ -84,7 +84,7 @@ def cohort_reach_job(spark: SparkSession, root: str, cohort_paths: list[str], ou
                      layout: str = "partitioned") -> DataFrame:
     """Distinct cohort ids reached by page views, one per line."""
     (pv,) = _feeds(spark, root, start, end or start, fmt, ("pv",), layout)
-    ids = cohort.cohort_ids(pv, read_cohort(spark, *cohort_paths))
+    ids = cohort.cohort_ids(pv, read_cohort(spark, *cohort_paths, distinct=False))
     write_text(ids.withColumnRenamed("id", "value"), out, num_files=num_files)
     return ids
 

@@ -326,6 +326,11 @@ ORACLE: dict[str, str] = {
     "reach_cumulative_hours": REACH_CUMULATIVE,
     "reach_cumulative_late": f"SELECT * FROM ({REACH_CUMULATIVE}) WHERE dt >= DATE '2024-01-20'",
     "cohort_by_app_flag": COHORT_BY_APP_FLAG,
+    "cohort_reach_bloom": COHORT_IDS,
+    "dsp_new_by_hour_salted": DSP_NEW_BY_HOUR,
+    "cohort_by_app_flag_salted": COHORT_BY_APP_FLAG,
+    "funnel_incremental": _funnel(DEFAULT_DIMS),
+    "enrich_bucketed": f"SELECT *, 'impr' AS feed FROM ({_enrich('impr')}) UNION ALL SELECT *, 'click' FROM ({_enrich('click')})",
     "slot_device_pairs": _pairs(PV_CANDS),
     "slot_device_counts": SLOT_DEVICE_COUNTS,
     "landing_daily_avg": LANDING_DAILY_AVG,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift.operators import clicks, cohort, enrich, funnel, landing, relation
+from adsift.operators.funnel_store import FunnelStore, changed_hours
 from adsift.operators.reach_store import ReachStore, dsp_hits
 from adsift.session import cut_lineage, scratch_path
 from adsift.sinks import write_table, write_text
@@ -84,6 +85,25 @@ def funnel_slot_range(spark, sf):
     return funnel.funnel(*feeds, slot_id=FIXTURE_SLOT)
 
 
+def _late(feeds):
+    """Some rows of some hours that come late."""
+    late = F.col("hour").isin(*FIXTURE_LATE_HOURS) & (F.col("dt") >= F.lit(FIXTURE_DAYS[1]).cast("date")) & (F.col("row_id") % 3 == 0)
+    return [f.filter(~late) for f in feeds], [f.filter(late) for f in feeds]
+
+
+def funnel_incremental(spark, sf):
+    """The funnel from a table of hourly partials, after late rows have had their hours (and no others) computed again."""
+    feeds = _feeds(spark, sf)
+    in_time, late = _late(feeds)
+    store = FunnelStore(spark, scratch_path(spark, "funnel-store"))
+    store.refresh(*in_time)
+    rows = late[0].select("dt", "hour")
+    for f in late[1:]:
+        rows = rows.unionByName(f.select("dt", "hour"))
+    store.refresh(*feeds, hours=changed_hours(rows))
+    return store.report()
+
+
 def funnel_version_daily_text(spark, sf):
     key = [F.date_format("dt", "yyyyMMdd"), "=", "=", "av"]
     lines = funnel.funnel_text(funnel_version_daily(spark, sf), key)
@@ -112,6 +132,21 @@ def click_enrich_sponsor(spark, sf):
                                 app_ids=FIXTURE_APPS, start=FIXTURE_DAYS[0], end=FIXTURE_DAYS[1], tz="UTC")
 
 
+def _first_pv_table(spark, sf):
+    """All page views reduced to a table in buckets by bid."""
+    name = scratch_path(spark, "first_pv")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return enrich.write_first_pv(td.pv(spark, sf), name.rsplit("/", 1)[1].replace("-", "_"), name, buckets, app_ids=None)
+
+
+def enrich_bucketed(spark, sf):
+    """Impressions and clicks, both joined to one bucketed table of first page views."""
+    first = _first_pv_table(spark, sf)
+    both = [enrich.enrich_with_first(feed(spark, sf), first, sponsor_id=None, tz="UTC").withColumn("feed", F.lit(name))
+            for name, feed in (("impr", td.impr), ("click", td.click))]
+    return both[0].unionByName(both[1])
+
+
 def impression_enrich_text(spark, sf):
     lines = enrich.enrich_text(impression_enrich(spark, sf))
     return read_lines(spark, write_text(lines, scratch_path(spark, "impr")))
@@ -123,7 +158,7 @@ def click_enrich_text(spark, sf):
 
 
 def _both_cohorts(spark, sf):
-    return union_cohorts(*td.cohorts(spark, sf))
+    return union_cohorts(*td.cohorts(spark, sf), distinct=False)
 
 
 def _cohort_files(spark, sf):
@@ -132,7 +167,7 @@ def _cohort_files(spark, sf):
 
 
 def slot_cohort_reach(spark, sf):
-    return cohort.slot_cohort_reach(td.pv(spark, sf), read_cohort(spark, *_cohort_files(spark, sf)))
+    return cohort.slot_cohort_reach(td.pv(spark, sf), read_cohort(spark, *_cohort_files(spark, sf), distinct=False))
 
 
 def cohort_size(spark, sf):
@@ -162,6 +197,11 @@ def cohort_reach_ids(spark, sf):
     return cohort.cohort_ids(td.pv(spark, sf), _both_cohorts(spark, sf))
 
 
+def cohort_reach_bloom(spark, sf):
+    """The same ids, with a Bloom filter of the list tested before the shuffle."""
+    return cohort.cohort_ids(td.pv(spark, sf), _both_cohorts(spark, sf), bloom=True)
+
+
 def cohort_reach_ids_text(spark, sf):
     ids = cohort_reach_ids(spark, sf).select(F.col("id").alias("value"))
     return read_lines(spark, write_text(ids, scratch_path(spark, "reach")))
@@ -190,6 +230,16 @@ def reach_cumulative_late(spark, sf):
     return store.totals(start=FIXTURE_DAYS[1])
 
 
+def dsp_new_by_hour_salted(spark, sf):
+    """The same, with ids that over a hundredth of the tuples have salted."""
+    return cohort.dsp_new_by_hour(td.pv_dsp(spark, sf), _both_cohorts(spark, sf), max_hour=23, hot_share=0.01)
+
+
+def cohort_by_app_flag_salted(spark, sf):
+    c1, c2 = td.cohorts(spark, sf)
+    return cohort.cohort_by_app_flag(td.pv(spark, sf), c1, c2, app_ids=FIXTURE_OWN_APPS, hot_share=0.01)
+
+
 def cohort_by_app_flag(spark, sf):
     c1, c2 = td.cohorts(spark, sf)
     return cohort.cohort_by_app_flag(td.pv(spark, sf), c1, c2, app_ids=FIXTURE_OWN_APPS)
@@ -329,7 +379,7 @@ def stream_first_seen(spark, sf):
     """The hour in which each cohort id was first seen, kept as the hours arrive: even hours first, then odd ones, in a stream that
     ends between the two and goes on from its checkpoint."""
     inbox, out, ckpt = (scratch_path(spark, n) for n in ("fs-in", "fs-out", "fs-ckpt"))
-    feed, cohort = td.pv_dsp(spark, sf), cut_lineage(_both_cohorts(spark, sf).distinct())
+    feed, cohort = td.pv_dsp(spark, sf), cut_lineage(union_cohorts(*td.cohorts(spark, sf)))
     for odd in (0, 1):
         write_table(feed.filter(F.col("hour") % 2 == odd), inbox, num_files=3, mode="append")
         stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
@@ -346,7 +396,7 @@ def hourly_ingest(spark, sf):
     first = 0
     for run, own in enumerate((~late, late)):
         td.hourly_layout(bids.filter(own), root, "bid")
-        run_to_end(ingest_hours(hourly_stream(spark, root, "bid", fmt="parquet"), out, ckpt))
+        run_to_end(ingest_hours(hourly_stream(spark, root, "bid", fmt="parquet"), out, ckpt, num_files=1))
         if run == 0:
             first = read_batches(spark, out).agg(F.max("batch_id")).first()[0]
     return (read_batches(spark, out).groupBy(F.when(F.col("batch_id") <= first, 1).otherwise(2).alias("run"), "dt", "hour")
@@ -401,6 +451,11 @@ QUERIES: dict[str, Query] = {
     "reach_cumulative_hours": reach_cumulative_hours,
     "reach_cumulative_late": reach_cumulative_late,
     "cohort_by_app_flag": cohort_by_app_flag,
+    "cohort_reach_bloom": cohort_reach_bloom,
+    "dsp_new_by_hour_salted": dsp_new_by_hour_salted,
+    "cohort_by_app_flag_salted": cohort_by_app_flag_salted,
+    "funnel_incremental": funnel_incremental,
+    "enrich_bucketed": enrich_bucketed,
     "slot_device_pairs": slot_device_pairs,
     "slot_device_counts": slot_device_counts,
     "landing_daily_avg": landing_daily_avg,

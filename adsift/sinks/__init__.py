@@ -45,5 +45,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", num_files: int |
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, fmt: str = "parquet") -> DataFrame:
+    """Write ``df`` as table ``table`` at ``path``, in ``buckets`` buckets sorted by ``key`` (one file each), and
+    return it. Joins and aggregates on ``key`` read it without an exchange."""
+    (df.repartition(buckets, key).sortWithinPartitions(key).write.mode("overwrite").format(fmt)
+     .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)

@@ -135,25 +135,25 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.text(list(paths))
 
 
-def read_cohort(spark: SparkSession, *paths: str) -> DataFrame:
+def read_cohort(spark: SparkSession, *paths: str, distinct: bool = True) -> DataFrame:
     """Device list files -> one-column ``id`` DataFrame, de-duplicated.
 
-    Empty lines are not ids. The distinct keeps a repeated id from multiplying
-    rows in the membership joins.
+    Empty lines are not ids. With ``distinct=False`` repeated ids stay: membership joins do not mind them, and a list that
+    comes to its join straight from an exchange lets adaptive execution split a hot id, which a ``distinct`` bars.
     """
-    return cohort_of(read_lines(spark, *paths).select(F.col("value").alias("id")))
+    return cohort_of(read_lines(spark, *paths).select(F.col("value").alias("id")), distinct=distinct)
 
 
-def union_cohorts(*cohorts: DataFrame) -> DataFrame:
-    """Set union of device lists (each a one-column ``id`` frame)."""
+def union_cohorts(*cohorts: DataFrame, distinct: bool = True) -> DataFrame:
+    """Set union of device lists (each a one-column ``id`` frame); the bag union with ``distinct=False``."""
     out = cohorts[0].select("id")
     for c in cohorts[1:]:
         out = out.unionByName(c.select("id"))
-    return cohort_of(out)
+    return cohort_of(out, distinct=distinct)
 
 
-def cohort_of(ids: DataFrame, col: str = "id") -> DataFrame:
-    """Normalise any one-column id frame into a cohort (non-empty, distinct)."""
-    return (ids.select(F.col(col).cast("string").alias("id"))
-            .filter(F.col("id").isNotNull() & (F.col("id") != ""))
-            .distinct())
+def cohort_of(ids: DataFrame, col: str = "id", distinct: bool = True) -> DataFrame:
+    """Normalise any one-column id frame into a cohort (non-empty, distinct unless told otherwise)."""
+    out = (ids.select(F.col(col).cast("string").alias("id"))
+           .filter(F.col("id").isNotNull() & (F.col("id") != "")))
+    return out.distinct() if distinct else out

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adsift import fixed
+from adsift.sinks import write_table
 from adsift.sources.feeds import with_partitions
 
 # The form feed cycles over the two landing slot ids and a suffix of the first.
@@ -201,7 +202,7 @@ def hourly_layout(df: DataFrame, root: str, feed: str) -> None:
     at = lambda *parts: fs_path("/".join(parts))
     staged = f"{root}/{feed}-staged-{uuid.uuid4().hex}"
     stamped = df.withColumn("_dir", F.concat(F.date_format("dt", "yyyy/MM/dd"), F.lit("/"), F.lpad(F.col("hour").cast("string"), 2, "0")))
-    stamped.drop("dt", "hour").hint("rebalance", F.col("_dir")).write.partitionBy("_dir").parquet(staged)
+    write_table(stamped.drop("dt", "hour"), staged, num_files=1, partition_by=["_dir"])
     fs = at(staged).getFileSystem(spark._jsc.hadoopConfiguration())
     for d in fs.globStatus(at(staged, "_dir=*")):
         name = urllib.parse.unquote(d.getPath().getName().removeprefix("_dir="))

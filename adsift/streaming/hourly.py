@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from adsift import schemas
+from adsift.sinks import write_table
 from adsift.sources.feeds import with_path_hour
 
 #: Hours of any age are read: the source's own limit (7 days before the newest file) would drop late backfills.
@@ -41,12 +41,12 @@ def for_each_batch(stream: DataFrame, take: Callable[[DataFrame, int], None], ch
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def ingest_hours(stream: DataFrame, out_path: str, checkpoint_path: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write each batch of a feed to ``<out>/batch_id=N/dt=D/hour=H``, in overwrite mode, so that a batch
-    given twice is there once. ``read_batches`` reads the whole."""
+def ingest_hours(stream: DataFrame, out_path: str, checkpoint_path: str, trigger: dict | None = None,
+                 num_files: int | None = None) -> StreamingQuery:
+    """Write each batch of a feed to ``<out>/batch_id=N/dt=D/hour=H`` (``num_files`` files an hour), in overwrite mode, so
+    that a batch given twice is there once. ``read_batches`` reads the whole."""
     def take(batch: DataFrame, batch_id: int) -> None:
-        batch.hint("rebalance", F.col("dt"), F.col("hour")).write.mode("overwrite").partitionBy("dt", "hour") \
-            .parquet(f"{out_path}/batch_id={batch_id}")
+        write_table(batch, f"{out_path}/batch_id={batch_id}", num_files=num_files, partition_by=["dt", "hour"])
 
     return for_each_batch(stream, take, checkpoint_path, trigger)
 

@@ -1,0 +1,76 @@
+"""Hourly funnel partials: any order of refreshes gives the full run; a late hour rewrites its partition alone."""
+
+import os
+
+import pytest
+
+from adsift.operators.funnel import abtest_dims, funnel
+from adsift.operators.funnel_store import FunnelStore, changed_hours, in_hours
+from adsift.session import scratch_path
+from adsift.sources import testdata as td
+from tests.helpers import empty, feed, ts
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def feeds(spark):
+    return [f(spark, SF).filter("dt between '2024-01-02' and '2024-01-05'").cache() for f in (td.pv, td.bid, td.impr, td.click)]
+
+
+def rows(df, columns):
+    return sorted(map(repr, (tuple(r) for r in df.select(*columns).collect())))
+
+
+@pytest.mark.parametrize("dims", [lambda: None, abtest_dims])
+def test_late_hour_rewrites_one_partition(spark, feeds, dims):
+    dims = dims()
+    root = scratch_path(spark, "store")
+    store = FunnelStore(spark, root, dims=dims)
+    day, hour = changed_hours(feeds[0].filter("dt = '2024-01-03'"))[0]
+    late = f"dt = '{day}' and hour = {hour}"
+    store.refresh(feeds[0].filter(f"not ({late})"), *feeds[1:])
+    files = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(root)
+                     for f in names if f.startswith("part-")}
+    before = files()
+    hours = changed_hours(feeds[0].filter(late))
+    assert len(hours) == 1
+    store.refresh(*feeds, hours=hours)
+    changed = set(files().items()) ^ set(before.items())
+    assert changed and all(f"dt={day}/hour={hour}/" in p for p, _ in changed)
+    for per_day in (False, True):
+        want = funnel(*feeds, dims=dims, per_day=per_day)
+        assert rows(store.report(per_day=per_day), want.columns) == rows(want, want.columns)
+    want = funnel(*feeds, dims=dims, start="2024-01-03", end="2024-01-04")
+    assert rows(store.report("2024-01-03", "2024-01-04"), want.columns) == rows(want, want.columns)
+
+
+def test_hours_one_by_one(spark, feeds):
+    store = FunnelStore(spark, scratch_path(spark, "store"))
+    hours = changed_hours(feeds[0].unionByName(feeds[0]).select("dt", "hour"))
+    thirds = [hours[i::3] for i in range(3)]
+    for own in thirds:
+        store.refresh(*feeds, hours=own)
+    have = [in_hours(f, hours) for f in feeds]
+    want = funnel(*have)
+    assert rows(store.report(), want.columns) == rows(want, want.columns)
+
+
+def test_refresh_of_no_hours_and_of_one_without_page_views(spark):
+    store = FunnelStore(spark, scratch_path(spark, "store"))
+    bids = feed(spark, "bid", [{"ts": ts(0), "bid_id": "b"}, {"ts": ts(1), "bid_id": None}])
+    none = [empty(spark, n) for n in ("pv", "impr", "click")]
+    store.refresh(none[0], bids, none[1], none[2])
+    store.refresh(none[0], bids, none[1], none[2], hours=[])
+    got = store.report().collect()
+    assert [(r.mcc, r.attributed, r.bid) for r in got] == [(None, False, 2)]
+
+
+def test_hour_predicates_prune_partitions(spark, feeds):
+    root = scratch_path(spark, "pv")
+    feeds[0].write.partitionBy("dt", "hour").parquet(root)
+    df = in_hours(spark.read.parquet(root), [("2024-01-03", 5), ("2024-01-03", 6), ("2024-01-04", 1)])
+    scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x)
+    assert "PartitionFilters: [((" in scan and "hour" in scan
+    assert {(str(r.dt), r.hour) for r in df.collect()} <= {("2024-01-03", 5), ("2024-01-03", 6), ("2024-01-04", 1)}
+    assert in_hours(feeds[0], []).count() == 0
