@@ -29,9 +29,10 @@ def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
     """One row per line whose key has at least ``min_chars`` code points:
     ``id, row_hash, line, h1, h2``. Rows without an id take no part."""
     text = text_of(text_col)
-    lines = (docs.filter(F.col(id_col).isNotNull())
-             .select(F.col(id_col).alias("id"), row_key(text).alias("row_hash"),
-                     F.posexplode(F.split(text, "\n", -1)).alias("line", "content")))
+    # Hash and lines come before the explode: beside it, the whole text would be hashed again for every line.
+    rows = (docs.filter(F.col(id_col).isNotNull())
+            .select(F.col(id_col).alias("id"), row_key(text).alias("row_hash"), F.split(text, "\n", -1).alias("lines")))
+    lines = rows.select("id", "row_hash", F.posexplode("lines").alias("line", "content"))
     keyed = lines.select("id", "row_hash", "line",
                          ascii_lower(F.btrim("content", F.lit(SPACE_CHARS))).alias("key"))
     return (keyed.filter(F.char_length("key") >= min_chars)

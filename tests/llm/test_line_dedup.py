@@ -4,6 +4,7 @@ import hashlib
 
 import pytest
 
+from adsift.llm import line_dedup as ld
 from adsift.llm.line_dedup import dedup_lines
 from tests.llm import cases
 
@@ -50,3 +51,23 @@ def test_digest_of_query_columns(spark):
     kept = {r.row.doc_id: r.kept_text for r in dedup_lines(df).collect()}
     assert kept == {0: "one long line here", 1: "more"}
     assert hashlib.sha256(kept[1].encode()).hexdigest() == hashlib.sha256(b"more").hexdigest()
+
+
+def test_hash_of_a_text_is_not_taken_for_each_of_its_lines(spark):
+    """The text is no column of what the explode multiplies, and no hash of it stands above the explode."""
+    df = ld.line_hashes(cases.frame(spark, ["a\nb"]), "doc_id", "text", 1)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(lines) if "Generate posexplode" in x)
+    assert not any("xxhash64(coalesce(text" in x for x in lines[:at]) and "text#" not in lines[at]
+
+
+def test_time_is_linear_in_the_lines_of_a_text(spark):
+    import time
+    took = []
+    for n in (40_000, 40_000, 160_000):   # the first run also compiles
+        text = "\n".join(f"line number {i} of the text" for i in range(n))
+        began = time.perf_counter()
+        row = ld.dedup_lines(cases.frame(spark, [text, text])).agg({"n_dropped": "sum"}).first()
+        took.append(time.perf_counter() - began)
+        assert row[0] == n
+    assert took[2] < 6 * took[1] + 3
