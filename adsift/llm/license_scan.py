@@ -133,7 +133,9 @@ SIGNATURES = [
     ("gpl", "general public", r"(gnu )?general public licen[cs]e", 4, 0.8),
     ("lgpl", "lesser", r"(gnu )?lesser general public licen[cs]e", 4, 0.8),
     ("apache", "apache", r"apache( software)? licen[cs]e", 4, 0.8),
-    ("cc-by", "creative commons", r"creative commons attribution( \w+)* licen[cs]e", 4, 0.7),
+    # Up to the last "license" that only words of ASCII letters and digits lead to. A character class, not a repeated
+    # group: for each turn of a group Java's matcher calls itself, and a long text would end its stack.
+    ("cc-by", "creative commons", r"creative commons attribution( [0-9a-z ]*)? licen[cs]e", 4, 0.7),
     ("cc", "creative commons", r"creative commons licen[cs]e", 5, 0.5),
     ("public-domain", "public domain", r"(dedicated to|placed in|released into|in) the public domain", 4, 0.7),
     ("proprietary", "rights reserved", r"all rights reserved", 5, 0.4),
@@ -201,7 +203,8 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keywords = sorted({r[2] for r in build_rules()})
     hits = gated.select("*", F.explode(F.filter(F.array(*[F.lit(k) for k in keywords]),
                                                 lambda k: F.contains(F.col("words"), k))).alias("keyword"))
-    found = (hits.join(rules, "keyword")
+    # The rules are of fixed size; broadcast, they are tried in the tasks that read the texts.
+    found = (hits.join(F.broadcast(rules), "keyword")
              .select("id", "row_hash", "rule", "label", "priority", "confidence", "words", "regex",
                      F.regexp_extract_all("words", F.col("regex"), F.lit(0)).alias("matches"))
              .filter(F.size("matches") > 0))
@@ -209,13 +212,15 @@ def detections(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.arrays_zip(F.col("matches").alias("match"),
                      F.slice(F.split("words", F.col("regex"), -1), F.lit(1), F.size("matches")).alias("gap"))))
     before = W.partitionBy("id", "row_hash", "rule").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    n_words = lambda s: F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit("")))
-    spans = (pieces.distinct().select(
+    spaces = lambda s: F.char_length(s) - F.char_length(F.replace(s, F.lit(" "), F.lit("")))
+    # Only counts are exchanged, not the words between matches.
+    counted = pieces.select("id", "row_hash", "rule", "label", "priority", "confidence", "pos",
+                            spaces("col.gap").alias("gap"), spaces("col.match").alias("match")).distinct()
+    spans = (counted.select(
         "id", "row_hash", "rule", "label", "priority", "confidence",
         # Each gap ends with the space before a match and holds one space a word; a match holds one less than words.
-        (F.coalesce(F.sum(n_words("col.gap") + n_words("col.match")).over(before), F.lit(0))
-         + n_words("col.gap") - 1).cast("long").alias("start_word"),
-        (n_words("col.match") + 1).alias("length"))
+        (F.coalesce(F.sum(F.col("gap") + F.col("match")).over(before), F.lit(0)) + F.col("gap") - 1).cast("long").alias("start_word"),
+        (F.col("match") + 1).alias("length"))
         .select("id", "row_hash", "rule", "label", "priority", "confidence", "start_word",
                 (F.col("start_word") + F.col("length")).alias("end_word")))
     order = W.partitionBy("id", "row_hash").orderBy("start_word", F.desc("end_word"), "priority", "rule")

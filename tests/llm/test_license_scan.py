@@ -98,5 +98,33 @@ def test_gates_lose_nothing(spark):
         assert r.spans == want[r.row.text], r.row.text
 
 
+def test_long_texts_behind_every_rule(spark):
+    """What each rule may begin with, and 100,000 words after it: no match runs into the matcher's stack."""
+    rest = " word" * 100_000
+    starts = ["licensed under creative commons attribution", "licensed under the mit", "released under", "license is gpl 2 0 only or",
+              "redistribution and use in source and binary forms with", "permission is hereby granted free of charge to any",
+              "spdx license identifier cc by", "licensed under the gnu general public license version", "copyright c", "dedicated to the public",
+              "available according to the terms and conditions of the open data commons database"]
+    texts = [s + rest for s in starts] + ["licensed under creative commons attribution" + " share" * 100_000 + " license"]
+    got = {r.row.doc_id: r for r in ls.scan_licenses(cases.frame(spark, texts)).collect()}
+    assert len(got) == len(texts) and all(got[i].n_words >= 100_000 for i in range(len(texts)))
+    last = len(texts) - 1
+    assert f"cc-by:2:{2 + 3 + 100_000 + 1}" in got[last].spans.split(",")
+    assert "cc-by" not in got[0].labels
+
+
+def test_no_rule_repeats_a_group():
+    for _, _, _, regex, _, _ in ls.build_rules():
+        assert not re.search(r"\)[*+{]", regex), regex
+
+
+def test_rules_are_broadcast_and_words_are_not_exchanged(spark):
+    plan = ls.detections(cases.frame(spark, LICENSED))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for line in plan.split("\n"):
+        if "Exchange hashpartitioning" in line:
+            assert "keyword" not in line
+
+
 def test_empty_table(spark):
     assert ls.scan_licenses(cases.empty(spark)).collect() == []
