@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,7 +61,11 @@ class WordEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # The strings of special tokens become these tokens, and nothing else crosses them; pieces between hold none.
+        special = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = special
+        self.special_of = re.compile(b"|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.tokenizer.encode_special_tokens = True
         self.encode_many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.limit = cache_entries
         self._clear()
@@ -103,7 +108,33 @@ class WordEncoder:
         """The ids of each text."""
         body, offsets = textscan.utf8(texts)
         for i, j in textscan.chunks(offsets, ENCODE_BYTES):
-            yield from self._encode_chunk(body[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            raw, doc_at = body[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            if self.special_of is not None and self.special_of.search(memoryview(raw)):
+                yield from self._encode_with_special(raw, doc_at)
+            else:
+                yield from self._encode_chunk(raw, doc_at)
+
+    def _encode_with_special(self, raw: np.ndarray, doc_at: np.ndarray) -> Iterator[np.ndarray]:
+        """A chunk with strings of special tokens: what lies between them is encoded like texts of its own."""
+        parts, owners, tokens = [], [], []
+        for d in range(len(doc_at) - 1):
+            text, at = raw[doc_at[d]:doc_at[d + 1]].tobytes(), 0
+            for m in self.special_of.finditer(text):
+                parts.append(text[at:m.start()])
+                owners.append(d)
+                tokens.append([self.special[m.group()]])
+                at = m.end()
+            parts.append(text[at:])
+            owners.append(d)
+            tokens.append([])
+        cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        own: list[np.ndarray] = []
+        between = self._encode_chunk(np.frombuffer(b"".join(parts), dtype=np.uint8), cuts)
+        for ids, after, d, following in zip(between, tokens, owners, [*owners[1:], None], strict=True):
+            own += [ids, np.array(after, dtype=np.uint32)]
+            if following != d:
+                yield np.concatenate(own)
+                own = []
 
     def _encode_chunk(self, raw: np.ndarray, doc_at: np.ndarray) -> Iterator[np.ndarray]:
         n_docs = len(doc_at) - 1
@@ -225,7 +256,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``,
     ``sequence_id`` and ``offset``. Every sequence keeps all limits; offsets have no gaps.
     Sequences are full (``limits.tokens``) unless the segment or loss limit closes them, but
-    for at most one of each smaller power of two per task. Null text is empty
+    for at most one of each smaller power of two per task. The strings of the
+    tokenizer's special tokens in a text become those tokens, as the tokenizer does it by default. Null text is empty
     and has only ``end_id``; ids may be null or repeat (each row is packed); a document
     without any id (empty, no ``end_id``) has no piece.
     """

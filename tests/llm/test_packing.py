@@ -15,19 +15,20 @@ PATH = P.path("word_bpe_49k.json")
 
 def direct(texts):
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(PATH)   # as it comes: special token strings are special tokens
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 TEXTS = [None, "", "  ", "don't we'll it's 'tis o'clock 'S 's,'re", "a,b;c!?d...e 1234 5.6% x=y <b> ~`^", "é É ñ ǅ ß ﬁ  áb",
          " nbsp em　space", "x≮ y≠", "中文 字 🙂🙂 emoji", "tab\tnew\nline\r\nform\x0cfeed\x0bvt \x1c\x85",
-         "<|endoftext|> inside <|startoftext|>x", "İstanbul ΣΑΣ", "A" * 9000, "_under_score__ a-b -- ''quoted''", cases.LONG]
+         "<|endoftext|> inside <|startoftext|>x", "<|ENDOFTEXT|> no", "a<|endoftext|>", "<|endoftext|><|endoftext|>", "<|endoftext|",
+         "it<|endoftext|>'s e<|startoftext|>\u0301 and <|startoftext|>\n<|endoftext|>b", "İstanbul ΣΑΣ", "A" * 9000, "_under_score__ a-b -- ''quoted''", cases.LONG]
 
 
 def test_ids_are_the_tokenizers():
     got = [list(x) for x in packing.WordEncoder(PATH).encode(pa.array(TEXTS))]
     assert got == direct(TEXTS)
+    assert direct(["hello <|endoftext|> x"]) == [[3306, 49407, 343]]
     more = cases.random_texts(200, seed=2)
     small = packing.WordEncoder(PATH, cache_entries=50)
     for part in (more[:100], more[100:]):
