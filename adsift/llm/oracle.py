@@ -8,20 +8,36 @@ _WS = r"chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
 
 ORACLE = {
     "op7_span_dedup": rf"""
-WITH p AS (
+WITH whole AS (
   SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+')) AS piece,
          generate_subscripts(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+'), 1) AS i
   FROM documents),
+sized AS (SELECT *, length(piece) - length(replace(piece, ' ', '')) + 1 > 25 AS long,
+                 regexp_extract(piece, '[.!?\n]*$') AS stop FROM whole),
+cut AS (
+  SELECT doc_id, i, unnest(CASE WHEN long THEN list_concat(parts[:-2], [parts[-1] || stop]) ELSE [piece] END) AS piece,
+         generate_subscripts(parts, 1) AS j
+  FROM (SELECT *, CASE WHEN long THEN string_split(rtrim(array_to_string(list_transform(
+            regexp_extract_all(left(piece, length(piece) - length(stop)), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'),
+            lambda t: CASE WHEN length(trim(t, {_WS})) % 4 = 0 THEN t || chr(10) ELSE t END), ''), chr(10)), chr(10))
+          ELSE [piece] END AS parts FROM sized)),
+p AS (SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS i FROM cut),
 k AS (SELECT *, translate(trim(piece, {_WS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM p),
-s AS (SELECT doc_id, i, key, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM k WHERE key <> ''),
+s AS (SELECT doc_id, i, key, length(key) - length(replace(key, ' ', '')) + 1 AS words,
+             row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM k WHERE key <> ''),
 r AS (
-  SELECT doc_id, n, key || chr(0) || lead(key, 1) OVER w || chr(0) || lead(key, 2) OVER w AS run
+  SELECT doc_id, n, CASE WHEN words >= 20 THEN key
+    WHEN words + lead(words) OVER w >= 20 THEN key || chr(0) || lead(key) OVER w
+    ELSE key || chr(0) || lead(key, 1) OVER w || chr(0) || lead(key, 2) OVER w END AS run,
+    CASE WHEN words >= 20 THEN 1 WHEN words + lead(words) OVER w >= 20 THEN 2 ELSE 3 END AS len
   FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY n)),
 later AS (
-  SELECT doc_id, n FROM (
-    SELECT doc_id, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, n) AS o FROM r WHERE run IS NOT NULL)
+  SELECT doc_id, n, len FROM (
+    SELECT doc_id, n, len, row_number() OVER (PARTITION BY run, len ORDER BY doc_id, n) AS o FROM r WHERE run IS NOT NULL)
   WHERE o > 1),
-gone AS (SELECT DISTINCT doc_id, n + x AS n FROM later, range(3) t(x)),
+covered AS (SELECT DISTINCT doc_id, n + x AS n FROM later, range(3) t(x) WHERE x < len),
+stretch AS (SELECT c.doc_id, c.n, words, c.n - row_number() OVER (PARTITION BY c.doc_id ORDER BY c.n) AS g FROM covered c JOIN s USING (doc_id, n)),
+gone AS (SELECT doc_id, n FROM stretch QUALIFY sum(words) OVER (PARTITION BY doc_id, g) >= 20),
 m AS (
   SELECT k.doc_id, k.i, k.piece, s.n IS NOT NULL AS sentence, gone.n IS NOT NULL AS dropped
   FROM k LEFT JOIN s ON k.doc_id = s.doc_id AND k.i = s.i LEFT JOIN gone ON s.doc_id = gone.doc_id AND s.n = gone.n)

@@ -68,7 +68,8 @@ def op6_packing(spark, sf):
 
 
 def op7_span_dedup(spark, sf):
-    found = span_dedup.dedup_spans(_documents(spark, sf))
+    # Repeated stretches of under 20 words (a footer or a heading that many documents share) are left alone.
+    found = span_dedup.dedup_spans(_documents(spark, sf), min_words=20)
     return found.select("row.doc_id", "n_sentences", "n_removed", _sha256(F.col("kept_text")).alias("kept_sha256"))
 
 

@@ -1,85 +1,123 @@
 """Substring de-duplication by sliding spans of sentences.
 
-Every run of ``span`` consecutive sentences of a document is hashed; the hashes
-are grouped over all documents, and each sentence covered by a repeated run
-that is not the run's first occurrence (smallest document, then position) is removed.
-
-Map-side aggregation reduces a run that very many documents share to one row a task before
-any shuffle. The repeated runs are written as a table, so that the join that
-finds the later occurrences has an exchange on both sides and adaptive
-execution can split a hot run. Texts are shuffled once, to be rebuilt.
+From every sentence of a document a run of consecutive sentences is hashed: ``span`` of them, or fewer if those already hold
+``long_words`` words, so that a passage of few long sentences is a run, too. A sentence of over ``max_words`` words is cut behind
+words whose length is a multiple of 4: a rule on the content alone, which cuts a passage alike wherever it stands.
+The hashes are grouped over all documents, and each sentence covered by a repeated run that is not the run's first
+occurrence (smallest document, then position) is removed. With ``min_words``, covered sentences that stand together are
+judged as one stretch: shorter ones (a footer, a signature) stay.
+
+The runs are written once as a table and read twice: to find the repeated ones (map-side aggregation reduces a run that very many
+documents share to one row a task before any shuffle), and to find their later occurrences. The repeated runs are written, too,
+so that this join has an exchange on both sides and adaptive execution can split a hot run. Texts are shuffled
+once, to be rebuilt.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adsift.llm.common import SPACE_CHARS, ascii_lower, row_key, text_of, written
 
 #: A sentence with what ends it; the pieces of a text, joined, are the text.
 PIECE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
+#: A word with the white space before it, or what white space is left.
+TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
 KEY = ["h1", "h2"]
 
 
-def pieces(text):
-    """The pieces of a text as structs: ``piece`` and its ``key`` (white space
-    stripped at both ends, A-Z lower-cased)."""
-    return F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.struct(
-        p.alias("piece"), ascii_lower(F.btrim(p, F.lit(SPACE_CHARS))).alias("key")))
+def n_words(c: Column) -> Column:
+    """Words of a trimmed text, counted by its spaces."""
+    return F.char_length(c) - F.char_length(F.replace(c, F.lit(" "), F.lit(""))) + 1
+
+
+def _cut(piece: Column) -> Column:
+    """A long sentence in parts that end with a word of a length divisible by 4. A sentence holds line feeds only where it
+    ends, so one can mark a cut."""
+    end = F.regexp_extract(piece, r"[.!?\n]*\z", 0)
+    body = F.left(piece, F.char_length(piece) - F.char_length(end))
+    marked = F.transform(F.regexp_extract_all(body, F.lit(TOKEN), F.lit(0)), lambda t: F.when(
+        F.char_length(F.btrim(t, F.lit(SPACE_CHARS))) % 4 == 0, F.concat(t, F.lit("\n"))).otherwise(t))
+    parts = F.split(F.rtrim(F.array_join(marked, ""), F.lit("\n")), "\n", -1)
+    return F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(F.concat(F.element_at(parts, F.lit(-1)), end)))
+
+
+def pieces(text: Column, max_words: int) -> Column:
+    """The pieces of a text: sentences, and parts of long ones. Joined, they are the text."""
+    found = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+    return F.flatten(F.transform(found, lambda p: F.when(n_words(p) > max_words, _cut(p)).otherwise(F.array(p))))
 
 
-def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, min_chars: int) -> DataFrame:
-    """One row per run of ``span`` sentences whose keys have ``min_chars``
-    code points together: ``id, row_hash, at, h1, h2``. Pieces of white space alone are no sentences."""
+def keyed(piece: Column) -> Column:
+    """White space stripped at both ends, A-Z lower-cased."""
+    return ascii_lower(F.btrim(piece, F.lit(SPACE_CHARS)))
+
+
+def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, long_words: int, max_words: int) -> DataFrame:
+    """One row per run: ``id, row_hash, at, words`` (of its sentences), ``h1, h2``. Pieces of white space alone are no sentences."""
     text = text_of(text_col)
-    keys = F.filter(F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)),
-                                lambda p: ascii_lower(F.btrim(p, F.lit(SPACE_CHARS)))), lambda k: k != "")
+    keys = F.filter(F.transform(pieces(text, max_words), keyed), lambda k: k != "")
     rows = (docs.filter(F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("id"), row_key(text).alias("row_hash"), keys.alias("keys"))
-            .filter(F.size("keys") >= span)
-            .select("id", "row_hash", F.transform("keys", F.char_length).alias("n"),
+            .select("id", "row_hash", F.transform("keys", n_words).alias("n"),
                     F.transform("keys", lambda k: F.xxhash64(k)).alias("a"),
                     F.transform("keys", lambda k: F.xxhash64(F.lit("second"), k)).alias("b")))
-    n, a, b = F.col("n"), F.col("a"), F.col("b")
-    starts = F.sequence(F.lit(0), F.size(a) - span)
-    if min_chars > 0:
-        starts = F.filter(starts, lambda i: sum((n[i + k] for k in range(1, span)), n[i]) >= min_chars)
-    runs = F.transform(starts, lambda i: F.struct(
-        i.alias("at"), F.xxhash64(*[a[i + k] for k in range(span)]).alias("h1"),
-        F.xxhash64(F.lit("second"), *[b[i + k] for k in range(span)]).alias("h2")))
-    return rows.select("id", "row_hash", F.explode(runs).alias("run")).select("id", "row_hash", "run.*")
+    n = F.col("n")
+
+    def length(i: Column) -> Column:
+        """Sentences of the run that begins with sentence ``i``; 0 if the document ends before."""
+        words, out = F.get(n, i), F.when(F.get(n, i) >= long_words, 1)
+        for k in range(1, span - 1):
+            words = words + F.get(n, i + k)
+            out = out.when(words >= long_words, k + 1)
+        return out.when(i + span <= F.size(n), span).otherwise(0)
+
+    starts = F.filter(F.transform(F.sequence(F.lit(0), F.size(n) - 1), lambda i: F.struct(i.alias("at"), length(i).alias("len"))),
+                      lambda s: s["len"] > 0)
+    part = lambda c, s: F.slice(F.col(c), s["at"] + 1, s["len"])
+    runs = F.transform(starts, lambda s: F.struct(
+        s["at"].alias("at"), part("n", s).alias("words"), F.xxhash64(part("a", s)).alias("h1"),
+        F.xxhash64(F.lit("second"), part("b", s)).alias("h2")))
+    return (rows.filter(F.size("n") > 0).select("id", "row_hash", F.explode(runs).alias("run"))
+            .select("id", "row_hash", "run.*"))
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
-                min_chars: int = 0) -> DataFrame:
+                long_words: int = 20, max_words: int = 25, min_words: int = 0) -> DataFrame:
     """Remove the sentences that a later occurrence of a repeated run covers.
 
     Returns one row per input row: ``row`` (struct of all its columns),
     ``n_sentences``, ``n_removed`` and ``kept_text`` (the other pieces, as they
-    were, in order). Every run counts, however short its sentences, unless ``min_chars`` is set: then a run
-    whose sentences have under so many code points together is none. Overlapping occurrences within a document count; documents of under ``span``
-    sentences have no run and stay whole. Null text is empty. Rows with a null
+    were, in order). Every run counts, however short its sentences, unless ``min_words`` is set: then sentences that are covered
+    stay where fewer words than that stand together. Overlapping occurrences within a document count; a document of under ``span``
+    sentences and ``long_words`` words has no run and stays whole. Null text is empty. Rows with a null
     id stay whole and hide none of others; repeated rows (same id and text) are one document
     and get equal results. An empty table gives an empty result.
     """
-    runs = span_hashes(docs, id_col, text_col, span, min_chars)
+    runs = written(span_hashes(docs, id_col, text_col, span, long_words, max_words), "sentence-spans")
     repeated = written(
         runs.groupBy(*KEY).agg(F.min(F.struct("id", "at", "row_hash")).alias("first"),
                                F.max(F.struct("id", "at", "row_hash")).alias("last"))
         .filter("first != last").select(*KEY, "first"), "repeated-spans")
     later = (runs.join(repeated.hint("merge"), KEY)
              .filter(F.struct("id", "at", "row_hash") != F.col("first")))
-    removed = (later.select("id", "row_hash", F.explode(F.sequence("at", F.col("at") + span - 1)).alias("at"))
-               .groupBy("id", "row_hash").agg(F.collect_set("at").alias("removed")))
+    covered = (later.select("id", "row_hash", "at", F.posexplode("words").alias("k", "words"))
+               .select("id", "row_hash", (F.col("at") + F.col("k")).alias("at"), "words").distinct())
+    if min_words > 0:
+        row = Window.partitionBy("id", "row_hash")
+        stretch = covered.withColumn("stretch", F.col("at") - F.row_number().over(row.orderBy("at")))
+        covered = (stretch.withColumn("total", F.sum("words").over(Window.partitionBy("id", "row_hash", "stretch")))
+                   .filter(F.col("total") >= min_words))
+    removed = covered.groupBy("id", "row_hash").agg(F.collect_list("at").alias("removed"))
     text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.select("row", F.col(f"row.`{id_col}`").alias("id"), row_key(text).alias("row_hash"))
     joined = rows.join(removed, ["id", "row_hash"], "left")
-    parts = joined.select("row", "removed", text.alias("full_text"), pieces(text).alias("pieces"))
+    parts = joined.select("row", "removed", text.alias("full_text"), pieces(text, max_words).alias("pieces"))
     # Numbers of the pieces that are sentences, in order; then those of the kept pieces.
     parts = parts.select("row", "removed", "full_text", "pieces", F.filter(
-        F.transform("pieces", lambda p, i: F.when(p["key"] != "", i)), lambda i: i.isNotNull()).alias("sentence_at"))
+        F.transform("pieces", lambda p, i: F.when(F.btrim(p, F.lit(SPACE_CHARS)) != "", i)), lambda i: i.isNotNull()).alias("sentence_at"))
     sentence_at, all_pieces = F.col("sentence_at"), F.col("pieces")
     gone = F.transform("removed", lambda k: sentence_at[k])
     kept = F.array_except(F.sequence(F.lit(0), F.size(all_pieces) - 1), gone)
@@ -87,4 +125,4 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "row", F.size(sentence_at).cast("long").alias("n_sentences"),
         F.coalesce(F.array_size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("removed").isNull(), F.col("full_text"))
-        .otherwise(F.array_join(F.transform(kept, lambda i: all_pieces[i]["piece"]), "")).alias("kept_text"))
+        .otherwise(F.array_join(F.transform(kept, lambda i: all_pieces[i]), "")).alias("kept_text"))
