@@ -60,6 +60,40 @@ def test_context_discovers_unseen_identifiers(spark):
     assert all(got[i] == [] for i in range(31, 61))
 
 
+def test_believed_frames_propose_what_stands_in_them(spark):
+    """Names without any mark of an address, where addresses stand; not in frames that hold other things, too."""
+    rnd = random.Random(6)
+    name = lambda: "".join(rnd.choices("abcdefgh", k=8))
+    seeds = [f"For help contact mail {name()}@{name()}.com now, or write." for _ in range(20)]
+    loose = [f"{name()} {name()} the {name()}@{name()}.org of {name()}" for _ in range(4)]
+    common = [f"{name()} {name()} the {name()} of {name()}" for _ in range(60)]
+    hidden = ["Please contact mail carolsmith now.", "é 🙂 contact mail (dave.jones), now", "contact mail carol@home now"]
+    texts = [*hidden, *seeds, *loose, *common, *hidden[:1]]
+    got = {}
+    for r in pii.find_personal_data(cases.frame(spark, texts).repartition(4)).collect():
+        got[r.id] = [(s.kind, texts[r.id][s.start:s.end]) for s in r.spans if tuple(s) not in [tuple(b) for b in r.base]]
+    assert [got[i] for i in range(3)] == [[("email", "carolsmith")], [("email", "dave.jones")], [("email", "carol@home")]]
+    assert got[len(texts) - 1] == [("email", "carolsmith")]
+    assert all(got[i] == [] for i in range(3, len(texts) - 1))
+
+
+def test_both_scans_see_the_same_frames():
+    rnd = random.Random(7)
+    for text in [*noise(300, 3), "Contact Mail é.ü X now, ok", "a b c", "İ ẞ 中文 x y"]:
+        raw, at = pii.textscan.utf8(pii.pa.array([text]))
+        s = pii.textscan.scan(raw, at)
+        if len(s.start) < 3:
+            continue
+        k = rnd.randrange(len(s.start))
+        start, end = len(raw[:s.start[k]].tobytes().decode()), len(raw[:s.end[k]].tobytes().decode())
+        frames = [f for _, f in pii.patterns(text, start, end, "ip") if f]
+        table = pii.np.zeros(1 << pii.FRAME_BITS, dtype=bool)
+        table[[f & ((1 << pii.FRAME_BITS) - 1) for f in frames]] = True
+        near = (k < 2 or s.start[k] - s.start[k - 2] < 30) and (k + 1 >= len(s.start) or s.end[k + 1] - s.end[k] < 12)
+        if frames and near:
+            assert k in pii.framed_words(s, table), (text, k)
+
+
 def test_long_digit_runs_are_linear():
     assert pii.base_spans("1" * 300_000 + "." + "2" * 300_000) == []
     assert pii.base_spans("a" * 300_000 + "@" + "b" * 300_000) == []
