@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from adsift.llm import textscan
-from adsift.llm.common import text_of
+from adsift.llm.common import hash128, text_of, written
 
 BITS, BLOCKS, RADIUS = 128, 8, 31
 BLOCK_RADIUS = RADIUS // BLOCKS
@@ -228,14 +228,26 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
                       item_text_col: str = "text", threshold: float = 0.8,
                       block_items: int = 2000, block_chars: int = 4_000_000) -> DataFrame:
     """The rows of ``docs`` without a window as ``find_contamination`` reports
-    it; null and empty texts stay. Each block of items filters what the blocks before left."""
+    it; null and empty texts stay. One block of items is a filter of the rows. Of several blocks each is a pass that writes the hashes of
+    the texts it finds and then gives its broadcast back, so no more than one is held however many items there are; the rows
+    meet the hashes in one join."""
+    sc = docs.sparkSession.sparkContext
     rows = docs.select(F.struct("*").alias("row"))
     text = F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))
-    for block in item_blocks(items, item_id_col, item_text_col, block_items, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(tuple(t for _, t in block))
-
-        rows = rows.filter(_without(sent, threshold)(text))
-    return rows.select("row.*")
+    blocks = item_blocks(items, item_id_col, item_text_col, block_items, block_chars)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs
+    if second is None:
+        return rows.filter(_without(sc.broadcast(tuple(t for _, t in first)), threshold)(text)).select("row.*")
+    found = None
+    for block in itertools.chain([first, second], blocks):
+        sent = sc.broadcast(tuple(t for _, t in block))
+        hits = written(rows.filter(~_without(sent, threshold)(text)).select(*hash128(text)).distinct(), "contaminated-texts")
+        sent.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    keyed = rows.select("row", *hash128(text))
+    return keyed.join(found.hint("merge"), ["h1", "h2"], "left_anti").select("row.*")
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -260,9 +272,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"),
                        text_of(text_col).alias("text"))
 
-    def matches(block: list) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)  # bounded by block_items and block_chars
-
+    def matches(sent) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = [i for i, _ in sent.value]
             bench = _benchmark(tuple(t for _, t in sent.value))
@@ -281,7 +291,10 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
     result = None
     for block in item_blocks(items, item_id_col, item_text_col, block_items, block_chars):
-        part = matches(block)
+        # Bounded by block_items and block_chars, and given back when the block's matches are written.
+        sent = spark.sparkContext.broadcast(block)
+        part = written(matches(sent), "contamination")
+        sent.destroy()
         result = part if result is None else result.unionByName(part)
     if result is None:
         result = spark.createDataFrame([], out)

@@ -88,6 +88,34 @@ def test_blocks_of_items_change_nothing(spark):
     assert clean.columns == df.columns
 
 
+def test_broadcasts_of_blocks_are_given_back(spark, monkeypatch):
+    from pyspark import Broadcast, SparkContext
+    live, most = [], []
+    make, destroy = SparkContext.broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        live.append(make(self, value))
+        most.append(len(live))
+        return live[-1]
+
+    def gone(self, blocking=False):
+        live.remove(self)
+        destroy(self, blocking)
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", gone)
+    words = [[f"w{i}x{k}" for k in range(14)] for i in range(30)]
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "item_id long, text string")
+    texts = [" ".join(["some", "words", *w, "after"]) for w in words[::3]] + ["nothing of them in here at all", None, ""]
+    df = cases.frame(spark, texts)
+    assert {r.item_id for r in decontam.find_contamination(df, items, block_items=4).collect()} == set(range(0, 30, 3))
+    assert len(most) == 8 and max(most) == 1 and not live
+    del most[:]
+    kept = decontam.drop_contaminated(df, items, block_items=4)
+    assert sorted(r.doc_id for r in kept.collect()) == [10, 11, 12] and kept.columns == df.columns
+    assert len(most) == 8 and max(most) == 1 and not live
+
+
 def test_block_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     index = decontam.ItemIndex(20, [(i, [b"w"] * 20, rng.integers(0, 2**63, 20, dtype=np.uint64)) for i in range(12)])
