@@ -48,3 +48,17 @@ def test_order_is_by_rejection_per_cost():
 def test_empty_table_and_no_rules(spark):
     assert apply_quality_rules(cases.empty(spark)).collect() == []
     assert apply_quality_rules(cases.frame(spark, ["a b c d e f g h i j k"]), rules=[]).first().kept
+
+
+def test_cost_of_a_rule_is_what_it_adds_to_reading_the_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from adsift.llm import quality
+    monkeypatch.setattr(quality, "PROBES", 4)
+    df = spark.range(3000).select(F.repeat(F.lit("some words and numbers 123 "), 40).alias("full_text"), F.lit(200).alias("n_words")).cache()
+    df.count()
+    cheap = quality.Rule("cheap", lambda t, n: n < 0)
+    dear = quality.Rule("dear", lambda t, n: F.size(F.regexp_extract_all(t, F.lit("([a-z]+) ([a-z]+)? ?[0-9]*"), F.lit(0))) < 0)
+    got = quality.measure(df, [cheap, dear])
+    assert got["cheap"][1] == got["dear"][1] == 0
+    assert got["dear"][0] > 3 * got["cheap"][0]
+    df.unpersist()
