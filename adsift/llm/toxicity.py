@@ -146,10 +146,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
                   sample_rows: int, sample_max_chars: int) -> DataFrame:
     """At most ``sample_rows`` labelled rows, half of them of each label, of at
     most ``sample_max_chars``: those with the smallest hash of the id. Only ids
-    whose crc32 (of the id as text) modulo 5 is not 0 are eligible."""
+    whose crc32 (of the id as text) modulo 5 is not 0 are eligible, and of those the ones that have such a text."""
+    short = docs.filter(F.char_length(text_of(text_col)) <= sample_max_chars).select(F.col(id_col).alias("id"))
     own = (labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
            .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
-           .filter(~held_out(F.col("id"))))
+           .filter(~held_out(F.col("id"))).join(short, "id", "left_semi"))
     picked = [own.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample_rows // 2) for y in (0, 1)]
     ids = picked[0].unionByName(picked[1])  # at most sample_rows narrow rows
     return (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
