@@ -285,7 +285,7 @@ EPISODES = "SELECT p_partkey, p_name, p_brand, p_size AS doctor FROM part"
 # ---- stream --------------------------------------------------------------
 STREAM_WORD_COUNT = f"""SELECT part, CAST(1 AS BIGINT) AS parts_in_batch, word, count(*) AS n FROM (
   SELECT part, unnest({java_split("line", " ")}) AS word
-  FROM (SELECT CAST(doc_id % 6 AS INTEGER) AS part, unnest(string_split(text, chr(10))) AS line FROM documents))
+  FROM (SELECT CAST(doc_id % (SELECT greatest(6, count(*) // 50000) FROM documents) AS INTEGER) AS part, unnest(string_split(text, chr(10))) AS line FROM documents))
 GROUP BY part, word"""
 
 STREAM_WORDS = f"""SELECT word, count(*) AS n FROM (SELECT unnest({java_split("line", " ")}) AS word

@@ -169,15 +169,16 @@ def cohort_lines(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
         F.col("c_custkey").cast("string").alias("value"))
 
 
-#: Files that the documents arrive in as a stream.
-STREAM_FILES = 6
+#: Files that the documents arrive in as a stream: six, or one for so many documents.
+STREAM_FILES, DOCS_PER_FILE = 6, 50_000
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of the documents (``value``) and the number of the file
     (``part``) that each document arrives in."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select((F.col("doc_id") % STREAM_FILES).cast("int").alias("part"),
+    files = max(STREAM_FILES, docs.count() // DOCS_PER_FILE)
+    return docs.select((F.col("doc_id") % files).cast("int").alias("part"),
                        F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
 
 
