@@ -158,7 +158,8 @@ def candidate_groups(sets: DataFrame, threshold: float, trees: int, max_depth: i
             "sid", "tree", *[c for c in at.columns if c[0] == "v"], *base, F.col("hub").alias("b_hub"), F.col("n").alias("b_n")), "forest-crowded")
         columns, settled = rest.columns, []
         for length in range(shortest + 1, max_depth + 1):
-            sized = written(below(rest, length, nodes(rest, length)), "forest-longer")
+            # The nodes are written first: with an exchange on both sides the join on a hot one can be split.
+            sized = written(below(rest, length, written(nodes(rest, length), "forest-longer-nodes")), "forest-longer")
             few = F.col("n") <= crowd if length < max_depth else F.lit(True)
             settled.append(sized.filter(few).select(*columns, "hub", F.lit(length).alias("length")))
             rest = sized.filter(~few).select(*columns)
