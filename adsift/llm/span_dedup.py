@@ -2,7 +2,7 @@
 
 From every sentence of a document a run of consecutive sentences is hashed: ``span`` of them, or fewer if those already hold
 ``long_words`` words, so that a passage of few long sentences is a run, too. A sentence of over ``max_words`` words is cut behind
-words whose length is a multiple of 4: a rule on the content alone, which cuts a passage alike wherever it stands.
+words of 4, 8, 12 or 16 characters: a rule on the content alone, which cuts a passage alike wherever it stands.
 The hashes are grouped over all documents, and each sentence covered by a repeated run that is not the run's first
 occurrence (smallest document, then position) is removed. With ``min_words``, covered sentences that stand together are
 judged as one stretch: shorter ones (a footer, a signature) stay.
@@ -22,8 +22,8 @@ from adsift.llm.common import SPACE_CHARS, ascii_lower, row_key, text_of, writte
 
 #: A sentence with what ends it; the pieces of a text, joined, are the text.
 PIECE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
-#: A word with the white space before it, or what white space is left.
-TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+#: The place before a space that follows a word of 4, 8, 12 or 16 characters.
+CUT = r"(?=[ \t\x0B\f\r])(?<=(?:^|[ \t\x0B\f\r])(?:\S{4}|\S{8}|\S{12}|\S{16}))"
 KEY = ["h1", "h2"]
 
 
@@ -33,14 +33,8 @@ def n_words(c: Column) -> Column:
 
 
 def _cut(piece: Column) -> Column:
-    """A long sentence in parts that end with a word of a length divisible by 4. A sentence holds line feeds only where it
-    ends, so one can mark a cut."""
-    end = F.regexp_extract(piece, r"[.!?\n]*\z", 0)
-    body = F.left(piece, F.char_length(piece) - F.char_length(end))
-    marked = F.transform(F.regexp_extract_all(body, F.lit(TOKEN), F.lit(0)), lambda t: F.when(
-        F.char_length(F.btrim(t, F.lit(SPACE_CHARS))) % 4 == 0, F.concat(t, F.lit("\n"))).otherwise(t))
-    parts = F.split(F.rtrim(F.array_join(marked, ""), F.lit("\n")), "\n", -1)
-    return F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), F.array(F.concat(F.element_at(parts, F.lit(-1)), end)))
+    """A long sentence in parts that end with a word of 4, 8, 12 or 16 characters. (No line feed stands within a sentence.)"""
+    return F.split(piece, CUT, -1)
 
 
 def pieces(text: Column, max_words: int) -> Column:
@@ -54,8 +48,12 @@ def keyed(piece: Column) -> Column:
     return ascii_lower(F.btrim(piece, F.lit(SPACE_CHARS)))
 
 
+#: Bits for the words of each sentence of a run, in one number; larger counts are held.
+WORD_BITS, MAX_COUNT = 10, 1023
+
+
 def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, long_words: int, max_words: int) -> DataFrame:
-    """One row per run: ``id, row_hash, at, words`` (of its sentences), ``h1, h2``. Pieces of white space alone are no sentences."""
+    """One row per run: ``id, row_hash, at, words`` (of its sentences, packed), ``h1, h2``. Pieces of white space alone are no sentences."""
     text = text_of(text_col)
     keys = F.filter(F.transform(pieces(text, max_words), keyed), lambda k: k != "")
     rows = (docs.filter(F.col(id_col).isNotNull())
@@ -63,24 +61,34 @@ def span_hashes(docs: DataFrame, id_col: str, text_col: str, span: int, long_wor
             .select("id", "row_hash", F.transform("keys", n_words).alias("n"),
                     F.transform("keys", lambda k: F.xxhash64(k)).alias("a"),
                     F.transform("keys", lambda k: F.xxhash64(F.lit("second"), k)).alias("b")))
-    n = F.col("n")
 
-    def length(i: Column) -> Column:
+    def length(first: Column, i: Column) -> Column:
         """Sentences of the run that begins with sentence ``i``; 0 if the document ends before."""
-        words, out = F.get(n, i), F.when(F.get(n, i) >= long_words, 1)
+        words, out = first, F.when(first >= long_words, 1)
         for k in range(1, span - 1):
-            words = words + F.get(n, i + k)
+            words = words + F.get("n", i + k)
             out = out.when(words >= long_words, k + 1)
-        return out.when(i + span <= F.size(n), span).otherwise(0)
+        return out.when(i + span <= F.size("n"), span).otherwise(0)
+
+    rows = rows.select("id", "row_hash", "n", "a", "b", F.transform("n", length).alias("lengths"))
+
+    def by_length(size: Column, of) -> Column:
+        out = F.when(size == 1, of(1))
+        for k in range(2, span):
+            out = out.when(size == k, of(k))
+        return out.otherwise(of(span))
+
+    def run(size: Column, i: Column) -> Column:
+        part = lambda c, k: [F.get(c, i + j) for j in range(k)]
+        packed = lambda k: sum((F.least(x, F.lit(MAX_COUNT)).cast("bigint") * (1 << WORD_BITS * j)
+                                for j, x in enumerate(part("n", k))), F.lit(0).cast("bigint"))
+        return F.when(size > 0, F.struct(
+            i.alias("at"), by_length(size, packed).alias("words"),
+            by_length(size, lambda k: F.xxhash64(F.lit(k), *part("a", k))).alias("h1"),
+            by_length(size, lambda k: F.xxhash64(F.lit(-k), *part("b", k))).alias("h2")))
 
-    starts = F.filter(F.transform(F.sequence(F.lit(0), F.size(n) - 1), lambda i: F.struct(i.alias("at"), length(i).alias("len"))),
-                      lambda s: s["len"] > 0)
-    part = lambda c, s: F.slice(F.col(c), s["at"] + 1, s["len"])
-    runs = F.transform(starts, lambda s: F.struct(
-        s["at"].alias("at"), part("n", s).alias("words"), F.xxhash64(part("a", s)).alias("h1"),
-        F.xxhash64(F.lit("second"), part("b", s)).alias("h2")))
-    return (rows.filter(F.size("n") > 0).select("id", "row_hash", F.explode(runs).alias("run"))
-            .select("id", "row_hash", "run.*"))
+    runs = F.filter(F.transform("lengths", run), lambda r: r.isNotNull())
+    return rows.select("id", "row_hash", F.explode(runs).alias("run")).select("id", "row_hash", "run.*")
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 3,
@@ -95,6 +103,8 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id stay whole and hide none of others; repeated rows (same id and text) are one document
     and get equal results. An empty table gives an empty result.
     """
+    if span * WORD_BITS > 60:
+        raise ValueError("a run has 6 sentences at most")
     runs = written(span_hashes(docs, id_col, text_col, span, long_words, max_words), "sentence-spans")
     repeated = written(
         runs.groupBy(*KEY).agg(F.min(F.struct("id", "at", "row_hash")).alias("first"),
@@ -102,7 +112,8 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter("first != last").select(*KEY, "first"), "repeated-spans")
     later = (runs.join(repeated.hint("merge"), KEY)
              .filter(F.struct("id", "at", "row_hash") != F.col("first")))
-    covered = (later.select("id", "row_hash", "at", F.posexplode("words").alias("k", "words"))
+    counts = F.filter(F.array(*[F.shiftright("words", WORD_BITS * k).bitwiseAND(MAX_COUNT) for k in range(span)]), lambda n: n > 0)
+    covered = (later.select("id", "row_hash", "at", F.posexplode(counts).alias("k", "words"))
                .select("id", "row_hash", (F.col("at") + F.col("k")).alias("at"), "words").distinct())
     if min_words > 0:
         row = Window.partitionBy("id", "row_hash")
