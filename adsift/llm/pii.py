@@ -8,8 +8,8 @@ patterns and instances in rounds: a pattern's confidence is the share of its
 instances that are believed (smoothed by its support), a candidate's is the noisy-or of
 its patterns', so that newly believed candidates raise further patterns.
 
-Believed patterns of two words (a *frame*: two words before, or one on either side) with enough seeds then search the texts:
-whatever stands in such a frame is proposed as a further candidate of its kind, whether it looks like one or not. The graph
+Believed patterns of two words (a *frame*: two words before, or one on either side) with enough seeds then search the texts. A
+first scan counts what they hold, and only frames in which seeds are the rule go on; in a second scan whatever stands in such a frame is proposed as a further candidate of its kind, whether it looks like one or not. The graph
 is scored again with all that the frames hold, so that a frame around many other things is no longer believed. Candidates over
 the threshold are reported where they stand.
 
@@ -259,6 +259,30 @@ def frame_table(framing: DataFrame) -> np.ndarray:
     return np.unpackbits(np.frombuffer(b"".join(x or blank for x in table), dtype=np.uint8), bitorder="little").astype(bool)
 
 
+def frame_counts(docs: DataFrame, framing: DataFrame, text_col: str) -> DataFrame:
+    """``frame, n``: how often the texts hold a word in each frame that the table of ``framing`` lets pass (single words only, in
+    frames with a word on either side). A task adds up the frames of a piece of text before it emits them."""
+    table = frame_table(framing)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask = np.uint64((1 << FRAME_BITS) - 1)
+        for batch in batches:
+            body, offsets = textscan.utf8(batch.column(0))
+            for i, j in textscan.chunks(offsets):
+                s = textscan.scan(body, offsets[i:j + 1])
+                h, doc = s.word_hashes(), s.doc_of_word()
+                if len(h) < 3:
+                    continue
+                one = doc[2:] == doc[:-2]
+                both = [frames_of(h[:-2], b, form)[one] for b, form in ((h[1:-1], 2), (h[2:], 3))]
+                passed, n = np.unique(np.concatenate([f[table[(f & mask).astype(np.int64)]] for f in both]), return_counts=True)
+                if len(passed):
+                    yield pa.RecordBatch.from_arrays([pa.array(passed.view(np.int64)), pa.array(n, pa.int64())], names=["frame", "n"])
+
+    texts = docs.select(text_of(text_col).alias("text"))
+    return texts.mapInArrow(run, "frame bigint, n bigint").groupBy("frame").agg(F.sum("n").alias("n"))
+
+
 def proposals(docs: DataFrame, framing: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row with any: ``id, row_hash`` and in ``found`` what stands in a frame of ``framing``, as a candidate of each kind."""
     table = frame_table(framing)
@@ -334,7 +358,14 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     framing = written(
         edges.filter("frame <> 0").join(confidence.hint("merge"), "pattern").join(
             scores.filter(F.col("score") >= min_score).select("instance").hint("merge"), "instance")
-        .groupBy("pattern", "frame").agg(F.count("*").alias("n")).filter(F.col("n") >= min_seeds).select("pattern", "frame"), "pii-frames")
+        .groupBy("pattern", "frame").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds), "pii-frames")
+    if not framing.isEmpty():
+        # What else stands in a frame: seeds are counted in frames of two words before, and (of several words) not in the others.
+        counts = frame_counts(docs, framing, text_col).select(F.col("frame").alias("c_frame"), "n")
+        other = F.coalesce("n", F.lit(0))
+        held = F.when(F.col("pattern").endswith(" _"), F.greatest(other, "seeds")).otherwise(other + F.col("seeds"))
+        framing = written(framing.join(counts, F.col("frame") == F.col("c_frame"), "left")
+                          .filter(F.col("seeds") >= min_pattern * (held + smoothing)).select("pattern", "frame"), "pii-frames")
     if not framing.isEmpty():
         known = framing.groupBy("pattern").agg(F.first("frame").alias("known"))
         proposed = written(spans_of(proposals(docs, framing, id_col, text_col)), "pii-proposed")
