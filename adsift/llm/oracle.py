@@ -19,7 +19,7 @@ cut AS (
          generate_subscripts(parts, 1) AS j
   FROM (SELECT *, CASE WHEN long THEN string_split(rtrim(array_to_string(list_transform(
             regexp_extract_all(left(piece, length(piece) - length(stop)), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+'),
-            lambda t: CASE WHEN length(trim(t, {_WS})) IN (4, 8, 12, 16) THEN t || chr(10) ELSE t END), ''), chr(10)), chr(10))
+            lambda t: CASE WHEN length(trim(t, {_WS})) IN (7, 14) THEN t || chr(10) ELSE t END), ''), chr(10)), chr(10))
           ELSE [piece] END AS parts FROM sized)),
 p AS (SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS i FROM cut),
 k AS (SELECT *, translate(trim(piece, {_WS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM p),

@@ -2,7 +2,7 @@
 
 From every sentence of a document a run of consecutive sentences is hashed: ``span`` of them, or fewer if those already hold
 ``long_words`` words, so that a passage of few long sentences is a run, too. A sentence of over ``max_words`` words is cut behind
-words of 4, 8, 12 or 16 characters: a rule on the content alone, which cuts a passage alike wherever it stands.
+words of 7 or 14 characters: a rule on the content alone, which cuts a passage alike wherever it stands.
 The hashes are grouped over all documents, and each sentence covered by a repeated run that is not the run's first
 occurrence (smallest document, then position) is removed. With ``min_words``, covered sentences that stand together are
 judged as one stretch: shorter ones (a footer, a signature) stay.
@@ -22,8 +22,8 @@ from adsift.llm.common import SPACE_CHARS, ascii_lower, row_key, text_of, writte
 
 #: A sentence with what ends it; the pieces of a text, joined, are the text.
 PIECE = r"[^.!?\n]*[.!?\n]+|[^.!?\n]+"
-#: The place before a space that follows a word of 4, 8, 12 or 16 characters.
-CUT = r"(?=[ \t\x0B\f\r])(?<=(?:^|[ \t\x0B\f\r])(?:\S{4}|\S{8}|\S{12}|\S{16}))"
+#: The place before a space that follows a word of 7 or 14 characters (about every tenth).
+CUT = r"(?=[ \t\x0B\f\r])(?<=(?:^|[ \t\x0B\f\r])(?:\S{7}|\S{14}))"
 KEY = ["h1", "h2"]
 
 
@@ -33,7 +33,7 @@ def n_words(c: Column) -> Column:
 
 
 def _cut(piece: Column) -> Column:
-    """A long sentence in parts that end with a word of 4, 8, 12 or 16 characters. (No line feed stands within a sentence.)"""
+    """A long sentence in parts that end with a word of 7 or 14 characters. (No line feed stands within a sentence.)"""
     return F.split(piece, CUT, -1)
 
 

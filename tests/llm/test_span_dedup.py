@@ -14,14 +14,14 @@ SPACE = " \t\n\x0b\x0c\r"
 
 
 def parts(piece, max_words):
-    """A sentence, cut behind words of 4, 8, 12 or 16 letters if it is long."""
+    """A sentence, cut behind words of 7 or 14 letters if it is long."""
     if piece.count(" ") + 1 <= max_words:
         return [piece]
     body = piece.rstrip(".!?\n")
     out, part = [], ""
     for token in re.findall(r"[ \t\x0b\x0c\r]*[^ \t\x0b\x0c\r]+|[ \t\x0b\x0c\r]+", body):
         part += token
-        if len(token.strip(SPACE)) in (4, 8, 12, 16):
+        if len(token.strip(SPACE)) in (7, 14):
             out.append(part)
             part = ""
     out = [*out, part] if part else out
