@@ -98,3 +98,23 @@ def test_passages_of_few_sentences_or_none(spark):
 
 def test_empty_table(spark):
     assert dedup_spans(cases.empty(spark)).collect() == []
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("min_words", [0, 9])
+def test_later_runs_are_exchanged_once(spark, min_words):
+    texts = cases.random_texts(40, seed=8, vocabulary=6)
+    rows = cases.rows(texts) * 2
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = dedup_spans(spark.createDataFrame(rows, cases.SCHEMA), min_words=min_words)
+        # Both sides of the join of runs, the later runs by document, the texts.
+        assert exchanges(found) == 4
+        got = sorted((tuple(r) for r in found.select("row.doc_id", "n_sentences", "n_removed", "kept_text").collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == brute(rows, min_words=min_words) and any(r[2] for r in got)
