@@ -363,26 +363,36 @@ def stream_word_count_timed(spark, sf):
     return read_batches(spark, out).groupBy("part", "word").agg(F.sum("n").alias("n"))
 
 
+def _two_batches(files):
+    """Files for each trigger, so that ``files`` (two or more) arrive in two batches, the first the larger."""
+    return -(-2 * files // 3)
+
+
 def stream_running_totals(spark, sf):
-    """Word totals over all batches, in a stream that stops halfway and goes on from its checkpoint."""
+    """Word totals over all batches, in a stream that stops halfway and goes on from its checkpoint. Files grow in number with the table."""
     inbox, out, ckpt = (scratch_path(spark, n) for n in ("rt-in", "rt-out", "rt-ckpt"))
-    lines = td.document_lines(spark, sf)
+    lines, files = td.document_lines(spark, sf), td.document_files(spark, sf) // 2
     schema = "value string"
-    for own in (F.col("part") < 3, F.col("part") >= 3):
-        write_table(lines.filter(own).select("value"), inbox, num_files=3, mode="append")
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+    for own in (F.col("part") % 2 == 0, F.col("part") % 2 != 0):
+        write_table(lines.filter(own).select("value"), inbox, num_files=files, mode="append")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", _two_batches(files)).parquet(inbox)
         run_to_end(running_totals_stream(stream, out, ckpt, trigger={"availableNow": True}))
     return read_running_totals(spark, out)
 
 
+#: Page views in a file of the stream, about; each half of the feed comes in three files at least.
+ROWS_PER_FILE = 1_000_000
+
+
 def stream_first_seen(spark, sf):
     """The hour in which each cohort id was first seen, kept as the hours arrive: even hours first, then odd ones, in a stream that
     ends between the two and goes on from its checkpoint."""
     inbox, out, ckpt = (scratch_path(spark, n) for n in ("fs-in", "fs-out", "fs-ckpt"))
     feed, cohort = td.pv_dsp(spark, sf), cut_lineage(union_cohorts(*td.cohorts(spark, sf)))
+    files = max(3, feed.count() // (2 * ROWS_PER_FILE))
     for odd in (0, 1):
-        write_table(feed.filter(F.col("hour") % 2 == odd), inbox, num_files=3, mode="append")
-        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        write_table(feed.filter(F.col("hour") % 2 == odd), inbox, num_files=files, mode="append")
+        stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", _two_batches(files)).parquet(inbox)
         run_to_end(first_seen_stream(stream, cohort, out, ckpt, trigger={"availableNow": True}))
     return read_first_seen(spark, out)
 

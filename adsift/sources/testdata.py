@@ -173,11 +173,15 @@ def cohort_lines(spark: SparkSession, sf_dir: str, segment: str) -> DataFrame:
 STREAM_FILES, DOCS_PER_FILE = 6, 50_000
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> int:
+    """The number of files that the documents arrive in."""
+    return max(STREAM_FILES, table(spark, sf_dir, "documents").count() // DOCS_PER_FILE)
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of the documents (``value``) and the number of the file
     (``part``) that each document arrives in."""
-    docs = table(spark, sf_dir, "documents")
-    files = max(STREAM_FILES, docs.count() // DOCS_PER_FILE)
+    docs, files = table(spark, sf_dir, "documents"), document_files(spark, sf_dir)
     return docs.select((F.col("doc_id") % files).cast("int").alias("part"),
                        F.explode(F.split(F.col("text"), "\n", -1)).alias("value"))
 

@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from adsift.operators import cohort as co
+from adsift.plans import queries
 from adsift.session import scratch_path
 from adsift.sinks import write_table
 from adsift.sources import testdata as td
@@ -113,6 +114,35 @@ def test_running_totals_over_a_restart_and_a_replayed_batch(spark, mode):
         running_totals_stream(stream_of(spark, inbox, "value string"), out, ckpt, "append")
 
 
+def inbox_sizes(spark, monkeypatch, query, sf):
+    """The query's rows, and the rows of every file that its stream took in."""
+    paths = []
+    monkeypatch.setattr(queries, "scratch_path", lambda s, n: paths.append(scratch_path(s, n)) or paths[-1])
+    got = query(spark, sf).collect()
+    return got, [r["count"] for r in spark.read.parquet(paths[0]).groupBy(F.input_file_name()).count().collect()]
+
+
+@pytest.mark.parametrize("per_file, files", [(50_000, 6), (5, 20)])
+def test_running_totals_files_grow_in_number_with_the_documents(spark, monkeypatch, per_file, files):
+    monkeypatch.setattr(td, "DOCS_PER_FILE", per_file)
+    sf = scratch_path(spark, "docs")
+    texts = [f"a w{i}\n\nb  a" if i else None for i in range(100)]
+    write_table(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), f"{sf}/documents.parquet")
+    got, sizes = inbox_sizes(spark, monkeypatch, queries.stream_running_totals, sf)
+    assert dict(map(tuple, got)) == {"a": 198, "b": 99, "": 198, **{f"w{i}": 1 for i in range(1, 100)}}
+    # 297 lines, dealt evenly in either half.
+    assert len(sizes) == files and sum(sizes) == 297 and max(sizes) <= 1.1 * 297 / files
+
+
+def test_first_seen_files_grow_in_number_with_the_feed(spark, monkeypatch):
+    n = td.pv_dsp(spark, SF).count()
+    want = sorted(map(tuple, queries.stream_first_seen(spark, SF).collect()))
+    monkeypatch.setattr(queries, "ROWS_PER_FILE", n // 20)
+    got, sizes = inbox_sizes(spark, monkeypatch, queries.stream_first_seen, SF)
+    assert sorted(map(tuple, got)) == want and want
+    assert len(sizes) == 20 and sum(sizes) == n and max(sizes) <= 1.2 * n / 20
+
+
 def test_hourly_directories_are_read_once(spark):
     root, out, ckpt = (scratch_path(spark, n) for n in ("in", "out", "ckpt"))
     bids = td.bid(spark, SF).filter("hour < 6 and dt < '2024-01-09'")
